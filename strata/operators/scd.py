@@ -39,14 +39,22 @@ def scd1(df: DataFrame, keys, sequence, tiebreak=None) -> DataFrame:
                            for c in df.columns])
 
 
+OPEN_START = "1900-01-01 00:00:00"
+
+
 def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str | None = None,
-         start_col: str = START_COL, end_col: str = END_COL) -> DataFrame:
+         start_col: str = START_COL, end_col: str = END_COL,
+         open_first_version: bool = False) -> DataFrame:
     """Versions ``[start, end)`` per key; a row opens a version when its tracked
     columns differ from the previous row of the key (so a return to an earlier
     value opens a new version, an unchanged re-delivery does not). The last
     version of a key has ``end`` NULL. Input order does not matter.
+
+    ``open_first_version`` back-dates each key's first version to
+    ``OPEN_START``, so facts dated before the key's first load still match it.
     """
     keys = list(keys)
+    floor = F.lit(OPEN_START).cast(df.schema[sequence].dataType)
     order = [F.col(sequence)] + [F.col(c) for c in (tiebreak or [])]
     t = F.struct(*[F.col(c) for c in track])
     x = df.withColumn("_t", t)
@@ -55,7 +63,10 @@ def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str |
         x = x.withColumn("_prev", F.lag("_t").over(w))
         v = x.filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(F.col("_t")))
         v = v.withColumn(end_col, F.lead(sequence).over(w))
-        return v.withColumn(start_col, F.col(sequence)).select(*df.columns, start_col, end_col)
+        start = F.col(sequence)
+        if open_first_version:
+            start = F.when(F.col("_prev").isNull(), floor).otherwise(start)
+        return v.withColumn(start_col, start).select(*df.columns, start_col, end_col)
 
     x = x.withColumn("_b", F.date_trunc(bucket, F.col(sequence)))
     wkb = Window.partitionBy(*keys, "_b").orderBy(*order)
@@ -76,7 +87,10 @@ def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str |
                .withColumn("_next_bucket", F.lead("_first").over(wk))
                .drop("_first"))
     v = v.join(firsts, [*keys, "_b"], "left")
-    return v.select(*df.columns, F.col(sequence).alias(start_col),
+    start = F.col(sequence)
+    if open_first_version:
+        start = F.when(F.col("_prev").isNull() & F.col("_carry").isNull(), floor).otherwise(start)
+    return v.select(*df.columns, start.alias(start_col),
                     F.coalesce(F.col("_next"), F.col("_next_bucket")).alias(end_col))
 
 
