@@ -359,3 +359,11 @@ FROM eb GROUP BY 1, 2""",
     "retention": RETENTION,
     "guardrails": _with_passed(_guardrails_sql()),
 }
+
+# Streaming twins compute the same rows as their batch operators.
+ORACLE.update({
+    "stream_dedupe": ORACLE["content_dedupe"],
+    "stream_scd1": ORACLE["scd1_latest"],
+    "stream_scd2": ORACLE["scd2_history"],
+    "stream_profile": ORACLE["rescued_profile"],
+})
