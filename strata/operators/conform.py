@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType
+from pyspark.sql.types import MapType, StringType, StructType
 
 from strata.functions.casts import safe_cast
 from strata.functions.transforms import apply_transforms
@@ -48,19 +48,21 @@ def promote_from_rescued(df: DataFrame, promotion, rescued_map_col: str = RESCUE
     df = rescued_as_map(df, rescued_map_col)
     new = {}
     for name, typ in promotion.items():
-        rv = safe_cast(F.try_element_at(F.col(rescued_map_col), F.lit(name)), typ)
-        new[name] = F.coalesce(safe_cast(F.col(name), typ), rv) if name in df.columns else rv
+        rv = safe_cast(F.try_element_at(F.col(rescued_map_col), F.lit(name)), typ, StringType())
+        new[name] = (F.coalesce(safe_cast(F.col(name), typ, df.schema[name].dataType), rv)
+                     if name in df.columns else rv)
         new[f"_{name}_from_rescued"] = rv.isNotNull()
     return df.withColumns(new)
 
 
-def contract_column(f: FieldMap, present: set[str]) -> Column:
+def contract_column(f: FieldMap, schema: StructType) -> Column:
     """One contract field: mapped source -> cast -> transforms -> contract type."""
+    present = set(schema.fieldNames())
     if f.source in present:
-        c = safe_cast(F.col(f.source), f.dtype)
+        c = safe_cast(F.col(f.source), f.dtype, schema[f.source].dataType)
         c = apply_transforms(c, f.transforms)
     elif f.name in present:
-        c = safe_cast(F.col(f.name), f.dtype)
+        c = safe_cast(F.col(f.name), f.dtype, schema[f.name].dataType)
     else:
         c = F.lit(None).cast(f.dtype)
     return c.alias(f.name)
@@ -80,7 +82,7 @@ def contract_fields(spec: DatasetSpec) -> list[FieldMap]:
 def apply_contract(df: DataFrame, spec: DatasetSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Project ``df`` onto the contract in one ``select``; extra ``keep`` columns follow."""
     present = set(df.columns)
-    cols = [contract_column(f, present) for f in contract_fields(spec)]
+    cols = [contract_column(f, df.schema) for f in contract_fields(spec)]
     names = {f.name for f in contract_fields(spec)}
     cols += [F.col(k) for k in keep if k in present and k not in names]
     return df.select(*cols)

@@ -58,7 +58,8 @@ def type_drift(df: DataFrame, dataset: str, fields, run_col: str = "_ingest_run_
     fields = [(f, t) for f, t in fields if f in df.columns]
     if not fields:
         raise ValueError(f"{dataset}: none of the drift fields is present")
-    sums = [F.sum(F.when(F.col(f).isNotNull() & safe_cast(F.col(f), t).isNull(), 1).otherwise(0))
+    sums = [F.sum(F.when(F.col(f).isNotNull() & safe_cast(F.col(f), t, df.schema[f].dataType).isNull(), 1)
+                  .otherwise(0))
               .cast("bigint").alias(f"d{i}") for i, (f, t) in enumerate(fields)]
     wide = df.groupBy(F.col(run_col).alias("ingest_run_id")).agg(
         F.count(F.lit(1)).alias("rows_checked"), *sums)

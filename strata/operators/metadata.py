@@ -41,5 +41,5 @@ def add_ingest_metadata(df: DataFrame, spec: DatasetSpec, settings: Settings,
     if file_lineage:
         for name, (path, typ) in LINEAGE_FROM_FILE.items():
             cols[name] = F.col(path).cast(typ)
-    cols["_record_hash"] = record_hash(spec.hash_parts, set(df.columns))
+    cols["_record_hash"] = record_hash(spec.hash_parts, df.schema)
     return df.withColumns(cols)

@@ -96,14 +96,14 @@ def q_initcap_transform(spark, root):
 def q_record_hash(spark, root):
     """P3, P3a-d: normalised SHA-256 content hash of customer rows."""
     c = read_table(spark, root, "customer")
-    return c.select("c_custkey", record_hash(specs.CUSTOMER.hash_parts).alias("_record_hash"))
+    return c.select("c_custkey", record_hash(specs.CUSTOMER.hash_parts, c.schema).alias("_record_hash"))
 
 
 def q_content_dedupe(spark, root):
     """Line items delivered twice; one survivor per content hash."""
     li = read_table(spark, root, "lineitem", ["l_orderkey", "l_linenumber"])
     parts = (HashPart("l_orderkey"), HashPart("l_linenumber"))
-    redelivered = li.unionByName(li).withColumn("_record_hash", record_hash(parts))
+    redelivered = li.unionByName(li).withColumn("_record_hash", record_hash(parts, li.schema))
     return dedupe_content(redelivered).select("l_orderkey", "l_linenumber", "_record_hash")
 
 

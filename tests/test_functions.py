@@ -50,3 +50,32 @@ def test_bad_casts_become_null(spark):
         .select(safe_cast(F.col("a"), "int"), safe_cast(F.col("b"), "double"),
                 safe_cast(F.col("c"), "date"), safe_cast(F.col("d"), "int")).first()
     assert tuple(row) == (None, None, None, 5)
+
+
+EDGE_TEXT = [" 7 ", "\t7", "7\n", "+7", "-0", "07", "7.0", "4.7", "1e3", "0x10", "٣", "2147483648",
+             "99999999999", "", " ", "7 7", "\xa07", "7L", "7d", "NaN", "INF", "Infinity", "-inf", "1,200.5",
+             "1.", ".5", "5e0", "1_000", "\x017", "0x1p3", "1E+5", "e5", ".", "true", " yes ", "Y", "no",
+             "tru", "99999999999999999999", "1-URGENT", "1.5f", "-.5e+2", "0x", "00"]
+
+
+@pytest.mark.parametrize("dtype", ["int", "bigint", "smallint", "tinyint", "double", "float", "boolean"])
+def test_guarded_cast_equals_try_cast(spark, dtype):
+    from pyspark.sql.types import StringType
+
+    from strata.functions.casts import safe_cast
+    df = spark.createDataFrame([(e,) for e in EDGE_TEXT], "s string")
+    for r in df.select("s", F.col("s").try_cast(dtype).alias("a"),
+                       safe_cast(F.col("s"), dtype, StringType()).alias("b")).collect():
+        assert r["a"] == r["b"] or (r["a"] != r["a"] and r["b"] != r["b"]), repr(r["s"])
+
+
+def test_hash_fast_path_matches_text_path(spark):
+    """Typed columns hash exactly like their text form."""
+    typed = spark.createDataFrame([(7, 1.5, float("nan"), True, None)],
+                                  "a bigint, b double, c double, d boolean, e int")
+    text = typed.select(*[F.col(c).cast("string").alias(c) for c in typed.columns])
+    for kind in ("text", "key", "number"):
+        cols = [c for c in typed.columns if kind != "number" or c != "d"]   # boolean -> double is 1.0
+        parts = tuple(HashPart(c, kind) for c in cols)
+        assert (typed.select(record_hash(parts, typed.schema)).first()[0]
+                == text.select(record_hash(parts, text.schema)).first()[0]), kind
