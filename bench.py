@@ -15,7 +15,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from strata.plans.queries import QUERIES  # noqa: E402
+from strata.plans.queries import QUERIES as BATCH  # noqa: E402
+from strata.plans.stream_queries import STREAM_QUERIES  # noqa: E402
 from strata.session import build_session  # noqa: E402
 
 
@@ -26,6 +27,7 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", app="strata-bench", shuffle_partitions=int(cpus) * 2,
                           conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+    QUERIES = {**BATCH, **STREAM_QUERIES}
     names = [q for q in QUERIES if not only or q in only]
 
     def run(name: str) -> float:

@@ -70,23 +70,28 @@ def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str |
 
     x = x.withColumn("_b", F.date_trunc(bucket, F.col(sequence)))
     wkb = Window.partitionBy(*keys, "_b").orderBy(*order)
-    wk = Window.partitionBy(*keys).orderBy("_b")
     x = x.withColumn("_prev", F.lag("_t").over(wkb))
-    # Last tracked value of each (key, bucket), handed to the next bucket of the key.
-    last = (x.groupBy(*keys, "_b")
-             .agg(F.max_by("_t", F.struct(*order)).alias("_last"))
-             .withColumn("_carry", F.lag("_last").over(wk))
-             .drop("_last"))
-    x = x.join(last, [*keys, "_b"], "left")
+    inner_change = F.col("_prev").isNotNull() & ~F.col("_prev").eqNullSafe(F.col("_t"))
+    # One small summary per (key, bucket) carries the cross-bucket facts: the
+    # last tracked value before the bucket, and where the next version starts
+    # after it (the first change point of any later bucket).
+    ordering = F.struct(*order)
+    wk = Window.partitionBy(*keys).orderBy("_b")
+    later = wk.rowsBetween(1, Window.unboundedFollowing)
+    summary = (x.groupBy(*keys, "_b")
+                .agg(F.min_by("_t", ordering).alias("_first_t"),
+                     F.max_by("_t", ordering).alias("_last_t"),
+                     F.min(sequence).alias("_first_seq"),
+                     F.min(F.when(inner_change, F.col(sequence))).alias("_first_inner"))
+                .withColumn("_carry", F.lag("_last_t").over(wk)))
+    opens = F.col("_carry").isNull() | ~F.col("_carry").eqNullSafe(F.col("_first_t"))
+    summary = (summary.withColumn("_change", F.when(opens, F.col("_first_seq")).otherwise(F.col("_first_inner")))
+                      .withColumn("_next_bucket", F.first("_change", ignorenulls=True).over(later))
+                      .select(*keys, "_b", "_carry", "_next_bucket"))
+    x = x.join(summary, [*keys, "_b"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     v = x.filter(prev.isNull() | ~prev.eqNullSafe(F.col("_t")))
     v = v.withColumn("_next", F.lead(sequence).over(wkb))
-    # A bucket's last version ends where the next bucket holding a version begins.
-    firsts = (v.groupBy(*keys, "_b")
-               .agg(F.min(sequence).alias("_first"))
-               .withColumn("_next_bucket", F.lead("_first").over(wk))
-               .drop("_first"))
-    v = v.join(firsts, [*keys, "_b"], "left")
     start = F.col(sequence)
     if open_first_version:
         start = F.when(F.col("_prev").isNull() & F.col("_carry").isNull(), floor).otherwise(start)
