@@ -134,3 +134,12 @@ def change_feed(valid: DataFrame, *others: DataFrame | None) -> DataFrame:
     cols = base.columns
     feeds = [base] + [with_tags(o).select(*cols) for o in others if o is not None]
     return reduce(lambda a, b: a.unionByName(b), feeds)
+
+
+def replay_registry(replayed: DataFrame) -> DataFrame:
+    """Rows to append to the replay log: one per (replay id, record) with its count.
+
+    Pass the accumulated log as ``replay_log`` to ``replay_late`` so a record is
+    replayed once, even when the quarantine is rebuilt.
+    """
+    return replayed.groupBy("_replay_id", "_record_hash").agg(F.count(F.lit(1)).alias("rows"))

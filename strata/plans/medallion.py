@@ -108,6 +108,11 @@ def bronze(spark: SparkSession, location, spec: DatasetSpec, settings: Settings,
     return dedupe_content(meta, scope)
 
 
+def replay_log_exists(spark: SparkSession, path: str) -> bool:
+    from strata.streaming.runner import _exists
+    return _exists(spark, path)
+
+
 @dataclass
 class Paths:
     root: str
@@ -154,7 +159,12 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
         tiebreak=["_source_file_mod_ts", "_record_hash"], bucket="day",
         open_first_version=open_first_version))
 
-    replay = quality.replay_late(q_trips, settings)
+    log_path = getattr(p, "replay_log")
+    previous = spark.read.parquet(log_path) if replay_log_exists(spark, log_path) else None
+    replay = quality.replay_late(q_trips, settings, previous)
+    if replay is not None:
+        quality.replay_registry(replay).write.mode("append").parquet(log_path)
+        out["replay_log"] = log_path
     backfill = None
     if b_backfill is not None:
         staged = quality.backfill_window(conform(b_backfill, TRIPS, settings), settings)

@@ -166,3 +166,31 @@ def table_files_stream(spark: SparkSession, folder: str, max_files_per_trigger:
     schema = spark.read.option("recursiveFileLookup", "true").parquet(folder).schema
     return (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
             .option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(folder))
+
+
+def silver_stream(spark: SparkSession, bronze: str, spec: DatasetSpec, settings: Settings, valid: str,
+                  quarantine: str, checkpoint: str) -> None:
+    """Bronze stream -> contract + rules, valid rows and quarantine from one pass.
+
+    Each micro-batch is classified once (kept in memory for the two writes; if
+    an executor is lost Spark recomputes it from that batch's files) and
+    written to ``valid/batch_id=N`` and ``quarantine/batch_id=N`` with
+    overwrite, so a retried batch replaces its own output and nothing else.
+    """
+    from strata.operators import quality
+    from strata.operators.conform import conform
+
+    schema = spark.read.parquet(bronze).schema
+    stream = spark.readStream.schema(schema).parquet(bronze)
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        c = quality.classify(conform(batch, spec, settings), spec).persist()
+        try:
+            quality.valid_rows(c).write.mode("overwrite").parquet(f"{valid}/batch_id={batch_id}")
+            quality.quarantined_rows(c).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        finally:
+            c.unpersist()
+
+    q = (stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    _await(q)

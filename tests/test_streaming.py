@@ -37,3 +37,30 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, scratch):
     assert after.count() == 17
     assert after.filter(F.col("trip_id") == "T99").count() == 1
     assert after.select("_ingest_yyyymmdd").distinct().collect()[0][0] == 20240115
+
+
+def test_silver_stream_splits_like_batch(spark, scratch):
+    from strata.streaming.runner import silver_stream
+    root = fx.local(scratch)
+    fx.trips_csv(root + "/drops")
+    bronze = run_stream(spark, root + "/drops", medallion.TRIPS, SETTINGS, root + "/out")
+    silver_stream(spark, bronze, medallion.TRIPS, SETTINGS, root + "/valid", root + "/quarantine",
+                  root + "/_ck_silver")
+    valid = spark.read.parquet(root + "/valid")
+    quarantine = spark.read.parquet(root + "/quarantine")
+    assert sorted(r["trip_id"] for r in valid.collect()) == ["T1", "T10", "T14", "T15"]
+    assert quarantine.count() == 12
+
+
+def test_empty_like_has_shape_and_no_rows(spark):
+    from strata.sources.empty import empty_like
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    e = empty_like(df)
+    assert e.schema == df.schema and e.count() == 0
+
+
+def test_scale_conf_sizes_partitions():
+    from strata.session import scale_conf
+    c = scale_conf(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(1 << 20, 2, 4)["spark.sql.shuffle.partitions"]) == 16
