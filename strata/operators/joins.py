@@ -52,14 +52,43 @@ def _far_future(versions: DataFrame, start: str) -> Column:
     return F.lit(FAR_FUTURE).cast(versions.schema[start].dataType)
 
 
+# Versions a key may have before its probes leave the pair-forming join for the sweep.
+MAX_VERSIONS_PER_KEY = 256
+
+
+def _split_hot(probe: DataFrame, versions: DataFrame, keys, limit: int):
+    """(cold probes, cold versions, hot probes, hot versions) by versions per key."""
+    hot = versions.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys)
+    return (probe.join(hot, keys, "left_anti"), versions.join(hot, keys, "left_anti"),
+            probe.join(hot, keys, "left_semi"), versions.join(hot, keys, "left_semi"))
+
+
+def _routed(pairwise, probe, versions, keys, probe_ts, attrs, start, end, limit, **kw) -> DataFrame:
+    keys = list(keys)
+    if limit is None:
+        return pairwise(probe, versions, keys, probe_ts, attrs, start, end, **kw)
+    cp, cv, hp, hv = _split_hot(probe, versions, keys, limit)
+    cold = pairwise(cp, cv, keys, probe_ts, attrs, start, end, **kw)
+    hot = asof_sweep_join(hp, hv, keys, probe_ts, attrs, start, end)
+    return cold.unionByName(hot)
+
+
 def asof_interval_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
-                       start: str = START_COL, end: str = END_COL) -> DataFrame:
+                       start: str = START_COL, end: str = END_COL,
+                       max_versions_per_key: int | None = MAX_VERSIONS_PER_KEY) -> DataFrame:
     """Key equality plus ``start <= t < coalesce(end, far future)`` (half-open).
 
     The dimension side is projected to key, attributes and validity first, so
-    no column is ambiguous. Fine while keys have few versions; for a key with
-    many versions use ``asof_sweep_join``.
+    no column is ambiguous. An equi-join forms (probe, version) candidate pairs
+    per key, so keys with more than ``max_versions_per_key`` versions are sent
+    to ``asof_sweep_join`` instead (same result, no pairs); ``None`` disables
+    the routing.
     """
+    return _routed(_interval, probe, versions, keys, probe_ts, attrs, start, end, max_versions_per_key)
+
+
+def _interval(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
+              start: str, end: str) -> DataFrame:
     keys = list(keys)
     v = versions.select(*[F.col(k).alias(f"_v_{k}") for k in keys],
                         F.col(start).alias("_vs"), F.col(end).alias("_ve"), *attrs)
@@ -71,14 +100,22 @@ def asof_interval_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: st
 
 
 def asof_bucketed_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
-                       start: str = START_COL, end: str = END_COL, bucket: str = "month") -> DataFrame:
+                       start: str = START_COL, end: str = END_COL, bucket: str = "month",
+                       max_versions_per_key: int | None = MAX_VERSIONS_PER_KEY) -> DataFrame:
     """Interval join with the candidates cut by time bucket.
 
     Every version is exploded into the buckets its validity overlaps (an open
     end is capped at the latest probe time, a scalar subquery), probes get the
     bucket of their time, and the equi-join runs on (key, bucket) with the
-    range test as residual. Same result as ``asof_interval_join``.
+    range test as residual. Same result as ``asof_interval_join``; keys with
+    more than ``max_versions_per_key`` versions go to the sweep.
     """
+    return _routed(_bucketed, probe, versions, keys, probe_ts, attrs, start, end, max_versions_per_key,
+                   bucket=bucket)
+
+
+def _bucketed(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
+              start: str, end: str, bucket: str = "month") -> DataFrame:
     keys = list(keys)
     t = _probe_time(probe, probe_ts, versions, start)
     cap = probe.select(F.max(t)).scalar()

@@ -82,38 +82,54 @@ def landing_to_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint
     _await(w.start(bronze))
 
 
+def _by_keys(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Semi / anti join on ``keys`` with NULL matching NULL."""
+    r = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    cond = [left[k].eqNullSafe(r[f"_k_{k}"]) for k in keys]
+    return left.join(r, cond, how)
+
+
 def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: str, buckets: int,
                 sequence, track=None, tiebreak=None, staging: str | None = None,
                 batch_id: int = 0, bucket: str | None = "day") -> None:
     """Merge one batch of change rows into the bucketed table at ``table``.
 
-    Type 1: the touched buckets of the table plus the batch are reduced to the
-    latest row per key (max is associative, the table is enough).
+    Only the keys present in the batch are recomputed; the other rows of the
+    touched ``_bucket`` partitions are copied unchanged, and only those
+    partitions are replaced.
+    Type 1: the table's row of each touched key plus the batch rows are reduced
+    to the latest row (max is associative, the table is enough).
     Type 2: rows that changed nothing were folded into a version, but a later
     out-of-order row can split that version again, so every change row is kept
     in ``<table>_log/_batch=N/_bucket=B`` (written per batch with overwrite, so a
-    retry is idempotent) and the touched buckets' history is rebuilt from it.
+    retry is idempotent) and the touched keys' history is rebuilt from it.
     """
     keys = list(keys)
     seq = [sequence] if isinstance(sequence, str) else list(sequence)
+    order_rest = seq[1:] + list(tiebreak or [])
     rows = batch.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     touched = [r[0] for r in rows.select(BUCKET_COL).distinct().collect()]   # at most ``buckets`` values
     if not touched:
         return
     cols = rows.columns
+    batch_keys = rows.select(*keys).distinct()
+    current = (spark.read.parquet(table).filter(F.col(BUCKET_COL).isin(touched))
+               if _exists(spark, table) else None)
     if kind == "scd1":
-        if _exists(spark, table):
-            current = spark.read.parquet(table).filter(F.col(BUCKET_COL).isin(touched))
-            rows = rows.unionByName(current.select(*cols))
-        merged = scd.scd1(rows, keys, seq[0:1], tiebreak=seq[1:] + list(tiebreak or []))
+        mine = rows
+        if current is not None:
+            mine = mine.unionByName(_by_keys(current, batch_keys, keys, "left_semi").select(*cols))
+        merged = scd.scd1(mine, keys, seq[0:1], tiebreak=order_rest)
     elif kind == "scd2":
         log = f"{table}_log"
         rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{log}/_batch={batch_id}")
-        everything = spark.read.parquet(log).filter(F.col(BUCKET_COL).isin(touched)).select(*cols)
-        merged = scd.scd2(everything, keys, seq[0], track, tiebreak=seq[1:] + list(tiebreak or []),
-                          bucket=bucket)
+        logged = spark.read.parquet(log).filter(F.col(BUCKET_COL).isin(touched)).select(*cols)
+        mine = _by_keys(logged, batch_keys, keys, "left_semi")
+        merged = scd.scd2(mine, keys, seq[0], track, tiebreak=order_rest, bucket=bucket)
     else:
         raise ValueError("kind must be scd1 or scd2")
+    if current is not None:
+        merged = merged.unionByName(_by_keys(current, batch_keys, keys, "left_anti").select(*merged.columns))
     # Materialise before replacing the partitions the merge read from.
     staging = staging or f"{table}_staging"
     stage = f"{staging}/batch_id={batch_id}"

@@ -131,3 +131,21 @@ def test_unmatched_counts_null_keys(spark):
     facts = spark.createDataFrame([("t1", "C1"), ("t2", None), ("t3", "C9")], "trip_id string, city_id string")
     dim = spark.createDataFrame([("C1",)], "city_id string")
     assert sorted(r["trip_id"] for r in joins.unmatched(facts, dim, ["city_id"]).collect()) == ["t2", "t3"]
+
+
+def test_hot_keys_routed_to_sweep(spark):
+    """With a tiny version limit every key is 'hot': results stay identical."""
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice(["a", "b", "c"]), rnd.choice("xyz"), base + dt.timedelta(minutes=13 * i))
+            for i in range(400)]
+    versions = _history(spark, rows, "day").select("city_id", F.col("city_name").alias("n"),
+                                                   "__START_AT", "__END_AT")
+    probes = spark.createDataFrame(
+        [(i, rnd.choice(["a", "b", "c", "d"]), base + dt.timedelta(minutes=rnd.randint(-100, 6000)))
+         for i in range(200)], "pid int, city_id string, t timestamp_ntz")
+    ref = _as_tuples(joins.asof_interval_join(probes, versions, ["city_id"], "t", ["n"],
+                                              max_versions_per_key=None), ["pid", "n"])
+    for fn in (joins.asof_interval_join, joins.asof_bucketed_join):
+        got = _as_tuples(fn(probes, versions, ["city_id"], "t", ["n"], max_versions_per_key=5), ["pid", "n"])
+        assert got == ref, fn.__name__
