@@ -367,3 +367,9 @@ ORACLE.update({
     "stream_scd2": ORACLE["scd2_history"],
     "stream_profile": ORACLE["rescued_profile"],
 })
+ORACLE["csv_ingest"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS VARCHAR) AS c_acctbal,
+       CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY')
+            THEN '{"c_nationkey":"' || CAST(c_nationkey AS VARCHAR) || '"}' END AS _rescued_data,
+       CAST(NULL AS VARCHAR) AS _corrupt_record
+FROM customer"""
