@@ -44,7 +44,7 @@ def matched(fact: DataFrame, dim_keys: DataFrame, keys) -> DataFrame:
     return fact.join(dim_keys.select(*keys), list(keys), "left_semi")
 
 
-def _probe_time(probe: DataFrame, probe_ts: str, versions: DataFrame, start: str) -> Column:
+def _probe_time(probe_ts: str, versions: DataFrame, start: str) -> Column:
     return F.col(probe_ts).cast(versions.schema[start].dataType)
 
 
@@ -92,7 +92,7 @@ def _interval(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
     keys = list(keys)
     v = versions.select(*[F.col(k).alias(f"_v_{k}") for k in keys],
                         F.col(start).alias("_vs"), F.col(end).alias("_ve"), *attrs)
-    t = _probe_time(probe, probe_ts, versions, start)
+    t = _probe_time(probe_ts, versions, start)
     cond = [probe[k] == v[f"_v_{k}"] for k in keys]
     cond += [t >= v["_vs"], t < F.coalesce(v["_ve"], _far_future(versions, start))]
     out = probe.join(v, cond, "inner")
@@ -117,7 +117,7 @@ def asof_bucketed_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: st
 def _bucketed(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
               start: str, end: str, bucket: str = "month") -> DataFrame:
     keys = list(keys)
-    t = _probe_time(probe, probe_ts, versions, start)
+    t = _probe_time(probe_ts, versions, start)
     cap = probe.select(F.max(t)).scalar()
     vend = F.coalesce(F.col(end), F.greatest(F.col(start), cap))
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
@@ -144,7 +144,7 @@ def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str,
     versions that do not overlap within a key.
     """
     keys = list(keys)
-    t = _probe_time(probe, probe_ts, versions, start)
+    t = _probe_time(probe_ts, versions, start)
     ts_type = versions.schema[start].dataType
     pstruct = F.struct(*[probe[c] for c in probe.columns])
     vstruct = F.struct(F.col(start).alias("s"), F.col(end).alias("e"), *[F.col(a) for a in attrs])
