@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.scd import END_COL, START_COL
+from strata.operators.scd import END_COL, START_COL, max_rows_per_key, resolve_bucket
 
 # Largest calendar we force-broadcast: ~2,700 years of days, ~100 bytes a row.
 MAX_BROADCAST_CALENDAR_ROWS = 1_000_000
@@ -65,11 +65,11 @@ def _split_hot(probe: DataFrame, versions: DataFrame, keys, limit: int):
 
 def _routed(pairwise, probe, versions, keys, probe_ts, attrs, start, end, limit, **kw) -> DataFrame:
     keys = list(keys)
-    if limit is None:
+    if limit is None or (not versions.isStreaming and max_rows_per_key(versions, keys) <= limit):
         return pairwise(probe, versions, keys, probe_ts, attrs, start, end, **kw)
     cp, cv, hp, hv = _split_hot(probe, versions, keys, limit)
     cold = pairwise(cp, cv, keys, probe_ts, attrs, start, end, **kw)
-    hot = asof_sweep_join(hp, hv, keys, probe_ts, attrs, start, end)
+    hot = asof_sweep_join(hp, hv, keys, probe_ts, attrs, start, end, bucket="day")
     return cold.unionByName(hot)
 
 
@@ -82,7 +82,8 @@ def asof_interval_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: st
     no column is ambiguous. An equi-join forms (probe, version) candidate pairs
     per key, so keys with more than ``max_versions_per_key`` versions are sent
     to ``asof_sweep_join`` instead (same result, no pairs); ``None`` disables
-    the routing.
+    the routing. The version count per key is measured first (one number), so
+    the split plan is only built when a hot key exists.
     """
     return _routed(_interval, probe, versions, keys, probe_ts, attrs, start, end, max_versions_per_key)
 
@@ -132,7 +133,7 @@ def _bucketed(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
 
 
 def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
-                    start: str = START_COL, end: str = END_COL, bucket: str | None = "day") -> DataFrame:
+                    start: str = START_COL, end: str = END_COL, bucket: str | None = "auto") -> DataFrame:
     """As-of join without forming candidate pairs.
 
     Probes and versions are unioned and sorted per (key, time bucket); each
@@ -140,8 +141,9 @@ def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str,
     first at equal times, start is inclusive). A probe with no such version in
     its own bucket takes the last version of the key's earlier buckets, read
     from a per-(key, bucket) summary. Work is linear in the input, and a hot
-    key is spread over its buckets. Same result as ``asof_interval_join`` for
-    versions that do not overlap within a key.
+    key is spread over its buckets (``bucket="auto"`` buckets only when a key
+    is hot). Same result as ``asof_interval_join`` for versions that do not
+    overlap within a key.
     """
     keys = list(keys)
     t = _probe_time(probe_ts, versions, start)
@@ -158,6 +160,7 @@ def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str,
         *keys, F.col(start).alias("_t"), F.lit(0).alias("_kind"),
         F.lit(None).cast(p_type).alias("_p"), vstruct.alias("_v"))
     u = P.unionByName(V)
+    bucket = resolve_bucket(u, keys, bucket)
     u = u.withColumn("_b", F.date_trunc(bucket, "_t").cast(ts_type) if bucket else F.lit(0))
     win = (Window.partitionBy(*keys, "_b").orderBy("_t", "_kind")
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))

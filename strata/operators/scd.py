@@ -19,6 +19,26 @@ from pyspark.sql.types import MapType
 
 START_COL = "__START_AT"
 END_COL = "__END_AT"
+# Rows one key may have before its ordered work is split over time buckets:
+# a single sort task handles this comfortably in memory (with spill beyond).
+HOT_KEY_ROWS = 5_000_000
+AUTO_BUCKET = "day"
+
+
+def max_rows_per_key(df: DataFrame, keys) -> int:
+    """Largest number of rows any key has (one aggregate; one number to the driver)."""
+    row = df.groupBy(*keys).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
+
+
+def resolve_bucket(df: DataFrame, keys, bucket: str | None, hot_rows: int = HOT_KEY_ROWS) -> str | None:
+    """``"auto"``: split by ``AUTO_BUCKET`` only when some key exceeds ``hot_rows``
+    rows (always on a stream, where the data is not known up front)."""
+    if bucket != "auto":
+        return bucket
+    if df.isStreaming or max_rows_per_key(df, keys) > hot_rows:
+        return AUTO_BUCKET
+    return None
 
 
 def _orderable(df: DataFrame, cols) -> list[str]:
@@ -42,7 +62,7 @@ def scd1(df: DataFrame, keys, sequence, tiebreak=None) -> DataFrame:
 OPEN_START = "1900-01-01 00:00:00"
 
 
-def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str | None = None,
+def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str | None = "auto",
          start_col: str = START_COL, end_col: str = END_COL,
          open_first_version: bool = False) -> DataFrame:
     """Versions ``[start, end)`` per key; a row opens a version when its tracked
@@ -50,10 +70,14 @@ def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str |
     value opens a new version, an unchanged re-delivery does not). The last
     version of a key has ``end`` NULL. Input order does not matter.
 
+    ``bucket``: None (one ordered partition per key), a ``date_trunc`` unit
+    such as "day" (a key's rows are split over its time buckets), or "auto"
+    (buckets only when a key is hot, see ``resolve_bucket``).
     ``open_first_version`` back-dates each key's first version to
     ``OPEN_START``, so facts dated before the key's first load still match it.
     """
     keys = list(keys)
+    bucket = resolve_bucket(df, keys, bucket)
     floor = F.lit(OPEN_START).cast(df.schema[sequence].dataType)
     order = [F.col(sequence)] + [F.col(c) for c in (tiebreak or [])]
     t = F.struct(*[F.col(c) for c in track])

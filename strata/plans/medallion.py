@@ -156,7 +156,7 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
 
     city_hist = save("silver_city", scd.scd2(
         quality.valid_rows(city_c), list(CITY.keys), "_ingest_ts", CITY.tracked,
-        tiebreak=["_source_file_mod_ts", "_record_hash"], bucket="day",
+        tiebreak=["_source_file_mod_ts", "_record_hash"], bucket="auto",
         open_first_version=open_first_version))
 
     log_path = getattr(p, "replay_log")

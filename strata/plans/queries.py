@@ -18,6 +18,7 @@ from strata.operators.dedupe import dedupe_content
 from strata.plans import specs
 from strata.plans.bronze import events_bronze, orders_text
 from strata.sources.tables import read_table
+from strata.session import scratch_path
 from strata.spec import HashPart, Settings
 
 # ---------------------------------------------------------------- shared stages
@@ -59,7 +60,7 @@ def lines_classified(spark, root) -> DataFrame:
 
 def events_history(spark, root) -> DataFrame:
     ev = read_table(spark, root, "events", ["event_id", "user_id", "ts", "event_type"])
-    return scd.scd2(ev, ["user_id"], "ts", ["event_type"], tiebreak=["event_id"], bucket="day")
+    return scd.scd2(ev, ["user_id"], "ts", ["event_type"], tiebreak=["event_id"], bucket="auto")
 
 
 def events_probes(spark, root) -> DataFrame:
@@ -69,8 +70,13 @@ def events_probes(spark, root) -> DataFrame:
 
 
 def _versions(spark, root) -> DataFrame:
-    return events_history(spark, root).select(
-        "user_id", F.col("event_type").alias("event_type_asof"), scd.START_COL, scd.END_COL)
+    """The version table, written once to the shared checkpoint folder and read
+    back, as the pipeline stores it (the as-of joins read it several times)."""
+    path = scratch_path(spark, "events-versions")
+    (events_history(spark, root)
+        .select("user_id", F.col("event_type").alias("event_type_asof"), scd.START_COL, scd.END_COL)
+        .write.parquet(path))
+    return spark.read.parquet(path)
 
 
 def _calendar(spark) -> tuple[DataFrame, int]:
@@ -219,7 +225,7 @@ def q_fact_asof_bucketed(spark, root):
 def q_fact_asof_sweep(spark, root):
     """J3 at scale: the as-of join as a sorted sweep, no candidate pairs."""
     return joins.asof_sweep_join(events_probes(spark, root), _versions(spark, root), ["user_id"],
-                                 "probe_ts", ["event_type_asof"], bucket="day")
+                                 "probe_ts", ["event_type_asof"], bucket="auto")
 
 
 def q_unmatched(spark, root):
