@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import fixtures as fx
 from strata.operators import quality
 from strata.operators.conform import conform, promote_from_rescued, rescued_as_map
-from strata.plans import medallion
+from strata.plans import layers
 from strata.sources.csv_drops import read_drops
 from strata.spec import Settings
 
@@ -16,10 +16,10 @@ SETTINGS = Settings(now=fx.NOW)
 @pytest.fixture(scope="module")
 def built(spark):
     from strata.session import scratch_path
-    root = fx.local(scratch_path(spark, "medallion"))
+    root = fx.local(scratch_path(spark, "layers"))
     city = fx.city_csvs(root + "/drops/city")
     fx.trips_csv(root + "/drops/trips")
-    out = medallion.run_batch(spark, city, root + "/drops/trips", root + "/out", SETTINGS)
+    out = layers.run_batch(spark, city, root + "/drops/trips", root + "/out", SETTINGS)
     return {k: spark.read.parquet(v) for k, v in out.items()}
 
 
@@ -78,7 +78,7 @@ def test_rescued_profile_and_schema_drift(built):
 
 def test_promotion_from_rescued(spark, built):   # P9-P11, B19
     b = built["bronze_city"].filter(F.col("city_id") == "C4")
-    spec = medallion.with_promotions(medallion.CITY, {"region": "string"})
+    spec = layers.with_promotions(layers.CITY, {"region": "string"})
     row = conform(b, spec).first()
     assert (row["region"], row["_region_from_rescued"]) == ("North", True)
     empty = promote_from_rescued(rescued_as_map(built["bronze_city"].filter(F.col("city_id") == "C1")),
@@ -98,7 +98,7 @@ def test_uniform_header_switch(spark, built):
     from strata.session import scratch_path
     root = fx.local(scratch_path(spark, "uniform"))
     fx.trips_csv(root)
-    df = read_drops(spark, root, declared=medallion.TRIPS.required_columns, headers="uniform")
+    df = read_drops(spark, root, declared=layers.TRIPS.required_columns, headers="uniform")
     assert df.count() == 16
 
 
@@ -113,6 +113,6 @@ def test_replay_and_backfill_policies(spark, built):   # F8, F9, B10
     s = Settings(backfill_enabled=True, backfill_start="2024-01-07", backfill_end="2024-01-14",
                  backfill_id="b1", backfill_reason="fix")
     b = quality.backfill_window(staging.drop("_reject_reason"), s)
-    kept = quality.valid_rows(quality.classify(b, medallion.TRIPS, waive_late=True))
+    kept = quality.valid_rows(quality.classify(b, layers.TRIPS, waive_late=True))
     ids = sorted(x["trip_id"] for x in kept.collect())
     assert ids == ["T1", "T10", "T14", "T9"]   # T9 is late but lateness is waived; T15 out of window

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from strata.plans import medallion
+from strata.plans import layers
 from strata.spec import Settings
 from strata.streaming.runner import run_stream
 
@@ -18,21 +18,21 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, scratch):
     fx.trips_csv(drops)
     # a re-delivery of the same content under another name
     fx.write(os.path.join(drops, "trips_2.csv"), open(os.path.join(drops, "trips_1.csv")).read())
-    bronze = run_stream(spark, drops, medallion.TRIPS, SETTINGS, root + "/out")
+    bronze = run_stream(spark, drops, layers.TRIPS, SETTINGS, root + "/out")
     streamed = spark.read.parquet(bronze)
-    batch = medallion.bronze(spark, drops, medallion.TRIPS, SETTINGS)
+    batch = layers.bronze(spark, drops, layers.TRIPS, SETTINGS)
     key = ["_record_hash"]
     assert streamed.count() == batch.count() == 16
     assert streamed.select(*key).exceptAll(batch.select(*key)).count() == 0
 
     # restart from the checkpoints: nothing new
-    run_stream(spark, drops, medallion.TRIPS, SETTINGS, root + "/out")
+    run_stream(spark, drops, layers.TRIPS, SETTINGS, root + "/out")
     assert spark.read.parquet(bronze).count() == 16
 
     # a new drop: only its new rows arrive
     fx.write(os.path.join(drops, "trips_3.csv"),
              fx.TRIPS_HEADER + "\nT99,C2,2024-01-14,2,new,3,5,5\nT1,c1,2024-01-14,5.5,NEW,120.0,5,4\n")
-    run_stream(spark, drops, medallion.TRIPS, SETTINGS, root + "/out")
+    run_stream(spark, drops, layers.TRIPS, SETTINGS, root + "/out")
     after = spark.read.parquet(bronze)
     assert after.count() == 17
     assert after.filter(F.col("trip_id") == "T99").count() == 1
@@ -43,8 +43,8 @@ def test_silver_stream_splits_like_batch(spark, scratch):
     from strata.streaming.runner import silver_stream
     root = fx.local(scratch)
     fx.trips_csv(root + "/drops")
-    bronze = run_stream(spark, root + "/drops", medallion.TRIPS, SETTINGS, root + "/out")
-    silver_stream(spark, bronze, medallion.TRIPS, SETTINGS, root + "/valid", root + "/quarantine",
+    bronze = run_stream(spark, root + "/drops", layers.TRIPS, SETTINGS, root + "/out")
+    silver_stream(spark, bronze, layers.TRIPS, SETTINGS, root + "/valid", root + "/quarantine",
                   root + "/_ck_silver")
     valid = spark.read.parquet(root + "/valid")
     quarantine = spark.read.parquet(root + "/quarantine")
