@@ -116,3 +116,40 @@ def test_replay_and_backfill_policies(spark, built):   # F8, F9, B10
     kept = quality.valid_rows(quality.classify(b, layers.TRIPS, waive_late=True))
     ids = sorted(x["trip_id"] for x in kept.collect())
     assert ids == ["T1", "T10", "T14", "T9"]   # T9 is late but lateness is waived; T15 out of window
+
+
+def test_retention_rewrites_only_old_partitions(spark, scratch):   # X7, X12
+    import datetime as dt
+
+    from strata.operators.ops import enforce_retention, retention_candidates
+    from strata.sources.sinks import overwrite_partitions
+    rows = [("a", "late_arrival", dt.date(2023, 11, 1)), ("b", "late_arrival", dt.date(2023, 12, 1)),
+            ("c", "negative_fare", dt.date(2024, 1, 14))]
+    q = spark.createDataFrame(rows, "trip_id string, _reject_reason string, _ingest_date date")
+    cand = retention_candidates(q, "trips", SETTINGS)   # cut-off 2023-12-16
+    assert sorted((r["reason"], r["ingest_date"], r["rows"]) for r in cand.collect()) == [
+        ("late_arrival", dt.date(2023, 11, 1), 1), ("late_arrival", dt.date(2023, 12, 1), 1)]
+    path = fx.local(scratch) + "/quarantine"
+    q.write.partitionBy("_ingest_date").parquet(path)
+    kept = enforce_retention(spark.read.parquet(path), SETTINGS)
+    staged = fx.local(scratch) + "/quarantine_next"
+    overwrite_partitions(kept, staged, ["_ingest_date"])
+    assert [r["trip_id"] for r in spark.read.parquet(staged).collect()] == ["c"]
+
+
+def test_change_feed_on_streams(spark, scratch):   # W4
+    from strata.operators import quality
+    root = fx.local(scratch)
+    staging = fx.local(scratch) + "/staging"
+    built_rows = spark.createDataFrame([("T1", "2024-01-14")], "trip_id string, date string")
+    built_rows.write.parquet(staging)
+    s = spark.readStream.schema("trip_id string, date string").parquet(staging)
+    valid = s.select("trip_id")
+    replay = quality.with_tags(s.select("trip_id"), _replay_id="r1")
+    feed = quality.change_feed(valid, replay, None)
+    assert feed.isStreaming
+    q = (feed.writeStream.format("parquet").option("checkpointLocation", root + "/ck")
+         .trigger(availableNow=True).start(root + "/feed"))
+    q.awaitTermination()
+    got = sorted((r["trip_id"], r["_replay_id"]) for r in spark.read.parquet(root + "/feed").collect())
+    assert got == [("T1", None), ("T1", "r1")]
