@@ -17,6 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from strata.plans.queries import QUERIES as BATCH  # noqa: E402
+from strata.plans.drop_queries import DROP_QUERIES  # noqa: E402
 from strata.plans.stream_queries import STREAM_QUERIES  # noqa: E402
 from strata.session import build_session  # noqa: E402
 
@@ -28,7 +29,7 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", app="strata-bench", shuffle_partitions=int(cpus) * 2,
                           conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
-    QUERIES = {**BATCH, **STREAM_QUERIES}
+    QUERIES = {**BATCH, **DROP_QUERIES, **STREAM_QUERIES}
 
     def run(name: str) -> float:
         t0 = time.perf_counter()
@@ -38,7 +39,7 @@ def main() -> None:
     # Batch queries first, then the streaming twins: finished streams leave
     # state-store upkeep behind that would otherwise slow the batch passes.
     med = {}
-    for phase in (BATCH, STREAM_QUERIES):
+    for phase in ({**BATCH, **DROP_QUERIES}, STREAM_QUERIES):
         names = [q for q in phase if not only or q in only]
         for name in names:
             run(name)

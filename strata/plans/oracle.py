@@ -373,3 +373,24 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, CAST(c_acc
             THEN '{"c_nationkey":"' || CAST(c_nationkey AS VARCHAR) || '"}' END AS _rescued_data,
        CAST(NULL AS VARCHAR) AS _corrupt_record
 FROM customer"""
+
+
+def _drift_files_sql() -> str:
+    from strata.plans.drop_queries import NARROW_COLUMNS, WIDE_COLUMNS, WIDE_SEGMENTS
+    req = list(specs.CUSTOMER.required_columns)
+    allowed = req + list(specs.CUSTOMER.known_columns)
+    rows = []
+    for wide, cols in ((False, NARROW_COLUMNS), (True, WIDE_COLUMNS)):
+        missing = [c for c in req if c not in cols]
+        unexpected = [c for c in cols if c not in allowed]
+        segs = ", ".join(f"'{x}'" for x in WIDE_SEGMENTS)
+        rows.append(
+            f"SELECT 'customer' AS dataset, 'bronze' AS layer, 'manual_run' AS ingest_run_id, "
+            f"'{','.join(cols)}' AS actual_cols, '{','.join(req)}' AS required_cols, "
+            f"'{','.join(missing)}' AS missing_required_cols, '{','.join(unexpected)}' AS unexpected_cols, "
+            f"{'true' if missing else 'false'} AS is_breaking_drift "
+            f"WHERE EXISTS (SELECT 1 FROM customer WHERE {'' if wide else 'NOT '}(c_mktsegment IN ({segs})))")
+    return " UNION ALL ".join(rows)
+
+
+ORACLE["schema_drift_files"] = _drift_files_sql()

@@ -326,14 +326,20 @@ def _freshness(spark, root):
                           ("lines", lines, "l_shipdate")], specs.EVENTS_NOW)
 
 
+def _wall_clock(df: DataFrame, *cols: str) -> DataFrame:
+    """Session-zone timestamps as wall-clock values, so a client in any time zone
+    reads the same digits."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
 def q_freshness(spark, root):
     """Latest ingest, lag in hours and SLA flag per dataset."""
-    return _freshness(spark, root)
+    return _wall_clock(_freshness(spark, root), "last_ingest_ts")
 
 
 def q_run_audit(spark, root):
     """Rows, files, bytes and first/last ingest per run."""
-    return ops.run_audit(events_bronze(spark, root))
+    return _wall_clock(ops.run_audit(events_bronze(spark, root)), "first_ingest_ts", "last_ingest_ts")
 
 
 def q_retention(spark, root):

@@ -71,25 +71,7 @@ def q_stream_profile(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{base}/profile").select("rescued_key", "count")
 
 
-def q_csv_ingest(spark: SparkSession, root: str) -> DataFrame:
-    """Customer rows landed as CSV drops with two header layouts (the
-    columns reordered, one extra column for some segments) and read back with
-    header-aware rescue: every value lands under its own column name."""
-    from strata.sources.csv_drops import read_drops
-    base = scratch_path(spark, "csv-customer")
-    c = read_table(spark, root, "customer")
-    wide = F.col("c_mktsegment").isin("BUILDING", "MACHINERY")
-    (c.filter(~wide).select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-      .write.option("header", "true").csv(f"{base}/drops/narrow"))
-    (c.filter(wide).select("c_acctbal", "c_nationkey", "c_name", "c_custkey", "c_mktsegment")
-      .write.option("header", "true").csv(f"{base}/drops/wide"))
-    declared = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]
-    out = read_drops(spark, f"{base}/drops", declared=declared)
-    return out.select(*declared, "_rescued_data", "_corrupt_record")
-
-
 STREAM_QUERIES = {
-    "csv_ingest": q_csv_ingest,
     "stream_dedupe": q_stream_dedupe,
     "stream_scd1": q_stream_scd1,
     "stream_scd2": q_stream_scd2,
