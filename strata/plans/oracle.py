@@ -366,6 +366,7 @@ ORACLE.update({
     "stream_scd1": ORACLE["scd1_latest"],
     "stream_scd2": ORACLE["scd2_history"],
     "stream_profile": ORACLE["rescued_profile"],
+    "stream_quarantine": ORACLE["quarantine_reason"],
 })
 ORACLE["csv_ingest"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS VARCHAR) AS c_acctbal,

@@ -71,7 +71,21 @@ def q_stream_profile(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{base}/profile").select("rescued_key", "count")
 
 
+def q_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """S16/F4-F7 streaming: customer drops classified per micro-batch; the
+    quarantine sink (written with the valid rows from one pass) read back."""
+    from strata.plans import specs
+    from strata.spec import Settings
+    from strata.streaming.runner import silver_split
+    base, drops = _drops(spark, root, "customer", None)
+    silver_split(table_files_stream(spark, drops), specs.CUSTOMER, Settings(), f"{base}/valid",
+                 f"{base}/quarantine", f"{base}/_checkpoint")
+    q = spark.read.parquet(f"{base}/quarantine")
+    return q.select(*specs.CUSTOMER.field_names, "_reject_reason")
+
+
 STREAM_QUERIES = {
+    "stream_quarantine": q_stream_quarantine,
     "stream_dedupe": q_stream_dedupe,
     "stream_scd1": q_stream_scd1,
     "stream_scd2": q_stream_scd2,

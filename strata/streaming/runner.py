@@ -185,7 +185,15 @@ def table_files_stream(spark: SparkSession, folder: str, max_files_per_trigger:
 
 def silver_stream(spark: SparkSession, bronze: str, spec: DatasetSpec, settings: Settings, valid: str,
                   quarantine: str, checkpoint: str) -> None:
-    """Bronze stream -> contract + rules, valid rows and quarantine from one pass.
+    """Bronze parquet folder as a stream -> ``silver_split``."""
+    schema = spark.read.parquet(bronze).schema
+    silver_split(spark.readStream.schema(schema).parquet(bronze), spec, settings, valid, quarantine,
+                 checkpoint)
+
+
+def silver_split(stream: DataFrame, spec: DatasetSpec, settings: Settings, valid: str, quarantine: str,
+                 checkpoint: str) -> None:
+    """Stream -> contract + rules, valid rows and quarantine from one pass.
 
     Each micro-batch is classified once (kept in memory for the two writes; if
     an executor is lost Spark recomputes it from that batch's files) and
@@ -195,9 +203,6 @@ def silver_stream(spark: SparkSession, bronze: str, spec: DatasetSpec, settings:
     from strata.operators import quality
     from strata.operators.conform import conform
 
-    schema = spark.read.parquet(bronze).schema
-    stream = spark.readStream.schema(schema).parquet(bronze)
-
     def split(batch: DataFrame, batch_id: int) -> None:
         c = quality.classify(conform(batch, spec, settings), spec).persist()
         try:
