@@ -79,3 +79,26 @@ def test_hash_fast_path_matches_text_path(spark):
         parts = tuple(HashPart(c, kind) for c in cols)
         assert (typed.select(record_hash(parts, typed.schema)).first()[0]
                 == text.select(record_hash(parts, text.schema)).first()[0]), kind
+
+
+from hypothesis import given, settings as hsettings, strategies as st  # noqa: E402
+
+_piece = st.text(alphabet=st.sampled_from(list("aAbB |\\\t ")), max_size=6)
+
+
+@hsettings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(_piece, _piece), min_size=2, max_size=8))
+def test_hash_equal_iff_normalised_equal(spark, pairs):
+    """Property: two rows hash alike exactly when their normalised parts are equal."""
+    import re as _re
+    parts = (HashPart("k", "key"), HashPart("t"))
+    df = spark.createDataFrame(pairs, "k string, t string")
+    got = [r[0] for r in df.select(record_hash(parts, df.schema)).collect()]
+
+    def norm(s, upper):
+        v = _re.sub(r"\s+", " ", s).strip(" \t\n\r\f\v")
+        return v.upper() if upper else v
+    expect = [(norm(k, True), norm(t, False)) for k, t in pairs]
+    for i in range(len(pairs)):
+        for j in range(len(pairs)):
+            assert (got[i] == got[j]) == (expect[i] == expect[j])

@@ -154,3 +154,29 @@ def test_change_feed_on_streams(spark, scratch):   # W4
     got = sorted(((r["trip_id"], r["_replay_id"]) for r in spark.read.parquet(root + "/feed").collect()),
                  key=lambda t: (t[0], t[1] or ""))
     assert got == [("T1", None), ("T1", "r1")]
+
+
+def test_pipeline_with_backfill_and_replay(spark):   # S3, F8, F9, X11, B10, B11
+    from strata.session import scratch_path
+    root = fx.local(scratch_path(spark, "layers-bf"))
+    city = fx.city_csvs(root + "/drops/city")
+    fx.trips_csv(root + "/drops/trips")
+    fx.write(root + "/drops/backfill/b1.csv",
+             fx.TRIPS_HEADER + "\nB1,C1,2023-06-01,3,new,9,5,5\nB2,C1,2023-06-02,-3,new,9,5,5\n"
+                               "B3,C1,2019-01-01,3,new,9,5,5\n")
+    s = Settings(now=fx.NOW, replay_enabled=True, replay_id="rp1", backfill_enabled=True,
+                 backfill_start="2023-01-01", backfill_end="2023-12-31", backfill_id="bf1",
+                 backfill_reason="missed drop")
+    out = layers.run_batch(spark, city, root + "/drops/trips", root + "/out", s,
+                           backfill_location=root + "/drops/backfill")
+    trips = {r["trip_id"]: r for r in spark.read.parquet(out["silver_trips"]).collect()}
+    # T9 (late) comes back through replay; B1 through backfill; B2 breaks a rule; B3 is outside the window
+    assert trips["T9"]["_replay_id"] == "rp1"
+    assert trips["B1"]["_backfill_id"] == "bf1" and "B2" not in trips and "B3" not in trips
+    assert sorted(trips) == ["B1", "T1", "T10", "T14", "T15", "T9"]
+    log = spark.read.parquet(out["replay_log"]).collect()
+    assert [(r["_replay_id"], r["rows"]) for r in log] == [("rp1", 1)]
+    # a rebuilt run with the same log replays nothing again
+    again = layers.run_batch(spark, city, root + "/drops/trips", root + "/out", s,
+                             backfill_location=root + "/drops/backfill")
+    assert spark.read.parquet(again["replay_log"]).count() == 1
