@@ -160,7 +160,7 @@ def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str,
         *keys, F.col(start).alias("_t"), F.lit(0).alias("_kind"),
         F.lit(None).cast(p_type).alias("_p"), vstruct.alias("_v"))
     u = P.unionByName(V)
-    bucket = resolve_bucket(u, keys, bucket)
+    bucket = resolve_bucket(u, keys, bucket, "_t")
     u = u.withColumn("_b", F.date_trunc(bucket, "_t").cast(ts_type) if bucket else F.lit(0))
     win = (Window.partitionBy(*keys, "_b").orderBy("_t", "_kind")
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -22,23 +22,33 @@ END_COL = "__END_AT"
 # Rows one key may have before its ordered work is split over time buckets:
 # a single sort task handles this comfortably in memory (with spill beyond).
 HOT_KEY_ROWS = 5_000_000
-AUTO_BUCKET = "day"
+BUCKET_UNITS = ("day", "hour", "minute", "second")
 
 
 def max_rows_per_key(df: DataFrame, keys) -> int:
-    """Largest number of rows any key has (one aggregate; one number to the driver)."""
+    """Largest number of rows any key (or key and bucket) has: one aggregate,
+    one number to the driver."""
     row = df.groupBy(*keys).count().agg(F.max("count")).first()
     return int(row[0] or 0)
 
 
-def resolve_bucket(df: DataFrame, keys, bucket: str | None, hot_rows: int = HOT_KEY_ROWS) -> str | None:
-    """``"auto"``: split by ``AUTO_BUCKET`` only when some key exceeds ``hot_rows``
-    rows (always on a stream, where the data is not known up front)."""
+def resolve_bucket(df: DataFrame, keys, bucket: str | None, time_col: str,
+                   hot_rows: int = HOT_KEY_ROWS) -> str | None:
+    """``"auto"``: no buckets unless some key has more than ``hot_rows`` rows;
+    then the coarsest unit of ``BUCKET_UNITS`` under which no (key, bucket)
+    holds more than ``hot_rows`` (on a stream, where nothing is known up
+    front, "day")."""
     if bucket != "auto":
         return bucket
-    if df.isStreaming or max_rows_per_key(df, keys) > hot_rows:
-        return AUTO_BUCKET
-    return None
+    if df.isStreaming:
+        return BUCKET_UNITS[0]
+    if max_rows_per_key(df, keys) <= hot_rows:
+        return None
+    for unit in BUCKET_UNITS:
+        b = F.date_trunc(unit, F.col(time_col)).alias("_unit")
+        if max_rows_per_key(df.select(*keys, b), [*keys, "_unit"]) <= hot_rows:
+            return unit
+    return BUCKET_UNITS[-1]
 
 
 def _orderable(df: DataFrame, cols) -> list[str]:
@@ -72,12 +82,12 @@ def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str |
 
     ``bucket``: None (one ordered partition per key), a ``date_trunc`` unit
     such as "day" (a key's rows are split over its time buckets), or "auto"
-    (buckets only when a key is hot, see ``resolve_bucket``).
+    (buckets only when a key is hot, as fine as needed, see ``resolve_bucket``).
     ``open_first_version`` back-dates each key's first version to
     ``OPEN_START``, so facts dated before the key's first load still match it.
     """
     keys = list(keys)
-    bucket = resolve_bucket(df, keys, bucket)
+    bucket = resolve_bucket(df, keys, bucket, sequence)
     floor = F.lit(OPEN_START).cast(df.schema[sequence].dataType)
     order = [F.col(sequence)] + [F.col(c) for c in (tiebreak or [])]
     t = F.struct(*[F.col(c) for c in track])

@@ -149,3 +149,14 @@ def test_hot_keys_routed_to_sweep(spark):
     for fn in (joins.asof_interval_join, joins.asof_bucketed_join):
         got = _as_tuples(fn(probes, versions, ["city_id"], "t", ["n"], max_versions_per_key=5), ["pid", "n"])
         assert got == ref, fn.__name__
+
+
+def test_auto_bucket_refines_until_no_bucket_is_hot(spark):
+    from strata.operators.scd import resolve_bucket
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", "a", base + dt.timedelta(seconds=30 * i)) for i in range(400)]   # all in ~3 hours
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert resolve_bucket(df, ["city_id"], "auto", "seq", hot_rows=1000) is None
+    assert resolve_bucket(df, ["city_id"], "auto", "seq", hot_rows=300) == "hour"
+    assert resolve_bucket(df, ["city_id"], "auto", "seq", hot_rows=50) == "minute"
+    assert resolve_bucket(df, ["city_id"], "day", "seq") == "day"
