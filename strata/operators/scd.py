@@ -2,7 +2,7 @@
 
 Both are written so that one hot key cannot pin a single task:
 
-* type 1 is an aggregate (``max_by`` over the sequence), which Spark plans
+* type 1 is an aggregate (max over a struct led by the sequence), which Spark plans
   with a map-side partial step; a key holding a third of the rows is reduced
   to one row per map task before the shuffle.
 * type 2 needs the row order inside a key. With ``bucket`` set (e.g. "day") the
@@ -63,8 +63,13 @@ def scd1(df: DataFrame, keys, sequence, tiebreak=None) -> DataFrame:
     tiebreak = list(tiebreak or [])
     payload = [c for c in df.columns if c not in keys]
     rest = [c for c in _orderable(df, payload) if c not in sequence and c not in tiebreak]
-    order = F.struct(*sequence, *tiebreak, *rest)
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_row"))
+    ordered = [*sequence, *tiebreak, *rest]
+    if len(ordered) == len(payload):
+        # Every payload column is orderable: the max of one struct holding the
+        # ordering first carries the whole row (one buffer instead of two).
+        picked = df.groupBy(*keys).agg(F.max(F.struct(*ordered)).alias("_row"))
+    else:
+        picked = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.struct(*ordered)).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
                            for c in df.columns])
 
