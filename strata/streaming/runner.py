@@ -19,6 +19,7 @@ All state (checkpoints, staging) lives under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +35,12 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    """Whether a parquet table with at least one file is at ``path``."""
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
 
 
 def _await(query, timeout_s: int | None = None) -> None:
