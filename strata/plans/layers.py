@@ -9,8 +9,6 @@ stages start from storage (lineage cut, restartable), never from a cache.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +19,7 @@ from strata.operators.dedupe import dedupe_content
 from strata.operators.metadata import add_ingest_metadata
 from strata.sources.csv_drops import observed_headers, read_drops
 from strata.sources.sinks import write_table
+from strata.sources.tables import table_exists
 from strata.spec import DatasetSpec, FieldMap, HashPart, Rule, Settings
 
 LINEAGE_FIELDS = (
@@ -108,19 +107,6 @@ def bronze(spark: SparkSession, location, spec: DatasetSpec, settings: Settings,
     return dedupe_content(meta, scope)
 
 
-def replay_log_exists(spark: SparkSession, path: str) -> bool:
-    from strata.streaming.runner import _exists
-    return _exists(spark, path)
-
-
-@dataclass
-class Paths:
-    root: str
-
-    def __getattr__(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-
 def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
               settings: Settings | None = None, backfill_location=None, dedupe_scope: str = "all",
               asof_strategy: str = "sweep", open_first_version: bool = True) -> dict[str, str]:
@@ -130,11 +116,14 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
     first version starts at its first ingest, so older trips find no version.
     """
     settings = settings or Settings()
-    p = Paths(out_root.rstrip("/"))
+    root = out_root.rstrip("/")
     out: dict[str, str] = {}
 
+    def path(name: str) -> str:
+        return f"{root}/{name}"
+
     def save(name: str, df: DataFrame, partition_by=None) -> DataFrame:
-        out[name] = write_table(df, getattr(p, name), partition_by=partition_by)
+        out[name] = write_table(df, path(name), partition_by=partition_by)
         return spark.read.parquet(out[name])
 
     # Bronze
@@ -159,8 +148,8 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
         tiebreak=["_source_file_mod_ts", "_record_hash"], bucket="auto",
         open_first_version=open_first_version))
 
-    log_path = getattr(p, "replay_log")
-    previous = spark.read.parquet(log_path) if replay_log_exists(spark, log_path) else None
+    log_path = path("replay_log")
+    previous = spark.read.parquet(log_path) if table_exists(spark, log_path) else None
     replay = quality.replay_late(q_trips, settings, previous)
     if replay is not None:
         quality.replay_registry(replay).write.mode("append").parquet(log_path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +40,12 @@ def as_strings(df: DataFrame, date_columns=(), keep=()) -> DataFrame:
         else:
             cols.append(F.col(c).cast("string").alias(c))
     return df.select(*cols)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a parquet table with at least one file is at ``path``."""
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False

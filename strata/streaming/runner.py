@@ -19,7 +19,6 @@ All state (checkpoints, staging) lives under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,21 +27,13 @@ from strata.operators.dedupe import dedupe_content
 from strata.operators.metadata import add_ingest_metadata
 from strata.session import ensure_checkpoint_dir
 from strata.sources.csv_drops import read_drops
+from strata.sources.tables import table_exists
 from strata.spec import DatasetSpec, Settings
 
 BUCKET_COL = "_bucket"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a parquet table with at least one file is at ``path``."""
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
-
-
 def _await(query, timeout_s: int | None = None) -> None:
     query.awaitTermination(timeout_s)
     if query.exception() is not None:
@@ -116,7 +107,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: s
     cols = rows.columns
     batch_keys = rows.select(*keys).distinct()
     current = (spark.read.parquet(table).filter(F.col(BUCKET_COL).isin(touched))
-               if _exists(spark, table) else None)
+               if table_exists(spark, table) else None)
     if kind == "scd1":
         # Re-reducing a whole bucket costs about what a semi + anti join would.
         mine = rows if current is None else rows.unionByName(current.select(*cols))
