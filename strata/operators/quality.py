@@ -23,8 +23,7 @@ LATE_REASON = "late_arrival"
 TAG_COLUMNS = ("_replay_id", "_backfill_id", "_backfill_reason")
 
 
-def reason_checks(spec: DatasetSpec, columns: list[str], waive_late: bool = False,
-                  use_late: bool = True) -> list[tuple[Column, str]]:
+def reason_checks(spec: DatasetSpec, columns: list[str], waive_late: bool = False) -> list[tuple[Column, str]]:
     """Ordered (violation condition, reason) pairs for ``spec`` over ``columns``."""
     checks: list[tuple[Column, str]] = []
     if CORRUPT_COL in columns:
@@ -49,7 +48,7 @@ def reason_checks(spec: DatasetSpec, columns: list[str], waive_late: bool = Fals
             checks.append((F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), f"not_finite_{f}"))
     for r in value_rules:
         checks.append((~F.coalesce(F.expr(r.predicate), F.lit(False)), r.reason))
-    if use_late and not waive_late and LATE_COL in columns:
+    if not waive_late and LATE_COL in columns:
         checks.append((F.col(LATE_COL).isNull(), "late_arrival_unknown"))
         checks.append((F.col(LATE_COL), LATE_REASON))
     return checks

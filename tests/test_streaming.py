@@ -64,3 +64,19 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 << 40, executors=1000, cores_per_executor=8)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(1 << 20, 2, 4)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_command_line_batch(spark, scratch):
+    import json
+    import subprocess
+    import sys
+    root = fx.local(scratch)
+    city = fx.city_csvs(root + "/drops/city")
+    fx.trips_csv(root + "/drops/trips")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    res = subprocess.run([sys.executable, "-m", "strata", "--city", city, "--trips", root + "/drops/trips",
+                          "--out", root + "/out", "--now", fx.NOW, "--master", "local[2]"],
+                         cwd=repo, capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    out = json.loads(res.stdout.strip().splitlines()[-1])
+    assert spark.read.parquet(out["fact_trips_current"]).count() == 2
