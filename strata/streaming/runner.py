@@ -106,8 +106,8 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: s
         return
     cols = rows.columns
     batch_keys = rows.select(*keys).distinct()
-    current = (spark.read.parquet(table).filter(F.col(BUCKET_COL).isin(touched))
-               if table_exists(spark, table) else None)
+    existed = table_exists(spark, table)
+    current = spark.read.parquet(table).filter(F.col(BUCKET_COL).isin(touched)) if existed else None
     if kind == "scd1":
         # Re-reducing a whole bucket costs about what a semi + anti join would.
         mine = rows if current is None else rows.unionByName(current.select(*cols))
@@ -123,12 +123,14 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: s
         raise ValueError("kind must be scd1 or scd2")
     if current is not None:
         merged = merged.unionByName(_by_keys(current, batch_keys, keys, "left_anti").select(*merged.columns))
-    # Materialise before replacing the partitions the merge read from.
-    staging = staging or f"{table}_staging"
-    stage = f"{staging}/batch_id={batch_id}"
-    merged.write.mode("overwrite").parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(BUCKET_COL).parquet(table))
+    if existed:
+        # Materialise before replacing the partitions the merge read from.
+        staging = staging or f"{table}_staging"
+        stage = f"{staging}/batch_id={batch_id}"
+        merged.write.mode("overwrite").parquet(stage)
+        merged = spark.read.parquet(stage)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(BUCKET_COL).parquet(table))
 
 
 def merge_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str, keys, kind: str,
