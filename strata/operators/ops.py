@@ -112,8 +112,14 @@ def retention_candidates(quarantine: DataFrame, dataset: str, settings: Settings
 
 
 def enforce_retention(quarantine: DataFrame, settings: Settings, date_col: str = "_ingest_date") -> DataFrame:
-    """The quarantine without rows past the retention limit (write it back with
-    dynamic partition overwrite to drop old partitions)."""
+    """The quarantine without rows past the retention limit.
+
+    Write it as the next version of the table (a new location, then point
+    readers at it): with the table partitioned by ingest date, expired dates
+    simply have no partition there. A dynamic partition overwrite in place
+    would only replace partitions present in the kept rows and leave expired
+    ones behind.
+    """
     cutoff = F.date_sub(F.to_date(_now(settings)), settings.quarantine_retention_days)
     return quarantine.filter(F.col(date_col) >= cutoff)
 
