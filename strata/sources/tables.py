@@ -49,3 +49,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return True
     except AnalysisException:
         return False
+
+
+def read_partitions(spark: SparkSession, path: str, column: str, values) -> DataFrame:
+    """Rows of the given partitions only: the filter on the partition column is
+    applied while listing files (``PartitionFilters``), other partitions are
+    never opened. Used to read one ingest run or day of bronze."""
+    return spark.read.parquet(path).filter(F.col(column).isin(list(values)))

@@ -51,3 +51,15 @@ def test_type1_and_dedupe_aggregate_map_side(spark):
 def test_backfill_window_pushed_to_scan(spark):
     p = plan(QUERIES["backfill_window"](spark, SF_SMALL))
     assert "PushedFilters" in p and "o_orderdate" in p.split("PushedFilters")[1].split("\n")[0]
+
+
+def test_partition_pruning_on_bronze_day(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from strata.sources.tables import read_partitions
+    df = spark.range(100).withColumn("_ingest_yyyymmdd", (F.col("id") % 3 + 20240101).cast("int"))
+    df.write.partitionBy("_ingest_yyyymmdd").parquet(scratch)
+    part = read_partitions(spark, scratch, "_ingest_yyyymmdd", [20240102])
+    p = plan(part)
+    assert "PartitionFilters: [isnotnull(_ingest_yyyymmdd" in p and "20240102" in p
+    assert part.count() == 33
