@@ -5,7 +5,8 @@
                       --backfill-start DATE --backfill-end DATE] [--enforce]
 
 Batch mode recomputes every table; ``--stream`` ingests only new drop files
-into bronze and merges them into the silver tables incrementally.
+into bronze, splits valid rows from the quarantine, and merges the valid rows
+into the silver tables (trips type 1, city type 2) incrementally.
 """
 
 from __future__ import annotations
@@ -45,11 +46,20 @@ def main(argv=None) -> int:
         from strata.plans import layers
         from strata.streaming import runner
         out = {}
+        merges = {"city": ("scd2", layers.CITY.tracked), "trips": ("scd1", None)}
         for name, loc, spec in (("city", args.city, layers.CITY), ("trips", args.trips, layers.TRIPS)):
-            bronze = runner.run_stream(spark, loc, spec, settings, args.out)
-            runner.silver_stream(spark, bronze, spec, settings, f"{args.out}/silver_{name}_valid",
-                                 f"{args.out}/quarantine_{name}", f"{args.out}/_checkpoints/silver_{name}")
-            out[f"bronze_{name}"] = bronze
+            root = args.out.rstrip("/")
+            bronze = runner.run_stream(spark, loc, spec, settings, root)
+            valid = f"{root}/silver_{name}_valid"
+            runner.silver_stream(spark, bronze, spec, settings, valid, f"{root}/quarantine_{name}",
+                                 f"{root}/_checkpoints/silver_{name}")
+            kind, track = merges[name]
+            schema = spark.read.parquet(valid).drop("batch_id").schema
+            runner.merge_stream(spark, spark.readStream.schema(schema).parquet(valid), f"{root}/silver_{name}",
+                                f"{root}/_checkpoints/merge_{name}", list(spec.keys), kind,
+                                list(layers.SEQUENCE), track=track)
+            out.update({f"bronze_{name}": bronze, f"quarantine_{name}": f"{root}/quarantine_{name}",
+                        f"silver_{name}": f"{root}/silver_{name}"})
         print(json.dumps(out))
         return 0
     from strata.operators.ops import enforce_guardrails

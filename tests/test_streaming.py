@@ -80,3 +80,22 @@ def test_command_line_batch(spark, scratch):
     assert res.returncode == 0, res.stderr[-2000:]
     out = json.loads(res.stdout.strip().splitlines()[-1])
     assert spark.read.parquet(out["fact_trips_current"]).count() == 2
+
+
+def test_command_line_stream(spark, scratch):
+    import json
+    import subprocess
+    import sys
+    root = fx.local(scratch)
+    city = fx.city_csvs(root + "/drops/city")
+    fx.trips_csv(root + "/drops/trips")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    cmd = [sys.executable, "-m", "strata", "--city", city, "--trips", root + "/drops/trips",
+           "--out", root + "/out", "--now", fx.NOW, "--master", "local[2]", "--stream"]
+    res = subprocess.run(cmd, cwd=repo, capture_output=True, text=True, timeout=900)
+    assert res.returncode == 0, res.stderr[-2000:]
+    out = json.loads(res.stdout.strip().splitlines()[-1])
+    trips = spark.read.parquet(out["silver_trips"])
+    assert sorted(r["trip_id"] for r in trips.collect()) == ["T1", "T10", "T14", "T15"]
+    assert spark.read.parquet(out["silver_city"]).filter(F.col("__END_AT").isNull()).count() == 3
+    assert spark.read.parquet(out["quarantine_trips"]).count() == 12
