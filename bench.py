@@ -3,7 +3,8 @@
 Each query runs in full through the ``noop`` sink (all rows computed, none
 collected). Batch queries are timed first, then the streaming ones; in each
 phase one warm-up pass, then ``$BENCH_RUNS`` timed passes, and a query's time
-is the median of its passes. Prints one JSON line.
+is the median of its passes. Prints one JSON line. ``$BENCH_EVENT_LOG`` (a
+folder) turns on Spark's event log for stage and task times.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", app="strata-bench", shuffle_partitions=int(cpus) * 2,
-                          conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+    conf = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")}
+    if os.environ.get("BENCH_EVENT_LOG"):   # stage / task times for later study, no UI needed
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = build_session(f"local[{cpus}]", app="strata-bench", shuffle_partitions=int(cpus) * 2, conf=conf)
     QUERIES = {**BATCH, **DROP_QUERIES, **STREAM_QUERIES}
 
     def run(name: str) -> float:
