@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.spec import Settings
@@ -61,13 +61,12 @@ def data_quality(classified: DataFrame, dataset: str, reason_col: str = "_reject
     per = classified.groupBy(F.lit(dataset).alias("dataset"),
                              F.coalesce(F.col(reason_col), F.lit("valid")).alias("reason")).agg(
         F.count(F.lit(1)).alias("rows"))
-    # Totals per dataset from the per-reason rows (a handful), joined back on the dataset.
-    totals = per.groupBy("dataset").agg(
-        F.sum("rows").alias("_total"),
-        F.sum(F.when(F.col("reason") != "valid", F.col("rows")).otherwise(0)).alias("_quarantined"))
-    return per.join(totals, "dataset").select(
-        "dataset", "reason", "rows", _rate(F.col("rows"), F.col("_total")).alias("share"),
-        _rate(F.col("_quarantined"), F.col("_total")).alias("quarantine_rate"))
+    # Totals per dataset over the per-reason rows (a handful per dataset).
+    w = Window.partitionBy("dataset")
+    total = F.sum("rows").over(w)
+    quarantined = F.sum(F.when(F.col("reason") != "valid", F.col("rows")).otherwise(0)).over(w)
+    return per.select("dataset", "reason", "rows", _rate(F.col("rows"), total).alias("share"),
+                      _rate(quarantined, total).alias("quarantine_rate"))
 
 
 def freshness(tables, settings: Settings) -> DataFrame:
