@@ -48,21 +48,23 @@ def schema_drift(observed: DataFrame) -> DataFrame:
         (F.size(missing) > 0).alias("is_breaking_drift"))
 
 
-def type_drift(df: DataFrame, dataset: str, fields, run_col: str = "_ingest_run_id") -> DataFrame:
-    """Rows whose raw value is present but does not cast, per field and run.
+def present_fields(df: DataFrame, fields) -> list[tuple[str, str]]:
+    return [(f, t) for f, t in fields if f in df.columns]
 
-    One scan and one aggregate: every field's counter is a column of the same
-    ``groupBy(run)``, and the wide result (a row per run) is unpivoted to one
-    row per (run, field). Fields missing from ``df`` are skipped.
+
+def type_drift_counts(df: DataFrame, fields, run_col: str = "_ingest_run_id") -> DataFrame:
+    """One row per run: rows checked and one drift counter per field (``d0``, ``d1`` ...).
+
+    A plain aggregate, so it also runs on a stream (complete or update mode).
     """
-    fields = [(f, t) for f, t in fields if f in df.columns]
-    if not fields:
-        raise ValueError(f"{dataset}: none of the drift fields is present")
     sums = [F.sum(F.when(F.col(f).isNotNull() & safe_cast(F.col(f), t, df.schema[f].dataType).isNull(), 1)
-                  .otherwise(0))
-              .cast("bigint").alias(f"d{i}") for i, (f, t) in enumerate(fields)]
-    wide = df.groupBy(F.col(run_col).alias("ingest_run_id")).agg(
+                  .otherwise(0)).cast("bigint").alias(f"d{i}") for i, (f, t) in enumerate(fields)]
+    return df.groupBy(F.col(run_col).alias("ingest_run_id")).agg(
         F.count(F.lit(1)).alias("rows_checked"), *sums)
+
+
+def type_drift_rows(wide: DataFrame, dataset: str, fields) -> DataFrame:
+    """The per-run counters unpivoted to one row per (run, field)."""
     long = wide.unpivot(["ingest_run_id", "rows_checked"], [f"d{i}" for i in range(len(fields))],
                         "_slot", "type_drift_rows")
     names = F.create_map(*[x for i, (f, _) in enumerate(fields) for x in (F.lit(f"d{i}"), F.lit(f))])
@@ -76,6 +78,19 @@ def type_drift(df: DataFrame, dataset: str, fields, run_col: str = "_ingest_run_
         F.col("rows_checked").cast("bigint").alias("rows_checked"))
 
 
+def type_drift(df: DataFrame, dataset: str, fields, run_col: str = "_ingest_run_id") -> DataFrame:
+    """Rows whose raw value is present but does not cast, per field and run.
+
+    One scan and one aggregate: every field's counter is a column of the same
+    ``groupBy(run)``, and the wide result (a row per run) is unpivoted to one
+    row per (run, field). Fields missing from ``df`` are skipped.
+    """
+    fields = present_fields(df, fields)
+    if not fields:
+        raise ValueError(f"{dataset}: none of the drift fields is present")
+    return type_drift_rows(type_drift_counts(df, fields, run_col), dataset, fields)
+
+
 def type_drift_rollup(drift: DataFrame) -> DataFrame:
     """Drift rows per dataset and run (all fields)."""
     return drift.groupBy("dataset", "ingest_run_id").agg(

@@ -367,6 +367,7 @@ ORACLE.update({
     "stream_scd2": ORACLE["scd2_history"],
     "stream_profile": ORACLE["rescued_profile"],
     "stream_quarantine": ORACLE["quarantine_reason"],
+    "stream_type_drift": ORACLE["type_drift"],
 })
 ORACLE["csv_ingest"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS VARCHAR) AS c_acctbal,

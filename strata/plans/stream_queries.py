@@ -84,7 +84,21 @@ def q_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
     return q.select(*specs.CUSTOMER.field_names, "_reject_reason")
 
 
+def q_stream_type_drift(spark: SparkSession, root: str) -> DataFrame:
+    """A2/W5 streaming: orders as all-text drops, drift counted by a complete-mode aggregate."""
+    from strata.plans import specs
+    from strata.plans.bronze import orders_text
+    from strata.streaming.runner import type_drift_stream
+    base = scratch_path(spark, "stream-orders-text")
+    orders_text(spark, root).repartition(DROP_FILES).write.parquet(f"{base}/drops")
+    type_drift_stream(spark, table_files_stream(spark, f"{base}/drops"), "orders", specs.ORDERS.drift_fields,
+                      f"{base}/drift", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/drift").select("dataset", "field", "expected_type", "ingest_run_id",
+                                                      "type_drift_rows")
+
+
 STREAM_QUERIES = {
+    "stream_type_drift": q_stream_type_drift,
     "stream_quarantine": q_stream_quarantine,
     "stream_dedupe": q_stream_dedupe,
     "stream_scd1": q_stream_scd1,

@@ -210,3 +210,19 @@ def silver_split(stream: DataFrame, spec: DatasetSpec, settings: Settings, valid
     q = (stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     _await(q)
+
+
+def type_drift_stream(spark: SparkSession, stream: DataFrame, dataset: str, fields, table: str,
+                      checkpoint: str, run_col: str = "_ingest_run_id") -> None:
+    """Type drift over a whole stream: the per-run counters are a complete-mode
+    aggregate; each micro-batch writes them, unpivoted, over the table."""
+    from strata.operators import drift
+    fields = drift.present_fields(stream, fields)
+    counts = drift.type_drift_counts(stream, fields, run_col)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        drift.type_drift_rows(batch, dataset, fields).write.mode("overwrite").parquet(table)
+
+    q = (counts.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    _await(q)
