@@ -5,8 +5,9 @@
                       --backfill-start DATE --backfill-end DATE] [--enforce]
 
 Batch mode recomputes every table; ``--stream`` ingests only new drop files
-into bronze, splits valid rows from the quarantine, and merges the valid rows
-into the silver tables (trips type 1, city type 2) incrementally.
+into bronze, splits valid rows from the quarantine, merges the valid rows
+into the silver tables (trips type 1, city type 2) incrementally, and keeps the
+type-drift and rescued-key profiles as complete-mode aggregates over bronze.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ def main(argv=None) -> int:
     a.add_argument("--backfill-end", default="2999-12-31")
     a.add_argument("--enforce", action="store_true", help="fail when a guardrail fails")
     a.add_argument("--master")
+    a.add_argument("--shuffle-partitions", type=int,
+                   help="initial shuffle partitions (AQE coalesces); fixed for stream state")
     args = a.parse_args(argv)
 
     settings = Settings(now=args.now, run_id=args.run_id, replay_enabled=args.replay_id is not None,
@@ -41,7 +44,7 @@ def main(argv=None) -> int:
                         backfill_start=args.backfill_start, backfill_end=args.backfill_end,
                         guardrails_enforced=args.enforce)
     from strata.session import build_session
-    spark = build_session(args.master)
+    spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
     if args.stream:
         from strata.plans import layers
         from strata.streaming import runner
@@ -58,8 +61,16 @@ def main(argv=None) -> int:
             runner.merge_stream(spark, spark.readStream.schema(schema).parquet(valid), f"{root}/silver_{name}",
                                 f"{root}/_checkpoints/merge_{name}", list(spec.keys), kind,
                                 list(layers.SEQUENCE), track=track)
+            bronze_schema = spark.read.parquet(bronze).schema
+            runner.type_drift_stream(spark, spark.readStream.schema(bronze_schema).parquet(bronze), name,
+                                     spec.drift_fields, f"{root}/type_drift_{name}",
+                                     f"{root}/_checkpoints/type_drift_{name}")
+            runner.profile_stream(spark, spark.readStream.schema(bronze_schema).parquet(bronze),
+                                  f"{root}/rescued_{name}_profile", f"{root}/_checkpoints/profile_{name}")
             out.update({f"bronze_{name}": bronze, f"quarantine_{name}": f"{root}/quarantine_{name}",
-                        f"silver_{name}": f"{root}/silver_{name}"})
+                        f"silver_{name}": f"{root}/silver_{name}",
+                        f"type_drift_{name}": f"{root}/type_drift_{name}",
+                        f"rescued_{name}_profile": f"{root}/rescued_{name}_profile"})
         print(json.dumps(out))
         return 0
     from strata.operators.ops import enforce_guardrails

@@ -75,7 +75,8 @@ def test_command_line_batch(spark, scratch):
     fx.trips_csv(root + "/drops/trips")
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     res = subprocess.run([sys.executable, "-m", "strata", "--city", city, "--trips", root + "/drops/trips",
-                          "--out", root + "/out", "--now", fx.NOW, "--master", "local[2]"],
+                          "--out", root + "/out", "--now", fx.NOW, "--master", "local[2]",
+                          "--shuffle-partitions", "4"],
                          cwd=repo, capture_output=True, text=True, timeout=600)
     assert res.returncode == 0, res.stderr[-2000:]
     out = json.loads(res.stdout.strip().splitlines()[-1])
@@ -91,7 +92,8 @@ def test_command_line_stream(spark, scratch):
     fx.trips_csv(root + "/drops/trips")
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     cmd = [sys.executable, "-m", "strata", "--city", city, "--trips", root + "/drops/trips",
-           "--out", root + "/out", "--now", fx.NOW, "--master", "local[2]", "--stream"]
+           "--out", root + "/out", "--now", fx.NOW, "--master", "local[2]", "--stream",
+           "--shuffle-partitions", "4"]
     res = subprocess.run(cmd, cwd=repo, capture_output=True, text=True, timeout=900)
     assert res.returncode == 0, res.stderr[-2000:]
     out = json.loads(res.stdout.strip().splitlines()[-1])
@@ -99,3 +101,6 @@ def test_command_line_stream(spark, scratch):
     assert sorted(r["trip_id"] for r in trips.collect()) == ["T1", "T10", "T14", "T15"]
     assert spark.read.parquet(out["silver_city"]).filter(F.col("__END_AT").isNull()).count() == 3
     assert spark.read.parquet(out["quarantine_trips"]).count() == 12
+    drift = {r["field"]: r["type_drift_rows"] for r in spark.read.parquet(out["type_drift_trips"]).collect()}
+    assert (drift["date"], drift["distance_travelled_km"], drift["passenger_rating"]) == (1, 1, 1)
+    assert [tuple(r) for r in spark.read.parquet(out["rescued_city_profile"]).collect()] == [("region", 1)]
