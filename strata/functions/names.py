@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame
 
+# Fixed values of the header sanitiser: runs of non-word characters become
+# "_", runs of "_" collapse to one, edge "_" are stripped, names lower-cased.
 _NON_WORD = re.compile(r"[^\w]+")
 _UNDERSCORES = re.compile(r"_+")
 
