@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from strata.spec import DatasetSpec, Settings
 
+# Column names and the reasons "corrupt_record", "late_arrival",
+# "missing_<field>" for required fields; the rest are declared by each Rule.
 REASON_COL = "_reject_reason"
 LATE_COL = "_is_late_arrival"
 CORRUPT_COL = "_corrupt_record"

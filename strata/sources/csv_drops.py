@@ -27,6 +27,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.names import sanitize_names
 
+# Fixed values of the CSV dialect and reader columns: header row, multi-line
+# records, quote and escape '"', permissive parsing with the raw text of a
+# malformed row in "_corrupt_record", unknown columns in "_rescued_data".
 CSV_OPTIONS = {
     "header": "true",
     "multiLine": "true",
