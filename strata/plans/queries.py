@@ -302,7 +302,9 @@ def _join_drop_current(spark, root):
     facts = orders_valid(spark, root)
     c, n = _calendar(spark)
     kept = joins.matched(facts, customer_dim(spark, root), ["customer_id"])
-    kept = kept.join(F.broadcast(c.select("date")), F.col("business_date") == F.col("date"), "left_semi")
+    dates = c.select("date")
+    dates = F.broadcast(dates) if n <= joins.MAX_BROADCAST_CALENDAR_ROWS else dates
+    kept = kept.join(dates, F.col("business_date") == F.col("date"), "left_semi")
     return ops.join_drop("current", facts, kept)
 
 
