@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 import fixtures as fx
@@ -104,3 +106,24 @@ def test_command_line_stream(spark, scratch):
     drift = {r["field"]: r["type_drift_rows"] for r in spark.read.parquet(out["type_drift_trips"]).collect()}
     assert (drift["date"], drift["distance_travelled_km"], drift["passenger_rating"]) == (1, 1, 1)
     assert [tuple(r) for r in spark.read.parquet(out["rescued_city_profile"]).collect()] == [("region", 1)]
+
+
+def test_dedupe_scopes(spark, scratch):   # D1, W1, B5
+    import datetime as dt
+
+    from strata.operators.dedupe import dedupe_content
+    rows = [("h1", "f1", dt.datetime(2024, 1, 1)), ("h1", "f1", dt.datetime(2024, 1, 1)),
+            ("h1", "f2", dt.datetime(2024, 1, 2)), ("h2", "f2", dt.datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "_record_hash string, _source_file string, _ingest_ts timestamp")
+    assert dedupe_content(df, "all").count() == 2
+    assert dedupe_content(df, "file").count() == 3          # A -> B -> A across files survives
+    with pytest.raises(ValueError):
+        dedupe_content(df, "bogus")
+    root = fx.local(scratch)
+    df.write.parquet(root + "/in")
+    s = spark.readStream.schema(df.schema).parquet(root + "/in")
+    out = dedupe_content(s, "watermark", "_ingest_ts", watermark_days=3)
+    q = (out.writeStream.format("parquet").option("checkpointLocation", root + "/ck")
+         .trigger(availableNow=True).start(root + "/out"))
+    q.awaitTermination()
+    assert spark.read.parquet(root + "/out").count() == 2
