@@ -41,37 +41,9 @@ def build_session(master: str | None = None, app: str = "strata",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
-    ship_package(spark)
     return spark
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``strata`` importable in Python workers (as ``--py-files`` would).
-
-    Only the Python-side helpers (e.g. the CSV header scan) need it; the zip is
-    built once per application on the driver and distributed by Spark.
-    """
-    import zipfile
-
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="strata-pyfiles-"), "strata.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for dirpath, dirnames, filenames in os.walk(pkg):
-            dirnames[:] = [d for d in dirnames if d != "__pycache__"]
-            for f in filenames:
-                if f.endswith(".py"):
-                    full = os.path.join(dirpath, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(target)
-    _SHIPPED.add(sc.applicationId)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

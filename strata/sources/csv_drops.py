@@ -19,13 +19,21 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from functools import reduce
 
+from pyspark import cloudpickle
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.functions.names import sanitize_names
+import strata.functions.names as _names
+from strata.functions.names import sanitize_name, sanitize_names
+
+# Header-scan helpers (this module and the sanitiser) travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(_names)
 
 # Fixed values of the CSV dialect and reader columns: header row, multi-line
 # records, quote and escape '"', permissive parsing with the raw text of a
@@ -90,23 +98,22 @@ def first_record(path: str, chunk: int = 65536) -> list[str]:
     return rows[0] if rows else []
 
 
-def scan_headers(files: DataFrame) -> DataFrame:
-    """(path, header, sanitised columns) for every file, read on the executors."""
+def _read_headers(batches):
     import pandas as pd
+    for pdf in batches:
+        headers = [first_record(p) for p in pdf["path"]]
+        yield pd.DataFrame({"path": pdf["path"], "header": headers,
+                            "cols": [[sanitize_name(c) for c in h] for h in headers]})
 
-    from strata.functions.names import sanitize_name
-    from strata.session import ship_package
 
-    ship_package(files.sparkSession)
-
-    def read(batches):
-        for pdf in batches:
-            headers = [first_record(p) for p in pdf["path"]]
-            yield pd.DataFrame({"path": pdf["path"], "header": headers,
-                                "cols": [[sanitize_name(c) for c in h] for h in headers]})
+def scan_headers(files: DataFrame) -> DataFrame:
+    """(path, header, sanitised columns) for every file, read on the executors.
 
+    The few helpers the executors run are shipped with the task itself
+    (pickled by value), so workers need no copy of this package.
+    """
     return files.select("path").mapInPandas(
-        read, "path string, header array<string>, cols array<string>")
+        _read_headers, "path string, header array<string>, cols array<string>")
 
 
 def _read_group(spark: SparkSession, paths: list[str], header: list[str], declared: list[str] | None,
