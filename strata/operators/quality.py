@@ -137,6 +137,28 @@ def change_feed(valid: DataFrame, *others: DataFrame | None) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), feeds)
 
 
+def feed_from_classified(classified: DataFrame, settings: Settings) -> DataFrame:
+    """Valid rows plus (when replay is on) the late rows, tagged, in one pass.
+
+    The same rows as ``change_feed(valid_rows(c), replay_late(quarantined_rows(c)))``
+    without a replay log: the two sets are disjoint filters of one
+    classification, so one filter and a conditional tag replace a union that
+    would compute the classification twice.
+    """
+    reason = F.col(REASON_COL)
+    keep = reason.isNull()
+    replay_tag = F.lit(None).cast("string")
+    if settings.replay_enabled:
+        if settings.replay_id is None:
+            raise ValueError("replay_enabled requires replay_id")
+        late = reason == F.lit(LATE_REASON)
+        keep = keep | late
+        replay_tag = F.when(late, F.lit(settings.replay_id))
+    rows = classified.filter(keep).withColumn("_replay_id", replay_tag)
+    rows = rows.drop(*[c for c in (REASON_COL, LATE_COL, CORRUPT_COL) if c in rows.columns])
+    return with_tags(rows)
+
+
 def replay_registry(replayed: DataFrame) -> DataFrame:
     """Rows to append to the replay log: one per (replay id, record) with its count.
 

@@ -159,11 +159,9 @@ def q_backfill_window(spark, root):
 
 def q_change_feed_union(spark, root):
     """Valid rows + replayed late rows; the backfill feed is switched off."""
-    c = lines_classified(spark, root)
-    valid = quality.valid_rows(c)
-    replay = quality.replay_late(quality.quarantined_rows(c), specs.REPLAY)
-    backfill = quality.backfill_window(valid, Settings())   # off -> None, left out
-    feed = quality.change_feed(valid, replay, backfill)
+    # Valid + replayed rows are disjoint filters of one classification: one pass.
+    # The backfill feed is switched off (Settings() default) and left out.
+    feed = quality.feed_from_classified(lines_classified(spark, root), specs.REPLAY)
     return feed.select("order_id", "line_number", "business_date", "_ingest_date", "_replay_id",
                        "_backfill_id")
 

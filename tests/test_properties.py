@@ -69,3 +69,24 @@ def test_type1_does_not_depend_on_input_order(spark, data, rnd):
     for k, s, v in data:
         latest[k] = max(latest.get(k, (s, v)), (s, v))
     assert out[0] == sorted((k, s, v) for k, (s, v) in latest.items())
+
+
+def test_one_pass_feed_equals_union(spark):
+    from strata.spec import Settings
+    late = SPEC.__class__(name="l", fields=SPEC.fields + (FieldMap("business_date", "date"),
+                                                         FieldMap("_ingest_date", "date")),
+                          rules=SPEC.rules, business_date="business_date")
+    import datetime as dt
+    rows = [("a", 1.0, 3, dt.date(2024, 1, 1), dt.date(2024, 1, 2)),    # valid
+            ("b", 1.0, 3, dt.date(2024, 1, 1), dt.date(2024, 2, 1)),    # late
+            ("c", -1.0, 3, dt.date(2024, 1, 1), dt.date(2024, 1, 2)),   # negative
+            (None, 1.0, 3, dt.date(2024, 1, 1), dt.date(2024, 1, 2))]   # missing id
+    df = spark.createDataFrame(rows, "id string, amount double, rating int, business_date date, "
+                                     "_ingest_date date")
+    from strata.operators.conform import late_flag
+    c = quality.classify(df.withColumn("_is_late_arrival", late_flag()), late)
+    for s in (Settings(), Settings(replay_enabled=True, replay_id="r")):
+        union = quality.change_feed(quality.valid_rows(c), quality.replay_late(quality.quarantined_rows(c), s))
+        one = quality.feed_from_classified(c, s)
+        key = lambda r: (r["id"] or "", r["_replay_id"] or "")
+        assert sorted(map(key, union.collect())) == sorted(map(key, one.select(*union.columns).collect()))
