@@ -56,6 +56,16 @@ def join_drop(model: str, facts: DataFrame, matched: DataFrame) -> DataFrame:
                       _rate(F.col("facts_in") - F.col("facts_matched"), F.col("facts_in")).alias("drop_rate"))
 
 
+def join_drop_flagged(model: str, flagged: DataFrame, matched_col: str = "_matched") -> DataFrame:
+    """``join_drop`` from one pass over facts carrying a boolean matched flag."""
+    agg = flagged.agg(F.count(F.lit(1)).cast("bigint").alias("facts_in"),
+                      F.sum(F.col(matched_col).cast("int")).cast("bigint").alias("facts_matched"))
+    return agg.select(F.lit(model).alias("model"), "facts_in",
+                      F.coalesce(F.col("facts_matched"), F.lit(0).cast("bigint")).alias("facts_matched"),
+                      _rate(F.col("facts_in") - F.coalesce(F.col("facts_matched"), F.lit(0)),
+                            F.col("facts_in")).alias("drop_rate"))
+
+
 def data_quality(classified: DataFrame, dataset: str, reason_col: str = "_reject_reason") -> DataFrame:
     """Rows per reject reason (``valid`` for kept rows), share, quarantine rate."""
     per = classified.groupBy(F.lit(dataset).alias("dataset"),

@@ -297,13 +297,18 @@ def q_ingest_quality(spark, root):
 
 
 def _join_drop_current(spark, root):
+    """One pass over the facts: left joins to the (key-unique) dimension keys
+    and calendar dates flag the facts the inner joins would keep."""
     facts = orders_valid(spark, root)
     c, n = _calendar(spark)
-    kept = joins.matched(facts, customer_dim(spark, root), ["customer_id"])
-    dates = c.select("date")
+    dim = customer_dim(spark, root).select("customer_id").dropDuplicates(["customer_id"]) \
+        .withColumn("_in_dim", F.lit(True))
+    dates = c.select(F.col("date").alias("_date"), F.lit(True).alias("_in_cal"))
     dates = F.broadcast(dates) if n <= joins.MAX_BROADCAST_CALENDAR_ROWS else dates
-    kept = kept.join(dates, F.col("business_date") == F.col("date"), "left_semi")
-    return ops.join_drop("current", facts, kept)
+    flagged = (facts.join(dim, "customer_id", "left")
+                    .join(dates, F.col("business_date") == F.col("_date"), "left")
+                    .select((F.col("_in_dim").isNotNull() & F.col("_in_cal").isNotNull()).alias("_matched")))
+    return ops.join_drop_flagged("current", flagged)
 
 
 def _join_drop_asof(spark, root):
