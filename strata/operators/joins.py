@@ -133,7 +133,8 @@ def _bucketed(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
 
 
 def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
-                    start: str = START_COL, end: str = END_COL, bucket: str | None = "auto") -> DataFrame:
+                    start: str = START_COL, end: str = END_COL, bucket: str | None = "auto",
+                    how: str = "inner", matched_col: str | None = None) -> DataFrame:
     """As-of join without forming candidate pairs.
 
     Probes and versions are unioned and sorted per (key, time bucket); each
@@ -144,7 +145,12 @@ def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str,
     key is spread over its buckets (``bucket="auto"`` buckets only when a key
     is hot). Same result as ``asof_interval_join`` for versions that do not
     overlap within a key.
+
+    ``how="left"`` keeps every probe (attributes NULL without a version);
+    ``matched_col`` then names a boolean column telling which probes matched.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
     keys = list(keys)
     t = _probe_time(probe_ts, versions, start)
     ts_type = versions.schema[start].dataType
@@ -153,7 +159,7 @@ def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str,
     p_type = probe.select(pstruct.alias("x")).schema["x"].dataType
     v_type = versions.select(vstruct.alias("x")).schema["x"].dataType
     key_ok = [F.col(k).isNotNull() for k in keys]
-    P = probe.filter(_all(key_ok)).select(
+    P = (probe.filter(_all(key_ok)) if how == "inner" else probe).select(
         *keys, t.alias("_t"), F.lit(1).alias("_kind"), pstruct.alias("_p"),
         F.lit(None).cast(v_type).alias("_v"))
     V = versions.filter(_all(key_ok)).select(
@@ -179,9 +185,14 @@ def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str,
     else:
         hit = F.col("_cur")
     probes = probes.withColumn("_hit", hit)
-    ok = F.col("_hit").isNotNull() & (F.col("_t") < F.coalesce(F.col("_hit.e"), F.lit(FAR_FUTURE).cast(ts_type)))
-    return probes.filter(ok).select(*[F.col(f"_p.{c}").alias(c) for c in probe.columns],
-                                    *[F.col(f"_hit.{a}").alias(a) for a in attrs])
+    ok = F.coalesce(F.col("_hit").isNotNull()
+                    & (F.col("_t") < F.coalesce(F.col("_hit.e"), F.lit(FAR_FUTURE).cast(ts_type))),
+                    F.lit(False))
+    probe_cols = [F.col(f"_p.{c}").alias(c) for c in probe.columns]
+    if how == "inner":
+        return probes.filter(ok).select(*probe_cols, *[F.col(f"_hit.{a}").alias(a) for a in attrs])
+    extra = [ok.alias(matched_col)] if matched_col else []
+    return probes.select(*probe_cols, *[F.when(ok, F.col(f"_hit.{a}")).alias(a) for a in attrs], *extra)
 
 
 def _all(conds):

@@ -312,7 +312,11 @@ def _join_drop_current(spark, root):
 
 
 def _join_drop_asof(spark, root):
-    return ops.join_drop("asof", events_probes(spark, root), q_fact_asof_sweep(spark, root))
+    """One pass: a left as-of sweep flags the probes that find a version."""
+    flagged = joins.asof_sweep_join(events_probes(spark, root), _versions(spark, root), ["user_id"],
+                                    "probe_ts", ["event_type_asof"], bucket="auto", how="left",
+                                    matched_col="_matched")
+    return ops.join_drop_flagged("asof", flagged)
 
 
 def q_join_drop(spark, root):

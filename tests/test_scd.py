@@ -160,3 +160,16 @@ def test_auto_bucket_refines_until_no_bucket_is_hot(spark):
     assert resolve_bucket(df, ["city_id"], "auto", "seq", hot_rows=300) == "hour"
     assert resolve_bucket(df, ["city_id"], "auto", "seq", hot_rows=50) == "minute"
     assert resolve_bucket(df, ["city_id"], "day", "seq") == "day"
+
+
+def test_left_sweep_keeps_every_probe(spark):
+    versions = _history(spark, CITY_ROWS, "day").select(
+        "city_id", F.col("city_name").alias("name_asof"), "__START_AT", "__END_AT")
+    probes = spark.createDataFrame(
+        [(0, "C1", dt.datetime(2023, 12, 31)), (1, "C1", dt.datetime(2024, 1, 10)),
+         (2, None, dt.datetime(2024, 1, 10)), (3, "C9", dt.datetime(2024, 1, 10))],
+        "pid int, city_id string, t timestamp_ntz")
+    for bucket in (None, "day"):
+        got = _as_tuples(joins.asof_sweep_join(probes, versions, ["city_id"], "t", ["name_asof"], bucket=bucket,
+                                               how="left", matched_col="m"), ["pid", "name_asof", "m"])
+        assert got == [(0, None, False), (1, "New Delhi", True), (2, None, False), (3, None, False)]
