@@ -128,7 +128,7 @@ def q_quarantine_reason(spark, root):
 
 
 def q_quarantine_null_safe(spark, root):
-    """NULL inputs (documents without labels) are quarantined, never lost."""
+    """F4-F7 with B8: NULL inputs (documents without labels) are quarantined, never lost."""
     d = read_table(spark, root, "documents", ["doc_id", "lang", "source", "n_chars"])
     lab = read_table(spark, root, "labels", ["doc_id", "quality", "toxic"])
     staged = conform(d.join(lab, "doc_id", "left"), specs.DOCS)
