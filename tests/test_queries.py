@@ -7,8 +7,8 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tools.compare import TABLES, digest
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {k: v for k, v in entry.queries().items() if k not in entry.LLM_QUERIES}
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k not in entry.LLM_ORACLE}
 
 
 @pytest.fixture(scope="module")
