@@ -1,6 +1,7 @@
 """The registered queries of this package and the DuckDB statements that give the same rows."""
 
 from strata.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from strata.llm.minhash import OP10_SQL, op10_minhash
 from strata.llm.mixing import OP7_SQL, op7_source_mix
 from strata.llm.sharding import op4_external_shuffle
 
@@ -8,9 +9,11 @@ LLM_QUERIES = {
     "op3_digest_index": op3_exact_dedup,
     "op4_external_shuffle": op4_external_shuffle,
     "op7_source_mix": op7_source_mix,
+    "op10_minhash": op10_minhash,
 }
 
 LLM_ORACLE = {
     "op3_digest_index": OP3_SQL,
     "op7_source_mix": OP7_SQL,
+    "op10_minhash": OP10_SQL,
 }
