@@ -45,24 +45,19 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-class WordHashes:
-    """64-bit word hashes with a bounded memo, one instance per task."""
+class WordHashes(dict):
+    """Memo of 64-bit word hashes, one per task; emptied when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 1 << 20):
-        self.memo: dict[bytes, int] = {}
-        self.limit = limit
+    limit = 1 << 20
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        memo, digest = self.memo, xxhash.xxh3_64_intdigest
-        if len(memo) > self.limit:
-            memo.clear()
-        out = []
-        for w in words:
-            h = memo.get(w)
-            if h is None:
-                h = memo[w] = digest(w)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
+        if len(self) > self.limit:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:

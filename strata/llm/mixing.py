@@ -123,7 +123,7 @@ def _schedule(by_source: DataFrame, m: int) -> DataFrame:
     width = 1 << part
     runs = by_source.where("_n > 0").select("_src", "_j0", "_j1", F.explode(
         F.sequence(F.floor(F.col("_j0") / width), F.floor((F.col("_j1") - 1) / width))).alias("_c"))
-    runs = runs.repartition("_src", "_c")   # a large source's slots are made by many tasks
+    runs = runs.repartition(max(1, (1 << m) >> 14), "_src", "_c")   # a large source's slots are made by many tasks
     j = F.explode(F.sequence(F.greatest("_j0", F.col("_c") * width),
                              F.least("_j1", (F.col("_c") + 1) * width) - 1)).alias("_j")
     slot = F.conv(F.reverse(F.lpad(F.bin("_j"), max(1, m), "0")), 2, 10).cast("long") if m else F.lit(0).cast("long")

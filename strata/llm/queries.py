@@ -3,12 +3,14 @@
 from strata.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from strata.llm.minhash import OP10_SQL, op10_minhash
 from strata.llm.mixing import OP7_SQL, op7_source_mix
+from strata.llm.packing import op9_cost_packing
 from strata.llm.sharding import op4_external_shuffle
 
 LLM_QUERIES = {
     "op3_digest_index": op3_exact_dedup,
     "op4_external_shuffle": op4_external_shuffle,
     "op7_source_mix": op7_source_mix,
+    "op9_cost_packing": op9_cost_packing,
     "op10_minhash": op10_minhash,
 }
 
