@@ -1,5 +1,6 @@
 """The registered queries of this package and the DuckDB statements that give the same rows."""
 
+from strata.llm.embeddings import OP2_SQL, op2_pivot_permutations
 from strata.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from strata.llm.minhash import OP10_SQL, op10_minhash
 from strata.llm.mixing import OP7_SQL, op7_source_mix
@@ -7,6 +8,7 @@ from strata.llm.packing import op9_cost_packing
 from strata.llm.sharding import op4_external_shuffle
 
 LLM_QUERIES = {
+    "op2_pivot_permutations": op2_pivot_permutations,
     "op3_digest_index": op3_exact_dedup,
     "op4_external_shuffle": op4_external_shuffle,
     "op7_source_mix": op7_source_mix,
@@ -15,6 +17,7 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLE = {
+    "op2_pivot_permutations": OP2_SQL,
     "op3_digest_index": OP3_SQL,
     "op7_source_mix": OP7_SQL,
     "op10_minhash": OP10_SQL,
