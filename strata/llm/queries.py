@@ -2,6 +2,7 @@
 
 from strata.llm.embeddings import OP2_SQL, op2_pivot_permutations
 from strata.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from strata.llm.licenses import OP6_SQL, op6_diagonal_voting
 from strata.llm.minhash import OP10_SQL, op10_minhash
 from strata.llm.mixing import OP7_SQL, op7_source_mix
 from strata.llm.packing import op9_cost_packing
@@ -11,6 +12,7 @@ LLM_QUERIES = {
     "op2_pivot_permutations": op2_pivot_permutations,
     "op3_digest_index": op3_exact_dedup,
     "op4_external_shuffle": op4_external_shuffle,
+    "op6_diagonal_voting": op6_diagonal_voting,
     "op7_source_mix": op7_source_mix,
     "op9_cost_packing": op9_cost_packing,
     "op10_minhash": op10_minhash,
@@ -19,6 +21,7 @@ LLM_QUERIES = {
 LLM_ORACLE = {
     "op2_pivot_permutations": OP2_SQL,
     "op3_digest_index": OP3_SQL,
+    "op6_diagonal_voting": OP6_SQL,
     "op7_source_mix": OP7_SQL,
     "op10_minhash": OP10_SQL,
 }
