@@ -6,9 +6,11 @@ from strata.llm.licenses import OP6_SQL, op6_diagonal_voting
 from strata.llm.minhash import OP10_SQL, op10_minhash
 from strata.llm.mixing import OP7_SQL, op7_source_mix
 from strata.llm.packing import op9_cost_packing
+from strata.llm.quality import op1_kneser_ney
 from strata.llm.sharding import op4_external_shuffle
 
 LLM_QUERIES = {
+    "op1_kneser_ney": op1_kneser_ney,
     "op2_pivot_permutations": op2_pivot_permutations,
     "op3_digest_index": op3_exact_dedup,
     "op4_external_shuffle": op4_external_shuffle,
