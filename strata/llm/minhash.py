@@ -18,14 +18,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordHashes, batches_of, runs, saved, shingle_hashes, table, words_of
+from strata.llm.common import WordHashes, batches_of, clean_text, runs, saved, shingle_hashes, table, words_of
 from strata.llm.components import connected_components
 
 HASHES, ROWS = 160, 5
 #: Signature agreement below which a pair is given up: at a similarity of 0.8 the chance is 6e-5.
 PLAUSIBLE = 0.68
 BLOCK = 1024
-FEATURES = "doc_id long, n_shingles long, digest binary, bands array<long>, sig binary"
+FEATURES = "doc_id long, text_key long, n_shingles long, digest binary, bands array<long>, sig binary"
 
 
 def shingle_set(text: str | None, k: int, hashes: WordHashes) -> np.ndarray:
@@ -43,7 +43,7 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _features(k: int, seed: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
                         ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
     def task(batches):
@@ -54,12 +54,12 @@ def _features(k: int, seed: int):
 
         def rows():
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                     s = shingle_set(text.as_py(), k, hashes)
                     sig = minima(s, a, b)
                     bands = [xxhash.xxh3_64_intdigest(sig[i:i + ROWS].tobytes(), seed=i) - 2**63
                              for i in range(0, HASHES, ROWS)]
-                    yield (doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands,
+                    yield (doc_id, key, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands,
                            sig.astype(np.uint8).tobytes())
 
         yield from batches_of(rows(), schema, 512)
@@ -177,7 +177,9 @@ def _linked(percent: int):
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, seed: int = 11) -> DataFrame:
-    """``doc_id, text`` -> ``doc_id, n_shingles, component_id, kept`` for every row.
+    """``doc_id, text`` -> ``doc_id, text_key, n_shingles, component_id, kept`` for every row.
+
+    ``text_key`` is a hash of the text that tells rows of one doc_id apart.
 
     Two documents link when 100 * intersection >= ``percent`` * union of their
     sets of ``k``-word shingles. A text with fewer words has one shingle, the
@@ -187,7 +189,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, seed: int =
     has an id, stays alone with a null component. Empty tables give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    feats = saved(docs.mapInArrow(_features(k, seed), FEATURES), "minhash-features")
+    feats = saved(docs.select("doc_id", F.xxhash64(clean_text()).alias("text_key"), "text")
+                  .mapInArrow(_features(k, seed), FEATURES), "minhash-features")
     classes = saved(feats.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
                     .where("node IS NOT NULL"), "minhash-classes")
     reps = saved(feats.join(classes, "digest").where("doc_id = node").dropDuplicates(["node", "digest"])
@@ -225,9 +228,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, seed: int =
 
     placed = saved(classes.join(comps, "node", "left")
                    .select("digest", F.coalesce("component", "node").alias("component")), "minhash-placed")
-    rows = feats.select("doc_id", "n_shingles", "digest").join(placed, "digest", "left")
+    rows = feats.select("doc_id", "text_key", "n_shingles", "digest").join(placed, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"),
+    return rows.select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
                        F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
@@ -255,7 +258,7 @@ def _between_components(reps, members, sets, comps, percent) -> DataFrame:
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, 4-word shingles, similarity 0.8 or more."""
-    return near_duplicates(table(spark, sf_dir, "documents"), k=4)
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4).drop("text_key")
 
 
 #: Exact links by counting shared shingles, and components by the smallest reachable doc_id.

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, scalar, table
+from strata.llm.common import clean_text, saved, scalar, table
 
 WEIGHTS = (5, 2, 1)       # by source in code-point order, null last, repeating
 SHARE, EPOCHS = 1.5, 2    # words the mix takes over all words; most readings of a source
@@ -25,9 +25,9 @@ WORDS = r"[^\x20\x09-\x0D]+"
 
 
 def sized(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """``doc_id, source, size`` and the hash that orders a source's documents."""
+    """``doc_id, source, size, text_key`` and the hash that orders a source's documents."""
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
-    return docs.select("doc_id", "source", key.alias("_k"),
+    return docs.select("doc_id", "source", key.alias("_k"), F.xxhash64(clean_text()).alias("text_key"),
                        F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"))
 
 
@@ -65,7 +65,7 @@ def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
         slots_log2: int = SLOTS_LOG2) -> DataFrame:
     """``sized`` rows -> the pieces of the mix in schedule order, and documents it leaves out.
 
-    One row per piece: slot, doc_id, source, size, source_size, target, start
+    One row per piece: slot, doc_id, text_key, source, size, source_size, target, start
     and length (words of the document), epoch; ``slot`` is null with length 0
     for a document that the mix doesn't take. ``_row`` names the input row, so
     repeated rows and null or repeated doc_ids stay apart. A null source is a
@@ -93,7 +93,7 @@ def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     offsets = (cells.withColumn("_offset", F.coalesce(F.sum("_size").over(prior), F.lit(0)))
                .join(by_source.drop("source"), "_src").select("_src", "_chunk", "_offset", "source_size", "target", "_n"))
 
-    place = Window.partitionBy("_src", "_chunk").orderBy("_k", "doc_id", "size")
+    place = Window.partitionBy("_src", "_chunk").orderBy("_k", "doc_id", "size", "text_key")
     docs = (rows.withColumn("_in", F.coalesce(F.sum("size").over(place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("_ord", F.row_number().over(place))
             .join(offsets, ["_src", "_chunk"]))
@@ -107,14 +107,14 @@ def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     docs = docs.select("*", epoch).withColumn("_a", F.col("epoch") * F.col("source_size") + F.col("_offset") + F.col("_in"))
     reach = F.least(block_at(F.col("_a") + F.col("size") - 1), F.col("_n") - 1)
     blocks = F.when((F.col("size") > 0) & (block_at(F.col("_a")) <= reach), F.sequence(block_at(F.col("_a")), reach))
-    pieces = docs.select("doc_id", "source", "size", "source_size", "target", "epoch", "_src", "_a",
+    pieces = docs.select("doc_id", "text_key", "source", "size", "source_size", "target", "epoch", "_src", "_a",
                          F.struct("_src", "_chunk", "_ord").alias("_row"), F.explode_outer(blocks).alias("_rank"))
     first = F.greatest(bound(F.col("_rank")), F.col("_a"))
     last = F.least(bound(F.col("_rank") + 1), F.col("_a") + F.col("size"))
     pieces = (pieces.withColumn("start", F.when(F.col("_rank").isNull(), 0).otherwise(first - F.col("_a")))
               .withColumn("length", F.when(F.col("_rank").isNull(), 0).otherwise(last - first)))
     placed = pieces.join(_schedule(by_source, m), ["_src", "_rank"], "left")
-    return placed.select("slot", "doc_id", "source", "size", "source_size", "target", "epoch", "start", "length", "_row")
+    return placed.select("slot", "doc_id", "text_key", "source", "size", "source_size", "target", "epoch", "start", "length", "_row")
 
 
 def _schedule(by_source: DataFrame, m: int) -> DataFrame:

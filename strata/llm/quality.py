@@ -6,6 +6,10 @@ numbers). Each block names its distinct 5-grams and how often its trusted
 documents hold them; the counts of all orders are joined, hash-sharded by
 n-gram, into one log-probability per 5-gram, and each block gets its own back.
 So shuffles carry a block's distinct n-grams and never its text or tokens.
+
+Documents fall into folds by a hash of doc_id. A fold is scored by the model of
+the trusted text in the other folds, so trusted text is as new to its model as
+any other, and limits drawn from its scores hold for all documents.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import batches_of, clean_text, saved, scalar, table
 from strata.session import scratch_path
 
-ORDER = 5
+ORDER, FOLDS = 5, 2
 START, END = "\x02", "\x03"
 #: A block ends after so many bytes of text.
 BLOCK_BYTES = 32 << 20
@@ -31,7 +35,7 @@ PRIOR = 64
 #: A language's limit: its trusted median plus MARGIN times the way from there to its trusted QUANTILE.
 QUANTILE, MARGIN = 0.99, 1.5
 
-BLOCKS = ("block long, doc_ids array<long>, keys array<long>, langs array<string>, ends array<long>, "
+BLOCKS = ("block long, doc_ids array<long>, keys array<long>, langs array<string>, folds array<int>, ends array<long>, "
           "words array<string>, codes binary")
 
 
@@ -45,8 +49,8 @@ class _Numbers(dict):
 
 def _block_task(block_bytes: int):
     schema = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())),
-                        ("langs", pa.list_(pa.string())), ("ends", pa.list_(pa.int64())),
-                        ("words", pa.list_(pa.string())), ("codes", pa.binary())])
+                        ("langs", pa.list_(pa.string())), ("folds", pa.list_(pa.int32())),
+                        ("ends", pa.list_(pa.int64())), ("words", pa.list_(pa.string())), ("codes", pa.binary())])
 
     def task(batches):
         part, made = TaskContext.get().partitionId(), 0
@@ -54,18 +58,18 @@ def _block_task(block_bytes: int):
         def block(docs, numbers, codes):
             nonlocal made
             made += 1
-            ids, keys, langs = zip(*docs)
+            ids, keys, langs, folds = zip(*docs)
             ends = np.cumsum([len(c) for c in codes]).tolist()
             packed = zstandard.ZstdCompressor(level=1).compress(np.concatenate(codes).tobytes())
-            row = ((part << 32) + made, ids, keys, langs, ends, list(numbers), packed)
+            row = ((part << 32) + made, ids, keys, langs, folds, ends, list(numbers), packed)
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, schema)], schema=schema)
 
         docs, numbers, codes, held = [], _Numbers(), [], 0
         for batch in batches:
-            for doc_id, key, lang, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+            for doc_id, key, lang, fold, text in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4)):
                 text = text.as_py()
                 words = text.split()
-                docs.append((doc_id, key, lang))
+                docs.append((doc_id, key, lang, fold))
                 codes.append(np.fromiter(map(numbers.__getitem__, words), dtype="<u4", count=len(words)))
                 held += len(text)
                 if held >= block_bytes:
@@ -87,33 +91,36 @@ def _codes(packed: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype="<u4")
 
 
-def _gram_task(order: int):
-    """``block, words, codes, ends, trusted`` -> the block's distinct n-grams with their trusted counts."""
-    schema = pa.schema([("block", pa.int64()), ("gram", pa.string()), ("n", pa.int64())])
+def _gram_task(order: int, folds: int):
+    """``block, words, codes, ends, folds, trusted`` -> the block's distinct n-grams with the counts of each fold's trusted text."""
+    schema = pa.schema([("block", pa.int64()), ("gram", pa.string()), ("n", pa.list_(pa.int64()))])
 
     def task(batches):
         for batch in batches:
-            for block, words, codes, ends, trusted in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for block, words, codes, ends, fold, trusted in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 codes, bounds = _codes(codes), [0, *ends]
-                own = np.zeros(len(codes), dtype=bool)
+                own = np.full(len(codes), -1, dtype=np.int32)
                 for i in trusted or ():
-                    own[bounds[i]:bounds[i + 1]] = True
-                counts = np.bincount(codes[own], minlength=len(words))
-                grams: dict[str, int] = {}
-                for word, n in zip(words, counts.tolist()):
-                    for g in word_grams(word, order):
-                        grams[g] = grams.get(g, 0) + n
-                names, ns = list(grams), list(grams.values())
+                    own[bounds[i]:bounds[i + 1]] = fold[i]
+                counts = np.stack([np.bincount(codes[own == f], minlength=len(words)) for f in range(folds)], axis=1)
+                numbers, spelled, of_word = _Numbers(), [], []
+                for i, word in enumerate(words):
+                    grams = word_grams(word, order)
+                    spelled += map(numbers.__getitem__, grams)
+                    of_word += [i] * len(grams)
+                totals = np.zeros((len(numbers), folds), dtype=np.int64)
+                np.add.at(totals, spelled, counts[of_word])
+                names, totals = list(numbers), totals.tolist()
                 for a in range(0, len(names), 50_000):
-                    part = slice(a, a + 50_000)
+                    part = names[a:a + 50_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([block] * len(names[part]), type=pa.int64()), pa.array(names[part], type=pa.string()),
-                         pa.array(ns[part], type=pa.int64())], schema=schema)
+                        [pa.array([block] * len(part), type=pa.int64()), pa.array(part, type=pa.string()),
+                         pa.array(totals[a:a + 50_000], type=pa.list_(pa.int64()))], schema=schema)
 
     return task
 
 
-def _score_task(order: int):
+def _score_task(order: int, folds: int):
     """Blocks with the log-probabilities of their n-grams -> ``doc_id, text_key, lang, symbols, nll``."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("lang", pa.string()),
                         ("symbols", pa.int64()), ("nll", pa.float64())])
@@ -121,16 +128,19 @@ def _score_task(order: int):
     def task(batches):
         def rows():
             for batch in batches:
-                for ids, keys, langs, ends, words, codes, names, logs in zip(
-                        *(batch.column(i).to_pylist() for i in range(8))):
-                    log = dict(zip(names or (), logs or ()))
-                    nll = np.array([-sum(map(log.__getitem__, word_grams(w, order))) for w in words])
+                for ids, keys, langs, fold, ends, words, codes, names, models, logs in zip(
+                        *(batch.column(i).to_pylist() for i in range(10))):
+                    log: list[dict] = [{} for _ in range(folds)]
+                    for name, model, value in zip(names or (), models or (), logs or ()):
+                        log[model][name] = value
+                    nll = np.array([[-sum(map(p.__getitem__, grams)) for p in log]
+                                    for grams in (word_grams(w, order) for w in words)]).reshape(-1, folds)
                     size = np.array([len(w) + 1 for w in words], dtype=np.int64)
                     codes = _codes(codes)
                     a = 0
-                    for doc_id, key, lang, b in zip(ids, keys, langs, ends):
+                    for doc_id, key, lang, f, b in zip(ids, keys, langs, fold, ends):
                         own = codes[a:b]
-                        yield doc_id, key, lang, int(size[own].sum()), float(nll[own].sum())
+                        yield doc_id, key, lang, int(size[own].sum()), float(nll[own, f].sum())
                         a = b
 
         yield from batches_of(rows(), schema)
@@ -138,40 +148,48 @@ def _score_task(order: int):
     return task
 
 
-def kneser_ney(counts: DataFrame, needed: DataFrame, order: int = ORDER) -> DataFrame:
-    """``gram, n`` counts of the highest order and the grams to score -> ``gram, p``.
+def kneser_ney(counts: DataFrame, needed: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFrame:
+    """``fold, gram, n`` counts of the highest order and ``gram`` to score -> ``fold, gram, p``, a model for each fold.
 
     Lower orders count the distinct symbols that precede an n-gram. Discounts
     for counts 1, 2 and 3 or more come from the counts of counts, a few numbers
     for each order. A gram never seen takes its probability from lower orders,
     the lowest being uniform over the symbols seen and one unseen."""
-    by_order = {order: counts.select("gram", "n")}
+    by_order = {order: counts.select("fold", "gram", "n")}
     for k in range(order - 1, 0, -1):
-        by_order[k] = saved(by_order[k + 1].groupBy(F.substring("gram", 2, k).alias("gram"))
+        by_order[k] = saved(by_order[k + 1].groupBy("fold", F.substring("gram", 2, k).alias("gram"))
                             .agg(F.count("*").alias("n")), f"kn-order-{k}")
     spread = None
     for k, c in by_order.items():
-        row = c.groupBy().agg(F.lit(k).alias("k"), F.count("*").alias("types"),
-                              *[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)])
+        row = c.groupBy("fold").agg(F.lit(k).alias("k"), F.count("*").alias("types"),
+                                    *[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)])
         spread = row if spread is None else spread.union(row)
-    stats = {r["k"]: r for r in spread.collect()}
-    symbols = stats[1]["types"] + 1
-    p = needed.select(F.substring("gram", order, 1).alias("gram")).distinct().withColumn("p", F.lit(1.0 / symbols))
-    p = p.withColumn("tail", F.lit(""))
+    stats = {(r["fold"], r["k"]): r for r in spread.collect()}
+
+    def of_fold(values):
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("fold") + 1)
+
+    def spell(k):
+        grams = needed if k == order else needed.select(F.substring("gram", order - k + 1, k).alias("gram")).distinct()
+        return grams.withColumn("fold", F.explode(F.array(*map(F.lit, range(folds)))))
+
+    unseen = [1.0 / ((stats[f, 1]["types"] if (f, 1) in stats else 0) + 1) for f in range(folds)]
+    p = spell(1).select("fold", F.lit("").alias("gram"), of_fold(unseen).alias("p")).distinct()
     for k in range(1, order + 1):
-        d = discounts(*(stats[k][f"n{i}"] for i in (1, 2, 3, 4)))
-        level = by_order[k].withColumn("context", F.substring("gram", 1, k - 1) if k > 1 else F.lit(""))
-        of = lambda n: F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
-        contexts = level.groupBy("context").agg(F.sum("n").alias("total"), F.sum(of(F.col("n"))).alias("held"))
-        want = needed.select(F.substring("gram", order - k + 1, k).alias("gram")).distinct() if k < order else needed
-        lower = p.select(F.col("gram").alias("tail"), F.col("p").alias("below"))
-        want = (want.withColumn("context", F.substring("gram", 1, k - 1) if k > 1 else F.lit(""))
-                .withColumn("tail", F.substring("gram", 2, k - 1) if k > 1 else F.col("gram")))
-        p = (want.join(lower, "tail").join(level.select("gram", "n"), "gram", "left").join(contexts, "context", "left")
-             .select("gram", F.coalesce(
-                 (F.greatest(F.coalesce(F.col("n") - of(F.col("n")), F.lit(0.0)), F.lit(0.0))
-                  + F.col("held") * F.col("below")) / F.col("total"), F.col("below")).alias("p")))
-        p = saved(p, f"kn-p-{k}")
+        d = [discounts(*(stats[f, k][f"n{i}"] for i in (1, 2, 3, 4))) if (f, k) in stats else (0.5, 0.5, 0.5)
+             for f in range(folds)]
+        off = F.when(F.col("n") == 1, of_fold(x[0] for x in d)).when(
+            F.col("n") == 2, of_fold(x[1] for x in d)).otherwise(of_fold(x[2] for x in d))
+        context = F.substring("gram", 1, k - 1) if k > 1 else F.lit("")
+        level = by_order[k].select("fold", "gram", "n", (F.col("n") - off).alias("rest"), off.alias("off"))
+        contexts = level.groupBy("fold", context.alias("context")).agg(F.sum("n").alias("total"), F.sum("off").alias("held"))
+        want = spell(k).withColumn("context", context).withColumn("tail", F.substring("gram", 2, k - 1) if k > 1 else F.lit(""))
+        lower = p.select("fold", F.col("gram").alias("tail"), F.col("p").alias("below"))
+        own = F.greatest(F.coalesce("rest", F.lit(0.0)), F.lit(0.0))
+        p = saved(want.join(lower, ["fold", "tail"]).join(level.select("fold", "gram", "rest"), ["fold", "gram"], "left")
+                  .join(contexts, ["fold", "context"], "left")
+                  .select("fold", "gram", F.coalesce((own + F.col("held") * F.col("below")) / F.col("total"),
+                                                     F.col("below")).alias("p")), f"kn-p-{k}")
     return p
 
 
@@ -185,7 +203,8 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return min(max(d1, 0.05), 0.95), min(max(d2, 0.05), 1.95), min(max(d3, 0.05), 2.95)
 
 
-def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds: int = FOLDS,
+                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, text, lang`` and the doc_ids of trusted text -> one row per document.
 
     Columns: doc_id, text_key (hash of the text), lang, trusted, symbols, nll.
@@ -198,7 +217,9 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_
     path = scratch_path(spark, "kn-blocks")
     name = "strata_kn_" + hashlib.md5(path.encode()).hexdigest()[:16]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(clean_text()).alias("key"),
-                       F.col("lang").cast("string").alias("lang"), clean_text().alias("text"))
+                       F.col("lang").cast("string").alias("lang"),
+                       F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(folds)).cast("int").alias("fold"),
+                       clean_text().alias("text"))
     (rows.mapInArrow(_block_task(block_bytes), BLOCKS)
      .write.bucketBy(buckets, "block").option("path", path).saveAsTable(name))
     blocks = spark.table(name)   # bucketed by block, so what joins it is moved and the blocks are not
@@ -207,17 +228,21 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_
     ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     chosen = saved(placed.join(ids, "doc_id").select("block", "at", "doc_id"), "kn-trusted")
     flags = chosen.groupBy("block").agg(F.collect_list("at").alias("trusted"))
-    grams = saved(blocks.select("block", "words", "codes", "ends").join(flags, "block", "left")
-                  .select("block", "words", "codes", "ends", "trusted")
-                  .mapInArrow(_gram_task(order), "block long, gram string, n long"), "kn-grams")
-    totals = saved(grams.groupBy("gram").agg(F.sum("n").alias("n")), "kn-counts")
-    p = kneser_ney(totals.where("n > 0"), totals.select("gram"), order)
-    own = (grams.select("block", "gram").join(p.select("gram", F.log("p").alias("log")), "gram")
-           .groupBy("block").agg(F.collect_list(F.struct("gram", "log")).alias("g"))
-           .select("block", F.col("g.gram").alias("names"), F.col("g.log").alias("logs")))
-    columns = ["doc_ids", "keys", "langs", "ends", "words", "codes", "names", "logs"]
+    grams = saved(blocks.select("block", "words", "codes", "ends", "folds").join(flags, "block", "left")
+                  .select("block", "words", "codes", "ends", "folds", "trusted")
+                  .mapInArrow(_gram_task(order, folds), "block long, gram string, n array<long>"), "kn-grams")
+    totals = saved(grams.groupBy("gram").agg(*[F.sum(F.col("n")[f]).alias(f"n{f}") for f in range(folds)]), "kn-counts")
+    everything = sum((F.col(f"n{f}") for f in range(folds)), F.lit(0))
+    others = F.array(*[F.struct(F.lit(f).alias("fold"), (everything - F.col(f"n{f}")).alias("n")) for f in range(folds)])
+    counts = saved(totals.select("gram", F.explode(others).alias("m")).select("m.fold", "gram", "m.n").where("n > 0"),
+                   "kn-fold-counts")
+    p = kneser_ney(counts, totals.select("gram"), order, folds)
+    own = (grams.select("block", "gram").join(p.select("fold", "gram", F.log("p").alias("log")), "gram")
+           .groupBy("block").agg(F.collect_list(F.struct("gram", "fold", "log")).alias("g"))
+           .select("block", F.col("g.gram").alias("names"), F.col("g.fold").alias("models"), F.col("g.log").alias("logs")))
+    columns = ["doc_ids", "keys", "langs", "folds", "ends", "words", "codes", "names", "models", "logs"]
     scored = saved(blocks.join(own, "block", "left").select(*columns)
-                   .mapInArrow(_score_task(order), "doc_id long, text_key long, lang string, symbols long, nll double"),
+                   .mapInArrow(_score_task(order, folds), "doc_id long, text_key long, lang string, symbols long, nll double"),
                    "kn-scores")
     return scored.join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn(
         "trusted", F.coalesce("trusted", F.lit(False)))
