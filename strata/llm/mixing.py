@@ -54,10 +54,14 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: i
     s = (s.withColumn("target", F.when(over, F.col("_cap").cast("double")).otherwise(F.col("_level") * F.col("_w")))
          .withColumn("_c", F.when(over, F.col("_cap")).otherwise(0)).withColumn("_f", F.when(over, 0).otherwise(F.col("_w"))))
     to = order.rowsBetween(Window.unboundedPreceding, 0)
-    at = lambda w: F.coalesce(F.sum("_c").over(w) + F.coalesce(F.col("_level"), F.lit(0.0)) * F.sum("_f").over(w), F.lit(0.0))
+
+    def part(w):  # of all words, up to and with the sources of w; capped and free ones are summed as integers
+        some = F.sum("_c").over(w) + F.coalesce(F.col("_level"), F.lit(0.0)) * F.sum("_f").over(w)
+        return F.coalesce(F.try_divide(some, F.col("_all")), F.lit(0.0))
+
     last = F.row_number().over(order) == F.count("*").over(everything)
-    return (s.withColumn("lo", at(order.rowsBetween(Window.unboundedPreceding, -1)) / F.col("_all"))
-            .withColumn("hi", F.when(last, F.lit(1.0)).otherwise(at(to) / F.col("_all")))
+    return (s.withColumn("lo", part(order.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("hi", F.when(last, F.lit(1.0)).otherwise(part(to)))
             .select("source", "source_size", "target", "lo", "hi"))
 
 

@@ -34,6 +34,8 @@ BLOCK_BYTES = 32 << 20
 PRIOR = 64
 #: A language's limit: its trusted median plus MARGIN times the way from there to its trusted QUANTILE.
 QUANTILE, MARGIN = 0.99, 1.5
+#: Trusted documents of a language for figures of its own.
+LEAST_TRUSTED = 30
 
 BLOCKS = ("block long, doc_ids array<long>, keys array<long>, langs array<string>, folds array<int>, ends array<long>, "
           "words array<string>, codes binary")
@@ -233,7 +235,10 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds:
                   .mapInArrow(_gram_task(order, folds), "block long, gram string, n array<long>"), "kn-grams")
     totals = saved(grams.groupBy("gram").agg(*[F.sum(F.col("n")[f]).alias(f"n{f}") for f in range(folds)]), "kn-counts")
     everything = sum((F.col(f"n{f}") for f in range(folds)), F.lit(0))
-    others = F.array(*[F.struct(F.lit(f).alias("fold"), (everything - F.col(f"n{f}")).alias("n")) for f in range(folds)])
+    sums = [n or 0 for n in scalar(totals, *[F.sum(f"n{f}") for f in range(folds)])]
+    # a fold that holds all trusted text is scored by its own model
+    others = F.array(*[F.struct(F.lit(f).alias("fold"), (everything - (F.col(f"n{f}") if sums[f] < sum(sums) else 0))
+                                .alias("n")) for f in range(folds)])
     counts = saved(totals.select("gram", F.explode(others).alias("m")).select("m.fold", "gram", "m.n").where("n > 0"),
                    "kn-fold-counts")
     p = kneser_ney(counts, totals.select("gram"), order, folds)
@@ -252,13 +257,14 @@ def classify(scores: DataFrame, quantile: float = QUANTILE, margin: float = MARG
     """Adds perplexity, score, threshold and kept to ``perplexities`` rows.
 
     ``score`` is the mean negative log-probability after ``prior`` symbols at the
-    mean of the language's trusted text. A language without trusted text, null
-    included, takes the figures of all trusted text. A document is kept unless
+    mean of the language's trusted text. A language with fewer than
+    ``LEAST_TRUSTED`` trusted documents, null included, takes the figures of all. A document is kept unless
     its score lies over the threshold; one without words, and every document
     where nothing is trusted, is kept."""
     good = scores.where("trusted AND symbols > 0")
     means = (good.select("lang", "symbols", "nll").union(good.select(F.lit("*").alias("lang"), "symbols", "nll"))
-             .groupBy("lang").agg((F.sum("nll") / F.sum("symbols")).alias("mean")))
+             .groupBy("lang").agg((F.sum("nll") / F.sum("symbols")).alias("mean"), F.count("*").alias("texts"))
+             .where((F.col("texts") >= LEAST_TRUSTED) | (F.col("lang") == "*")).drop("texts"))
     means = saved(means, "kn-means")
     score = (F.col("nll") + prior * F.col("mean")) / (F.col("symbols") + prior)
     at = [0.5, quantile]
