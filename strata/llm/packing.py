@@ -10,10 +10,9 @@ dealt again, so only the last sequence of a group is padded.
 from __future__ import annotations
 
 import heapq
-import itertools
 import re
+import struct
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,52 +28,63 @@ VOCABULARY = "word_bpe_49k.json"
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
+#: The byte-level alphabet writes bytes 128-160 and 173 as the characters from 290 on, other high bytes as themselves.
+HIGH_BYTES = {**{b: 290 + b - 128 for b in range(128, 161)}, 173: 323}
+
+
 class WordIds(dict):
-    """Ids of white-space separated words, one memo per task, emptied when it holds ``limit`` words.
+    """Packed ids of white-space separated words, one memo per task, emptied when it holds ``limit`` words.
 
     The tokenizer drops white space and never merges across it, so a text's ids
     are those of its words. A word of Latin letters and a tail of punctuation is
     further split there, as the tokenizer does, to share the letters' ids.
     """
 
-    limit = 1 << 19
+    limit = 1 << 20
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.ints = list(range(self.tokenizer.get_vocab_size(with_added_tokens=True) + 1))
-        self.parts: dict[str, tuple] = {}
+        self.parts: dict[str, bytes] = {}
         self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-        self[""] = ()
+        self[""] = b""
+
+    def _letters(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(HIGH_BYTES)
+            ids = self.parts[part] = _packed([t.id for t in self.tokenizer.model.tokenize(spelled)])
+        return ids
 
-    def _part(self, part: str) -> tuple:
+    def _any(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            if part.isascii() and part.isalpha():
-                found = [t.id for t in self.tokenizer.model.tokenize(part)]
-            else:
-                found = self.tokenizer.encode(part, add_special_tokens=False).ids
-            ids = self.parts[part] = tuple(self.ints[i] for i in found)
+            ids = self.parts[part] = _packed(self.tokenizer.encode(part, add_special_tokens=False).ids)
         return ids
 
-    def __missing__(self, word: str) -> tuple:
+    def __missing__(self, word: str) -> bytes:
         m = self.plain.fullmatch(word)
         if m:
             letters, tail = m.groups()
-            ids = self._part(letters.lower()) + (self._part(tail) if tail else ())
+            ids = self._letters(letters.lower()) + self._any(tail) if tail else self._letters(letters.lower())
         else:
-            ids = tuple(self.ints[i] for i in self.tokenizer.encode(word, add_special_tokens=False).ids)
+            ids = _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
-    def __call__(self, text: str) -> np.ndarray:
+    def __call__(self, text: str) -> bytes:
+        """Ids as unsigned 32-bit little-endian."""
         if len(self) > self.limit:
             self.clear()
-            self[""] = ()
+            self[""] = b""
         if len(self.parts) > self.limit:
             self.parts.clear()
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return np.fromiter(itertools.chain.from_iterable(map(self.__getitem__, words)), dtype="<u4")
+        return b"".join(map(self.__getitem__, words))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _tokenise(path: str, end: int):
@@ -82,12 +92,12 @@ def _tokenise(path: str, end: int):
 
     def task(batches):
         ids_of = WordIds(path)
-        end_id = np.array([end], dtype="<u4")
+        end_id = _packed([end])
 
         def rows():
             for batch in batches:
                 for doc_id, group, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                    yield doc_id, group, np.concatenate([ids_of(text.as_py()), end_id]).tobytes()
+                    yield doc_id, group, ids_of(text.as_py()) + end_id
 
         yield from batches_of(rows(), schema, 256)
 
