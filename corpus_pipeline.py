@@ -21,34 +21,38 @@ from strata.llm.packing import pack, tokenizer_path
 from strata.llm.quality import classify, perplexities, trusted_ids
 
 
-def _chosen(docs: DataFrame, decisions: DataFrame, *more: str) -> DataFrame:
-    """Rows of ``docs`` that ``decisions`` (doc_id, text_key, unique) names, with its columns ``more``."""
-    d = docs.withColumn("_key", F.xxhash64(clean_text())).alias("d")
-    c = decisions.select("doc_id", "text_key", *more).alias("c")
-    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("c.doc_id")) & (F.col("d._key") == F.col("c.text_key"))
-    return d.join(c, same).select("d.*", *[f"c.{m}" for m in more])
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows whole, so that no name of theirs meets one of ours, with what tells them apart."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("id"), F.xxhash64(clean_text()).alias("key"))
+
+
+def _chosen(keyed: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Keyed rows that ``decisions`` (doc_id, text_key, unique) names, with its other columns."""
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    return keyed.join(decisions, same).drop("doc_id", "text_key")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Kneser-Ney model of trusted text doesn't reject (operator 1)."""
     scores = classify(perplexities(docs, trusted_ids(table(spark, sf_dir, "labels"))))
     kept = scores.groupBy("doc_id", "text_key").agg(F.min("kept").alias("kept")).where("kept")
-    return _chosen(docs, kept).select(*docs.columns)
+    return _chosen(_keyed(docs), kept).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without recurring lines (operator 5); ``n_chars`` follows the text."""
     out = drop_recurring_lines(docs)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long"))
-                             .otherwise(F.col("n_chars")))
+        n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, five-word shingles, similarity 0.8 (operator 10)."""
     kept = near_duplicates(docs).where("kept").select("doc_id", "text_key").distinct()
-    return _chosen(docs, kept).dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    return _chosen(_keyed(docs), kept).dropDuplicates(["id", "key"]).select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,10 +63,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pieces = mix(saved(sized(docs), "mix-sizes"))
     readings = (pieces.groupBy("_row", "doc_id", "text_key", "size", "epoch").agg(F.sum("length").alias("taken"))
                 .where("taken > 0 AND 2 * taken >= size"))
-    copies = readings.groupBy("doc_id", "text_key").agg(F.count("*").cast("int").alias("_copies"))
-    one = docs.withColumn("_key", F.xxhash64(clean_text())).dropDuplicates(["doc_id", "_key"]).drop("_key")
-    return (_chosen(one, copies, "_copies").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+    copies = readings.groupBy("doc_id", "text_key").agg(F.count("*").cast("int").alias("copies"))
+    chosen = _chosen(_keyed(docs).dropDuplicates(["id", "key"]), copies)
+    return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,10 +40,10 @@ def external_shuffle(df: DataFrame, key: list, size, shards: int, seed: int = 7,
                 .groupBy("_bucket").agg(F.shuffle(F.collect_list("_row"), seed).alias("_rows")))
     n = max(1, n)
     at = shuffled.join(F.broadcast(offsets), "_bucket").select("_offset", F.posexplode("_rows").alias("_i", "_row"))
-    at = at.select("_row.*", (F.col("_offset") + F.col("_i")).alias("_at"))
+    at = at.select("_row", (F.col("_offset") + F.col("_i")).alias("_at"))
     shard = F.expr(f"_at * {shards} div {n}")
     first = F.expr(f"((_at * {shards} div {n}) * {n} + {shards - 1}) div {shards}")
-    return at.withColumn("slot", F.col("_at") - first).withColumn("shard", shard.cast("int")).drop("_at")
+    return at.select("_row.*", shard.cast("int").alias("shard"), (F.col("_at") - first).alias("slot"))
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:

@@ -2,7 +2,7 @@
 
 import random
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, kept boolean, shard int, epoch int, _key long"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, kept boolean, shard int, epoch int, _key long, row string"
 
 
 def prose(rng: random.Random, n: int, vocabulary: int = 400) -> str:
@@ -14,7 +14,7 @@ def prose(rng: random.Random, n: int, vocabulary: int = 400) -> str:
 
 
 def row(doc_id, text, lang="en", source="a"):
-    return (doc_id, text, lang, source, len(text or ""), 7, True, 3, 1, 9)
+    return (doc_id, text, lang, source, len(text or ""), 7, True, 3, 1, 9, "r")
 
 
 def awkward(rng=None) -> list[tuple]:

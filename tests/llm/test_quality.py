@@ -53,7 +53,7 @@ def test_probabilities_equal_the_recursion_and_sum_to_one(spark):
 
 def corpus():
     rng = random.Random(2)
-    good = [row(i, ". ".join(prose(rng, 60).capitalize() for _ in range(3)), "en" if i % 3 else "de") for i in range(240)]
+    good = [row(2000 + i, ". ".join(prose(rng, 60).capitalize() for _ in range(3)), "en" if i % 3 else "de") for i in range(240)]
     bad = [row(1000 + i, " ".join(w.upper() + "!!" for w in prose(rng, 80).split())) for i in range(10)]
     bad += [row(1100 + i, " | ".join(f"{rng.random():.9f}" for _ in range(60)), None) for i in range(10)]
     return good, bad
