@@ -2,9 +2,9 @@
 
     python -m strata --city DROPS --trips DROPS --out ROOT [--stream] [--now TS]
                      [--replay-id ID] [--backfill DROPS --backfill-id ID --backfill-reason TEXT
-                      --backfill-start DATE --backfill-end DATE] [--enforce]
+                      --backfill-start DATE --backfill-end DATE] [--promote DATASET.FIELD=TYPE] [--no-enforce]
 
-Batch mode recomputes every table; ``--stream`` ingests only new drop files
+Batch mode appends new drop files to bronze and recomputes the other tables; ``--stream`` ingests only new drop files
 into bronze, splits valid rows from the quarantine, merges the valid rows
 into the silver tables (trips type 1, city type 2) incrementally, and keeps the
 type-drift and rescued-key profiles as complete-mode aggregates over bronze.
@@ -32,11 +32,23 @@ def main(argv=None) -> int:
     a.add_argument("--backfill-reason")
     a.add_argument("--backfill-start", default="1900-01-01")
     a.add_argument("--backfill-end", default="2999-12-31")
-    a.add_argument("--enforce", action="store_true", help="fail when a guardrail fails")
+    a.add_argument("--enforce", action=argparse.BooleanOptionalAction, default=True,
+                   help="fail when a guardrail fails (the default)")
+    a.add_argument("--promote", action="append", default=[], metavar="DATASET.FIELD=TYPE",
+                   help="promote a rescued field into silver; may be repeated")
     a.add_argument("--master")
     a.add_argument("--shuffle-partitions", type=int,
                    help="initial shuffle partitions (AQE coalesces); fixed for stream state")
     args = a.parse_args(argv)
+    promote: dict[str, dict] = {}
+    for entry in args.promote:
+        dataset, _, rest = entry.partition(".")
+        name, _, dtype = rest.partition("=")
+        if not (dataset in ("city", "trips") and name and dtype):
+            a.error(f"--promote {entry}: expected city.FIELD=TYPE or trips.FIELD=TYPE")
+        promote.setdefault(dataset, {})[name] = dtype
+    if args.stream and (args.replay_id or args.backfill):
+        a.error("--stream doesn't replay or backfill; run the batch command for that")
 
     settings = Settings(now=args.now, run_id=args.run_id, replay_enabled=args.replay_id is not None,
                         replay_id=args.replay_id, backfill_enabled=args.backfill is not None,
@@ -50,7 +62,8 @@ def main(argv=None) -> int:
         from strata.streaming import runner
         out = {}
         merges = {"city": ("scd2", layers.CITY.tracked), "trips": ("scd1", None)}
-        for name, loc, spec in (("city", args.city, layers.CITY), ("trips", args.trips, layers.TRIPS)):
+        for name, loc, base in (("city", args.city, layers.CITY), ("trips", args.trips, layers.TRIPS)):
+            spec = layers.with_promotions(base, promote.get(name))
             root = args.out.rstrip("/")
             bronze = runner.run_stream(spark, loc, spec, settings, root)
             valid = f"{root}/silver_{name}_valid"
@@ -60,7 +73,7 @@ def main(argv=None) -> int:
             schema = spark.read.parquet(valid).drop("batch_id").schema
             runner.merge_stream(spark, spark.readStream.schema(schema).parquet(valid), f"{root}/silver_{name}",
                                 f"{root}/_checkpoints/merge_{name}", list(spec.keys), kind,
-                                list(layers.SEQUENCE), track=track)
+                                list(layers.SEQUENCE), track=track, open_first_version=kind == "scd2")
             bronze_schema = spark.read.parquet(bronze).schema
             runner.type_drift_stream(spark, spark.readStream.schema(bronze_schema).parquet(bronze), name,
                                      spec.drift_fields, f"{root}/type_drift_{name}",
@@ -75,7 +88,8 @@ def main(argv=None) -> int:
         return 0
     from strata.operators.ops import enforce_guardrails
     from strata.plans import layers
-    out = layers.run_batch(spark, args.city, args.trips, args.out, settings, backfill_location=args.backfill)
+    out = layers.run_batch(spark, args.city, args.trips, args.out, settings, backfill_location=args.backfill,
+                           promote=promote)
     print(json.dumps(out))
     enforce_guardrails(spark.read.parquet(out["pipeline_guardrails"]), settings)
     return 0

@@ -10,82 +10,65 @@ from strata.functions.casts import safe_cast
 from strata.functions.transforms import apply_transforms
 from strata.spec import DatasetSpec, FieldMap, Settings
 
-MAP_SS = MapType(StringType(), StringType())
 RESCUED_COL = "_rescued_data"
-RESCUED_MAP_COL = "_rescued_map"
-
-
-def _empty_map() -> Column:
-    return F.create_map().cast(MAP_SS)
-
-
-def rescued_as_map(df: DataFrame, out_col: str = RESCUED_MAP_COL,
-                   rescued_col: str = RESCUED_COL) -> DataFrame:
-    """Rescued JSON text -> ``map<string,string>``; ``{}`` when absent, NULL or bad.
-
-    Nested values come back as JSON text. A column that already is a map is
-    only cast.
-    """
-    if out_col in df.columns:
-        return df.withColumn(out_col, F.col(out_col).cast(MAP_SS))
-    if rescued_col not in df.columns:
-        return df.withColumn(out_col, _empty_map())
-    src = df.schema[rescued_col].dataType
-    m = (F.col(rescued_col).cast(MAP_SS) if isinstance(src, MapType)
-         else F.from_json(F.col(rescued_col), MAP_SS))
-    return df.withColumn(out_col, F.coalesce(m, _empty_map()))
-
-
-def promote_from_rescued(df: DataFrame, promotion, rescued_map_col: str = RESCUED_MAP_COL) -> DataFrame:
-    """Turn registered rescued keys into typed columns, plus ``_<field>_from_rescued``.
-
-    An existing column wins (``coalesce(existing, rescued)``); the flag is true
-    when the rescued value casts to a non-NULL value.
-    """
-    promotion = dict(promotion)
-    if not promotion:
-        return df
-    df = rescued_as_map(df, rescued_map_col)
-    new = {}
-    for name, typ in promotion.items():
-        rv = safe_cast(F.try_element_at(F.col(rescued_map_col), F.lit(name)), typ, StringType())
-        new[name] = (F.coalesce(safe_cast(F.col(name), typ, df.schema[name].dataType), rv)
-                     if name in df.columns else rv)
-        new[f"_{name}_from_rescued"] = rv.isNotNull()
-    return df.withColumns(new)
-
-
-def contract_column(f: FieldMap, schema: StructType) -> Column:
-    """One contract field: mapped source -> cast -> transforms -> contract type."""
-    present = set(schema.fieldNames())
-    if f.source in present:
-        c = safe_cast(F.col(f.source), f.dtype, schema[f.source].dataType)
-        c = apply_transforms(c, f.transforms)
-    elif f.name in present:
-        c = safe_cast(F.col(f.name), f.dtype, schema[f.name].dataType)
-    else:
-        c = F.lit(None).cast(f.dtype)
-    return c.alias(f.name)
+
+
+def rescued_values(schema: StructType) -> Column:
+    """A row's rescued values as ``map<string,string>``, built from the schema alone.
+
+    The rescued column may be JSON text or a map; NULL, unreadable text and a
+    missing column read as no values. Nested values are JSON text."""
+    texts = MapType(StringType(), StringType())
+    found = {f.name: f.dataType for f in schema.fields}.get(RESCUED_COL)
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    if found is None:
+        return none
+    read = F.col(RESCUED_COL).cast(texts) if isinstance(found, MapType) else F.from_json(RESCUED_COL, texts)
+    return F.coalesce(read, none)
+
+
+def promoted(schema: StructType, registry) -> dict[str, Column]:
+    """Columns for registered rescued keys: the typed value and ``_<key>_from_rescued``.
+
+    A value in a column of that name goes before the rescued one; the flag says
+    that the rescued value casts to the registered type."""
+    types = {f.name: f.dataType for f in schema.fields}
+    values, out = rescued_values(schema), {}
+    for key, dtype in dict(registry).items():
+        rescued = safe_cast(F.try_element_at(values, F.lit(key)), dtype, StringType())
+        own = [safe_cast(F.col(key), dtype, types[key])] if key in types else []
+        out[key] = F.coalesce(*own, rescued).alias(key)
+        out[f"_{key}_from_rescued"] = rescued.isNotNull().alias(f"_{key}_from_rescued")
+    return out
 
 
 def contract_fields(spec: DatasetSpec) -> list[FieldMap]:
     """Contract plus promoted fields and their flags (promotions reach silver)."""
-    out = list(spec.fields)
-    names = {f.name for f in out}
-    for name, typ in spec.promote:
-        if name not in names:
-            out.append(FieldMap(name, typ))
-        out.append(FieldMap(f"_{name}_from_rescued", "boolean"))
-    return out
+    out = {f.name: f for f in spec.fields}
+    for key, dtype in spec.promote:
+        out.setdefault(key, FieldMap(key, dtype))
+        out[f"_{key}_from_rescued"] = FieldMap(f"_{key}_from_rescued", "boolean")
+    return list(out.values())
 
 
 def apply_contract(df: DataFrame, spec: DatasetSpec, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Project ``df`` onto the contract in one ``select``; extra ``keep`` columns follow."""
-    present = set(df.columns)
-    cols = [contract_column(f, df.schema) for f in contract_fields(spec)]
-    names = {f.name for f in contract_fields(spec)}
-    cols += [F.col(k) for k in keep if k in present and k not in names]
-    return df.select(*cols)
+    """Project ``df`` onto the contract in one ``select``; extra ``keep`` columns follow.
+
+    A field reads its mapped column, else a column of its own name, else it is
+    NULL; promoted fields read the rescued values in the same projection."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    extra = promoted(df.schema, spec.promote)
+
+    def column(f: FieldMap) -> Column:
+        if f.name in extra:
+            return extra[f.name]
+        source = next((n for n in (f.source, f.name) if n in types), None)
+        value = F.lit(None).cast(f.dtype) if source is None else safe_cast(F.col(source), f.dtype, types[source])
+        return (apply_transforms(value, f.transforms) if source == f.source else value).alias(f.name)
+
+    fields = contract_fields(spec)
+    names = {f.name for f in fields}
+    return df.select(*map(column, fields), *[F.col(k) for k in keep if k in types and k not in names])
 
 
 def late_flag(business_date: str = "business_date", ingest_date: str = "_ingest_date",
@@ -96,12 +79,9 @@ def late_flag(business_date: str = "business_date", ingest_date: str = "_ingest_
 
 def conform(df: DataFrame, spec: DatasetSpec, settings: Settings | None = None,
             keep: tuple[str, ...] = ("_corrupt_record",)) -> DataFrame:
-    """Bronze rows -> silver staging: promote, project to contract, flag late rows."""
+    """Bronze rows -> silver staging: project to contract with promotions, flag late rows."""
     settings = settings or Settings()
-    staged = df
-    if spec.promote:
-        staged = promote_from_rescued(rescued_as_map(staged), spec.promote)
-    out = apply_contract(staged, spec, keep=keep)
+    out = apply_contract(df, spec, keep=keep)
     if spec.business_date and "_ingest_date" in out.columns:
         out = out.withColumn("_is_late_arrival",
                              late_flag(spec.business_date, "_ingest_date", settings.late_window_days))

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 HASH_COL = "_record_hash"
+LINEAGE = ("_ingest_ts", "_source_file")
 SCOPES = ("all", "watermark", "file")
 
 
 def dedupe_content(df: DataFrame, scope: str = "all", watermark_col: str = "_ingest_ts",
                    watermark_days: int | None = None) -> DataFrame:
-    """Keep one row per ``_record_hash``.
+    """Keep one row per ``_record_hash``, in batch the earliest by ingest time and file.
 
     ``all``: one survivor over all history (the original behaviour; on a stream
     the key state is kept for ever). ``watermark``: on a stream, keys are
@@ -18,14 +20,21 @@ def dedupe_content(df: DataFrame, scope: str = "all", watermark_col: str = "_ing
     come back after that). ``file``: only an exact re-delivery of the same file
     is dropped, so a return to an earlier value (A -> B -> A) survives.
 
-    In batch all three are an aggregate on the hash, planned with a map-side
-    partial step, so a record copied a billion times shrinks before the shuffle.
+    Only scope ``watermark`` sets a watermark: under ``all`` a row older than the
+    newest ingest time is kept like any other. In batch all three are an
+    aggregate on the hash, planned with a map-side partial step, so a record
+    copied a billion times shrinks before the shuffle.
     """
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
     keys = [HASH_COL, "_source_file"] if scope == "file" else [HASH_COL]
-    if df.isStreaming and watermark_days is not None:
-        df = df.withWatermark(watermark_col, f"{watermark_days} days")
-        if scope == "watermark":
-            return df.dropDuplicatesWithinWatermark(keys)
-    return df.dropDuplicates(keys)
+    if df.isStreaming and scope == "watermark":
+        if watermark_days is None:
+            raise ValueError("scope 'watermark' needs watermark_days")
+        return df.withWatermark(watermark_col, f"{watermark_days} days").dropDuplicatesWithinWatermark(keys)
+    lineage = [c for c in LINEAGE if c in df.columns and c not in keys]
+    if df.isStreaming or not lineage:
+        return df.dropDuplicates(keys)
+    rest = [c for c in df.columns if c not in keys and c not in lineage]
+    first = df.groupBy(*keys).agg(F.min(F.struct(*lineage, *rest)).alias("_row"))
+    return first.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])

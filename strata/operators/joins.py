@@ -13,11 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.scd import END_COL, START_COL, max_rows_per_key, resolve_bucket
+from strata.operators.scd import END_COL, START_COL, join_on, max_rows_per_key, resolve_bucket
 
 # Largest calendar we force-broadcast: ~2,700 years of days, ~100 bytes a row.
 MAX_BROADCAST_CALENDAR_ROWS = 1_000_000
-FAR_FUTURE = "2999-12-31 00:00:00"
 
 
 def join_current(fact: DataFrame, dim: DataFrame, keys) -> DataFrame:
@@ -40,16 +39,13 @@ def unmatched(fact: DataFrame, dim_keys: DataFrame, keys) -> DataFrame:
     return fact.join(dim_keys.select(*keys), list(keys), "left_anti")
 
 
-def matched(fact: DataFrame, dim_keys: DataFrame, keys) -> DataFrame:
-    return fact.join(dim_keys.select(*keys), list(keys), "left_semi")
-
-
 def _probe_time(probe_ts: str, versions: DataFrame, start: str) -> Column:
     return F.col(probe_ts).cast(versions.schema[start].dataType)
 
 
-def _far_future(versions: DataFrame, start: str) -> Column:
-    return F.lit(FAR_FUTURE).cast(versions.schema[start].dataType)
+def _before(t: Column, end: Column) -> Column:
+    """``t`` lies before a version's end; an open version never ends."""
+    return end.isNull() | (t < end)
 
 
 # Versions a key may have before its probes leave the pair-forming join for the sweep.
@@ -76,7 +72,7 @@ def _routed(pairwise, probe, versions, keys, probe_ts, attrs, start, end, limit,
 def asof_interval_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
                        start: str = START_COL, end: str = END_COL,
                        max_versions_per_key: int | None = MAX_VERSIONS_PER_KEY) -> DataFrame:
-    """Key equality plus ``start <= t < coalesce(end, far future)`` (half-open).
+    """Key equality plus ``start <= t`` and ``t < end`` or an open end (half-open).
 
     The dimension side is projected to key, attributes and validity first, so
     no column is ambiguous. An equi-join forms (probe, version) candidate pairs
@@ -95,7 +91,7 @@ def _interval(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
                         F.col(start).alias("_vs"), F.col(end).alias("_ve"), *attrs)
     t = _probe_time(probe_ts, versions, start)
     cond = [probe[k] == v[f"_v_{k}"] for k in keys]
-    cond += [t >= v["_vs"], t < F.coalesce(v["_ve"], _far_future(versions, start))]
+    cond += [t >= v["_vs"], _before(t, v["_ve"])]
     out = probe.join(v, cond, "inner")
     return out.select(*probe.columns, *attrs)
 
@@ -105,8 +101,9 @@ def asof_bucketed_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: st
                        max_versions_per_key: int | None = MAX_VERSIONS_PER_KEY) -> DataFrame:
     """Interval join with the candidates cut by time bucket.
 
-    Every version is exploded into the buckets its validity overlaps (an open
-    end is capped at the latest probe time, a scalar subquery), probes get the
+    Every version is exploded into the buckets its validity overlaps, clipped at
+    both ends to the probes' times (scalar subqueries), so a version dated back
+    by a century adds no empty buckets. Probes get the
     bucket of their time, and the equi-join runs on (key, bucket) with the
     range test as residual. Same result as ``asof_interval_join``; keys with
     more than ``max_versions_per_key`` versions go to the sweep.
@@ -119,16 +116,16 @@ def _bucketed(probe: DataFrame, versions: DataFrame, keys, probe_ts: str, attrs,
               start: str, end: str, bucket: str = "month") -> DataFrame:
     keys = list(keys)
     t = _probe_time(probe_ts, versions, start)
-    cap = probe.select(F.max(t)).scalar()
-    vend = F.coalesce(F.col(end), F.greatest(F.col(start), cap))
+    low, high = probe.select(F.min(t)).scalar(), probe.select(F.max(t)).scalar()
+    vstart, vend = F.greatest(F.col(start), low), F.least(F.coalesce(F.col(end), high), high)
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+    buckets = F.sequence(F.date_trunc(bucket, vstart), F.date_trunc(bucket, vend), step)
     v = versions.select(*[F.col(k).alias(f"_v_{k}") for k in keys],
                         F.col(start).alias("_vs"), F.col(end).alias("_ve"), *attrs,
-                        F.explode(F.sequence(F.date_trunc(bucket, F.col(start)),
-                                             F.date_trunc(bucket, vend), step)).alias("_vb"))
+                        F.explode(F.when(vstart <= vend, buckets)).alias("_vb"))
     p = probe.withColumn("_pb", F.date_trunc(bucket, t))
     cond = [p[k] == v[f"_v_{k}"] for k in keys] + [p["_pb"] == v["_vb"]]
-    cond += [t >= v["_vs"], t < F.coalesce(v["_ve"], _far_future(versions, start))]
+    cond += [t >= v["_vs"], _before(t, v["_ve"])]
     return p.join(v, cond, "inner").select(*probe.columns, *attrs)
 
 
@@ -168,7 +165,9 @@ def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str,
     u = P.unionByName(V)
     bucket = resolve_bucket(u, keys, bucket, "_t")
     u = u.withColumn("_b", F.date_trunc(bucket, "_t").cast(ts_type) if bucket else F.lit(0))
-    win = (Window.partitionBy(*keys, "_b").orderBy("_t", "_kind")
+    # Of versions that start together the one that lasts longest comes last, so
+    # one of no length never hides it.
+    win = (Window.partitionBy(*keys, "_b").orderBy("_t", "_kind", F.col("_v.e").asc_nulls_last())
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = u.withColumn("_cur", F.last("_v", ignorenulls=True).over(win))
     probes = u.filter(F.col("_kind") == 1)
@@ -177,17 +176,16 @@ def asof_sweep_join(probe: DataFrame, versions: DataFrame, keys, probe_ts: str,
         wk = (Window.partitionBy(*keys).orderBy("_b")
                     .rowsBetween(Window.unboundedPreceding, -1))
         summary = (u.groupBy(*keys, "_b")
-                    .agg(F.max(F.when(F.col("_kind") == 0, F.struct("_t", "_v"))).alias("_lv"))
+                    .agg(F.max(F.when(F.col("_kind") == 0, F.struct(
+                        "_t", F.col("_v.e").isNull().alias("_open"), F.col("_v.e").alias("_e"), "_v"))).alias("_lv"))
                     .withColumn("_carry", F.last(F.col("_lv._v"), ignorenulls=True).over(wk))
                     .drop("_lv"))
-        probes = probes.join(summary, [*keys, "_b"], "left")
+        probes = join_on(probes, summary, [*keys, "_b"])
         hit = F.coalesce(F.col("_cur"), F.col("_carry"))
     else:
         hit = F.col("_cur")
     probes = probes.withColumn("_hit", hit)
-    ok = F.coalesce(F.col("_hit").isNotNull()
-                    & (F.col("_t") < F.coalesce(F.col("_hit.e"), F.lit(FAR_FUTURE).cast(ts_type))),
-                    F.lit(False))
+    ok = F.coalesce(F.col("_hit").isNotNull() & _before(F.col("_t"), F.col("_hit.e")), F.lit(False))
     probe_cols = [F.col(f"_p.{c}").alias(c) for c in probe.columns]
     if how == "inner":
         return probes.filter(ok).select(*probe_cols, *[F.col(f"_hit.{a}").alias(a) for a in attrs])

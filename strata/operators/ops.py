@@ -22,7 +22,7 @@ def _rate(num: Column, den: Column) -> Column:
     return F.round(F.when(den > 0, num / den).otherwise(F.lit(0.0)), RATE_DIGITS)
 
 
-def _now(settings: Settings) -> Column:
+def now(settings: Settings) -> Column:
     return F.lit(settings.now).cast("timestamp") if settings.now else F.current_timestamp()
 
 
@@ -85,7 +85,7 @@ def freshness(tables, settings: Settings) -> DataFrame:
              for name, df, ts_col in tables]
     u = reduce(lambda a, b: a.unionByName(b), parts)
     agg = u.groupBy("dataset").agg(F.max("_ts").alias("last_ingest_ts"))
-    lag = (F.unix_micros(_now(settings)) - F.unix_micros(F.col("last_ingest_ts"))) / F.lit(3.6e9)
+    lag = (F.unix_micros(now(settings)) - F.unix_micros(F.col("last_ingest_ts"))) / F.lit(3.6e9)
     return agg.select("dataset", "last_ingest_ts", F.round(lag, 3).alias("lag_hours"),
                       (lag <= F.lit(settings.freshness_sla_hours)).alias("within_sla"))
 
@@ -113,7 +113,7 @@ def run_audit(bronze: DataFrame, dataset_col: str = "_dataset", run_col: str = "
 def retention_candidates(quarantine: DataFrame, dataset: str, settings: Settings,
                          reason_col: str = "_reject_reason", date_col: str = "_ingest_date") -> DataFrame:
     """Quarantined rows older than the retention limit, per reason and day."""
-    cutoff = F.date_sub(F.to_date(_now(settings)), settings.quarantine_retention_days)
+    cutoff = F.date_sub(F.to_date(now(settings)), settings.quarantine_retention_days)
     old = quarantine.filter(F.col(date_col) < cutoff)
     return old.groupBy(F.col(reason_col).alias("reason"), F.col(date_col).alias("ingest_date")).agg(
         F.count(F.lit(1)).alias("rows")).select(F.lit(dataset).alias("dataset"), "reason",
@@ -121,7 +121,8 @@ def retention_candidates(quarantine: DataFrame, dataset: str, settings: Settings
 
 
 def enforce_retention(quarantine: DataFrame, settings: Settings, date_col: str = "_ingest_date") -> DataFrame:
-    """The quarantine without rows past the retention limit.
+    """The quarantine without rows past the retention limit; rows without a date,
+    which are never candidates either, stay.
 
     Write it as the next version of the table (a new location, then point
     readers at it): with the table partitioned by ingest date, expired dates
@@ -129,8 +130,8 @@ def enforce_retention(quarantine: DataFrame, settings: Settings, date_col: str =
     would only replace partitions present in the kept rows and leave expired
     ones behind.
     """
-    cutoff = F.date_sub(F.to_date(_now(settings)), settings.quarantine_retention_days)
-    return quarantine.filter(F.col(date_col) >= cutoff)
+    cutoff = F.date_sub(F.to_date(now(settings)), settings.quarantine_retention_days)
+    return quarantine.filter(F.col(date_col).isNull() | (F.col(date_col) >= cutoff))
 
 
 def guardrails(checks) -> DataFrame:

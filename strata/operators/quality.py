@@ -22,6 +22,7 @@ REASON_COL = "_reject_reason"
 LATE_COL = "_is_late_arrival"
 CORRUPT_COL = "_corrupt_record"
 LATE_REASON = "late_arrival"
+OUTSIDE_WINDOW = "outside_backfill_window"
 TAG_COLUMNS = ("_replay_id", "_backfill_id", "_backfill_reason")
 
 
@@ -159,6 +160,35 @@ def feed_from_classified(classified: DataFrame, settings: Settings) -> DataFrame
     return with_tags(rows)
 
 
+def carry_replayed(quarantine: DataFrame, replay_log: DataFrame) -> DataFrame:
+    """Late rows that an earlier replay let in, tagged with its id again.
+
+    A rebuild of the merged table reads them from here, so a record replayed
+    once stays in whatever run comes after it."""
+    earlier = replay_log.groupBy("_record_hash").agg(F.min("_replay_id").alias("_earlier"))
+    rows = quarantine.filter(F.col(REASON_COL) == F.lit(LATE_REASON)).join(earlier, "_record_hash")
+    rows = rows.drop(*[c for c in (REASON_COL, LATE_COL, CORRUPT_COL) if c in rows.columns])
+    return with_tags(rows).withColumn("_replay_id", F.col("_earlier")).drop("_earlier")
+
+
+def split_backfill(classified: DataFrame, settings: Settings,
+                   business_date: str = "business_date") -> tuple[DataFrame, DataFrame]:
+    """(kept, quarantine) of classified backfill rows; both carry the backfill tags.
+
+    A row that passes the rules but whose business date lies outside the window
+    is quarantined as ``outside_backfill_window``, so every row ends up in one
+    of the two."""
+    if settings.backfill_id is None or settings.backfill_reason is None:
+        raise ValueError("backfill_enabled requires backfill_id and backfill_reason")
+    inside = F.col(business_date).between(F.lit(settings.backfill_start).cast("date"),
+                                          F.lit(settings.backfill_end).cast("date"))
+    reason = F.when(F.col(REASON_COL).isNotNull(), F.col(REASON_COL)).when(
+        ~F.coalesce(inside, F.lit(False)), F.lit(OUTSIDE_WINDOW))
+    rows = with_tags(classified.withColumn(REASON_COL, reason), _backfill_id=settings.backfill_id,
+                     _backfill_reason=settings.backfill_reason)
+    return valid_rows(rows), quarantined_rows(rows)
+
+
 def replay_registry(replayed: DataFrame) -> DataFrame:
     """Rows to append to the replay log: one per (replay id, record) with its count.
 

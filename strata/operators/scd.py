@@ -13,6 +13,8 @@ Both are written so that one hot key cannot pin a single task:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
@@ -51,6 +53,13 @@ def resolve_bucket(df: DataFrame, keys, bucket: str | None, time_col: str,
     return BUCKET_UNITS[-1]
 
 
+def join_on(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
+    """Join on ``keys`` with NULL matching NULL; the left side's keys stay."""
+    r = right.select(*[F.col(c).alias(f"_on_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"_on_{k}"]) for k in keys])
+    return left.join(r, cond, how).drop(*[f"_on_{k}" for k in keys])
+
+
 def _orderable(df: DataFrame, cols) -> list[str]:
     return [c for c in cols if not isinstance(df.schema[c].dataType, MapType)]
 
@@ -89,11 +98,12 @@ def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str |
     such as "day" (a key's rows are split over its time buckets), or "auto"
     (buckets only when a key is hot, as fine as needed, see ``resolve_bucket``).
     ``open_first_version`` back-dates each key's first version to
-    ``OPEN_START``, so facts dated before the key's first load still match it.
+    ``OPEN_START`` (never later than it began), so facts dated before the key's
+    first load still match it. A NULL key is a key of its own.
     """
     keys = list(keys)
     bucket = resolve_bucket(df, keys, bucket, sequence)
-    floor = F.lit(OPEN_START).cast(df.schema[sequence].dataType)
+    floor = F.least(F.lit(OPEN_START).cast(df.schema[sequence].dataType), F.col(sequence))
     order = [F.col(sequence)] + [F.col(c) for c in (tiebreak or [])]
     t = F.struct(*[F.col(c) for c in track])
     x = df.withColumn("_t", t)
@@ -127,7 +137,7 @@ def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str |
     summary = (summary.withColumn("_change", F.when(opens, F.col("_first_seq")).otherwise(F.col("_first_inner")))
                       .withColumn("_next_bucket", F.first("_change", ignorenulls=True).over(later))
                       .select(*keys, "_b", "_carry", "_next_bucket"))
-    x = x.join(summary, [*keys, "_b"], "left")
+    x = join_on(x, summary, [*keys, "_b"])
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     v = x.filter(prev.isNull() | ~prev.eqNullSafe(F.col("_t")))
     v = v.withColumn("_next", F.lead(sequence).over(wkb))

@@ -1,7 +1,7 @@
 """The layered pipeline for the original two datasets: city (dimension) and trips (fact).
 
-``run_batch`` builds every table from CSV drops: bronze (ingest, hash,
-de-duplicate), silver (contract, rules, quarantine, late policy, replay,
+``run_batch`` builds every table from CSV drops: bronze (append-only: new files,
+hash, de-duplicate), silver (contract, rules, quarantine, late policy, replay,
 backfill, type 1 / type 2), gold (current and as-of facts, daily roll-up) and
 the drift / ops tables. Each table is written once and read back, so later
 stages start from storage (lineage cut, restartable), never from a cache.
@@ -9,19 +9,23 @@ stages start from storage (lineage cut, restartable), never from a cache.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import calendar as cal
 from strata.operators import drift, joins, ops, quality, scd
-from strata.operators.conform import conform
+from strata.operators.conform import conform, contract_fields
 from strata.operators.dedupe import dedupe_content
 from strata.operators.metadata import add_ingest_metadata
-from strata.sources.csv_drops import observed_headers, read_drops
+from strata.sources.csv_drops import list_drop_files, observed_headers, read_drops
 from strata.sources.sinks import write_table
 from strata.sources.tables import table_exists
 from strata.spec import DatasetSpec, FieldMap, HashPart, Rule, Settings
 
+# Names and types of the lineage columns.
 LINEAGE_FIELDS = (
     FieldMap("_ingest_ts", "timestamp"),
     FieldMap("_ingest_date", "date"),
@@ -92,10 +96,12 @@ TRIPS = DatasetSpec(
 )
 
 
+BACKFILL = replace(TRIPS, name="trips_backfill")
+
+
 def with_promotions(spec: DatasetSpec, promote) -> DatasetSpec:
     """The spec with registered rescued fields promoted into silver."""
-    from dataclasses import replace
-    return replace(spec, promote=tuple(dict(promote).items()))
+    return replace(spec, promote=tuple(dict(promote or {}).items()))
 
 
 def bronze(spark: SparkSession, location, spec: DatasetSpec, settings: Settings,
@@ -107,14 +113,50 @@ def bronze(spark: SparkSession, location, spec: DatasetSpec, settings: Settings,
     return dedupe_content(meta, scope)
 
 
+def ingest(spark: SparkSession, location, spec: DatasetSpec, settings: Settings, path: str,
+           scope: str = "all") -> DataFrame:
+    """Append the rows of drop files not ingested before to the bronze table at ``path``.
+
+    A row keeps the ingest time of the run that first saw it, so later rebuilds
+    judge lateness and date versions as the first did. Rows are compared by hash
+    with the whole table, so a run that stopped before it logged its files adds
+    nothing twice when it is repeated. ``<path>_files`` lists what was read."""
+    files = (list_drop_files(spark, location) if isinstance(location, str)
+             else spark.createDataFrame([(p,) for p in location], "path string"))
+    log, known = f"{path}_files", table_exists(spark, path)
+    if known and table_exists(spark, log):
+        files = files.join(spark.read.parquet(log).select(*files.columns), files.columns, "left_anti")
+    # one path for each new file: what the reader below and Spark's file index hold anyway
+    paths = [r["path"] for r in files.select("path").collect()]
+    if paths:
+        new = bronze(spark, paths, spec, settings, scope)
+        if known:
+            keys = ["_record_hash", "_source_file"] if scope == "file" else ["_record_hash"]
+            new = new.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti")
+        write_table(new, path, mode="append", partition_by=["_ingest_yyyymmdd"])
+        listed = spark.createDataFrame([(p,) for p in paths], "path string")
+        write_table(files.join(listed, "path", "left_semi"), log, mode="append")
+    elif not known:
+        raise ValueError(f"no drop files under {location}")
+    return spark.read.parquet(path)
+
+
 def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
               settings: Settings | None = None, backfill_location=None, dedupe_scope: str = "all",
-              asof_strategy: str = "sweep", open_first_version: bool = True) -> dict[str, str]:
-    """Build every table; returns table name -> path.
+              asof_strategy: str = "sweep", open_first_version: bool = True,
+              promote: dict[str, dict] | None = None) -> dict[str, str]:
+    """Ingest new drops into bronze, rebuild every other table; returns table name -> path.
 
     ``open_first_version=False`` keeps the original behaviour where a city's
     first version starts at its first ingest, so older trips find no version.
+    ``promote``: rescued fields to promote, e.g. ``{"trips": {"tip": "double"}}``.
     """
+    promote = promote or {}
+    if set(promote) - {"city", "trips"}:
+        raise ValueError(f"unknown dataset in promote: {sorted(set(promote) - {'city', 'trips'})}")
+    city_spec, trips_spec = (with_promotions(x, promote.get(x.name)) for x in (CITY, TRIPS))
+    backfill_spec = replace(trips_spec, name=BACKFILL.name)
+    trips_columns = [f.name for f in contract_fields(trips_spec)]
     settings = settings or Settings()
     root = out_root.rstrip("/")
     out: dict[str, str] = {}
@@ -126,20 +168,20 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
         out[name] = write_table(df, path(name), partition_by=partition_by)
         return spark.read.parquet(out[name])
 
-    # Bronze
-    b_city = save("bronze_city", bronze(spark, city_location, CITY, settings, dedupe_scope),
-                  ["_ingest_yyyymmdd"])
-    b_trips = save("bronze_trips", bronze(spark, trips_location, TRIPS, settings, dedupe_scope),
-                   ["_ingest_yyyymmdd"])
+    def land(spec: DatasetSpec, location) -> DataFrame:
+        name = f"bronze_{spec.name}"
+        out[name] = path(name)
+        return ingest(spark, location, spec, settings, path(name), dedupe_scope)
+
+    # Bronze: append-only
+    b_city, b_trips = land(city_spec, city_location), land(trips_spec, trips_location)
     b_backfill = None
     if settings.backfill_enabled and backfill_location is not None:
-        b_backfill = save("bronze_trips_backfill",
-                          bronze(spark, backfill_location, TRIPS, settings, dedupe_scope),
-                          ["_ingest_yyyymmdd"])
+        b_backfill = land(backfill_spec, backfill_location)
 
     # Silver: one classification per dataset, written once; valid and quarantine read it.
-    city_c = save("silver_city_staging", quality.classify(conform(b_city, CITY, settings), CITY))
-    trips_c = save("silver_trips_staging", quality.classify(conform(b_trips, TRIPS, settings), TRIPS))
+    city_c = save("silver_city_staging", quality.classify(conform(b_city, city_spec, settings), city_spec))
+    trips_c = save("silver_trips_staging", quality.classify(conform(b_trips, trips_spec, settings), trips_spec))
     q_city = save("quarantine_city", quality.quarantined_rows(city_c))
     q_trips = save("quarantine_trips", quality.quarantined_rows(trips_c))
 
@@ -150,32 +192,39 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
 
     log_path = path("replay_log")
     previous = spark.read.parquet(log_path) if table_exists(spark, log_path) else None
+    carried = quality.carry_replayed(q_trips, previous) if previous is not None else None
     replay = quality.replay_late(q_trips, settings, previous)
+    backfill = None
+    if b_backfill is not None:
+        b_c = save("silver_trips_backfill_staging", quality.classify(
+            conform(b_backfill, backfill_spec, settings), backfill_spec, waive_late=True))
+        backfill, refused = quality.split_backfill(b_c, settings)
+        save("quarantine_trips_backfill", refused)
+    feed = quality.change_feed(quality.valid_rows(trips_c), carried, replay, backfill)
+    trips = save("silver_trips", scd.scd1(feed.select(*trips_columns), list(TRIPS.keys), list(SEQUENCE)))
     if replay is not None:
+        # logged once the rows are in: a run that stops before this replays them again
         quality.replay_registry(replay).write.mode("append").parquet(log_path)
+    if replay is not None or previous is not None:
         out["replay_log"] = log_path
-    backfill = None
-    if b_backfill is not None:
-        staged = quality.backfill_window(conform(b_backfill, TRIPS, settings), settings)
-        backfill = quality.valid_rows(quality.classify(staged, TRIPS, waive_late=True))
-    feed = quality.change_feed(quality.valid_rows(trips_c), replay, backfill)
-    trips = save("silver_trips", scd.scd1(feed.select(*TRIPS.field_names), list(TRIPS.keys),
-                                          list(SEQUENCE)))
     calendar = save("silver_calendar", cal.calendar(spark, settings.calendar_start, settings.calendar_end))
+    save("dim_date", calendar)
     n_days = cal.calendar_rows(settings.calendar_start, settings.calendar_end)
     dim_current = save("dim_city_current",
                        scd.current_rows(city_hist).select("city_id", "city_name"))
     save("silver_trips_unmatched_city", joins.unmatched(trips, dim_current, ["city_id"]))
+    save("silver_trips_unmatched_date", joins.unmatched(
+        trips, calendar.select(F.col("date").alias("business_date")), ["business_date"]))
 
     # Gold
     measures = ["distance_travelled", "fare_amount", "passenger_rating", "driver_rating", "passenger_type"]
     tags = ["_ingest_run_id", "_replay_id", "_backfill_id"]
+    load_ts = ops.now(settings).alias("_load_ts")
     cur = joins.join_calendar(joins.join_current(trips, dim_current, ["city_id"]), calendar,
                               "business_date", n_days)
     fact_current = save("fact_trips_current", cur.select(
         "trip_id", "city_id", "date_key", "year", "month", F.lit(1).cast("int").alias("trip_count"),
-        *measures, F.lit(settings.now).cast("timestamp").alias("_load_ts") if settings.now
-        else F.current_timestamp().alias("_load_ts"), *tags))
+        *measures, load_ts, *tags))
     versions = city_hist.select("city_id", F.col("city_name").alias("city_name_asof"),
                                 scd.START_COL, scd.END_COL)
     probes = trips.withColumn("_probe_ts", F.to_timestamp(F.col("business_date")))
@@ -185,7 +234,7 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
                                calendar, "business_date", n_days)
     fact_asof = save("fact_trips_asof", asof.select(
         "trip_id", "city_id", "city_name_asof", "date_key", "year", "month",
-        F.lit(1).cast("int").alias("trip_count"), *measures, *tags))
+        F.lit(1).cast("int").alias("trip_count"), *measures, load_ts, *tags))
     save("fact_trips_daily", fact_current.groupBy("date_key", "city_id", "passenger_type").agg(
         F.sum("trip_count").cast("bigint").alias("trip_count"),
         F.sum("distance_travelled").alias("distance_travelled"),
@@ -194,13 +243,16 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
         F.round(F.avg("driver_rating"), 4).alias("avg_driver_rating")))
 
     # Drift and ops
-    td = save("type_drift_log", drift.type_drift(b_trips, "trips", TRIPS.drift_fields).unionByName(
-        drift.type_drift(b_city, "city", CITY.drift_fields)))
-    save("type_drift_guardrails", drift.type_drift_rollup(td))
+    landed = [("city", b_city, CITY, city_location), ("trips", b_trips, TRIPS, trips_location)]
+    if b_backfill is not None:
+        landed.append((BACKFILL.name, b_backfill, BACKFILL, backfill_location))
+    td = save("type_drift_log", drift.stamped(reduce(DataFrame.unionByName, [
+        drift.type_drift(b, name, x.drift_fields) for name, b, x, _ in landed]), "_logged_at", settings))
+    save("type_drift_guardrails", drift.stamped(drift.type_drift_rollup(td), "_checked_at", settings))
     save("rescued_city_profile", drift.rescued_profile(b_city))
     save("rescued_trips_profile", drift.rescued_profile(b_trips))
     obs = []
-    for name, loc, spec in (("city", city_location, CITY), ("trips", trips_location, TRIPS)):
+    for name, _, spec, loc in landed:
         if isinstance(loc, str):
             h = observed_headers(spark, loc).select(
                 F.lit(name).alias("dataset"), F.lit("bronze").alias("layer"),
@@ -210,24 +262,21 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
                 F.array(*[F.lit(c) for c in spec.known_columns]).cast("array<string>").alias("known_cols"))
             obs.append(h)
     if obs:
-        u = obs[0] if len(obs) == 1 else obs[0].unionByName(obs[1])
-        save("schema_drift_log", drift.schema_drift(u))
-    bronze_all = b_city.unionByName(b_trips, allowMissingColumns=True)
+        save("schema_drift_log", drift.schema_drift(reduce(DataFrame.unionByName, obs)))
+    bronze_all = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [b for _, b, _, _ in landed])
     save("bronze_ingest_quality", ops.ingest_quality(bronze_all))
     save("ops_run_audit", ops.run_audit(bronze_all))
     jd = save("join_drop_summary", ops.join_drop("current", trips, fact_current).unionByName(
         ops.join_drop("asof", trips, fact_asof)))
     dq = save("data_quality_summary", ops.data_quality(trips_c, "trips").unionByName(
         ops.data_quality(city_c, "city")))
-    fr = save("freshness_summary", ops.freshness([("city", b_city, "_ingest_ts"),
-                                                  ("trips", b_trips, "_ingest_ts")], settings))
+    fr = save("freshness_summary", ops.freshness([(name, b, "_ingest_ts") for name, b, _, _ in landed], settings))
     save("quarantine_retention_candidates", ops.retention_candidates(q_trips, "trips", settings).unionByName(
         ops.retention_candidates(q_city, "city", settings)))
     iq = ops.ingest_quality(bronze_all).agg(
         (F.sum("corrupt_rows") / F.sum("rows")).alias("corrupt"), (F.sum("rescued_rows") / F.sum("rows")).alias("rescued"))
     checks = [
-        ("max_quarantine_rate", dq.filter(F.col("dataset") == "trips").agg(
-            F.max("quarantine_rate").alias("observed")), settings.max_quarantine_rate),
+        ("max_quarantine_rate", dq.agg(F.max("quarantine_rate").alias("observed")), settings.max_quarantine_rate),
         ("max_join_drop_rate_current", jd.filter(F.col("model") == "current").select(
             F.col("drop_rate").alias("observed")), settings.max_join_drop_rate_current),
         ("max_join_drop_rate_asof", jd.filter(F.col("model") == "asof").select(

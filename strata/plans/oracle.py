@@ -26,9 +26,9 @@ def _part(c: str, kind: str) -> str:
     if kind == "key":
         e = _text(c, upper=True)
     elif kind == "number":
-        e = f"format('{{:,.6f}}', TRY_CAST({c} AS DOUBLE))"
+        e = f"coalesce(format('{{:,.6f}}', TRY_CAST({c} AS DOUBLE)), {_text(c)})"
     elif kind == "date":
-        e = f"strftime(TRY_CAST({c} AS DATE), '%Y-%m-%d')"
+        e = f"coalesce(strftime(TRY_CAST({c} AS DATE), '%Y-%m-%d'), {_text(c)})"
     else:
         e = _text(c)
     return _esc(f"coalesce({e}, '')")
@@ -104,7 +104,7 @@ FROM (SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
              CAST(o_orderdate AS DATE) AS business_date,
              CAST(l_shipdate AS DATE) AS _ingest_date,
              CAST(o_orderdate AS DATE) < CAST(l_shipdate AS DATE) - 7 AS _is_late_arrival
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+      FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)"""
 
 HISTORY = """
 SELECT user_id, event_type, ts AS __START_AT,
@@ -137,7 +137,7 @@ WITH hist AS ({HISTORY}),
 p AS (SELECT event_id, user_id, date_trunc('hour', ts) AS probe_ts FROM events)
 SELECT p.event_id, p.user_id, p.probe_ts, h.event_type AS event_type_asof
 FROM p JOIN hist h ON p.user_id = h.user_id AND p.probe_ts >= h.__START_AT
- AND p.probe_ts < coalesce(h.__END_AT, TIMESTAMP '2999-12-31 00:00:00')"""
+ AND (h.__END_AT IS NULL OR p.probe_ts < h.__END_AT)"""
 
 ORDERS_TEXT = """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
@@ -270,9 +270,10 @@ ORACLE = {
     "record_hash": f"SELECT c_custkey, {_hash([(h.column, h.kind) for h in specs.CUSTOMER.hash_parts])} "
                    f"AS _record_hash FROM customer",
     "content_dedupe": f"SELECT DISTINCT l_orderkey, l_linenumber, "
-                      f"{_hash([('l_orderkey', 'text'), ('l_linenumber', 'text')])} AS _record_hash "
-                      f"FROM (SELECT l_orderkey, l_linenumber FROM lineitem "
-                      f"UNION ALL SELECT l_orderkey, l_linenumber FROM lineitem)",
+                      f"{_hash([(h.column, h.kind) for h in specs.LINE_CONTENT])} AS _record_hash "
+                      f"FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)",
+    "record_hash_dates": f"SELECT o_orderkey, {_hash([(h.column, h.kind) for h in specs.ORDERS.hash_parts])} "
+                         f"AS _record_hash FROM orders",
     "rules_valid": f"SELECT {CUSTOMER_COLS} FROM ({CUSTOMER_CLASSIFIED}) WHERE _reject_reason IS NULL",
     "quarantine_reason": f"SELECT {CUSTOMER_COLS}, _reject_reason FROM ({CUSTOMER_CLASSIFIED}) "
                          f"WHERE _reject_reason IS NOT NULL",
@@ -321,8 +322,7 @@ FROM (SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_o
     "fact_asof_bucketed": ASOF,
     "fact_asof_sweep": ASOF,
     "unmatched": f"{WITH_BASE} SELECT order_id, customer_id FROM ov WHERE NOT EXISTS "
-                 f"(SELECT 1 FROM cv WHERE cv.market_segment = '{specs.UNMATCHED_SEGMENT}' "
-                 f"AND cv.customer_id = ov.customer_id)",
+                 f"(SELECT 1 FROM cv WHERE cv.customer_id = ov.customer_id)",
     "fact_daily": f"{WITH_BASE} SELECT date_key, order_priority, CAST(sum(order_count) AS BIGINT) AS order_count, "
                   f"CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS total_price, "
                   f"max(total_price) AS max_total_price FROM fact GROUP BY 1, 2",

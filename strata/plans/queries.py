@@ -13,7 +13,7 @@ from strata.functions.normalize import record_hash
 from strata.functions.transforms import apply_transforms
 from strata.operators import calendar as cal
 from strata.operators import drift, joins, ops, quality, scd
-from strata.operators.conform import apply_contract, conform, promote_from_rescued, rescued_as_map
+from strata.operators.conform import apply_contract, conform, promoted
 from strata.operators.dedupe import dedupe_content
 from strata.plans import specs
 from strata.plans.bronze import events_bronze, orders_text
@@ -41,16 +41,18 @@ def customer_classified(spark, root) -> DataFrame:
 
 
 def customer_dim(spark, root) -> DataFrame:
-    """Current customer dimension: the valid rows (one per key in this table)."""
-    return quality.valid_rows(customer_classified(spark, root))
+    """Current customer dimension: one valid row per key."""
+    valid = quality.valid_rows(customer_classified(spark, root))
+    return scd.scd1(valid, ["customer_id"], ["customer_name"])
 
 
 def lines_staged(spark, root) -> DataFrame:
-    """Line items with their order date as business date and ship date as ingest date."""
+    """Line items with their order date as business date and ship date as ingest date;
+    a line without an order has no business date and is rejected for that."""
     li = read_table(spark, root, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                               "l_quantity", "l_discount", "l_extendedprice", "l_shipdate"])
     o = read_table(spark, root, "orders", ["o_orderkey", "o_orderdate"])
-    joined = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    joined = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
     return conform(joined, specs.LINES)
 
 
@@ -106,13 +108,18 @@ def q_record_hash(spark, root):
 
 
 def q_content_dedupe(spark, root):
-    """Line items delivered twice; one survivor per content hash."""
-    li = read_table(spark, root, "lineitem", ["l_orderkey", "l_linenumber"])
-    parts = (HashPart("l_orderkey"), HashPart("l_linenumber"))
-    redelivered = li.unionByName(li).withColumn("_record_hash", record_hash(parts, li.schema))
+    """Line items delivered twice; one survivor per hash of the whole content."""
+    li = read_table(spark, root, "lineitem")
+    redelivered = li.unionByName(li).withColumn("_record_hash", record_hash(specs.LINE_CONTENT, li.schema))
     return dedupe_content(redelivered).select("l_orderkey", "l_linenumber", "_record_hash")
 
 
+def q_record_hash_dates(spark, root):
+    """Content hash with a date part."""
+    o = read_table(spark, root, "orders")
+    return o.select("o_orderkey", record_hash(specs.ORDERS.hash_parts, o.schema).alias("_record_hash"))
+
+
 # ---------------------------------------------------------------- rules
 
 
@@ -227,9 +234,8 @@ def q_fact_asof_sweep(spark, root):
 
 
 def q_unmatched(spark, root):
-    """Orders whose customer is not in the (one-segment) dimension."""
-    dim = customer_dim(spark, root).filter(F.col("market_segment") == specs.UNMATCHED_SEGMENT)
-    return joins.unmatched(orders_valid(spark, root), dim, ["customer_id"]).select("order_id", "customer_id")
+    """Orders whose customer is not in the dimension (rejected customers aren't)."""
+    return joins.unmatched(orders_valid(spark, root), customer_dim(spark, root), ["customer_id"]).select("order_id", "customer_id")
 
 
 def q_fact_daily(spark, root):
@@ -269,8 +275,7 @@ def q_rescued_profile(spark, root):
 def q_rescued_promote(spark, root):
     """Rescued key ``k`` promoted to an int column with its flag."""
     ev = read_table(spark, root, "events", ["event_id", "props"]).withColumnRenamed("props", "_rescued_data")
-    out = promote_from_rescued(rescued_as_map(ev), specs.EVENTS.promote)
-    return out.select("event_id", "k", "_k_from_rescued")
+    return ev.select("event_id", *promoted(ev.schema, specs.EVENTS.promote).values())
 
 
 def q_schema_drift(spark, root):
@@ -390,6 +395,7 @@ QUERIES = {
     "initcap_transform": q_initcap_transform,
     "record_hash": q_record_hash,
     "content_dedupe": q_content_dedupe,
+    "record_hash_dates": q_record_hash_dates,
     "rules_valid": q_rules_valid,
     "quarantine_reason": q_quarantine_reason,
     "quarantine_null_safe": q_quarantine_null_safe,

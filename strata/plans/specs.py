@@ -120,12 +120,18 @@ EVENTS = DatasetSpec(
     promote=(("k", "int"),),
 )
 
+# Every column of a line item, for its content hash.
+LINE_CONTENT = (
+    HashPart("l_orderkey"), HashPart("l_partkey"), HashPart("l_suppkey"), HashPart("l_linenumber"),
+    HashPart("l_quantity", "number"), HashPart("l_extendedprice", "number"), HashPart("l_discount", "number"),
+    HashPart("l_tax", "number"), HashPart("l_returnflag"), HashPart("l_linestatus"), HashPart("l_shipdate", "date"),
+)
+
 # Fixed run parameters of the benchmark queries.
 CALENDAR_START = "1995-01-01"
-CALENDAR_END = "2000-12-31"
+CALENDAR_END = "2001-12-31"
 REPLAY = Settings(replay_enabled=True, replay_id="replay-r1")
 BACKFILL = Settings(backfill_enabled=True, backfill_start="1996-01-01", backfill_end="1996-12-31",
                     backfill_id="bf-1996", backfill_reason="restatement")
 EVENTS_NOW = Settings(now="2024-02-01 00:00:00")
 LINES_NOW = Settings(now="2001-06-01 00:00:00")
-UNMATCHED_SEGMENT = "building"

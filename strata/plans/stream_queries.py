@@ -17,7 +17,7 @@ from strata.operators import scd
 from strata.operators.dedupe import dedupe_content
 from strata.session import scratch_path
 from strata.sources.tables import read_table
-from strata.spec import HashPart
+from strata.plans import specs
 from strata.streaming.runner import BUCKET_COL, _await, merge_stream, profile_stream, table_files_stream
 
 DROP_FILES = 4
@@ -32,12 +32,11 @@ def _drops(spark: SparkSession, root: str, table: str, cols, copies: int = 1) ->
 
 
 def q_stream_dedupe(spark: SparkSession, root: str) -> DataFrame:
-    """W1/D1 streaming: two deliveries of line items, one survivor per hash."""
-    base, drops = _drops(spark, root, "lineitem", ["l_orderkey", "l_linenumber"], copies=2)
-    parts = (HashPart("l_orderkey"), HashPart("l_linenumber"))
-    stream = table_files_stream(spark, drops, max_files_per_trigger=2).withColumns({
-        "_record_hash": record_hash(parts), "_ingest_ts": F.current_timestamp()})
-    out = dedupe_content(stream, "all", "_ingest_ts", watermark_days=3)
+    """W1/D1 streaming: two deliveries of line items, one survivor per hash of the whole content."""
+    base, drops = _drops(spark, root, "lineitem", None, copies=2)
+    files = table_files_stream(spark, drops, max_files_per_trigger=2)
+    stream = files.select("l_orderkey", "l_linenumber", record_hash(specs.LINE_CONTENT, files.schema).alias("_record_hash"))
+    out = dedupe_content(stream, "all")
     q = (out.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True)
          .start(f"{base}/bronze"))
@@ -74,7 +73,6 @@ def q_stream_profile(spark: SparkSession, root: str) -> DataFrame:
 def q_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
     """S16/F4-F7 streaming: customer drops classified per micro-batch; the
     quarantine sink (written with the valid rows from one pass) read back."""
-    from strata.plans import specs
     from strata.spec import Settings
     from strata.streaming.runner import silver_split
     base, drops = _drops(spark, root, "customer", None)
@@ -86,7 +84,6 @@ def q_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
 
 def q_stream_type_drift(spark: SparkSession, root: str) -> DataFrame:
     """A2/W5 streaming: orders as all-text drops, drift counted by a complete-mode aggregate."""
-    from strata.plans import specs
     from strata.plans.bronze import orders_text
     from strata.streaming.runner import type_drift_stream
     base = scratch_path(spark, "stream-orders-text")

@@ -142,8 +142,8 @@ def read_drops(spark: SparkSession, location: str | list[str], declared=None, he
     """Bronze rows of every CSV drop under ``location`` (or of the given file list).
 
     ``declared``: the columns kept as columns (sanitised names); others are
-    rescued. None keeps every column. ``headers="uniform"`` skips the header
-    scan and reads all files with the first file's header.
+    rescued. None keeps every column. ``headers="uniform"`` expects one header
+    for all files and raises on a second one; only that header reaches the driver.
     """
     opts = dict(CSV_OPTIONS, **(options or {}))
     if isinstance(location, str):
@@ -155,7 +155,10 @@ def read_drops(spark: SparkSession, location: str | list[str], declared=None, he
         paths = [r["path"] for r in paths_df.select("path").collect()]
         if not paths:
             raise ValueError(f"no drop files under {location}")
-        groups = {tuple(first_record(paths[0])): paths}
+        kinds = scan_headers(paths_df).select("header").distinct().limit(2).collect()
+        if len(kinds) > 1:
+            raise ValueError(f"headers differ under {location}: {kinds[0]['header']} and {kinds[1]['header']}")
+        groups = {tuple(kinds[0]["header"]): paths}
     else:
         groups: dict[tuple, list[str]] = {}
         for r in scan_headers(paths_df).collect():

@@ -45,10 +45,11 @@ def as_strings(df: DataFrame, date_columns=(), keep=()) -> DataFrame:
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a parquet table with at least one file is at ``path``."""
     try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def read_partitions(spark: SparkSession, path: str, column: str, values) -> DataFrame:

@@ -85,7 +85,7 @@ def _by_keys(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
 
 def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: str, buckets: int,
                 sequence, track=None, tiebreak=None, staging: str | None = None,
-                batch_id: int = 0, bucket: str | None = "auto") -> None:
+                batch_id: int = 0, bucket: str | None = "auto", open_first_version: bool = False) -> None:
     """Merge one batch of change rows into the bucketed table at ``table``.
 
     Only the touched ``_bucket`` partitions are read and replaced.
@@ -118,7 +118,8 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: s
         rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{log}/_batch={batch_id}")
         logged = spark.read.parquet(log).filter(F.col(BUCKET_COL).isin(touched)).select(*cols)
         mine = _by_keys(logged, batch_keys, keys, "left_semi")
-        merged = scd.scd2(mine, keys, seq[0], track, tiebreak=order_rest, bucket=bucket)
+        merged = scd.scd2(mine, keys, seq[0], track, tiebreak=order_rest, bucket=bucket,
+                          open_first_version=open_first_version)
     else:
         raise ValueError("kind must be scd1 or scd2")
     if current is not None:
@@ -134,11 +135,13 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: s
 
 
 def merge_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str, keys, kind: str,
-                 sequence, track=None, tiebreak=None, buckets: int = 64, bucket: str | None = "auto"):
+                 sequence, track=None, tiebreak=None, buckets: int = 64, bucket: str | None = "auto",
+                 open_first_version: bool = False):
     """Run ``stream`` to completion, merging every micro-batch into ``table``."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         merge_batch(spark, batch, table, keys, kind, buckets, sequence, track, tiebreak,
-                    staging=f"{checkpoint}/staging", batch_id=batch_id, bucket=bucket)
+                    staging=f"{checkpoint}/staging", batch_id=batch_id, bucket=bucket,
+                    open_first_version=open_first_version)
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{checkpoint}/state")
          .trigger(availableNow=True).start())
@@ -147,9 +150,8 @@ def merge_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint:
 
 def profile_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str):
     """Rescued-key counts over the whole stream, complete mode, rewritten each batch."""
-    from strata.operators.conform import RESCUED_MAP_COL, rescued_as_map
-    counts = (rescued_as_map(stream).select(F.explode(F.map_keys(F.col(RESCUED_MAP_COL))).alias("rescued_key"))
-              .groupBy("rescued_key").count())
+    from strata.operators.drift import rescued_counts
+    counts = rescued_counts(stream)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(table)

@@ -1,11 +1,13 @@
 """End to end on the hand-written drops of FIXTURES.md."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
 from strata.operators import quality
-from strata.operators.conform import conform, promote_from_rescued, rescued_as_map
+from strata.operators.conform import conform, promoted
 from strata.plans import layers
 from strata.sources.csv_drops import read_drops
 from strata.spec import Settings
@@ -81,8 +83,8 @@ def test_promotion_from_rescued(spark, built):   # P9-P11, B19
     spec = layers.with_promotions(layers.CITY, {"region": "string"})
     row = conform(b, spec).first()
     assert (row["region"], row["_region_from_rescued"]) == ("North", True)
-    empty = promote_from_rescued(rescued_as_map(built["bronze_city"].filter(F.col("city_id") == "C1")),
-                                 {"region": "string"}).first()
+    other = built["bronze_city"].filter(F.col("city_id") == "C1")
+    empty = other.select(*promoted(other.schema, {"region": "string"}).values()).first()
     assert (empty["region"], empty["_region_from_rescued"]) == (None, False)
 
 
@@ -100,6 +102,9 @@ def test_uniform_header_switch(spark, built):
     fx.trips_csv(root)
     df = read_drops(spark, root, declared=layers.TRIPS.required_columns, headers="uniform")
     assert df.count() == 16
+    fx.write(root + "/other.csv", "City Name,City ID\nAgra,C2\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        read_drops(spark, root, declared=["city_id"], headers="uniform")
 
 
 def test_replay_and_backfill_policies(spark, built):   # F8, F9, B10
@@ -176,7 +181,37 @@ def test_pipeline_with_backfill_and_replay(spark):   # S3, F8, F9, X11, B10, B11
     assert sorted(trips) == ["B1", "T1", "T10", "T14", "T15", "T9"]
     log = spark.read.parquet(out["replay_log"]).collect()
     assert [(r["_replay_id"], r["rows"]) for r in log] == [("rp1", 1)]
-    # a rebuilt run with the same log replays nothing again
-    again = layers.run_batch(spark, city, root + "/drops/trips", root + "/out", s,
+    refused = {r["trip_id"]: r["_reject_reason"] for r in spark.read.parquet(out["quarantine_trips_backfill"]).collect()}
+    assert refused == {"B2": "negative_distance", "B3": "outside_backfill_window"}
+    assert {r["dataset"] for r in spark.read.parquet(out["bronze_ingest_quality"]).collect()} == {
+        "city", "trips", "trips_backfill"}
+    assert "_load_ts" in spark.read.parquet(out["fact_trips_asof"]).columns
+    assert "_logged_at" in spark.read.parquet(out["type_drift_log"]).columns
+    assert "_checked_at" in spark.read.parquet(out["type_drift_guardrails"]).columns
+    assert spark.read.parquet(out["dim_date"]).count() == 4018
+
+    # the same command a month later, and one without replay, leave silver as it is
+    first = sorted(map(tuple, spark.read.parquet(out["silver_trips"]).collect()))
+    for settings in (replace(s, now="2024-02-15 00:00:00"), replace(s, now="2024-03-15 00:00:00", replay_enabled=False)):
+        again = layers.run_batch(spark, city, root + "/drops/trips", root + "/out", settings,
+                                 backfill_location=root + "/drops/backfill")
+        assert sorted(map(tuple, spark.read.parquet(again["silver_trips"]).collect())) == first
+        assert spark.read.parquet(again["replay_log"]).count() == 1
+
+    # a new drop keeps its own ingest time, the others theirs
+    fx.write(root + "/drops/trips/late.csv", fx.TRIPS_HEADER + "\nT77,C1,2024-02-14,2,new,3,5,5\n")
+    again = layers.run_batch(spark, city, root + "/drops/trips", root + "/out", replace(s, now="2024-02-15 00:00:00"),
                              backfill_location=root + "/drops/backfill")
-    assert spark.read.parquet(again["replay_log"]).count() == 1
+    rows = spark.read.parquet(again["silver_trips"]).collect()
+    assert sorted(map(tuple, (r for r in rows if r["trip_id"] != "T77"))) == first
+    assert {str(r["_ingest_ts"])[:10] for r in rows} == {fx.NOW[:10], "2024-02-15"}
+
+
+def test_promotion_reaches_silver(spark, scratch):   # P12
+    root = fx.local(scratch)
+    city = fx.city_csvs(root + "/drops/city")
+    fx.trips_csv(root + "/drops/trips")
+    out = layers.run_batch(spark, city, root + "/drops/trips", root + "/out", SETTINGS,
+                           promote={"city": {"region": "string"}})
+    regions = {r["city_id"]: r["region"] for r in spark.read.parquet(out["silver_city"]).collect()}
+    assert regions["C4"] == "North" and regions["C1"] is None

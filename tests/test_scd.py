@@ -173,3 +173,41 @@ def test_left_sweep_keeps_every_probe(spark):
         got = _as_tuples(joins.asof_sweep_join(probes, versions, ["city_id"], "t", ["name_asof"], bucket=bucket,
                                                how="left", matched_col="m"), ["pid", "name_asof", "m"])
         assert got == [(0, None, False), (1, "New Delhi", True), (2, None, False), (3, None, False)]
+
+
+def test_asof_strategies_agree_on_ties_and_far_dates(spark):   # J3, X10, B14
+    import datetime as dt
+
+    from strata.operators import joins
+    d = lambda y, m=1, x=1: dt.datetime(y, m, x)
+    versions = spark.createDataFrame(
+        [("a", d(2024), d(2024), "none"), ("a", d(2024), d(2025), "one"), ("a", d(2025), None, "two"),
+         ("b", d(1890), None, "old"), (None, d(2024), None, "nobody"), ("c", d(2024), d(2024, 6), "gone")],
+        "k string, __START_AT timestamp, __END_AT timestamp, v string")
+    times = [d(1895), d(2023), d(2024), d(2024, 3), d(2025), d(3001)]
+    probes = spark.createDataFrame([(k, t) for k in ("a", "b", "c", None) for t in times], "k string, t timestamp")
+    want = sorted([("a", d(2024), "one"), ("a", d(2024, 3), "one"), ("a", d(2025), "two"), ("a", d(3001), "two"),
+                   ("c", d(2024), "gone"), ("c", d(2024, 3), "gone")] + [("b", t, "old") for t in times])
+    plans = [joins.asof_interval_join(probes, versions, ["k"], "t", ["v"]),
+             joins.asof_interval_join(probes, versions, ["k"], "t", ["v"], max_versions_per_key=1),
+             joins.asof_bucketed_join(probes, versions, ["k"], "t", ["v"], max_versions_per_key=None)]
+    plans += [joins.asof_sweep_join(probes, versions, ["k"], "t", ["v"], bucket=b)
+              for b in (None, "auto", "month", "day", "hour", "second")]
+    for p in plans:
+        assert sorted(tuple(r) for r in p.collect()) == want
+
+
+def test_scd2_null_key_and_old_first_version_in_every_plan(spark):   # C2
+    import datetime as dt
+
+    from strata.operators.scd import scd2
+    d = lambda y, x=1: dt.datetime(y, 1, x)
+    df = spark.createDataFrame([(None, d(2024), "x"), (None, d(2024, 2), "x"), (None, d(2024, 3), "y"),
+                                ("k", d(1850), "p"), ("k", d(2024), "q")], "k string, s timestamp, v string")
+    want = None
+    for bucket in (None, "auto", "day", "hour", "minute", "second"):
+        got = sorted((tuple(r) for r in scd2(df, ["k"], "s", ["v"], bucket=bucket, open_first_version=True)
+                      .select("k", "v", "__START_AT", "__END_AT").collect()), key=repr)
+        want = want or got
+        assert got == want and len(got) == 4
+        assert ("k", "p", d(1850), d(2024)) in got and (None, "y", d(2024, 3), None) in got
