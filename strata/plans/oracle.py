@@ -170,23 +170,6 @@ FROM events"""
 RESCUED_FLAG = "(rescued IS NOT NULL AND regexp_replace(rescued, '\\s', '', 'g') <> '{}')"
 
 
-def _list_lit(items) -> str:
-    return "[" + ", ".join(f"'{x}'" for x in items) + "]::VARCHAR[]"
-
-
-def _schema_row(dataset: str, table: str, required, known) -> str:
-    req = _list_lit(required)
-    allowed = _list_lit(list(required) + list(known))
-    missing = f"list_filter({req}, lambda x: NOT list_contains(actual, x))"
-    return (f"SELECT '{dataset}' AS dataset, 'bronze' AS layer, 'manual_run' AS ingest_run_id, "
-            f"array_to_string(actual, ',') AS actual_cols, array_to_string({req}, ',') AS required_cols, "
-            f"array_to_string({missing}, ',') AS missing_required_cols, "
-            f"array_to_string(list_filter(actual, lambda x: NOT list_contains({allowed}, x)), ',') "
-            f"AS unexpected_cols, len({missing}) > 0 AS is_breaking_drift "
-            f"FROM (SELECT list(column_name ORDER BY ordinal_position) AS actual "
-            f"FROM information_schema.columns WHERE table_name = '{table}')")
-
-
 def _rate(num: str, den: str) -> str:
     return f"round(CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) ELSE 0.0 END, 6)"
 
@@ -334,10 +317,24 @@ FROM (SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_o
     "rescued_promote": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, "
                        "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NOT NULL AS _k_from_rescued "
                        "FROM events",
-    "schema_drift": _schema_row("orders", "orders", specs.ORDERS.required_columns, specs.ORDERS.known_columns)
-                    + " UNION ALL "
-                    + _schema_row("customer", "customer", specs.CUSTOMER.required_columns,
-                                  specs.CUSTOMER.known_columns),
+    "rescued_keys": """
+SELECT rescued_key, count(*) AS count FROM (
+  SELECT 'segment' AS rescued_key FROM customer WHERE c_mktsegment IS NOT NULL
+  UNION ALL SELECT 'debt' FROM customer WHERE c_acctbal < 0
+  UNION ALL SELECT 'nation' FROM customer WHERE c_nationkey > 9) GROUP BY 1""",
+    "backfill_quarantine": f"""
+SELECT order_id, business_date, coalesce(r, 'outside_backfill_window') AS _reject_reason,
+       '{specs.BACKFILL.backfill_id}' AS _backfill_id
+FROM (SELECT *, {ORDERS_REASON} AS r FROM ({ORDERS_STAGED}))
+WHERE r IS NOT NULL OR NOT coalesce(business_date BETWEEN DATE '{specs.BACKFILL.backfill_start}'
+                                    AND DATE '{specs.BACKFILL.backfill_end}', false)""",
+    "replay_registry": f"""
+SELECT '{specs.REPLAY.replay_id}' AS _replay_id, sha256(order_id || '|' || CAST(line_number AS VARCHAR)) AS _record_hash,
+       count(*) AS rows FROM ({LINES_CLASSIFIED}) WHERE _reject_reason = 'late_arrival' GROUP BY 2""",
+    "retention_kept": f"""
+SELECT order_id, line_number, _reject_reason, CASE WHEN line_number <> 7 THEN _ingest_date END AS _ingest_date
+FROM ({LINES_CLASSIFIED}) WHERE _reject_reason IS NOT NULL AND (line_number = 7 OR _ingest_date IS NULL
+  OR _ingest_date >= CAST(TIMESTAMP '{specs.LINES_NOW.now}' AS DATE) - {Settings().quarantine_retention_days})""",
     "ingest_quality": f"""
 WITH eb AS ({EVENTS_BRONZE})
 SELECT dataset, ingest_run_id, count(*) AS rows,
@@ -377,22 +374,42 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, CAST(c_acc
 FROM customer"""
 
 
-def _drift_files_sql() -> str:
-    from strata.plans.drop_queries import NARROW_COLUMNS, WIDE_COLUMNS, WIDE_SEGMENTS
-    req = list(specs.CUSTOMER.required_columns)
-    allowed = req + list(specs.CUSTOMER.known_columns)
+def _findings(dataset: str, spec, layouts) -> str:
+    """One row per (columns, condition) layout that has a row in the table."""
+    req = list(spec.required_columns)
+    allowed = req + list(spec.known_columns)
     rows = []
-    for wide, cols in ((False, NARROW_COLUMNS), (True, WIDE_COLUMNS)):
+    for cols, where in layouts:
         missing = [c for c in req if c not in cols]
         unexpected = [c for c in cols if c not in allowed]
-        segs = ", ".join(f"'{x}'" for x in WIDE_SEGMENTS)
         rows.append(
-            f"SELECT 'customer' AS dataset, 'bronze' AS layer, 'manual_run' AS ingest_run_id, "
+            f"SELECT '{dataset}' AS dataset, 'bronze' AS layer, 'manual_run' AS ingest_run_id, "
             f"'{','.join(cols)}' AS actual_cols, '{','.join(req)}' AS required_cols, "
             f"'{','.join(missing)}' AS missing_required_cols, '{','.join(unexpected)}' AS unexpected_cols, "
             f"{'true' if missing else 'false'} AS is_breaking_drift "
-            f"WHERE EXISTS (SELECT 1 FROM customer WHERE {'' if wide else 'NOT '}(c_mktsegment IN ({segs})))")
+            f"WHERE EXISTS (SELECT 1 FROM {dataset} WHERE {where})")
     return " UNION ALL ".join(rows)
 
 
+def _drift_files_sql() -> str:
+    from strata.plans.drop_queries import NARROW_COLUMNS, WIDE_COLUMNS, WIDE_SEGMENTS
+    segments = ", ".join(f"'{x}'" for x in WIDE_SEGMENTS)
+    return _findings("customer", specs.CUSTOMER, [
+        (NARROW_COLUMNS, f"NOT (c_mktsegment IN ({segments}))"), (WIDE_COLUMNS, f"c_mktsegment IN ({segments})")])
+
+
 ORACLE["schema_drift_files"] = _drift_files_sql()
+ORACLE["schema_drift"] = _findings("orders", specs.ORDERS, [
+    (("o_orderkey", "o_custkey", "o_totalprice_eur", "o_orderstatus"), "o_orderstatus = 'F'"),
+    (("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"), "o_orderstatus IS DISTINCT FROM 'F'")])
+ORACLE["replay_rerun"] = ORACLE["change_feed_union"]
+ORACLE["csv_malformed"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+       CASE WHEN c_custkey % 5 = 0 THEN c_name || ' "the second"' || chr(10) || 'of, two lines' ELSE c_name END AS c_name,
+       CASE WHEN c_nationkey <> 7 THEN c_mktsegment END AS c_mktsegment,
+       c_nationkey = 7 AS is_corrupt, true AS own_file, true AS has_size, true AS has_time
+FROM customer"""
+ORACLE["bronze_append"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, 'customer' AS _dataset,
+       CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 20240205 ELSE 20240105 END AS _ingest_yyyymmdd
+FROM customer"""

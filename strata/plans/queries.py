@@ -164,6 +164,44 @@ def q_backfill_window(spark, root):
     return v.select(*specs.ORDERS.field_names, "_backfill_id", "_backfill_reason")
 
 
+def q_backfill_quarantine(spark, root):
+    """Backfill rows refused by a rule or by the window, with the reason."""
+    c = quality.classify(orders_staged(spark, root), specs.ORDERS, waive_late=True)
+    _, refused = quality.split_backfill(c, specs.BACKFILL)
+    return refused.select("order_id", "business_date", quality.REASON_COL, "_backfill_id")
+
+
+def _lines_hashed(spark, root):
+    key = F.sha2(F.concat_ws("|", "order_id", F.col("line_number").cast("string")), 256)
+    return lines_classified(spark, root).withColumn("_record_hash", key)
+
+
+def q_replay_registry(spark, root):
+    """X11: what a replay writes to its log."""
+    late = quality.replay_late(quality.quarantined_rows(_lines_hashed(spark, root)), specs.REPLAY)
+    return quality.replay_registry(late)
+
+
+def q_replay_rerun(spark, root):
+    """A later run under another replay id keeps what the first replay let in, once."""
+    c = _lines_hashed(spark, root)
+    q = quality.quarantined_rows(c)
+    path = scratch_path(spark, "replay-log")
+    quality.replay_registry(quality.replay_late(q, specs.REPLAY)).write.parquet(path)
+    log = spark.read.parquet(path)
+    feed = quality.change_feed(quality.valid_rows(c), quality.carry_replayed(q, log),
+                               quality.replay_late(q, specs.LATER_REPLAY, log))
+    return feed.select("order_id", "line_number", "business_date", "_ingest_date", "_replay_id", "_backfill_id")
+
+
+def q_retention_kept(spark, root):
+    """The quarantine after retention; rows without a date stay."""
+    q = quality.quarantined_rows(lines_classified(spark, root))
+    dated = q.withColumn("_ingest_date", F.when(F.col("line_number") != 7, F.col("_ingest_date")))
+    return ops.enforce_retention(dated, specs.LINES_NOW).select(
+        "order_id", "line_number", quality.REASON_COL, "_ingest_date")
+
+
 def q_change_feed_union(spark, root):
     """Valid rows + replayed late rows; the backfill feed is switched off."""
     # Valid + replayed rows are disjoint filters of one classification: one pass.
@@ -278,19 +316,14 @@ def q_rescued_promote(spark, root):
     return ev.select("event_id", *promoted(ev.schema, specs.EVENTS.promote).values())
 
 
-def q_schema_drift(spark, root):
-    """Required columns missing and unexpected columns, per dataset."""
-    items = [
-        ("orders", "bronze", "manual_run", read_table(spark, root, "orders"),
-         specs.ORDERS.required_columns, specs.ORDERS.known_columns),
-        ("customer", "bronze", "manual_run", read_table(spark, root, "customer"),
-         specs.CUSTOMER.required_columns, specs.CUSTOMER.known_columns),
-    ]
-    d = drift.schema_drift(drift.schema_observations(spark, items))
-    return d.select("dataset", "layer", "ingest_run_id",
-                    *[F.array_join(c, ",").alias(c) for c in
-                      ("actual_cols", "required_cols", "missing_required_cols", "unexpected_cols")],
-                    "is_breaking_drift")
+def q_rescued_keys(spark, root):
+    """Several rescued keys, some on a part of the rows only."""
+    c = read_table(spark, root, "customer")
+    values = F.create_map(F.lit("segment"), F.col("c_mktsegment"),
+                          F.lit("debt"), F.when(F.col("c_acctbal") < 0, F.col("c_acctbal").cast("string")),
+                          F.lit("nation"), F.when(F.col("c_nationkey") > 9, F.col("c_nationkey").cast("string")))
+    rescued = F.to_json(F.map_filter(values, lambda k, v: v.isNotNull()))
+    return drift.rescued_profile(c.select(rescued.alias("_rescued_data")))
 
 
 # ---------------------------------------------------------------- ops tables
@@ -402,6 +435,10 @@ QUERIES = {
     "late_flag": q_late_flag,
     "late_replay": q_late_replay,
     "backfill_window": q_backfill_window,
+    "backfill_quarantine": q_backfill_quarantine,
+    "replay_registry": q_replay_registry,
+    "replay_rerun": q_replay_rerun,
+    "retention_kept": q_retention_kept,
     "change_feed_union": q_change_feed_union,
     "scd1_latest": q_scd1_latest,
     "scd2_history": q_scd2_history,
@@ -417,7 +454,7 @@ QUERIES = {
     "type_drift_rollup": q_type_drift_rollup,
     "rescued_profile": q_rescued_profile,
     "rescued_promote": q_rescued_promote,
-    "schema_drift": q_schema_drift,
+    "rescued_keys": q_rescued_keys,
     "ingest_quality": q_ingest_quality,
     "join_drop": q_join_drop,
     "data_quality": q_data_quality,

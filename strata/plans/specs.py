@@ -131,6 +131,7 @@ LINE_CONTENT = (
 CALENDAR_START = "1995-01-01"
 CALENDAR_END = "2001-12-31"
 REPLAY = Settings(replay_enabled=True, replay_id="replay-r1")
+LATER_REPLAY = Settings(replay_enabled=True, replay_id="replay-r2")
 BACKFILL = Settings(backfill_enabled=True, backfill_start="1996-01-01", backfill_end="1996-12-31",
                     backfill_id="bf-1996", backfill_reason="restatement")
 EVENTS_NOW = Settings(now="2024-02-01 00:00:00")
