@@ -34,6 +34,13 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="strata-bench", shuffle_partitions=int(cpus) * 2, conf=conf)
     QUERIES = {**BATCH, **DROP_QUERIES, **STREAM_QUERIES}
 
+    def probe() -> float:
+        """A fixed scan and aggregate: how fast the machine is just now."""
+        t0 = time.perf_counter()
+        lines = spark.read.parquet(os.path.join(root, "lineitem.parquet"))
+        lines.groupBy("l_returnflag", "l_linestatus").sum("l_quantity", "l_extendedprice").collect()
+        return time.perf_counter() - t0
+
     def run(name: str) -> float:
         t0 = time.perf_counter()
         QUERIES[name](spark, root).write.format("noop").mode("overwrite").save()
@@ -43,12 +50,14 @@ def main() -> None:
     # state-store upkeep behind that would otherwise slow the batch passes.
     med = {}
     phases = {}
+    probes = [probe() for _ in range(3)][1:]
     for label, phase in (("batch", {**BATCH, **DROP_QUERIES}), ("stream", STREAM_QUERIES)):
         names = [q for q in phase if not only or q in only]
         for name in names:
             run(name)
         times = {name: [] for name in names}
         for _ in range(runs):
+            probes.append(probe())
             for name in names:
                 times[name].append(run(name))
         part = {name: round(statistics.median(ts), 3) for name, ts in times.items()}
@@ -57,7 +66,8 @@ def main() -> None:
     sf = os.path.basename(os.path.normpath(root)).removeprefix("sf")
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(med.values()), 3),
                       "unit": "sec", "queries": med, "phases": phases, "sf": sf, "cpus": int(cpus),
-                      "runs": runs}))
+                      "runs": runs, "probe": round(statistics.median(probes), 3),
+                      "value_over_probe": round(sum(med.values()) / statistics.median(probes), 1)}))
     spark.stop()
 
 

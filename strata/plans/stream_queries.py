@@ -20,14 +20,20 @@ from strata.sources.tables import read_table
 from strata.plans import specs
 from strata.streaming.runner import BUCKET_COL, _await, merge_stream, profile_stream, table_files_stream
 
-DROP_FILES = 4
+# A drop file or merge bucket for so many rows, and the least of them.
+ROWS_PER_FILE, DROP_FILES, MERGE_BUCKETS = 5_000_000, 4, 16
+
+
+def _parts(df: DataFrame, least: int) -> int:
+    return max(least, -(-df.count() // ROWS_PER_FILE))
 
 
 def _drops(spark: SparkSession, root: str, table: str, cols, copies: int = 1) -> tuple[str, str]:
     base = scratch_path(spark, f"stream-{table}")
     df = read_table(spark, root, table, cols)
+    files = _parts(df, DROP_FILES)
     for c in range(copies):
-        df.repartition(DROP_FILES).write.mode("overwrite").parquet(f"{base}/drops/delivery_{c}")
+        df.repartition(files).write.mode("overwrite").parquet(f"{base}/drops/delivery_{c}")
     return base, f"{base}/drops"
 
 
@@ -49,7 +55,8 @@ def q_stream_scd1(spark: SparkSession, root: str) -> DataFrame:
     li = read_table(spark, root, "lineitem")
     base, drops = _drops(spark, root, "lineitem", None)
     merge_stream(spark, table_files_stream(spark, drops), f"{base}/table", f"{base}/_checkpoint",
-                 ["l_orderkey", "l_linenumber"], "scd1", ["l_shipdate", "l_partkey", "l_suppkey"], buckets=16)
+                 ["l_orderkey", "l_linenumber"], "scd1", ["l_shipdate", "l_partkey", "l_suppkey"],
+                 buckets=_parts(li, MERGE_BUCKETS))
     return spark.read.parquet(f"{base}/table").select(*li.columns)
 
 
@@ -57,7 +64,8 @@ def q_stream_scd2(spark: SparkSession, root: str) -> DataFrame:
     """C2 incremental: event versions merged batch by batch, out-of-order arrival."""
     base, drops = _drops(spark, root, "events", ["event_id", "user_id", "ts", "event_type"])
     merge_stream(spark, table_files_stream(spark, drops), f"{base}/table", f"{base}/_checkpoint",
-                 ["user_id"], "scd2", ["ts", "event_id"], track=["event_type"], buckets=16)
+                 ["user_id"], "scd2", ["ts", "event_id"], track=["event_type"],
+                 buckets=_parts(read_table(spark, root, "events", ["event_id"]), MERGE_BUCKETS))
     t = spark.read.parquet(f"{base}/table")
     return t.select("user_id", "event_type", scd.START_COL, scd.END_COL)
 

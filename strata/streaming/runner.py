@@ -4,14 +4,14 @@
   the header-aware CSV reader on that batch's files (at most
   ``maxFilesPerTrigger`` paths) and writes them, with ingest metadata, to
   ``landing/batch_id=N`` (overwrite: a retried batch rewrites the same folder).
-* ``landing_to_bronze``: parquet stream of the landing folder -> watermark ->
+* ``landing_to_bronze``: parquet stream of the landing folder ->
   de-duplication by content hash -> partitioned append sink. The stateful
   operator lives here, not inside ``foreachBatch``.
 * ``merge_stream``: ``foreachBatch`` that merges each micro-batch into a table
   partitioned by ``_bucket = pmod(xxhash64(keys), N)``: only the touched buckets
   are read, re-merged (type 1 from the table, type 2 from the bucketed change
-  log) and replaced with a dynamic partition overwrite. Re-running a batch
-  gives the same table, so a retry after a failure is safe.
+  log), staged whole, and replaced with a dynamic partition overwrite. A retry
+  replaces from the staged copy, so it is safe wherever the first try stopped.
 * ``profile_stream``: complete-mode aggregate written whole on every batch.
 
 All state (checkpoints, staging) lives under ``spark.checkpoint.dir``.
@@ -41,7 +41,7 @@ def _await(query, timeout_s: int | None = None) -> None:
 
 
 def drops_to_landing(spark: SparkSession, location: str, spec: DatasetSpec, settings: Settings,
-                     landing: str, checkpoint: str, glob: str = "*.csv"):
+                     landing: str, checkpoint: str, glob: str = "*.csv", scope: str = "all"):
     """Hop 1: drop files -> landing parquet (one folder per micro-batch)."""
     declared = list(spec.required_columns) + list(spec.known_columns)
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
@@ -55,6 +55,8 @@ def drops_to_landing(spark: SparkSession, location: str, spec: DatasetSpec, sett
             return
         rows = add_ingest_metadata(read_drops(spark, paths, declared=declared), spec, settings,
                                    file_lineage=False)
+        # Copies within the batch collapse map-side here; the stateful hop sees one of each.
+        rows = dedupe_content(rows, "file" if scope == "file" else "all")
         rows.write.mode("overwrite").parquet(f"{landing}/batch_id={batch_id}")
 
     q = (files.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
@@ -65,7 +67,7 @@ def drops_to_landing(spark: SparkSession, location: str, spec: DatasetSpec, sett
 def landing_to_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
                       settings: Settings, scope: str = "all",
                       partition_by=("_ingest_yyyymmdd",)):
-    """Hop 2: landing parquet -> watermark + content de-duplication -> bronze append."""
+    """Hop 2: landing parquet -> content de-duplication -> bronze append."""
     schema = spark.read.parquet(landing).drop("batch_id").schema
     stream = spark.readStream.schema(schema).parquet(landing)
     deduped = dedupe_content(stream, scope, "_ingest_ts", settings.watermark_days)
@@ -96,8 +98,17 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: s
     in ``<table>_log/_batch=N/_bucket=B`` (written per batch with overwrite, so a
     retry is idempotent); only the keys present in the batch get their history
     rebuilt from it, the other rows of the touched buckets are copied unchanged.
+
+    The merged buckets are staged whole, and the batch id recorded, before any
+    bucket of the table is replaced. A retry of a recorded batch doesn't read the
+    table, which may lack a bucket by then, but replaces from the staged copy
+    again. Two staging slots take turns.
     """
     keys = list(keys)
+    slot = f"{staging or f'{table}_staging'}/{batch_id % 2}"
+    stage, done = f"{slot}/buckets", f"{slot}/done"
+    if _staged_batch(spark, done) == batch_id:
+        return _replace(spark.read.parquet(stage), table)
     seq = [sequence] if isinstance(sequence, str) else list(sequence)
     order_rest = seq[1:] + list(tiebreak or [])
     rows = batch.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
@@ -124,16 +135,21 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: s
         raise ValueError("kind must be scd1 or scd2")
     if current is not None:
         merged = merged.unionByName(_by_keys(current, batch_keys, keys, "left_anti").select(*merged.columns))
-    if existed:
-        # Materialise before replacing the partitions the merge read from.
-        staging = staging or f"{table}_staging"
-        stage = f"{staging}/batch_id={batch_id}"
-        merged.write.mode("overwrite").parquet(stage)
-        merged = spark.read.parquet(stage)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    merged.write.mode("overwrite").parquet(stage)
+    spark.range(1).select(F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(done)
+    _replace(spark.read.parquet(stage), table)
+
+
+def _replace(staged: DataFrame, table: str) -> None:
+    """Put the staged buckets in the place of the table's; a repeat gives the same table."""
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(BUCKET_COL).parquet(table))
 
 
+def _staged_batch(spark: SparkSession, done: str) -> int | None:
+    return spark.read.parquet(done).first()["batch_id"] if table_exists(spark, done) else None
+
+
 def merge_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str, keys, kind: str,
                  sequence, track=None, tiebreak=None, buckets: int = 64, bucket: str | None = "auto",
                  open_first_version: bool = False):
@@ -167,7 +183,7 @@ def run_stream(spark: SparkSession, location: str, spec: DatasetSpec, settings:
     ensure_checkpoint_dir(spark)
     root = out_root.rstrip("/")
     drops_to_landing(spark, location, spec, settings, f"{root}/landing_{spec.name}",
-                     f"{root}/_checkpoints/landing_{spec.name}")
+                     f"{root}/_checkpoints/landing_{spec.name}", scope=scope)
     bronze = f"{root}/bronze_{spec.name}"
     landing_to_bronze(spark, f"{root}/landing_{spec.name}", bronze,
                       f"{root}/_checkpoints/bronze_{spec.name}", settings, scope)

@@ -127,3 +127,51 @@ def test_dedupe_scopes(spark, scratch):   # D1, W1, B5
          .trigger(availableNow=True).start(root + "/out"))
     q.awaitTermination()
     assert spark.read.parquet(root + "/out").count() == 2
+
+
+@pytest.mark.parametrize("stop", ["before", "half"])
+@pytest.mark.parametrize("kind", ["scd1", "scd2"])
+def test_merge_retry_after_a_failure_loses_nothing(spark, scratch, monkeypatch, kind, stop):   # C1, C2
+    from strata.operators import scd
+    from strata.streaming import runner
+    rows = spark.range(200).select((F.col("id") % 40).alias("k"), F.col("id").alias("s"), (F.col("id") * 7 % 11).alias("v"))
+    batches = [rows.filter("s < 100"), rows.filter("s >= 100 AND k < 30"), rows.filter("s >= 100 AND k >= 30")]
+    table = fx.local(scratch) + "/table"
+    real = runner._replace
+
+    def merge(i, df):
+        runner.merge_batch(spark, df, table, ["k"], kind, 8, "s", track=["v"], batch_id=i)
+
+    def broken(staged, path):
+        if stop == "half":      # some buckets replaced, one left without its rows
+            real(staged.filter(F.col(runner.BUCKET_COL) % 2 == 0), path)
+            real(spark.read.parquet(path).filter(F.col(runner.BUCKET_COL) == 1).limit(1).cache(), path)
+        raise RuntimeError("stopped")
+
+    for i, df in enumerate(batches):
+        if i:
+            monkeypatch.setattr(runner, "_replace", broken)
+            with pytest.raises(RuntimeError):
+                merge(i, df)
+            monkeypatch.setattr(runner, "_replace", real)
+        merge(i, df)
+        merge(i, df)
+    want = scd.scd1(rows, ["k"], "s") if kind == "scd1" else scd.scd2(rows, ["k"], "s", ["v"])
+    got = spark.read.parquet(table).select(*want.columns)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_all_scope_keeps_old_rows_on_a_stream(spark, scratch):   # W1
+    import datetime as dt
+
+    from strata.operators.dedupe import dedupe_content
+    root = fx.local(scratch)
+    schema = "_record_hash string, _source_file string, _ingest_ts timestamp"
+    for i, (h, day) in enumerate((("new", 15), ("old", 1), ("old", 2))):
+        spark.createDataFrame([(h, f"f{i}", dt.datetime(2024, 1 if h == "old" else 2, day))], schema).write.mode(
+            "append").parquet(root + "/in")
+        s = spark.readStream.schema(schema).parquet(root + "/in")
+        q = (dedupe_content(s, "all", watermark_days=3).writeStream.format("parquet")
+             .option("checkpointLocation", root + "/ck").trigger(availableNow=True).start(root + "/out"))
+        q.awaitTermination()
+    assert sorted(r[0] for r in spark.read.parquet(root + "/out").select("_record_hash").collect()) == ["new", "old"]
