@@ -62,8 +62,7 @@ def _block_task(block_bytes: int):
             made += 1
             ids, keys, langs, folds = zip(*docs)
             ends = np.cumsum([len(c) for c in codes]).tolist()
-            packed = zstandard.ZstdCompressor(level=1).compress(np.concatenate(codes).tobytes())
-            row = ((part << 32) + made, ids, keys, langs, folds, ends, list(numbers), packed)
+            row = ((part << 32) + made, ids, keys, langs, folds, ends, list(numbers), packed(np.concatenate(codes)))
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, schema)], schema=schema)
 
         docs, numbers, codes, held = [], _Numbers(), [], 0
@@ -72,7 +71,7 @@ def _block_task(block_bytes: int):
                 text = text.as_py()
                 words = text.split()
                 docs.append((doc_id, key, lang, fold))
-                codes.append(np.fromiter(map(numbers.__getitem__, words), dtype="<u4", count=len(words)))
+                codes.append(np.sort(np.fromiter(map(numbers.__getitem__, words), dtype="<i4", count=len(words))))
                 held += len(text)
                 if held >= block_bytes:
                     yield block(docs, numbers, codes)
@@ -89,35 +88,41 @@ def word_grams(word: str, order: int = ORDER) -> list[str]:
     return [padded[i:i + order] for i in range(len(word) + 1)]
 
 
-def _codes(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype="<u4")
+def packed(codes: np.ndarray) -> bytes:
+    """Word numbers, sorted within each document, as compressed byte planes of their differences."""
+    steps = np.diff(codes, prepend=np.int32(0)).astype("<i4")
+    return zstandard.ZstdCompressor(level=3).compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i4").ravel(), dtype=np.int32)
 
 
 def _gram_task(order: int, folds: int):
     """``block, words, codes, ends, folds, trusted`` -> the block's distinct n-grams with the counts of each fold's trusted text."""
-    schema = pa.schema([("block", pa.int64()), ("gram", pa.string()), ("n", pa.list_(pa.int64()))])
+    schema = pa.schema([("block", pa.int64()), ("gram", pa.string()), *[(f"n{f}", pa.int64()) for f in range(folds)]])
 
     def task(batches):
         for batch in batches:
             for block, words, codes, ends, fold, trusted in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                codes, bounds = _codes(codes), [0, *ends]
-                own = np.full(len(codes), -1, dtype=np.int32)
+                codes, bounds = unpacked(codes), [0, *ends]
+                own = np.full(len(codes), -1, dtype=np.int8)
                 for i in trusted or ():
                     own[bounds[i]:bounds[i + 1]] = fold[i]
-                counts = np.stack([np.bincount(codes[own == f], minlength=len(words)) for f in range(folds)], axis=1)
-                numbers, spelled, of_word = _Numbers(), [], []
-                for i, word in enumerate(words):
-                    grams = word_grams(word, order)
-                    spelled += map(numbers.__getitem__, grams)
-                    of_word += [i] * len(grams)
-                totals = np.zeros((len(numbers), folds), dtype=np.int64)
-                np.add.at(totals, spelled, counts[of_word])
-                names, totals = list(numbers), totals.tolist()
+                numbers, spelled = _Numbers(), []
+                for word in words:
+                    spelled += map(numbers.__getitem__, word_grams(word, order))
+                spelled = np.array(spelled, dtype=np.int64)
+                lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
+                totals = [np.bincount(spelled, np.repeat(np.bincount(codes[own == f], minlength=len(words)), lengths),
+                                      minlength=len(numbers)).astype(np.int64) for f in range(folds)]
+                names = list(numbers)
                 for a in range(0, len(names), 50_000):
-                    part = names[a:a + 50_000]
+                    part = slice(a, a + 50_000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([block] * len(part), type=pa.int64()), pa.array(part, type=pa.string()),
-                         pa.array(totals[a:a + 50_000], type=pa.list_(pa.int64()))], schema=schema)
+                        [pa.array([block] * len(names[part]), type=pa.int64()), pa.array(names[part], type=pa.string()),
+                         *[pa.array(t[part]) for t in totals]], schema=schema)
 
     return task
 
@@ -130,15 +135,13 @@ def _score_task(order: int, folds: int):
     def task(batches):
         def rows():
             for batch in batches:
-                for ids, keys, langs, fold, ends, words, codes, names, models, logs in zip(
-                        *(batch.column(i).to_pylist() for i in range(10))):
-                    log: list[dict] = [{} for _ in range(folds)]
-                    for name, model, value in zip(names or (), models or (), logs or ()):
-                        log[model][name] = value
+                for ids, keys, langs, fold, ends, words, codes, names, *logs in zip(
+                        *(batch.column(i).to_pylist() for i in range(8 + folds))):
+                    log = [dict(zip(names or (), values or ())) for values in logs]
                     nll = np.array([[-sum(map(p.__getitem__, grams)) for p in log]
                                     for grams in (word_grams(w, order) for w in words)]).reshape(-1, folds)
                     size = np.array([len(w) + 1 for w in words], dtype=np.int64)
-                    codes = _codes(codes)
+                    codes = unpacked(codes)
                     a = 0
                     for doc_id, key, lang, f, b in zip(ids, keys, langs, fold, ends):
                         own = codes[a:b]
@@ -215,7 +218,8 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds:
     the same probability. An empty table gives no rows."""
     spark = docs.sparkSession
     (total,) = scalar(docs, F.sum(F.octet_length(clean_text()).cast("long")))
-    buckets = max(8, min(65_536, -(-(total or 0) // block_bytes)))
+    # with fewer buckets than shuffle partitions Spark would move the blocks after all
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(65_536, -(-(total or 0) // block_bytes)))
     path = scratch_path(spark, "kn-blocks")
     name = "strata_kn_" + hashlib.md5(path.encode()).hexdigest()[:16]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(clean_text()).alias("key"),
@@ -232,8 +236,9 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds:
     flags = chosen.groupBy("block").agg(F.collect_list("at").alias("trusted"))
     grams = saved(blocks.select("block", "words", "codes", "ends", "folds").join(flags, "block", "left")
                   .select("block", "words", "codes", "ends", "folds", "trusted")
-                  .mapInArrow(_gram_task(order, folds), "block long, gram string, n array<long>"), "kn-grams")
-    totals = saved(grams.groupBy("gram").agg(*[F.sum(F.col("n")[f]).alias(f"n{f}") for f in range(folds)]), "kn-counts")
+                  .mapInArrow(_gram_task(order, folds), "block long, gram string" + "".join(f", n{f} long" for f in range(folds))),
+                  "kn-grams")
+    totals = saved(grams.groupBy("gram").agg(*[F.sum(f"n{f}").alias(f"n{f}") for f in range(folds)]), "kn-counts")
     everything = sum((F.col(f"n{f}") for f in range(folds)), F.lit(0))
     sums = [n or 0 for n in scalar(totals, *[F.sum(f"n{f}") for f in range(folds)])]
     # a fold that holds all trusted text is scored by its own model
@@ -242,10 +247,12 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds:
     counts = saved(totals.select("gram", F.explode(others).alias("m")).select("m.fold", "gram", "m.n").where("n > 0"),
                    "kn-fold-counts")
     p = kneser_ney(counts, totals.select("gram"), order, folds)
-    own = (grams.select("block", "gram").join(p.select("fold", "gram", F.log("p").alias("log")), "gram")
-           .groupBy("block").agg(F.collect_list(F.struct("gram", "fold", "log")).alias("g"))
-           .select("block", F.col("g.gram").alias("names"), F.col("g.fold").alias("models"), F.col("g.log").alias("logs")))
-    columns = ["doc_ids", "keys", "langs", "folds", "ends", "words", "codes", "names", "models", "logs"]
+    logs = p.groupBy("gram").agg(*[F.max(F.when(F.col("fold") == f, F.log("p"))).alias(f"l{f}") for f in range(folds)])
+    fields = ["gram", *[f"l{f}" for f in range(folds)]]
+    own = (grams.select("block", "gram").join(saved(logs, "kn-logs"), "gram")
+           .groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("g"))
+           .select("block", *[F.col(f"g.{f}").alias(f) for f in fields]))
+    columns = ["doc_ids", "keys", "langs", "folds", "ends", "words", "codes", *fields]
     scored = saved(blocks.join(own, "block", "left").select(*columns)
                    .mapInArrow(_score_task(order, folds), "doc_id long, text_key long, lang string, symbols long, nll double"),
                    "kn-scores")
