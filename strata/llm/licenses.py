@@ -9,12 +9,12 @@ enough of its template's k-grams are found in about the template's length.
 
 from __future__ import annotations
 
-import re
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, table
+from strata.llm.common import WordHashes, saved, shingle_hashes, table
 
 #: Phrases that stand consecutively, and their labels.
 PHRASES = {
@@ -50,37 +50,61 @@ NEIGHBOURS = 3
 COVERAGE, STRETCH = 0.6, 1.5
 
 
-def words(column: str = "text"):
-    """Words of the whole text with A-Z in lower case; null counts as empty.
+#: Bytes of a word as they are, A-Z in lower case, all other ASCII a space.
+WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+
+
+def license_words(text: str | None) -> list[bytes]:
+    """Words of the whole text with A-Z in lower case; null counts as empty."""
+    return (text or "").encode("utf-8", "replace").translate(WORD_BYTES).split()
+
+
+def _rolled(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
+    return (shingle_hashes(hashes(words), k) if len(words) >= k else np.empty(0, dtype=np.uint64)).view(np.int64)
 
-    Only the two letters outside A-Z whose lower case is or begins with an ASCII
-    letter could make a word equal to a template's, so they are put aside first."""
-    text = F.coalesce(F.col(column).cast("string"), F.lit(""))
-    for letter in ("K", "İ"):
-        text = F.replace(text, F.lit(letter), F.lit("é"))
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
+def _grams(batches):
+    """``doc_id, text_key, text`` -> a row for each k: the hashes of all its rolling k-grams."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("grams", pa.list_(pa.int64()))])
+    hashes = WordHashes()
+    for batch in batches:
+        for a in range(0, batch.num_rows, 512):
+            part = batch.slice(a, 512)
+            rolled = []
+            for text in part.column(2):
+                words = license_words(text.as_py())
+                rolled += [_rolled(words, k, hashes) for k in (PHRASE_K, NOTICE_K)]
+            ends = np.concatenate([[0], np.cumsum([len(r) for r in rolled])]).astype(np.int32)
+            twice = np.repeat(np.arange(part.num_rows), 2)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(twice)), part.column(1).take(pa.array(twice)),
+                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rolled)))],
+                                             schema=schema)
 
-def _gram(ws, i, k):
-    return F.xxhash64(F.lit(k), *[F.get(ws, i + j) for j in range(k)])
+
+def _counts(batches):
+    for batch in batches:
+        n = pa.array([len(license_words(t.as_py())) for t in batch.column(2)], type=pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n], names=["doc_id", "text_key", "n_words"])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), text.alias("text"))
 
 
 def template_words(text: str) -> list[str]:
-    return re.findall("[0-9a-z]+", text.lower())
+    return [w.decode() for w in license_words(text)]
 
 
 def templates(spark: SparkSession) -> DataFrame:
     """``gram, template, label, base, grams, at``: one row per template position (a few hundred in all)."""
-    rows = []
-    for n, (text, label, base) in enumerate([(t, l, True) for t, l in PHRASES.items()]
-                                            + [(t, l, False) for t, l in NOTICES.items()]):
-        rows.append((n, label, base, PHRASE_K if base else NOTICE_K, template_words(text)))
-    df = spark.createDataFrame(rows, "template int, label string, base boolean, k int, ws array<string>")
-    df = df.withColumn("grams", F.size("ws") - F.col("k") + 1)
-    df = df.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("grams") - 1)))
-    gram = F.when(F.col("base"), _gram(F.col("ws"), F.col("at"), PHRASE_K)).otherwise(
-        _gram(F.col("ws"), F.col("at"), NOTICE_K))
-    return df.select(gram.alias("gram"), "template", "label", "base", "grams", "at")
+    rows, hashes = [], WordHashes()
+    known = [(t, x, True, PHRASE_K) for t, x in PHRASES.items()] + [(t, x, False, NOTICE_K) for t, x in NOTICES.items()]
+    for n, (text, label, base, k) in enumerate(known):
+        rolled = _rolled(license_words(text), k, hashes).tolist()
+        rows += [(g, n, label, base, len(rolled), at) for at, g in enumerate(rolled)]
+    return spark.createDataFrame(rows, "gram long, template int, label string, base boolean, grams int, at int")
 
 
 def license_spans(docs: DataFrame) -> DataFrame:
@@ -90,18 +114,11 @@ def license_spans(docs: DataFrame) -> DataFrame:
     their spans, which appear once. Words are numbered from 0 and ``end`` is
     exclusive. A phrase counts where its words stand consecutively (coverage 1);
     a notice by merged diagonals. Null and empty texts have no spans."""
-    ws = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key(), words().alias("ws"))
-    last = F.size("ws") - 1
-
-    def grams(k):
-        starts = F.sequence(F.lit(0), F.greatest(last - k + 1, F.lit(0)))
-        return F.when(last >= k - 1, F.transform(starts, lambda i: _gram(F.col("ws"), i, k)))
-
-    rolled = [ws.select("doc_id", "text_key", F.posexplode(grams(k)).alias("pos", "gram")) for k in (PHRASE_K, NOTICE_K)]
-    known = templates(docs.sparkSession)
-    hits = [rolled[0].join(F.broadcast(known.where("base")), "gram"),
-            rolled[1].join(F.broadcast(known.where("NOT base")), "gram")]
-    hits = hits[0].unionByName(hits[1]).select("doc_id", "text_key", "template", "label", "base", "grams", "at", "pos").distinct()
+    rolled = (_keyed(docs).mapInArrow(_grams, "doc_id long, text_key long, grams array<long>")
+              .select("doc_id", "text_key", F.posexplode("grams").alias("pos", "gram")))
+    # the templates are fixed values of this module, so their size is known
+    hits = (rolled.join(F.broadcast(templates(docs.sparkSession)), "gram")
+            .select("doc_id", "text_key", "template", "label", "base", "grams", "at", "pos").distinct())
     hits = hits.withColumn("diagonal", F.col("pos") - F.col("at"))
 
     votes = (hits.groupBy("doc_id", "text_key", "template", "label", "base", "grams", "diagonal")
@@ -123,10 +140,6 @@ def license_spans(docs: DataFrame) -> DataFrame:
     return places.unionByName(spans.select(*places.columns))
 
 
-def _text_key():
-    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key")
-
-
 def op6_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their license phrases and notices."""
     docs = table(spark, sf_dir, "documents")
@@ -137,8 +150,7 @@ def op6_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("base"), F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
         F.max("coverage").alias("score")), "license-spans")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key(),
-                       F.size(words()).cast("long").alias("n_words")).alias("d")
+    rows = _keyed(docs).mapInArrow(_counts, "doc_id long, text_key long, n_words long").alias("d")
     s = by_doc.alias("s")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.text_key") == F.col("s.text_key"))
     zero = lambda c, v: F.coalesce(F.col(c), F.lit(v)).alias(c)
