@@ -82,19 +82,21 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS, most: floa
     sizes = lines.groupBy("text_key", "at", "n").agg(F.lit(1)).groupBy("text_key").agg(F.sum("n").alias("total"))
     dropped = F.aggregate("hits", F.lit(0).cast("long"), lambda t, x: t + x["n"])
     drops = saved(hits.join(sizes, "text_key").where(dropped <= most * F.col("total"))
-                  .select("text_key", F.col("hits.at").alias("_drops")), "tree-decisions")
+                  .select("text_key", F.col("hits.at").alias("drops")), "tree-decisions")
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("text", "n_lines", "n_dropped", "_drops", "_key")]
-    rows = docs.select(*kept, F.col("text").cast("string").alias("text"), F.xxhash64(clean_text()).alias("_key"))
-    rows = rows.join(drops.withColumnRenamed("text_key", "_key"), "_key", "left")
+    # the input row travels whole, so none of its names meets one of ours
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("text").cast("string").alias("text"), F.xxhash64(clean_text()).alias("text_key"))
+    # always a sort-merge join, so that what is moved grows evenly with the input
+    rows = rows.join(drops.hint("merge"), "text_key", "left")
     split = F.split("text", "\n", -1)
-    left = F.filter(split, lambda x, i: ~F.array_contains("_drops", i))
-    order = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "_drops", "_key")]
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long")
-    n_dropped = F.when(F.col("_drops").isNull(), 0).otherwise(F.size("_drops")).cast("long")
-    text = F.when(F.col("_drops").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return (rows.withColumns({"n_lines": n_lines, "n_dropped": n_dropped, "text": text})
-            .select(*order, "n_lines", "n_dropped"))
+    left = F.filter(split, lambda x, i: ~F.array_contains("drops", i))
+    text = F.when(F.col("drops").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines")
+    n_dropped = F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long").alias("n_dropped")
+    own = [text if c.lower() == "text" else F.col("row")[c].alias(c) for c in docs.columns
+           if c.lower() not in ("n_lines", "n_dropped")]
+    return rows.select(*own, n_lines, n_dropped)
 
 
 def op5_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
