@@ -21,6 +21,7 @@ from strata.operators.conform import conform, contract_fields
 from strata.operators.dedupe import dedupe_content
 from strata.operators.metadata import add_ingest_metadata
 from strata.sources.csv_drops import list_drop_files, observed_headers, read_drops
+from strata.sources.empty import literal_rows
 from strata.sources.sinks import write_table
 from strata.sources.tables import table_exists
 from strata.spec import DatasetSpec, FieldMap, HashPart, Rule, Settings
@@ -122,7 +123,7 @@ def ingest(spark: SparkSession, location, spec: DatasetSpec, settings: Settings,
     with the whole table, so a run that stopped before it logged its files adds
     nothing twice when it is repeated. ``<path>_files`` lists what was read."""
     files = (list_drop_files(spark, location) if isinstance(location, str)
-             else spark.createDataFrame([(p,) for p in location], "path string"))
+             else literal_rows(spark, [(p,) for p in location], "path string"))
     log, known = f"{path}_files", table_exists(spark, path)
     if known and table_exists(spark, log):
         files = files.join(spark.read.parquet(log).select(*files.columns), files.columns, "left_anti")
@@ -134,7 +135,7 @@ def ingest(spark: SparkSession, location, spec: DatasetSpec, settings: Settings,
             keys = ["_record_hash", "_source_file"] if scope == "file" else ["_record_hash"]
             new = new.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti")
         write_table(new, path, mode="append", partition_by=["_ingest_yyyymmdd"])
-        listed = spark.createDataFrame([(p,) for p in paths], "path string")
+        listed = literal_rows(spark, [(p,) for p in paths], "path string")
         write_table(files.join(listed, "path", "left_semi"), log, mode="append")
     elif not known:
         raise ValueError(f"no drop files under {location}")

@@ -17,9 +17,5 @@ def empty_like(ref: DataFrame, schema: StructType | None = None) -> DataFrame:
     return ref.select(*cols).where(F.lit(False))
 
 
-def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def literal_rows(spark: SparkSession, rows, schema) -> DataFrame:
     return spark.createDataFrame(rows, schema)

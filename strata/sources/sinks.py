@@ -1,4 +1,4 @@
-"""Table sinks: overwrite, partitioned append, lineage cut."""
+"""Table sinks: overwrite, partitioned append."""
 
 from __future__ import annotations
 
@@ -21,12 +21,3 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by) -> str:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
     return path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir``.
-
-    Survives executor loss (unlike a local checkpoint) and keeps long plans
-    from growing without bound.
-    """
-    return df.checkpoint(eager=True)

@@ -16,19 +16,6 @@ def read_table(spark: SparkSession, root: str, name: str, columns=None) -> DataF
     return df.select(*columns) if columns else df
 
 
-def read_table_stream(spark: SparkSession, root: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of the parquet files of table ``name`` under ``root``.
-
-    The file source needs a folder, so the table's files are picked with a glob
-    filter; the schema is taken from a batch read of the same files.
-    """
-    schema = spark.read.parquet(table_path(root, name)).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(root)
-
-
 def as_strings(df: DataFrame, date_columns=(), keep=()) -> DataFrame:
     """All-string (bronze) view of a typed table: dates rendered ``yyyy-MM-dd``."""
     cols = []

@@ -21,7 +21,7 @@ class FieldMap:
     """One contract field: where it comes from and what it becomes.
 
     ``src`` defaults to the field name. ``transforms`` run after the cast
-    (text fields only). ``kind`` picks the hash normaliser for this field.
+    (text fields only).
     """
 
     name: str
@@ -29,7 +29,6 @@ class FieldMap:
     src: str | None = None
     transforms: tuple[str, ...] = ()
     nullable: bool = True
-    kind: str = "text"
 
     def __post_init__(self):
         if self.dtype not in CONTRACT_TYPES:
@@ -39,8 +38,6 @@ class FieldMap:
                 raise ValueError(f"field {self.name}: unknown transform {t!r}")
         if self.transforms and self.dtype != "string":
             raise ValueError(f"field {self.name}: transforms need a string field")
-        if self.kind not in HASH_KINDS:
-            raise ValueError(f"field {self.name}: unknown hash kind {self.kind!r}")
 
     @property
     def source(self) -> str:
@@ -77,6 +74,10 @@ class HashPart:
     column: str
     kind: str = "text"
 
+    def __post_init__(self):
+        if self.kind not in HASH_KINDS:
+            raise ValueError(f"hash part {self.column}: unknown kind {self.kind!r}")
+
 
 @dataclass(frozen=True)
 class DatasetSpec:
