@@ -6,8 +6,9 @@
 3. Each bucket's members are checked against its smallest member (a star, never
    all pairs): first by signature, then on full shingle sets.
 4. Buckets whose members lie in several components are looked at once more:
-   members of different components with close signatures are compared on full
-   sets, in blocks, until they are joined or every plausible pair has failed.
+   members outside the largest one are held against all others with close
+   signatures on full sets, in blocks, until they are joined or every plausible
+   pair has failed.
 """
 
 from __future__ import annotations
@@ -96,27 +97,25 @@ def _close(batches):
 
 
 def _plausible(group: pa.Table, percent: int):
-    """Index pairs of a bucket (or two blocks of it) in different components that may link.
-
-    A pair counts in the first band the two share, so that other buckets leave it."""
-    node, comp, n = (group[c].to_numpy() for c in ("node", "comp", "n_shingles"))
-    bi, bj, block, key = (group[c].to_numpy() for c in ("bi", "bj", "block", "key"))
+    """Index pairs of a bucket (or of two blocks of it) in different components that may link.
+
+    Rows that ``seek`` are outside the bucket's largest component and are held against the
+    others. A pair of two such members counts once, and every pair in the first band that it
+    shares, so that other buckets leave it."""
+    node, comp, n, seek, rest = (group[c].to_numpy(zero_copy_only=False) for c in
+                                 ("node", "comp", "n_shingles", "seek", "rest"))
+    key = group["key"][0].as_py()
     sig = _signatures(group["sig"])
     bands = np.array(group["bands"].to_pylist(), dtype=np.int64)
-    across = bi[0] != bj[0]
-    values, counts = np.unique(comp, return_counts=True)
-    rest = np.flatnonzero(comp != values[counts.argmax()])
     us, vs, agreed = [], [], []
-    for u in rest.tolist():
-        ok = (comp != comp[u]) & (100 * np.minimum(n, n[u]) >= percent * np.maximum(n, n[u]))
-        ok &= (block != block[u]) if across else ((node < node[u]) | ~np.isin(comp, comp[rest]))
-        v = np.flatnonzero(ok)
+    for u in np.flatnonzero(seek).tolist():
+        v = np.flatnonzero(~seek & (comp != comp[u]) & (~rest | (node < node[u]))
+                           & (100 * np.minimum(n, n[u]) >= percent * np.maximum(n, n[u])))
         if not len(v):
             continue
         agree = (sig[v] == sig[u]).mean(axis=1)
         v, agree = v[agree >= PLAUSIBLE], agree[agree >= PLAUSIBLE]
-        shared = bands[v] == bands[u]
-        own = bands[u][shared.argmax(axis=1)] == key[0]
+        own = bands[u][(bands[v] == bands[u]).argmax(axis=1)] == key
         us += [u] * int(own.sum())
         vs += v[own].tolist()
         agreed += agree[own].tolist()
@@ -235,21 +234,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, seed: int =
 
 
 def _between_components(reps, members, sets, comps, percent) -> DataFrame:
-    """Links between components that meet in a bucket; large buckets are compared in blocks of ``BLOCK``."""
+    """Links between components that meet in a bucket.
+
+    Members outside a bucket's largest component, few after the stars, are held against all
+    members, block by block: rows are copied for the blocks of the other side only."""
     at = members.join(comps, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("comp"))
     at = saved(at, "minhash-placed-members")
-    open_ = saved(at.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
-                  .where("least < most").select("key"), "minhash-open")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    at = (at.join(open_, "key").withColumn("blocks", blocks)
-          .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-          .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    # with several blocks, pairs inside one block are compared in its (i, i) group, others in (i, j)
-    at = saved(at.select("key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
-                         "node", "comp", "block")
-               .join(reps, "node"), "minhash-open-members")
+    counts = at.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    open_ = saved(counts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"),
+                                            F.sum("n").alias("all")).where("comps > 1")
+                  .select("key", F.col("top.comp").alias("largest"), (F.col("all") - F.col("top.n")).alias("others")),
+                  "minhash-open")
+    at = at.join(open_, "key").withColumn("rest", F.col("comp") != F.col("largest"))
+    hashed = F.xxhash64("node")
+    seekers, found = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("others", "size"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    seek = at.where("rest").select("key", F.pmod(hashed, seekers).cast("int").alias("bi"), every(found).alias("bj"),
+                                   "node", "comp", "rest", F.lit(True).alias("seek"))
+    held = at.select("key", every(seekers).alias("bi"), F.pmod(hashed, found).cast("int").alias("bj"),
+                     "node", "comp", "rest", F.lit(False).alias("seek"))
+    at = saved(seek.union(held).join(reps, "node"), "minhash-open-members")
     dealt = lambda df: df.repartition(*_MEMBER).sortWithinPartitions(*_MEMBER)
-    columns = [*_MEMBER, "node", "comp", "block", "n_shingles", "bands", "sig"]
+    columns = [*_MEMBER, "node", "comp", "rest", "seek", "n_shingles", "bands", "sig"]
     needed = saved(dealt(at.select(*columns)).mapInArrow(_needed(percent), "key long, bi int, bj int, node long")
                    .distinct(), "minhash-needed")
     full = needed.join(at, [*_MEMBER, "node"]).join(sets, "node")

@@ -2,9 +2,10 @@ import collections
 import math
 import random
 
+import numpy as np
 import pytest
 
-from strata.llm.quality import classify, discounts, kneser_ney, perplexities, word_grams
+from strata.llm.quality import classify, discounts, kneser_ney, packed, perplexities, spelled, unpacked, word_grams
 from tests.llm.data import awkward, frame, prose, row
 
 
@@ -51,6 +52,19 @@ def test_probabilities_equal_the_recursion_and_sum_to_one(spark):
         assert total + 1 / (len(symbols) + 1) >= 0.99 and total <= 1 + 1e-9
 
 
+def test_spelling_and_packing_round_trip():
+    rng = random.Random(4)
+    words = list(dict.fromkeys(["a", "Ünï", "日本語", "\x02x", "x" * 500, *prose(rng, 200).split(),
+                                *(chr(0x4E00 + i) + chr(0x1F300 + i % 700) for i in range(9000))]))
+    names, numbers, begins = spelled(words)
+    assert len(names) == len(set(names))
+    for w, a, b in zip(words, begins, [*begins[1:], len(numbers)]):
+        assert [names[i] for i in numbers[a:b]] == word_grams(w)
+    assert spelled([])[0] == []
+    for codes in ([], [5], [3, 3, 900_000, 2, 0], list(range(300))):
+        assert unpacked(packed(np.array(codes, dtype=np.int32))).tolist() == codes
+
+
 def corpus():
     rng = random.Random(2)
     good = [row(2000 + i, ". ".join(prose(rng, 60).capitalize() for _ in range(3)), "en" if i % 3 else "de") for i in range(240)]
