@@ -12,7 +12,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import batches_of, runs, saved, scalar, table
@@ -61,13 +61,11 @@ def fit_pivots(units: DataFrame, n: int, seed: int = 3) -> dict[int, np.ndarray]
     close to a pivot already taken are passed over, so a crowd of near copies
     gives one reference point."""
     wanted = max(LEAST_PIVOTS, min(MOST_PIVOTS, n // VECTORS_PER_PIVOT))
-    order = Window.partitionBy("dim").orderBy(F.xxhash64("digest", F.lit(seed)), "digest")
-    sample = units.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= SAMPLE)
-    by_dim: dict[int, list] = {}
-    for r in sample.select("dim", "unit").orderBy("dim", "_n").collect():
-        by_dim.setdefault(r["dim"], []).append(np.frombuffer(r["unit"]))
     pivots = {}
-    for dim, vectors in by_dim.items():
+    for (dim,) in units.select("dim").distinct().collect():     # vector lengths, as a rule one
+        # the least hashes: every task keeps SAMPLE rows at most, and so does the driver
+        sample = units.where(F.col("dim") == dim).orderBy(F.xxhash64("digest", F.lit(seed)), "digest").limit(SAMPLE)
+        vectors = [np.frombuffer(r["unit"]) for r in sample.select("unit").collect()]
         taken = np.empty((min(wanted, len(vectors)), dim))
         size = 0
         for v in vectors:
