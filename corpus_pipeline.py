@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import clean_text, saved, table
+from strata.llm.common import clean_text, delete, saved, scratch, table
 from strata.llm.line_dedup import drop_recurring_lines
 from strata.llm.minhash import near_duplicates
 from strata.llm.mixing import mix, sized
@@ -82,7 +82,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as keep:
+            docs = keep(saved(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        if last:
+            delete(spark, last)     # the stage before has been read for the last time
+        last = docs.scratch_folder
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,14 +21,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+#: Paths that the open ``scratch`` blocks will delete, innermost last.
+_open: list[list[str]] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder under ``spark.checkpoint.dir`` and read it back.
 
-    Cuts the lineage with files that outlive any executor."""
+    Cuts the lineage with files that outlive any executor. Inside a ``scratch``
+    block the folder is deleted at its end."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = fresh(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_folder = path
+    return out
+
+
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new folder name under ``spark.checkpoint.dir``, deleted like those of ``saved``."""
+    path = scratch_path(spark, name)
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system Spark finds it in."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Deletes at its end what ``saved`` wrote in it, but for tables passed to the yielded function.
+
+    Those go to the block around it, or stay if there is none; the result of an
+    operator may read them only."""
+    own: list[str] = []
+    _open.append(own)
+
+    def keep(df: DataFrame) -> DataFrame:
+        own.remove(df.scratch_folder)
+        if len(_open) > 1:
+            _open[-2].append(df.scratch_folder)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _open.pop()
+        for path in own:
+            delete(spark, path)
 
 
 def clean_text(column: str = "text"):

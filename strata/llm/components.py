@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, scalar
+from strata.llm.common import saved, scalar, scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,16 +32,18 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     one task's work. Every round is written to the checkpoint folder. Self links
     and links with a null end are ignored; an empty table gives an empty one.
     """
-    edges = saved(links.where("u != v").select(F.greatest("u", "v").alias("u"),
-                                               F.least("u", "v").alias("v")).distinct(), "cc-links")
-    digest = None
-    for _ in range(max_rounds):
-        edges = saved(_small_star(saved(_large_star(edges), "cc-large")), "cc-small")
-        now = scalar(edges, F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-        if now == digest:
-            break
-        digest = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    with scratch(links.sparkSession) as keep:
+        edges = saved(links.where("u != v").select(F.greatest("u", "v").alias("u"),
+                                                   F.least("u", "v").alias("v")).distinct(), "cc-links")
+        digest = None
+        for _ in range(max_rounds):
+            edges = saved(_small_star(saved(_large_star(edges), "cc-large")), "cc-small")
+            now = scalar(edges, F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
+            if now == digest:
+                break
+            digest = now
+        else:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        keep(edges)
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

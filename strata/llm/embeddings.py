@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import batches_of, runs, saved, scalar, table
+from strata.llm.common import batches_of, runs, saved, scalar, scratch, table
 from strata.llm.components import connected_components
 
 #: Pivots: one for every VECTORS_PER_PIVOT vectors, within bounds; fitted on SAMPLE vectors of each dimension at most.
@@ -161,31 +161,32 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, nearest: int = NEAREST, sha
     of its copies (kept is false), or stays alone with a null one; where no copy
     has a vec_id, others don't count it. An empty table gives no rows.
     """
-    units = saved(unit_vectors(df, column), "pivot-units")
-    nodes = saved(units.groupBy("digest", "dim").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-                  .where("node IS NOT NULL"), "pivot-nodes")
-    own = units.dropDuplicates(["digest", "dim"]).select("digest", "dim", "unit")
-    reps = nodes.join(own, ["digest", "dim"]).select("node", "digest", "copies", "dim", "unit")
-    (n,) = scalar(nodes, F.count("*"))
-    pivots = fit_pivots(units, n)
-    described = saved(reps.mapInArrow(_permutations(pivots, nearest),
-                                      "node long, digest binary, copies long, dim int, unit binary, permutation array<int>"),
-                      "pivot-permutations")
-    posted = described.withColumn("pivot", F.explode("permutation"))
-    lists = saved(described.select(F.explode("permutation").alias("pivot")).groupBy("pivot").count(), "pivot-lists")
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    posted = (posted.join(lists, "pivot").withColumn("blocks", blocks)
-              .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    posted = posted.select("pivot", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
-                           "block", "node", "digest", "copies", "unit", "permutation")
-    found = saved(posted.repartition(*_LIST).sortWithinPartitions(*_LIST)
-                  .mapInArrow(_links(cosine, shared), "node long, digest binary, n long, peer long"), "pivot-links")
-    comps = connected_components(found.select(F.col("node").alias("u"), F.col("peer").alias("v")))
-    counts = found.groupBy("digest").agg(F.sum("n").alias("n"))
-    placed = saved(nodes.join(counts, "digest", "left").join(comps, "node", "left")
-                   .select("digest", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
-                           F.coalesce("component", "node").alias("component_id")), "pivot-placed")
+    with scratch(df.sparkSession) as keep:
+        units = keep(saved(unit_vectors(df, column), "pivot-units"))
+        nodes = saved(units.groupBy("digest", "dim").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+                      .where("node IS NOT NULL"), "pivot-nodes")
+        own = units.dropDuplicates(["digest", "dim"]).select("digest", "dim", "unit")
+        reps = nodes.join(own, ["digest", "dim"]).select("node", "digest", "copies", "dim", "unit")
+        (n,) = scalar(nodes, F.count("*"))
+        pivots = fit_pivots(units, n)
+        described = saved(reps.mapInArrow(_permutations(pivots, nearest),
+                                          "node long, digest binary, copies long, dim int, unit binary, permutation array<int>"),
+                          "pivot-permutations")
+        posted = described.withColumn("pivot", F.explode("permutation"))
+        lists = saved(described.select(F.explode("permutation").alias("pivot")).groupBy("pivot").count(), "pivot-lists")
+        blocks = F.ceil(F.col("count") / BLOCK).cast("int")
+        posted = (posted.join(lists, "pivot").withColumn("blocks", blocks)
+                  .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+        posted = posted.select("pivot", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
+                               "block", "node", "digest", "copies", "unit", "permutation")
+        found = saved(posted.repartition(*_LIST).sortWithinPartitions(*_LIST)
+                      .mapInArrow(_links(cosine, shared), "node long, digest binary, n long, peer long"), "pivot-links")
+        comps = connected_components(found.select(F.col("node").alias("u"), F.col("peer").alias("v")))
+        counts = found.groupBy("digest").agg(F.sum("n").alias("n"))
+        placed = keep(saved(nodes.join(counts, "digest", "left").join(comps, "node", "left")
+                       .select("digest", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
+                               F.coalesce("component", "node").alias("component_id")), "pivot-placed"))
     ids = units.select("vec_id", "digest")
     good = ids.join(placed, "digest", "left")
     alone = df.select(F.col("vec_id").cast("long").alias("vec_id"),

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordHashes, batches_of, clean_text, runs, saved, shingle_hashes, table, words_of
+from strata.llm.common import WordHashes, batches_of, clean_text, runs, saved, scratch, shingle_hashes, table, words_of
 from strata.llm.components import connected_components
 
 HASHES, ROWS = 160, 5
@@ -188,45 +188,46 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, seed: int =
     has an id, stays alone with a null component. Empty tables give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    feats = saved(docs.select("doc_id", F.xxhash64(clean_text()).alias("text_key"), "text")
-                  .mapInArrow(_features(k, seed), FEATURES), "minhash-features")
-    classes = saved(feats.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
-                    .where("node IS NOT NULL"), "minhash-classes")
-    reps = saved(feats.join(classes, "digest").where("doc_id = node").dropDuplicates(["node", "digest"])
-                 .select("node", "n_shingles", "bands", "sig"), "minhash-reps")
-
-    banded = reps.select("node", F.explode("bands").alias("key"))
-    buckets = saved(banded.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub"))
-                    .where("size > 1"), "minhash-buckets")
-    members = saved(banded.join(buckets, "key"), "minhash-members")
-    nodes = members.select("node").distinct()
-    texts = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    sets = saved(texts.mapInArrow(_sets(k), "node long, shingles array<long>"), "minhash-sets")
-
-    side = lambda c: reps.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
-    stars = (members.where("node != hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-             .join(side("u"), "u").join(side("v"), "v")
-             .where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")))
-    close = saved(stars.select("u", "v", "sig_u", "sig_v").mapInArrow(_close, "u long, v long").distinct(), "minhash-close")
-    of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
-    both = F.size(F.array_intersect("set_u", "set_v"))
-    links = (close.join(of("u"), "u").join(of("v"), "v")
-             .where(100 * both >= percent * (F.size("set_u") + F.size("set_v") - both)).select("u", "v"))
-    comps = saved(connected_components(links), "minhash-components")
-
-    more = saved(_between_components(reps, members, sets, comps, percent), "minhash-more")
-    if not more.isEmpty():
-        comp = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
-        joined = (more.join(comp("u"), "u", "left").join(comp("v"), "v", "left")
-                  .select(F.coalesce("c_u", "u").alias("u"), F.coalesce("c_v", "v").alias("v")))
-        merged = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("_to"))
-        known = comps.join(merged, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
-        # a node that had no link before is a component of its own
-        comps = saved(merged.select(F.col("component").alias("node"), F.col("_to").alias("component"))
-                      .join(comps.select("node"), "node", "left_anti").union(known), "minhash-merged")
-
-    placed = saved(classes.join(comps, "node", "left")
-                   .select("digest", F.coalesce("component", "node").alias("component")), "minhash-placed")
+    with scratch(docs.sparkSession) as keep:
+        feats = keep(saved(docs.select("doc_id", F.xxhash64(clean_text()).alias("text_key"), "text")
+                      .mapInArrow(_features(k, seed), FEATURES), "minhash-features"))
+        classes = saved(feats.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
+                        .where("node IS NOT NULL"), "minhash-classes")
+        reps = saved(feats.join(classes, "digest").where("doc_id = node").dropDuplicates(["node", "digest"])
+                     .select("node", "n_shingles", "bands", "sig"), "minhash-reps")
+
+        banded = reps.select("node", F.explode("bands").alias("key"))
+        buckets = saved(banded.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub"))
+                        .where("size > 1"), "minhash-buckets")
+        members = saved(banded.join(buckets, "key"), "minhash-members")
+        nodes = members.select("node").distinct()
+        texts = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+        sets = saved(texts.mapInArrow(_sets(k), "node long, shingles array<long>"), "minhash-sets")
+
+        side = lambda c: reps.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
+        stars = (members.where("node != hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
+                 .join(side("u"), "u").join(side("v"), "v")
+                 .where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")))
+        close = saved(stars.select("u", "v", "sig_u", "sig_v").mapInArrow(_close, "u long, v long").distinct(), "minhash-close")
+        of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
+        both = F.size(F.array_intersect("set_u", "set_v"))
+        links = (close.join(of("u"), "u").join(of("v"), "v")
+                 .where(100 * both >= percent * (F.size("set_u") + F.size("set_v") - both)).select("u", "v"))
+        comps = saved(connected_components(links), "minhash-components")
+
+        more = saved(_between_components(reps, members, sets, comps, percent), "minhash-more")
+        if not more.isEmpty():
+            comp = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
+            joined = (more.join(comp("u"), "u", "left").join(comp("v"), "v", "left")
+                      .select(F.coalesce("c_u", "u").alias("u"), F.coalesce("c_v", "v").alias("v")))
+            merged = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("_to"))
+            known = comps.join(merged, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+            # a node that had no link before is a component of its own
+            comps = saved(merged.select(F.col("component").alias("node"), F.col("_to").alias("component"))
+                          .join(comps.select("node"), "node", "left_anti").union(known), "minhash-merged")
+
+        placed = keep(saved(classes.join(comps, "node", "left")
+                       .select("digest", F.coalesce("component", "node").alias("component")), "minhash-placed"))
     rows = feats.select("doc_id", "text_key", "n_shingles", "digest").join(placed, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
