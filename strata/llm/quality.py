@@ -23,13 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import batches_of, clean_text, saved, scalar, table
-from strata.session import scratch_path
+from strata.llm.common import batches_of, clean_text, fresh, saved, scalar, scratch, table
 
 ORDER, FOLDS = 5, 2
 START, END = "\x02", "\x03"
 #: A block ends after so many bytes of text.
 BLOCK_BYTES = 32 << 20
+#: Spark's own limit of a table's buckets.
+MOST_BUCKETS = 100_000
 #: Symbols at the language's mean that are added to every document, so that short ones don't swing.
 PRIOR = 64
 #: A language's limit: its trusted median plus MARGIN times the way from there to its trusted QUANTILE.
@@ -88,6 +89,34 @@ def word_grams(word: str, order: int = ORDER) -> list[str]:
     return [padded[i:i + order] for i in range(len(word) + 1)]
 
 
+def spelled(words: list[str], order: int = ORDER, part: int = 1 << 16) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``word_grams`` of all words at once: distinct n-grams, the number of each word's n-grams in
+    a row, and where each word's begin. Words are taken ``part`` at a time to bound the arrays."""
+    lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
+    names, numbers, at = _Numbers(), np.empty(lengths.sum(), dtype=np.int32), 0
+    for i in range(0, len(words), part):
+        found, own = _spell(words[i:i + part], lengths[i:i + part], order)
+        known = np.fromiter(map(names.__getitem__, found), dtype=np.int32, count=len(found))
+        numbers[at:at + len(own)] = known[own]
+        at += len(own)
+    return list(names), numbers, np.cumsum(lengths) - lengths
+
+
+def _spell(words: list[str], lengths: np.ndarray, order: int) -> tuple[list[str], np.ndarray]:
+    pad = START * (order - 1)
+    text = "".join([pad + w + END for w in words])
+    # a word's n-grams end at its characters and its end: all places but those of its padding
+    places = np.arange(lengths.sum()) + np.repeat(np.arange(1, len(words) + 1) * (order - 1), lengths)
+    symbols, ids = np.unique(np.frombuffer(text.encode("utf-32-le"), dtype="<u4"), return_inverse=True)
+    keys = np.zeros(len(places), dtype=np.int64)
+    for k in range(order - 1, -1, -1):
+        if int(keys.max()) >= 2**62 // len(symbols):
+            keys = np.unique(keys, return_inverse=True)[1]
+        keys = keys * len(symbols) + ids[places - k]
+    _, first, numbers = np.unique(keys, return_index=True, return_inverse=True)
+    return [text[p - order + 1:p + 1] for p in places[first].tolist()], numbers
+
+
 def packed(codes: np.ndarray) -> bytes:
     """Word numbers, sorted within each document, as compressed byte planes of their differences."""
     steps = np.diff(codes, prepend=np.int32(0)).astype("<i4")
@@ -99,54 +128,59 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<i4").ravel(), dtype=np.int32)
 
 
-def _gram_task(order: int, folds: int):
-    """``block, words, codes, ends, folds, trusted`` -> the block's distinct n-grams with the counts of each fold's trusted text."""
-    schema = pa.schema([("block", pa.int64()), ("gram", pa.string()), *[(f"n{f}", pa.int64()) for f in range(folds)]])
+def _blocks(batches):
+    """Block rows one at a time, so that a batch of several is never unpacked whole."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(name)[i] for name in batch.schema.names}
+
+
+def _gram_task(order: int, folds: int, part: int = 50_000):
+    """``block, words, codes, ends, folds, trusted`` -> the block's distinct n-grams, numbered as
+    ``spelled`` does, with the counts of each fold's trusted text."""
+    schema = pa.schema([("block", pa.int64()), ("i", pa.int32()), ("gram", pa.string()),
+                        *[(f"n{f}", pa.int64()) for f in range(folds)]])
 
     def task(batches):
-        for batch in batches:
-            for block, words, codes, ends, fold, trusted in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                codes, bounds = unpacked(codes), [0, *ends]
-                own = np.full(len(codes), -1, dtype=np.int8)
-                for i in trusted or ():
-                    own[bounds[i]:bounds[i + 1]] = fold[i]
-                numbers, spelled = _Numbers(), []
-                for word in words:
-                    spelled += map(numbers.__getitem__, word_grams(word, order))
-                spelled = np.array(spelled, dtype=np.int64)
-                lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
-                totals = [np.bincount(spelled, np.repeat(np.bincount(codes[own == f], minlength=len(words)), lengths),
-                                      minlength=len(numbers)).astype(np.int64) for f in range(folds)]
-                names = list(numbers)
-                for a in range(0, len(names), 50_000):
-                    part = slice(a, a + 50_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([block] * len(names[part]), type=pa.int64()), pa.array(names[part], type=pa.string()),
-                         *[pa.array(t[part]) for t in totals]], schema=schema)
+        for row in _blocks(batches):
+            words, codes = row["words"].as_py(), unpacked(row["codes"].as_py())
+            bounds, fold = [0, *row["ends"].as_py()], row["folds"].as_py()
+            own = np.full(len(codes), -1, dtype=np.int8)
+            for i in row["trusted"].as_py() or ():
+                own[bounds[i]:bounds[i + 1]] = fold[i]
+            counts = [np.bincount(codes[own == f], minlength=len(words)) for f in range(folds)]
+            del codes, own
+            names, numbers, begins = spelled(words, order)
+            lengths = np.diff(begins, append=len(numbers))
+            totals = [np.bincount(numbers, np.repeat(c, lengths), minlength=len(names)).astype(np.int64) for c in counts]
+            for a in range(0, len(names), part):
+                some = names[a:a + part]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), row["block"].as_py())), pa.array(np.arange(a, a + len(some), dtype=np.int32)),
+                     pa.array(some, type=pa.string()), *[pa.array(t[a:a + part]) for t in totals]], schema=schema)
 
     return task
 
 
 def _score_task(order: int, folds: int):
-    """Blocks with the log-probabilities of their n-grams -> ``doc_id, text_key, lang, symbols, nll``."""
+    """Blocks with the log-probabilities of their n-grams by number -> ``doc_id, text_key, lang, symbols, nll``."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("lang", pa.string()),
                         ("symbols", pa.int64()), ("nll", pa.float64())])
 
     def task(batches):
         def rows():
-            for batch in batches:
-                for ids, keys, langs, fold, ends, words, codes, names, *logs in zip(
-                        *(batch.column(i).to_pylist() for i in range(8 + folds))):
-                    log = [dict(zip(names or (), values or ())) for values in logs]
-                    nll = np.array([[-sum(map(p.__getitem__, grams)) for p in log]
-                                    for grams in (word_grams(w, order) for w in words)]).reshape(-1, folds)
-                    size = np.array([len(w) + 1 for w in words], dtype=np.int64)
-                    codes = unpacked(codes)
-                    a = 0
-                    for doc_id, key, lang, f, b in zip(ids, keys, langs, fold, ends):
-                        own = codes[a:b]
-                        yield doc_id, key, lang, int(size[own].sum()), float(nll[own, f].sum())
-                        a = b
+            for row in _blocks(batches):
+                words = row["words"].as_py()
+                size = np.array([len(w) + 1 for w in words], dtype=np.int64)
+                _, numbers, begins = spelled(words, order)
+                del words
+                nll = [-np.add.reduceat(row[f"l{f}"].values.to_numpy()[numbers], begins) if len(size) else np.empty(0)
+                       for f in range(folds)]
+                codes, a = unpacked(row["codes"].as_py()), 0
+                for doc_id, key, lang, f, b in zip(*(row[c].as_py() for c in ("doc_ids", "keys", "langs", "folds", "ends"))):
+                    own = codes[a:b]
+                    yield doc_id, key, lang, int(size[own].sum()), float(nll[f][own].sum())
+                    a = b
 
         yield from batches_of(rows(), schema)
 
@@ -219,43 +253,45 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds:
     spark = docs.sparkSession
     (total,) = scalar(docs, F.sum(F.octet_length(clean_text()).cast("long")))
     # with fewer buckets than shuffle partitions Spark would move the blocks after all
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(65_536, -(-(total or 0) // block_bytes)))
-    path = scratch_path(spark, "kn-blocks")
-    name = "strata_kn_" + hashlib.md5(path.encode()).hexdigest()[:16]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(clean_text()).alias("key"),
-                       F.col("lang").cast("string").alias("lang"),
-                       F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(folds)).cast("int").alias("fold"),
-                       clean_text().alias("text"))
-    (rows.mapInArrow(_block_task(block_bytes), BLOCKS)
-     .write.bucketBy(buckets, "block").option("path", path).saveAsTable(name))
-    blocks = spark.table(name)   # bucketed by block, so what joins it is moved and the blocks are not
-
-    placed = blocks.select("block", F.posexplode("doc_ids").alias("at", "doc_id"))
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    chosen = saved(placed.join(ids, "doc_id").select("block", "at", "doc_id"), "kn-trusted")
-    flags = chosen.groupBy("block").agg(F.collect_list("at").alias("trusted"))
-    grams = saved(blocks.select("block", "words", "codes", "ends", "folds").join(flags, "block", "left")
-                  .select("block", "words", "codes", "ends", "folds", "trusted")
-                  .mapInArrow(_gram_task(order, folds), "block long, gram string" + "".join(f", n{f} long" for f in range(folds))),
-                  "kn-grams")
-    totals = saved(grams.groupBy("gram").agg(*[F.sum(f"n{f}").alias(f"n{f}") for f in range(folds)]), "kn-counts")
-    everything = sum((F.col(f"n{f}") for f in range(folds)), F.lit(0))
-    sums = [n or 0 for n in scalar(totals, *[F.sum(f"n{f}") for f in range(folds)])]
-    # a fold that holds all trusted text is scored by its own model
-    others = F.array(*[F.struct(F.lit(f).alias("fold"), (everything - (F.col(f"n{f}") if sums[f] < sum(sums) else 0))
-                                .alias("n")) for f in range(folds)])
-    counts = saved(totals.select("gram", F.explode(others).alias("m")).select("m.fold", "gram", "m.n").where("n > 0"),
-                   "kn-fold-counts")
-    p = kneser_ney(counts, totals.select("gram"), order, folds)
-    logs = p.groupBy("gram").agg(*[F.max(F.when(F.col("fold") == f, F.log("p"))).alias(f"l{f}") for f in range(folds)])
-    fields = ["gram", *[f"l{f}" for f in range(folds)]]
-    own = (grams.select("block", "gram").join(saved(logs, "kn-logs"), "gram")
-           .groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("g"))
-           .select("block", *[F.col(f"g.{f}").alias(f) for f in fields]))
-    columns = ["doc_ids", "keys", "langs", "folds", "ends", "words", "codes", *fields]
-    scored = saved(blocks.join(own, "block", "left").select(*columns)
-                   .mapInArrow(_score_task(order, folds), "doc_id long, text_key long, lang string, symbols long, nll double"),
-                   "kn-scores")
+    buckets = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(total or 0) // block_bytes)))
+    with scratch(spark) as keep:
+        path = fresh(spark, "kn-blocks")
+        name = "strata_kn_" + hashlib.md5(path.encode()).hexdigest()[:16]
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(clean_text()).alias("key"),
+                           F.col("lang").cast("string").alias("lang"),
+                           F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(folds)).cast("int").alias("fold"),
+                           clean_text().alias("text"))
+        (rows.mapInArrow(_block_task(block_bytes), BLOCKS)
+         .write.bucketBy(buckets, "block").option("path", path).saveAsTable(name))
+        blocks = spark.table(name)   # bucketed by block, so what joins it is moved and the blocks are not
+
+        placed = blocks.select("block", F.posexplode("doc_ids").alias("at", "doc_id"))
+        ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+        chosen = saved(placed.join(ids, "doc_id").select("block", "at", "doc_id"), "kn-trusted")
+        flags = chosen.groupBy("block").agg(F.collect_list("at").alias("trusted"))
+        grams = saved(blocks.select("block", "words", "codes", "ends", "folds").join(flags, "block", "left")
+                      .select("block", "words", "codes", "ends", "folds", "trusted")
+                      .mapInArrow(_gram_task(order, folds), "block long, i int, gram string" + "".join(f", n{f} long" for f in range(folds))),
+                      "kn-grams")
+        totals = saved(grams.groupBy("gram").agg(*[F.sum(f"n{f}").alias(f"n{f}") for f in range(folds)]), "kn-counts")
+        everything = sum((F.col(f"n{f}") for f in range(folds)), F.lit(0))
+        sums = [n or 0 for n in scalar(totals, *[F.sum(f"n{f}") for f in range(folds)])]
+        # a fold that holds all trusted text is scored by its own model
+        others = F.array(*[F.struct(F.lit(f).alias("fold"), (everything - (F.col(f"n{f}") if sums[f] < sum(sums) else 0))
+                                    .alias("n")) for f in range(folds)])
+        counts = saved(totals.select("gram", F.explode(others).alias("m")).select("m.fold", "gram", "m.n").where("n > 0"),
+                       "kn-fold-counts")
+        p = kneser_ney(counts, totals.select("gram"), order, folds)
+        logs = p.groupBy("gram").agg(*[F.max(F.when(F.col("fold") == f, F.log("p"))).alias(f"l{f}") for f in range(folds)])
+        fields = [f"l{f}" for f in range(folds)]
+        own = (grams.select("block", "i", "gram").join(saved(logs, "kn-logs"), "gram")
+               .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("i", *fields))).alias("g"))
+               .select("block", *[F.col(f"g.{f}").alias(f) for f in fields]))
+        columns = ["doc_ids", "keys", "langs", "folds", "ends", "words", "codes", *fields]
+        scored = keep(saved(blocks.join(own, "block", "left").select(*columns)
+                       .mapInArrow(_score_task(order, folds), "doc_id long, text_key long, lang string, symbols long, nll double"),
+                       "kn-scores"))
+        spark.sql(f"DROP TABLE {name}")
     return scored.join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn(
         "trusted", F.coalesce("trusted", F.lit(False)))
 
