@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import clean_text, saved, table
+from strata.llm.common import clean_text, saved, scratch, table
 
 TOKEN = r"[^\x20\x09-\x0D]+"
 FIELD = "<*>"
@@ -35,6 +35,8 @@ def tree_lines(docs: DataFrame) -> DataFrame:
     """``text_key, at, tokens, n, leaf, line`` of every line that has tokens."""
     lines = docs.select(F.xxhash64(clean_text()).alias("text_key"),
                         F.posexplode(F.split(clean_text(), "\n", -1)).alias("at", "raw"))
+    # asked of the raw line: a condition on the tokens would make Spark spell them twice
+    lines = lines.where(F.col("raw").rlike(TOKEN))
     lines = lines.select("text_key", "at", tokens(F.col("raw")).alias("tokens")).withColumn("n", F.size("tokens"))
     return lines.select("text_key", "at", "tokens", "n",
                         F.xxhash64("n", F.slice("tokens", 1, LEADING)).alias("leaf"),
@@ -50,39 +52,40 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS, most: floa
     through. Repeated rows get the same result. An empty table gives no rows.
     """
     base = docs.select(clean_text().alias("text")).where(F.col("text") != "")
-    lines = saved(tree_lines(base).where("n > 0").drop("tokens"), "tree-lines")
-    per_text = saved(lines.select("leaf", "line", "n", "text_key").distinct(), "tree-texts")
-    kinds = per_text.groupBy("leaf", "line", "n").agg(F.count("*").alias("texts"))
-    leaves = kinds.groupBy("leaf").agg(F.count("*").alias("kinds"), F.sum("texts").alias("most"))
-    # no template of a leaf occurs in more texts than its lines do together
-    kinds = saved(kinds.join(leaves.where(F.col("most") >= min_texts).select("leaf", "kinds"), "leaf"), "tree-kinds")
-
-    several = kinds.where("kinds > 1").select("leaf", "line", "kinds", "n")
-    spelled = (tree_lines(base).select("leaf", "line", "tokens").join(several, ["leaf", "line"])
-               .dropDuplicates(["leaf", "line"]))
-    placed = saved(spelled.select("leaf", "line", "kinds", "n", F.posexplode("tokens").alias("position", "token")),
-                   "tree-positions")
-    votes = placed.groupBy("leaf", "position", "token", "kinds").agg(F.count("*").alias("votes"))
-    template = (votes.where("2 * votes >= kinds").groupBy("leaf", "position")
-                .agg(F.max(F.struct("votes", "token"))["token"].alias("common")))
-    members = (placed.join(template, ["leaf", "position"]).where("token = common")
-               .groupBy("leaf", "line", "n").agg(F.count("*").alias("same"))
-               .where(F.col("same") >= SIMILAR * F.col("n")).select("leaf", "line", F.lit(0).alias("own")))
-    # a line outside its leaf's template is a template of its own
-    assigned = saved(kinds.join(members, ["leaf", "line"], "left")
-                     .select("leaf", "line", F.when(F.col("own").isNull(), F.col("line")).alias("template")), "tree-assigned")
-    spread = (per_text.join(assigned, ["leaf", "line"]).select("leaf", "template", "text_key").distinct()
-              .groupBy("leaf", "template").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_texts))
-    a, s = assigned.alias("a"), saved(spread, "tree-recurring").alias("s")
-    recurring = saved(a.join(s, (F.col("a.leaf") == F.col("s.leaf")) & F.col("a.template").eqNullSafe(F.col("s.template")))
-                      .select("a.leaf", "a.line"), "tree-drops")
-
-    hits = (lines.join(recurring, ["leaf", "line"]).groupBy("text_key")
-            .agg(F.collect_set(F.struct("at", "n")).alias("hits")))
-    sizes = lines.groupBy("text_key", "at", "n").agg(F.lit(1)).groupBy("text_key").agg(F.sum("n").alias("total"))
-    dropped = F.aggregate("hits", F.lit(0).cast("long"), lambda t, x: t + x["n"])
-    drops = saved(hits.join(sizes, "text_key").where(dropped <= most * F.col("total"))
-                  .select("text_key", F.col("hits.at").alias("drops")), "tree-decisions")
+    with scratch(docs.sparkSession) as keep:
+        lines = saved(tree_lines(base).drop("tokens"), "tree-lines")
+        per_text = saved(lines.select("leaf", "line", "n", "text_key").distinct(), "tree-texts")
+        kinds = per_text.groupBy("leaf", "line", "n").agg(F.count("*").alias("texts"))
+        leaves = kinds.groupBy("leaf").agg(F.count("*").alias("kinds"), F.sum("texts").alias("most"))
+        # no template of a leaf occurs in more texts than its lines do together
+        kinds = saved(kinds.join(leaves.where(F.col("most") >= min_texts).select("leaf", "kinds"), "leaf"), "tree-kinds")
+
+        several = kinds.where("kinds > 1").select("leaf", "line", "kinds", "n")
+        spelled = (tree_lines(base).select("leaf", "line", "tokens").join(several, ["leaf", "line"])
+                   .dropDuplicates(["leaf", "line"]))
+        placed = saved(spelled.select("leaf", "line", "kinds", "n", F.posexplode("tokens").alias("position", "token")),
+                       "tree-positions")
+        votes = placed.groupBy("leaf", "position", "token", "kinds").agg(F.count("*").alias("votes"))
+        template = (votes.where("2 * votes >= kinds").groupBy("leaf", "position")
+                    .agg(F.max(F.struct("votes", "token"))["token"].alias("common")))
+        members = (placed.join(template, ["leaf", "position"]).where("token = common")
+                   .groupBy("leaf", "line", "n").agg(F.count("*").alias("same"))
+                   .where(F.col("same") >= SIMILAR * F.col("n")).select("leaf", "line", F.lit(0).alias("own")))
+        # a line outside its leaf's template is a template of its own
+        assigned = saved(kinds.join(members, ["leaf", "line"], "left")
+                         .select("leaf", "line", F.when(F.col("own").isNull(), F.col("line")).alias("template")), "tree-assigned")
+        spread = (per_text.join(assigned, ["leaf", "line"]).select("leaf", "template", "text_key").distinct()
+                  .groupBy("leaf", "template").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_texts))
+        a, s = assigned.alias("a"), saved(spread, "tree-recurring").alias("s")
+        recurring = saved(a.join(s, (F.col("a.leaf") == F.col("s.leaf")) & F.col("a.template").eqNullSafe(F.col("s.template")))
+                          .select("a.leaf", "a.line"), "tree-drops")
+
+        hits = (lines.join(recurring, ["leaf", "line"]).groupBy("text_key")
+                .agg(F.collect_set(F.struct("at", "n")).alias("hits")))
+        sizes = lines.groupBy("text_key", "at", "n").agg(F.lit(1)).groupBy("text_key").agg(F.sum("n").alias("total"))
+        dropped = F.aggregate("hits", F.lit(0).cast("long"), lambda t, x: t + x["n"])
+        drops = keep(saved(hits.join(sizes, "text_key").where(dropped <= most * F.col("total"))
+                      .select("text_key", F.col("hits.at").alias("drops")), "tree-decisions"))
 
     # the input row travels whole, so none of its names meets one of ours
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
