@@ -117,7 +117,8 @@ def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     last = F.least(bound(F.col("_rank") + 1), F.col("_a") + F.col("size"))
     pieces = (pieces.withColumn("start", F.when(F.col("_rank").isNull(), 0).otherwise(first - F.col("_a")))
               .withColumn("length", F.when(F.col("_rank").isNull(), 0).otherwise(last - first)))
-    placed = pieces.join(_schedule(by_source, m), ["_src", "_rank"], "left")
+    # Spark takes the schedule for as small as the source table it grows from, and would broadcast it
+    placed = pieces.join(_schedule(by_source, m).hint("merge"), ["_src", "_rank"], "left")
     return placed.select("slot", "doc_id", "text_key", "source", "size", "source_size", "target", "epoch", "start", "length", "_row")
 
 
@@ -136,7 +137,7 @@ def _schedule(by_source: DataFrame, m: int) -> DataFrame:
     counts = slots.groupBy("_src", "_cell").agg(F.count("*").alias("_count"))
     counts = counts.select("_src", "_cell", F.coalesce(F.sum("_count").over(prior), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_src", "_cell").orderBy("slot")) - 1
-    return (slots.withColumn("_within", within).join(counts, ["_src", "_cell"])
+    return (slots.withColumn("_within", within).join(counts.hint("merge"), ["_src", "_cell"])
             .select("_src", (F.col("_before") + F.col("_within")).alias("_rank"), "slot"))
 
 
