@@ -174,7 +174,7 @@ def _score_task(order: int, folds: int):
                 size = np.array([len(w) + 1 for w in words], dtype=np.int64)
                 _, numbers, begins = spelled(words, order)
                 del words
-                nll = [-np.add.reduceat(row[f"l{f}"].values.to_numpy()[numbers], begins) if len(size) else np.empty(0)
+                nll = [-np.add.reduceat(row[f"l{f}"].values.to_numpy().astype(np.float64)[numbers], begins) if len(size) else np.empty(0)
                        for f in range(folds)]
                 codes, a = unpacked(row["codes"].as_py()), 0
                 for doc_id, key, lang, f, b in zip(*(row[c].as_py() for c in ("doc_ids", "keys", "langs", "folds", "ends"))):
@@ -282,7 +282,8 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds:
         counts = saved(totals.select("gram", F.explode(others).alias("m")).select("m.fold", "gram", "m.n").where("n > 0"),
                        "kn-fold-counts")
         p = kneser_ney(counts, totals.select("gram"), order, folds)
-        logs = p.groupBy("gram").agg(*[F.max(F.when(F.col("fold") == f, F.log("p"))).alias(f"l{f}") for f in range(folds)])
+        logs = p.groupBy("gram").agg(*[F.max(F.when(F.col("fold") == f, F.log("p"))).cast("float").alias(f"l{f}")
+                                      for f in range(folds)])
         fields = [f"l{f}" for f in range(folds)]
         own = (grams.select("block", "i", "gram").join(saved(logs, "kn-logs"), "gram")
                .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("i", *fields))).alias("g"))
