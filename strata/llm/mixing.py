@@ -18,8 +18,8 @@ from strata.llm.common import clean_text, saved, scalar, table
 
 WEIGHTS = (5, 2, 1)       # by source in code-point order, null last, repeating
 SHARE, EPOCHS = 1.5, 2    # words the mix takes over all words; most readings of a source
-SLOTS_LOG2 = 20           # finest schedule: a slot is a 2**-20 part of the mix, or LEAST_BLOCK words
-LEAST_BLOCK = 16
+LEAST_BLOCK = 16          # words of a slot: so many to twice as many, however large the mix
+MOST_TASKS = 1 << 14      # tasks that make the schedule
 CHUNK_ROWS = 4096         # documents of a (source, chunk) aimed at if one source held all rows
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -65,8 +65,7 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: i
             .select("source", "source_size", "target", "lo", "hi"))
 
 
-def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS,
-        slots_log2: int = SLOTS_LOG2) -> DataFrame:
+def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
     """``sized`` rows -> the pieces of the mix in schedule order, and documents it leaves out.
 
     One row per piece: slot, doc_id, text_key, source, size, source_size, target, start
@@ -79,7 +78,7 @@ def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     n, total = scalar(rows, F.count("*"), F.sum("size"))
     total = total or 0
     words = share * total
-    m = max(0, min(slots_log2, int(math.log2(max(1.0, words / LEAST_BLOCK)))))
+    m = int(math.log2(max(1.0, words / LEAST_BLOCK)))
     slots, step = 1 << m, max(words, 1.0) / (1 << m)
     bits = max(4, min(28, math.ceil(math.log2(max(1, n / CHUNK_ROWS)))))
 
@@ -124,11 +123,11 @@ def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
 
 def _schedule(by_source: DataFrame, m: int) -> DataFrame:
     """``_src, _rank, slot``: every source's slots in time order, ranked from 0."""
-    part = max(0, m - 8)    # a cell is 2**part slots in time or values of j, 4096 at most
+    part = m // 2    # a cell is 2**part slots in time or values of j: cells and their slots grow alike
     width = 1 << part
     runs = by_source.where("_n > 0").select("_src", "_j0", "_j1", F.explode(
         F.sequence(F.floor(F.col("_j0") / width), F.floor((F.col("_j1") - 1) / width))).alias("_c"))
-    runs = runs.repartition(max(1, (1 << m) >> 14), "_src", "_c")   # a large source's slots are made by many tasks
+    runs = runs.repartition(max(1, min(1 << m >> 14, MOST_TASKS)), "_src", "_c")   # a large source's slots are made by many tasks
     j = F.explode(F.sequence(F.greatest("_j0", F.col("_c") * width),
                              F.least("_j1", (F.col("_c") + 1) * width) - 1)).alias("_j")
     slot = F.conv(F.reverse(F.lpad(F.bin("_j"), max(1, m), "0")), 2, 10).cast("long") if m else F.lit(0).cast("long")

@@ -90,3 +90,13 @@ def test_no_words_and_empty_table(spark):
     out = mix(saved(sized(frame(spark, [row(1, ""), row(2, None, None, None)])), "test-mix")).collect()
     assert len({r["_row"] for r in out}) == 2 and not any(r["length"] for r in out)
     assert mix(saved(sized(frame(spark, [])), "test-mix")).count() == 0
+
+
+def test_small_sources_of_a_large_mix(spark):
+    """75 million words: a slot stays under 32 words, so a source of 15 is in the mix, near its target."""
+    rows = [(i, f"s{i:02}", f"{i:08x}", i, 15) for i in range(40)] + [
+        (100 + i, "t", f"{i * 80_000_000:08x}", i, 1_000_000) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, _k string, text_key long, size long")
+    got = mix(saved(df, "test-mix")).groupBy("source", "target").agg({"length": "sum", "slot": "count"}).collect()
+    assert len(got) == 41 and sum(r["count(slot)"] for r in got) > 2**21
+    assert all(r["sum(length)"] > 0 and abs(r["sum(length)"] - r["target"]) <= 32 for r in got)
