@@ -9,6 +9,7 @@ from strata.llm.mixing import OP7_SQL, op7_source_mix
 from strata.llm.packing import op9_cost_packing
 from strata.llm.quality import op1_kneser_ney
 from strata.llm.sharding import op4_external_shuffle
+from strata.llm.spelling import OP13_SQL, op13_frequency_trie
 from strata.llm.substrings import op8_collinear_chains
 
 LLM_QUERIES = {
@@ -22,6 +23,7 @@ LLM_QUERIES = {
     "op8_collinear_chains": op8_collinear_chains,
     "op9_cost_packing": op9_cost_packing,
     "op10_minhash": op10_minhash,
+    "op13_frequency_trie": op13_frequency_trie,
 }
 
 LLM_ORACLE = {
@@ -31,4 +33,5 @@ LLM_ORACLE = {
     "op6_diagonal_voting": OP6_SQL,
     "op7_source_mix": OP7_SQL,
     "op10_minhash": OP10_SQL,
+    "op13_frequency_trie": OP13_SQL,
 }
