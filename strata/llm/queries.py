@@ -1,5 +1,6 @@
 """The registered queries of this package and the DuckDB statements that give the same rows."""
 
+from strata.llm.dialogue import OP11_SQL, op11_cyk_repair
 from strata.llm.embeddings import OP2_SQL, op2_pivot_permutations
 from strata.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from strata.llm.licenses import OP6_SQL, op6_diagonal_voting
@@ -23,6 +24,7 @@ LLM_QUERIES = {
     "op8_collinear_chains": op8_collinear_chains,
     "op9_cost_packing": op9_cost_packing,
     "op10_minhash": op10_minhash,
+    "op11_cyk_repair": op11_cyk_repair,
     "op13_frequency_trie": op13_frequency_trie,
 }
 
@@ -33,5 +35,6 @@ LLM_ORACLE = {
     "op6_diagonal_voting": OP6_SQL,
     "op7_source_mix": OP7_SQL,
     "op10_minhash": OP10_SQL,
+    "op11_cyk_repair": OP11_SQL,
     "op13_frequency_trie": OP13_SQL,
 }
