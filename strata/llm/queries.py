@@ -3,6 +3,7 @@
 from strata.llm.dialogue import OP11_SQL, op11_cyk_repair
 from strata.llm.embeddings import OP2_SQL, op2_pivot_permutations
 from strata.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from strata.llm.langid import op12_zstd_language
 from strata.llm.licenses import OP6_SQL, op6_diagonal_voting
 from strata.llm.line_dedup import OP5_SQL, op5_template_tree
 from strata.llm.minhash import OP10_SQL, op10_minhash
@@ -25,6 +26,7 @@ LLM_QUERIES = {
     "op9_cost_packing": op9_cost_packing,
     "op10_minhash": op10_minhash,
     "op11_cyk_repair": op11_cyk_repair,
+    "op12_zstd_language": op12_zstd_language,
     "op13_frequency_trie": op13_frequency_trie,
 }
 

@@ -17,7 +17,7 @@ def con():
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in entry.LLM_QUERIES if k != "pipeline") == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in entry.LLM_QUERIES if k != "pipeline") == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
