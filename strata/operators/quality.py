@@ -189,6 +189,42 @@ def split_backfill(classified: DataFrame, settings: Settings,
     return valid_rows(rows), quarantined_rows(rows)
 
 
+def backfill_registry(classified: DataFrame, settings: Settings, backfill_log: DataFrame | None = None,
+                      business_date: str = "business_date") -> DataFrame:
+    """What this run's backfill lets in: one row per valid record inside the window and not in the log yet.
+
+    Columns: _record_hash, _backfill_id, _backfill_reason, _window_start, _window_end, rows."""
+    if settings.backfill_id is None or settings.backfill_reason is None:
+        raise ValueError("backfill_enabled requires backfill_id and backfill_reason")
+    start, end = (F.lit(d).cast("date") for d in (settings.backfill_start, settings.backfill_end))
+    fresh = valid_rows(classified).filter(F.col(business_date).between(start, end))
+    fresh = fresh.groupBy("_record_hash").agg(F.count(F.lit(1)).alias("rows"))
+    if backfill_log is not None:
+        fresh = fresh.join(backfill_log.select("_record_hash"), "_record_hash", "left_anti")
+    return fresh.select("_record_hash", F.lit(settings.backfill_id).alias("_backfill_id"),
+                        F.lit(settings.backfill_reason).alias("_backfill_reason"),
+                        start.alias("_window_start"), end.alias("_window_end"), "rows")
+
+
+def logged_backfill(classified: DataFrame, backfill_log: DataFrame) -> DataFrame:
+    """Valid backfill rows that the log lets in, in whatever run, tagged with the id and reason that did.
+
+    The log holds a record once; should a table written by hand hold it again,
+    the smallest id counts."""
+    log = backfill_log.groupBy("_record_hash").agg(
+        F.min(F.struct("_backfill_id", "_backfill_reason")).alias("_by"))
+    rows = with_tags(valid_rows(classified)).join(log, "_record_hash")
+    return rows.withColumns({c: F.col(f"_by.{c}") for c in ("_backfill_id", "_backfill_reason")}).drop("_by")
+
+
+def refused_backfill(classified: DataFrame, backfill_log: DataFrame) -> DataFrame:
+    """Backfill rows that no run has let in: those that break a rule, then those outside every window so far."""
+    rows = classified.join(backfill_log.select("_record_hash").distinct().withColumn("_logged", F.lit(True)),
+                           "_record_hash", "left")
+    rows = rows.filter(F.col(REASON_COL).isNotNull() | F.col("_logged").isNull()).drop("_logged")
+    return rows.withColumn(REASON_COL, F.coalesce(REASON_COL, F.lit(OUTSIDE_WINDOW)))
+
+
 def replay_registry(replayed: DataFrame) -> DataFrame:
     """Rows to append to the replay log: one per (replay id, record) with its count.
 

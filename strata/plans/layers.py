@@ -123,10 +123,12 @@ def ingest(spark: SparkSession, location, spec: DatasetSpec, settings: Settings,
     with the whole table, so a run that stopped before it logged its files adds
     nothing twice when it is repeated. ``<path>_files`` lists what was read."""
     files = (list_drop_files(spark, location) if isinstance(location, str)
-             else literal_rows(spark, [(p,) for p in location], "path string"))
+             else list_drop_files(spark, list(location), "*"))
     log, known = f"{path}_files", table_exists(spark, path)
     if known and table_exists(spark, log):
-        files = files.join(spark.read.parquet(log).select(*files.columns), files.columns, "left_anti")
+        read = spark.read.parquet(log)
+        told = [c for c in files.columns if c in read.columns]      # a log of paths alone is a log too
+        files = files.join(read.select(*told).distinct(), told, "left_anti")
     # one path for each new file: what the reader below and Spark's file index hold anyway
     paths = [r["path"] for r in files.select("path").collect()]
     if paths:
@@ -142,6 +144,19 @@ def ingest(spark: SparkSession, location, spec: DatasetSpec, settings: Settings,
     return spark.read.parquet(path)
 
 
+def backfilled(spark: SparkSession, classified: DataFrame, settings: Settings, log_path: str) -> DataFrame | None:
+    """The backfill log after this run, None if nothing was ever backfilled.
+
+    The log is written before the rows are merged, and the rows are merged by the
+    log: a backfill that was let in once is in every rebuild, with the id and
+    reason of the run that let it in, whether that run was finished or not."""
+    log = spark.read.parquet(log_path) if table_exists(spark, log_path) else None
+    if settings.backfill_enabled:
+        quality.backfill_registry(classified, settings, log).write.mode("append").parquet(log_path)
+        log = spark.read.parquet(log_path)
+    return log
+
+
 def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
               settings: Settings | None = None, backfill_location=None, dedupe_scope: str = "all",
               asof_strategy: str = "sweep", open_first_version: bool = True,
@@ -179,6 +194,9 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
     b_backfill = None
     if settings.backfill_enabled and backfill_location is not None:
         b_backfill = land(backfill_spec, backfill_location)
+    elif table_exists(spark, path(f"bronze_{BACKFILL.name}")):
+        out[f"bronze_{BACKFILL.name}"] = path(f"bronze_{BACKFILL.name}")
+        b_backfill = spark.read.parquet(out[f"bronze_{BACKFILL.name}"])
 
     # Silver: one classification per dataset, written once; valid and quarantine read it.
     city_c = save("silver_city_staging", quality.classify(conform(b_city, city_spec, settings), city_spec))
@@ -199,8 +217,11 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
     if b_backfill is not None:
         b_c = save("silver_trips_backfill_staging", quality.classify(
             conform(b_backfill, backfill_spec, settings), backfill_spec, waive_late=True))
-        backfill, refused = quality.split_backfill(b_c, settings)
-        save("quarantine_trips_backfill", refused)
+        log = backfilled(spark, b_c, settings, path("backfill_log"))
+        if log is not None:
+            out["backfill_log"] = path("backfill_log")
+            backfill = quality.logged_backfill(b_c, log)
+            save("quarantine_trips_backfill", quality.refused_backfill(b_c, log))
     feed = quality.change_feed(quality.valid_rows(trips_c), carried, replay, backfill)
     trips = save("silver_trips", scd.scd1(feed.select(*trips_columns), list(TRIPS.keys), list(SEQUENCE)))
     if replay is not None:

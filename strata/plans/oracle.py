@@ -413,3 +413,13 @@ ORACLE["bronze_append"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, 'customer' AS _dataset,
        CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 20240205 ELSE 20240105 END AS _ingest_yyyymmdd
 FROM customer"""
+
+_WINDOWS = [(f"business_date BETWEEN DATE '{x.backfill_start}' AND DATE '{x.backfill_end}'", x.backfill_id, x.backfill_reason)
+            for x in (specs.BACKFILL, specs.LATER_BACKFILL)]
+ORACLE["backfill_rerun"] = f"""
+SELECT order_id, business_date,
+       CASE WHEN r IS NOT NULL THEN NULL {' '.join(f"WHEN {w} THEN '{i}'" for w, i, _ in _WINDOWS)} END AS _backfill_id,
+       CASE WHEN r IS NOT NULL THEN NULL {' '.join(f"WHEN {w} THEN '{why}'" for w, _, why in _WINDOWS)} END AS _backfill_reason,
+       CASE WHEN r IS NOT NULL THEN r {' '.join(f"WHEN {w} THEN NULL" for w, _, _ in _WINDOWS)}
+            ELSE 'outside_backfill_window' END AS _reject_reason
+FROM (SELECT *, {ORDERS_REASON} AS r FROM ({ORDERS_STAGED}))"""

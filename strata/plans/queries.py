@@ -194,6 +194,22 @@ def q_replay_rerun(spark, root):
     return feed.select("order_id", "line_number", "business_date", "_ingest_date", "_replay_id", "_backfill_id")
 
 
+def q_backfill_rerun(spark, root):
+    """Three runs of one backfill (a window, switched off, a later window that overlaps); every row
+    let in by any of them is in the last, with the id and reason of the run that let it in."""
+    from strata.plans.layers import backfilled
+    staged = orders_staged(spark, root).withColumn("_record_hash", F.sha2(F.col("order_id"), 256))
+    path = scratch_path(spark, "backfill-staging")
+    quality.classify(staged, specs.ORDERS, waive_late=True).write.parquet(path)
+    classified, log_path = spark.read.parquet(path), scratch_path(spark, "backfill-log")
+    for settings in (specs.BACKFILL, Settings(), specs.LATER_BACKFILL):
+        log = backfilled(spark, classified, settings, log_path)
+    kept, refused = quality.logged_backfill(classified, log), quality.refused_backfill(classified, log)
+    columns = ["order_id", "business_date", "_backfill_id", "_backfill_reason"]
+    kept = kept.select(*columns, F.lit(None).cast("string").alias(quality.REASON_COL))
+    return kept.unionByName(quality.with_tags(refused).select(*columns, quality.REASON_COL))
+
+
 def q_retention_kept(spark, root):
     """The quarantine after retention; rows without a date stay."""
     q = quality.quarantined_rows(lines_classified(spark, root))
@@ -438,6 +454,7 @@ QUERIES = {
     "backfill_quarantine": q_backfill_quarantine,
     "replay_registry": q_replay_registry,
     "replay_rerun": q_replay_rerun,
+    "backfill_rerun": q_backfill_rerun,
     "retention_kept": q_retention_kept,
     "change_feed_union": q_change_feed_union,
     "scd1_latest": q_scd1_latest,

@@ -134,5 +134,7 @@ REPLAY = Settings(replay_enabled=True, replay_id="replay-r1")
 LATER_REPLAY = Settings(replay_enabled=True, replay_id="replay-r2")
 BACKFILL = Settings(backfill_enabled=True, backfill_start="1996-01-01", backfill_end="1996-12-31",
                     backfill_id="bf-1996", backfill_reason="restatement")
+LATER_BACKFILL = Settings(backfill_enabled=True, backfill_start="1996-07-01", backfill_end="1998-06-30",
+                          backfill_id="bf-1997", backfill_reason="second restatement")
 EVENTS_NOW = Settings(now="2024-02-01 00:00:00")
 LINES_NOW = Settings(now="2001-06-01 00:00:00")

@@ -51,8 +51,8 @@ RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"
 
 
-def list_drop_files(spark: SparkSession, location: str, glob: str = "*.csv") -> DataFrame:
-    """path, size, modification time of every drop file (file contents not read)."""
+def list_drop_files(spark: SparkSession, location: str | list[str], glob: str = "*.csv") -> DataFrame:
+    """path, size, modification time of every drop file of a folder or list (file contents not read)."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true").load(location)
             .select("path", "length", "modificationTime"))

@@ -215,3 +215,40 @@ def test_promotion_reaches_silver(spark, scratch):   # P12
                            promote={"city": {"region": "string"}})
     regions = {r["city_id"]: r["region"] for r in spark.read.parquet(out["silver_city"]).collect()}
     assert regions["C4"] == "North" and regions["C1"] is None
+
+
+def test_backfill_stays_without_and_with_another_backfill(spark):   # S3, F9, U1
+    from strata.session import scratch_path
+    root = fx.local(scratch_path(spark, "layers-stay"))
+    city = fx.city_csvs(root + "/drops/city")
+    fx.trips_csv(root + "/drops/trips")
+    fx.write(root + "/drops/backfill/b1.csv",
+             fx.TRIPS_HEADER + "\nB1,C1,2023-06-01,3,new,9,5,5\nB2,C1,2022-06-02,3,new,9,5,5\nB3,C1,2023-07-01,-3,new,9,5,5\n")
+    first = Settings(now=fx.NOW, backfill_enabled=True, backfill_start="2023-01-01", backfill_end="2023-12-31",
+                     backfill_id="bf1", backfill_reason="missed drop")
+
+    def run(settings, backfill=root + "/drops/backfill"):
+        out = layers.run_batch(spark, city, root + "/drops/trips", root + "/out", settings, backfill_location=backfill)
+        silver = {r["trip_id"]: (r["_backfill_id"], r["_backfill_reason"]) for r in spark.read.parquet(out["silver_trips"]).collect()}
+        refused = {r["trip_id"]: r["_reject_reason"] for r in spark.read.parquet(out["quarantine_trips_backfill"]).collect()}
+        return {k: v for k, v in silver.items() if k.startswith("B")}, refused
+
+    assert run(first) == ({"B1": ("bf1", "missed drop")}, {"B2": "outside_backfill_window", "B3": "negative_distance"})
+    assert run(Settings(now=fx.NOW), None)[0] == {"B1": ("bf1", "missed drop")}
+    wider = replace(first, backfill_start="2022-01-01", backfill_id="bf2", backfill_reason="older")
+    both = ({"B1": ("bf1", "missed drop"), "B2": ("bf2", "older")}, {"B3": "negative_distance"})
+    assert run(wider) == both
+    assert run(wider) == both                              # the same window again logs nothing
+    assert spark.read.parquet(root + "/out/backfill_log").count() == 2
+    assert run(Settings(now=fx.NOW), None) == both
+
+
+def test_file_list_then_folder(spark, scratch):   # S1, S12
+    from strata.plans import specs
+    root = fx.local(scratch)
+    fx.write(root + "/drops/a.csv", "c_custkey,c_name\n1,x\n")
+    table = root + "/bronze"
+    assert layers.ingest(spark, [root + "/drops/a.csv"], specs.CUSTOMER, SETTINGS, table).count() == 1
+    fx.write(root + "/drops/b.csv", "c_custkey,c_name\n2,y\n")
+    assert layers.ingest(spark, root + "/drops", specs.CUSTOMER, SETTINGS, table).count() == 2
+    assert spark.read.parquet(table + "_files").where("length > 0 AND modificationTime IS NOT NULL").count() == 2
