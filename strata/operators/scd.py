@@ -148,6 +148,30 @@ def scd2(df: DataFrame, keys, sequence: str, track, tiebreak=None, bucket: str |
                     F.coalesce(F.col("_next"), F.col("_next_bucket")).alias(end_col))
 
 
+KNOWN_COL = "_known_from"
+
+
+def scd2_effective(df: DataFrame, keys, effective: str, known: str, track, tiebreak=None, known_at=None,
+                   bucket: str | None = "auto", start_col: str = START_COL, end_col: str = END_COL) -> DataFrame:
+    """Versions by effective date, as known at a time (``known_at``; None: now).
+
+    Two time axes: ``effective`` says from when a row holds, ``known`` when it
+    came in. Of the rows that hold from the same date the one known last counts
+    (then ``tiebreak``). So a row that comes in late but holds from within a
+    closed version splits it, and one with the date of an older row corrects
+    that row; ``known_at`` gives back what was known before. ``KNOWN_COL``
+    tells since when a version's opening row has been known.
+
+    Rows without an effective date hold from no time and open no version."""
+    keys = list(keys)
+    rows = df.filter(F.col(effective).isNotNull())
+    if known_at is not None:
+        rows = rows.filter(F.col(known) <= F.lit(known_at).cast(df.schema[known].dataType))
+    last = scd1(rows, [*keys, effective], known, tiebreak=tiebreak)
+    versions = scd2(last, keys, effective, track, bucket=bucket, start_col=start_col, end_col=end_col)
+    return versions.withColumn(KNOWN_COL, F.col(known))
+
+
 def current_rows(history: DataFrame, end_col: str = END_COL) -> DataFrame:
     """The open version of every key."""
     return history.filter(F.col(end_col).isNull())

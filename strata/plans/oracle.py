@@ -423,3 +423,21 @@ SELECT order_id, business_date,
        CASE WHEN r IS NOT NULL THEN r {' '.join(f"WHEN {w} THEN NULL" for w, _, _ in _WINDOWS)}
             ELSE 'outside_backfill_window' END AS _reject_reason
 FROM (SELECT *, {ORDERS_REASON} AS r FROM ({ORDERS_STAGED}))"""
+
+ORACLE["scd2_effective"] = """
+WITH e AS (
+  SELECT *, date_trunc('day', CAST(ts AS TIMESTAMP) - to_days(CAST(event_id * 7 % 31 AS INTEGER))) AS effective FROM events
+), m AS (
+  SELECT to_timestamp((CAST(epoch(min(CAST(ts AS TIMESTAMP))) AS BIGINT) + CAST(epoch(max(CAST(ts AS TIMESTAMP))) AS BIGINT)) // 2)
+           AT TIME ZONE 'UTC' AS middle FROM events
+), known AS (
+  SELECT e.*, true AS known_now FROM e UNION ALL SELECT e.*, false FROM e, m WHERE CAST(ts AS TIMESTAMP) <= middle
+), latest AS (
+  SELECT * FROM known QUALIFY row_number() OVER (PARTITION BY known_now, user_id, effective ORDER BY ts DESC, event_id DESC) = 1
+), changes AS (
+  SELECT * FROM latest WINDOW w AS (PARTITION BY known_now, user_id ORDER BY effective)
+  QUALIFY lag(event_type) OVER w IS DISTINCT FROM event_type OR row_number() OVER w = 1
+)
+SELECT user_id, event_type, effective AS __START_AT,
+       lead(effective) OVER (PARTITION BY known_now, user_id ORDER BY effective) AS __END_AT,
+       CAST(ts AS TIMESTAMP) AS _known_from, known_now FROM changes"""

@@ -241,6 +241,23 @@ def q_scd2_history(spark, root):
     return events_history(spark, root).select("user_id", "event_type", scd.START_COL, scd.END_COL)
 
 
+def q_scd2_effective(spark, root):
+    """Event types by the day from which they hold, which lies up to a month before the event came in;
+    with the versions as they were known in the middle of the events' time."""
+    e = read_table(spark, root, "events", ["event_id", "user_id", "ts", "event_type"])
+    days = F.expr("make_dt_interval(CAST(event_id * 7 % 31 AS INT))")
+    e = e.withColumn("effective", F.date_trunc("day", F.col("ts") - days).cast("timestamp_ntz"))
+    middle = e.select(F.timestamp_seconds(F.expr("CAST((unix_seconds(CAST(min(ts) AS timestamp)) "
+                                                 "+ unix_seconds(CAST(max(ts) AS timestamp))) DIV 2 AS BIGINT)"))).first()[0]
+    columns = ["user_id", "event_type", scd.START_COL, scd.END_COL, scd.KNOWN_COL]
+
+    def versions(known_at):
+        return scd.scd2_effective(e, ["user_id"], "effective", "ts", ["event_type"], tiebreak=["event_id"], known_at=known_at)
+
+    return (versions(None).select(*columns, F.lit(True).alias("known_now"))
+            .unionByName(versions(middle).select(*columns, F.lit(False).alias("known_now"))))
+
+
 def q_dim_current(spark, root):
     """open version per user."""
     return scd.current_rows(events_history(spark, root)).select("user_id", "event_type")
@@ -459,6 +476,7 @@ QUERIES = {
     "change_feed_union": q_change_feed_union,
     "scd1_latest": q_scd1_latest,
     "scd2_history": q_scd2_history,
+    "scd2_effective": q_scd2_effective,
     "dim_current": q_dim_current,
     "calendar": q_calendar,
     "fact_current": q_fact_current,

@@ -18,10 +18,11 @@ from strata.operators.dedupe import dedupe_content
 from strata.session import scratch_path
 from strata.sources.tables import read_table
 from strata.plans import specs
-from strata.streaming.runner import BUCKET_COL, _await, merge_stream, profile_stream, table_files_stream
+from strata.streaming.merge_table import read_merged
+from strata.streaming.runner import _await, merge_stream, profile_stream, table_files_stream
 
-# A drop file or merge bucket for so many rows, and the least of them.
-ROWS_PER_FILE, DROP_FILES, MERGE_BUCKETS = 5_000_000, 4, 16
+# A drop file for so many rows, and the least of them.
+ROWS_PER_FILE, DROP_FILES = 5_000_000, 4
 
 
 def _parts(df: DataFrame, least: int) -> int:
@@ -51,22 +52,20 @@ def q_stream_dedupe(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_stream_scd1(spark: SparkSession, root: str) -> DataFrame:
-    """C1 incremental: line items merged batch by batch into a bucketed type-1 table."""
+    """C1 incremental: line items merged batch by batch into a type-1 table."""
     li = read_table(spark, root, "lineitem")
     base, drops = _drops(spark, root, "lineitem", None)
     merge_stream(spark, table_files_stream(spark, drops), f"{base}/table", f"{base}/_checkpoint",
-                 ["l_orderkey", "l_linenumber"], "scd1", ["l_shipdate", "l_partkey", "l_suppkey"],
-                 buckets=_parts(li, MERGE_BUCKETS))
-    return spark.read.parquet(f"{base}/table").select(*li.columns)
+                 ["l_orderkey", "l_linenumber"], "scd1", ["l_shipdate", "l_partkey", "l_suppkey"])
+    return read_merged(spark, f"{base}/table").select(*li.columns)
 
 
 def q_stream_scd2(spark: SparkSession, root: str) -> DataFrame:
     """C2 incremental: event versions merged batch by batch, out-of-order arrival."""
     base, drops = _drops(spark, root, "events", ["event_id", "user_id", "ts", "event_type"])
     merge_stream(spark, table_files_stream(spark, drops), f"{base}/table", f"{base}/_checkpoint",
-                 ["user_id"], "scd2", ["ts", "event_id"], track=["event_type"],
-                 buckets=_parts(read_table(spark, root, "events", ["event_id"]), MERGE_BUCKETS))
-    t = spark.read.parquet(f"{base}/table")
+                 ["user_id"], "scd2", ["ts", "event_id"], track=["event_type"])
+    t = read_merged(spark, f"{base}/table")
     return t.select("user_id", "event_type", scd.START_COL, scd.END_COL)
 
 
@@ -110,4 +109,3 @@ STREAM_QUERIES = {
     "stream_scd2": q_stream_scd2,
     "stream_profile": q_stream_profile,
 }
-__all__ = ["STREAM_QUERIES", "BUCKET_COL"]

@@ -7,11 +7,9 @@
 * ``landing_to_bronze``: parquet stream of the landing folder ->
   de-duplication by content hash -> partitioned append sink. The stateful
   operator lives here, not inside ``foreachBatch``.
-* ``merge_stream``: ``foreachBatch`` that merges each micro-batch into a table
-  partitioned by ``_bucket = pmod(xxhash64(keys), N)``: only the touched buckets
-  are read, re-merged (type 1 from the table, type 2 from the bucketed change
-  log), staged whole, and replaced with a dynamic partition overwrite. A retry
-  replaces from the staged copy, so it is safe wherever the first try stopped.
+* ``merge_stream``: ``foreachBatch`` that adds each micro-batch to a ``MergeTable``:
+  a batch writes its own rows, readers merge them with the base, and deltas that
+  outgrow a share of the base are compacted into a new one.
 * ``profile_stream``: complete-mode aggregate written whole on every batch.
 
 All state (checkpoints, staging) lives under ``spark.checkpoint.dir``.
@@ -22,15 +20,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import scd
 from strata.operators.dedupe import dedupe_content
 from strata.operators.metadata import add_ingest_metadata
 from strata.session import ensure_checkpoint_dir
 from strata.sources.csv_drops import read_drops
-from strata.sources.tables import table_exists
+from strata.streaming.merge_table import MergeTable
 from strata.spec import DatasetSpec, Settings
 
-BUCKET_COL = "_bucket"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -78,88 +74,32 @@ def landing_to_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint
     _await(w.start(bronze))
 
 
-def _by_keys(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
-    """Semi / anti join on ``keys`` with NULL matching NULL."""
-    r = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-    cond = [left[k].eqNullSafe(r[f"_k_{k}"]) for k in keys]
-    return left.join(r, cond, how)
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when its checkpoint was made: a new checkpoint is a new source."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
-def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: str, buckets: int,
-                sequence, track=None, tiebreak=None, staging: str | None = None,
-                batch_id: int = 0, bucket: str | None = "auto", open_first_version: bool = False) -> None:
-    """Merge one batch of change rows into the bucketed table at ``table``.
+def merge_batch(spark: SparkSession, batch: DataFrame, table: str, keys, kind: str, sequence, batch_id: int, source: str,
+                track=None, tiebreak=None, bucket: str | None = "auto", open_first_version: bool = False) -> None:
+    """Merge one batch of change rows into the table at ``table`` (see ``MergeTable``).
 
-    Only the touched ``_bucket`` partitions are read and replaced.
-    Type 1: the touched buckets plus the batch rows are reduced to the latest
-    row per key (max is associative, the table is enough).
-    Type 2: rows that changed nothing were folded into a version, but a later
-    out-of-order row can split that version again, so every change row is kept
-    in ``<table>_log/_batch=N/_bucket=B`` (written per batch with overwrite, so a
-    retry is idempotent); only the keys present in the batch get their history
-    rebuilt from it, the other rows of the touched buckets are copied unchanged.
-
-    The merged buckets are staged whole, and the batch id recorded, before any
-    bucket of the table is replaced. A retry of a recorded batch doesn't read the
-    table, which may lack a bucket by then, but replaces from the staged copy
-    again. Two staging slots take turns.
-    """
-    keys = list(keys)
-    slot = f"{staging or f'{table}_staging'}/{batch_id % 2}"
-    stage, done = f"{slot}/buckets", f"{slot}/done"
-    if _staged_batch(spark, done) == batch_id:
-        return _replace(spark.read.parquet(stage), table)
-    seq = [sequence] if isinstance(sequence, str) else list(sequence)
-    order_rest = seq[1:] + list(tiebreak or [])
-    rows = batch.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    touched = [r[0] for r in rows.select(BUCKET_COL).distinct().collect()]   # at most ``buckets`` values
-    if not touched:
-        return
-    cols = rows.columns
-    batch_keys = rows.select(*keys).distinct()
-    existed = table_exists(spark, table)
-    current = spark.read.parquet(table).filter(F.col(BUCKET_COL).isin(touched)) if existed else None
-    if kind == "scd1":
-        # Re-reducing a whole bucket costs about what a semi + anti join would.
-        mine = rows if current is None else rows.unionByName(current.select(*cols))
-        merged = scd.scd1(mine, keys, seq[0:1], tiebreak=order_rest)
-        current = None
-    elif kind == "scd2":
-        log = f"{table}_log"
-        rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{log}/_batch={batch_id}")
-        logged = spark.read.parquet(log).filter(F.col(BUCKET_COL).isin(touched)).select(*cols)
-        mine = _by_keys(logged, batch_keys, keys, "left_semi")
-        merged = scd.scd2(mine, keys, seq[0], track, tiebreak=order_rest, bucket=bucket,
-                          open_first_version=open_first_version)
-    else:
-        raise ValueError("kind must be scd1 or scd2")
-    if current is not None:
-        merged = merged.unionByName(_by_keys(current, batch_keys, keys, "left_anti").select(*merged.columns))
-    merged.write.mode("overwrite").parquet(stage)
-    spark.range(1).select(F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(done)
-    _replace(spark.read.parquet(stage), table)
-
-
-def _replace(staged: DataFrame, table: str) -> None:
-    """Put the staged buckets in the place of the table's; a repeat gives the same table."""
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BUCKET_COL).parquet(table))
-
-
-def _staged_batch(spark: SparkSession, done: str) -> int | None:
-    return spark.read.parquet(done).first()["batch_id"] if table_exists(spark, done) else None
+    ``source`` and ``batch_id`` name the batch; the same name again is a retry."""
+    MergeTable(spark, table, kind, keys, sequence, track, tiebreak, bucket, open_first_version).merge(batch, batch_id, source)
 
 
 def merge_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str, keys, kind: str,
-                 sequence, track=None, tiebreak=None, buckets: int = 64, bucket: str | None = "auto",
-                 open_first_version: bool = False):
-    """Run ``stream`` to completion, merging every micro-batch into ``table``."""
+                 sequence, track=None, tiebreak=None, bucket: str | None = "auto", open_first_version: bool = False):
+    """Run ``stream`` to completion, merging every micro-batch into ``table``; ``read_merged`` reads it."""
+    merged = MergeTable(spark, table, kind, keys, sequence, track, tiebreak, bucket, open_first_version)
+
+    source: list[str] = []
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(spark, batch, table, keys, kind, buckets, sequence, track, tiebreak,
-                    staging=f"{checkpoint}/staging", batch_id=batch_id, bucket=bucket,
-                    open_first_version=open_first_version)
+        if not source:
+            source.append(stream_name(spark, checkpoint))
+        merged.merge(batch, batch_id, source[0])
 
-    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{checkpoint}/state")
+    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     _await(q)
 

@@ -211,3 +211,26 @@ def test_scd2_null_key_and_old_first_version_in_every_plan(spark):   # C2
         want = want or got
         assert got == want and len(got) == 4
         assert ("k", "p", d(1850), d(2024)) in got and (None, "y", d(2024, 3), None) in got
+
+
+def test_effective_dates_split_closed_versions(spark):   # C2, B13
+    rows = spark.createDataFrame(
+        [("a", "2024-01-01", 1, "Agra"), ("a", "2024-03-01", 2, "Goa"),
+         ("a", "2024-02-01", 5, "Pune"),                                    # comes late, splits Agra's version
+         ("a", "2024-03-01", 6, "Agra"),                                    # corrects Goa
+         ("b", "2024-01-01", 1, "x"), ("b", "2024-02-01", 2, "x"), ("b", None, 9, "lost"), (None, "2024-01-01", 1, "n")],
+        "k string, eff string, known int, v string").withColumn("eff", F.to_date("eff"))
+
+    def history(known_at=None, bucket=None):
+        h = scd.scd2_effective(rows, ["k"], "eff", "known", ["v"], known_at=known_at, bucket=bucket)
+        return sorted(((r["k"] or "", str(r["__START_AT"]), str(r["__END_AT"]), r["v"], r["_known_from"]) for r in h.collect()))
+
+    other = [("", "2024-01-01", "None", "n", 1)]
+    b = [("b", "2024-01-01", "None", "x", 1)]
+    assert history(2) == other + [("a", "2024-01-01", "2024-03-01", "Agra", 1), ("a", "2024-03-01", "None", "Goa", 2)] + b
+    assert history(5) == other + [("a", "2024-01-01", "2024-02-01", "Agra", 1), ("a", "2024-02-01", "2024-03-01", "Pune", 5),
+                                  ("a", "2024-03-01", "None", "Goa", 2)] + b
+    now = other + [("a", "2024-01-01", "2024-02-01", "Agra", 1), ("a", "2024-02-01", "2024-03-01", "Pune", 5),
+                   ("a", "2024-03-01", "None", "Agra", 6)] + b
+    assert history() == now and history(bucket="day") == now
+    assert history(0) == []
