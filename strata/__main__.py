@@ -4,10 +4,9 @@
                      [--replay-id ID] [--backfill DROPS --backfill-id ID --backfill-reason TEXT
                       --backfill-start DATE --backfill-end DATE] [--promote DATASET.FIELD=TYPE] [--no-enforce]
 
-Batch mode appends new drop files to bronze and recomputes the other tables; ``--stream`` ingests only new drop files
-into bronze, splits valid rows from the quarantine, merges the valid rows
-into the silver tables (trips type 1, city type 2) incrementally, and keeps the
-type-drift and rescued-key profiles as complete-mode aggregates over bronze.
+Batch mode appends new drop files to bronze and recomputes the other tables; ``--stream`` takes only new drop files
+through bronze, the split of valid rows from the quarantine and the merges into the silver tables (trips type 1, city
+type 2), and builds the same gold and ops tables from those.
 """
 
 from __future__ import annotations
@@ -47,8 +46,6 @@ def main(argv=None) -> int:
         if not (dataset in ("city", "trips") and name and dtype):
             a.error(f"--promote {entry}: expected city.FIELD=TYPE or trips.FIELD=TYPE")
         promote.setdefault(dataset, {})[name] = dtype
-    if args.stream and (args.replay_id or args.backfill):
-        a.error("--stream doesn't replay or backfill; run the batch command for that")
 
     settings = Settings(now=args.now, run_id=args.run_id, replay_enabled=args.replay_id is not None,
                         replay_id=args.replay_id, backfill_enabled=args.backfill is not None,
@@ -57,39 +54,11 @@ def main(argv=None) -> int:
                         guardrails_enforced=args.enforce)
     from strata.session import build_session
     spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
-    if args.stream:
-        from strata.plans import layers
-        from strata.streaming import runner
-        out = {}
-        merges = {"city": ("scd2", layers.CITY.tracked), "trips": ("scd1", None)}
-        for name, loc, base in (("city", args.city, layers.CITY), ("trips", args.trips, layers.TRIPS)):
-            spec = layers.with_promotions(base, promote.get(name))
-            root = args.out.rstrip("/")
-            bronze = runner.run_stream(spark, loc, spec, settings, root)
-            valid = f"{root}/silver_{name}_valid"
-            runner.silver_stream(spark, bronze, spec, settings, valid, f"{root}/quarantine_{name}",
-                                 f"{root}/_checkpoints/silver_{name}")
-            kind, track = merges[name]
-            schema = spark.read.parquet(valid).drop("batch_id").schema
-            runner.merge_stream(spark, spark.readStream.schema(schema).parquet(valid), f"{root}/silver_{name}",
-                                f"{root}/_checkpoints/merge_{name}", list(spec.keys), kind,
-                                list(layers.SEQUENCE), track=track, open_first_version=kind == "scd2")
-            bronze_schema = spark.read.parquet(bronze).schema
-            runner.type_drift_stream(spark, spark.readStream.schema(bronze_schema).parquet(bronze), name,
-                                     spec.drift_fields, f"{root}/type_drift_{name}",
-                                     f"{root}/_checkpoints/type_drift_{name}")
-            runner.profile_stream(spark, spark.readStream.schema(bronze_schema).parquet(bronze),
-                                  f"{root}/rescued_{name}_profile", f"{root}/_checkpoints/profile_{name}")
-            out.update({f"bronze_{name}": bronze, f"quarantine_{name}": f"{root}/quarantine_{name}",
-                        f"silver_{name}": f"{root}/silver_{name}",
-                        f"type_drift_{name}": f"{root}/type_drift_{name}",
-                        f"rescued_{name}_profile": f"{root}/rescued_{name}_profile"})
-        print(json.dumps(out))
-        return 0
     from strata.operators.ops import enforce_guardrails
-    from strata.plans import layers
-    out = layers.run_batch(spark, args.city, args.trips, args.out, settings, backfill_location=args.backfill,
-                           promote=promote)
+    from strata.plans.layers import run_batch
+    from strata.plans.stream_layers import run_streams
+    run = run_streams if args.stream else run_batch
+    out = run(spark, args.city, args.trips, args.out, settings, backfill_location=args.backfill, promote=promote)
     print(json.dumps(out))
     enforce_guardrails(spark.read.parquet(out["pipeline_guardrails"]), settings)
     return 0

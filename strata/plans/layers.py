@@ -229,6 +229,19 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
         quality.replay_registry(replay).write.mode("append").parquet(log_path)
     if replay is not None or previous is not None:
         out["replay_log"] = log_path
+    landed = [("city", b_city, CITY, city_location), ("trips", b_trips, TRIPS, trips_location)]
+    if b_backfill is not None:
+        landed.append((BACKFILL.name, b_backfill, BACKFILL, backfill_location))
+    gold_and_ops(spark, save, settings, trips, city_hist, trips_c, city_c, q_trips, q_city, landed, asof_strategy)
+    return out
+
+
+def gold_and_ops(spark: SparkSession, save, settings: Settings, trips: DataFrame, city_hist: DataFrame, trips_c: DataFrame,
+                 city_c: DataFrame, q_trips: DataFrame, q_city: DataFrame, landed, asof_strategy: str = "sweep") -> None:
+    """Facts, roll-up, drift and ops tables from the silver tables, each handed to ``save(name, rows)``.
+
+    ``trips_c`` and ``city_c`` are classified rows, valid and quarantined;
+    ``landed``: (dataset, bronze rows, spec, drop location or None)."""
     calendar = save("silver_calendar", cal.calendar(spark, settings.calendar_start, settings.calendar_end))
     save("dim_date", calendar)
     n_days = cal.calendar_rows(settings.calendar_start, settings.calendar_end)
@@ -265,14 +278,11 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
         F.round(F.avg("driver_rating"), 4).alias("avg_driver_rating")))
 
     # Drift and ops
-    landed = [("city", b_city, CITY, city_location), ("trips", b_trips, TRIPS, trips_location)]
-    if b_backfill is not None:
-        landed.append((BACKFILL.name, b_backfill, BACKFILL, backfill_location))
     td = save("type_drift_log", drift.stamped(reduce(DataFrame.unionByName, [
         drift.type_drift(b, name, x.drift_fields) for name, b, x, _ in landed]), "_logged_at", settings))
     save("type_drift_guardrails", drift.stamped(drift.type_drift_rollup(td), "_checked_at", settings))
-    save("rescued_city_profile", drift.rescued_profile(b_city))
-    save("rescued_trips_profile", drift.rescued_profile(b_trips))
+    for name, b, _, _ in landed[:2]:
+        save(f"rescued_{name}_profile", drift.rescued_profile(b))
     obs = []
     for name, _, spec, loc in landed:
         if isinstance(loc, str):
@@ -310,4 +320,3 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
         ("freshness_lag_hours", fr.agg(F.max("lag_hours").alias("observed")), settings.freshness_sla_hours),
     ]
     save("pipeline_guardrails", ops.guardrails(checks))
-    return out

@@ -113,13 +113,22 @@ class MergeTable:
     def _base(self, version: int, folder: str = "base") -> DataFrame | None:
         return self.spark.read.parquet(f"{self.path}/{folder}/version={version}") if version else None
 
+    @staticmethod
+    def _name(source: str) -> str:
+        return "s" + hashlib.sha256(source.encode()).hexdigest()[:16]
+
+    def holds(self, batch_id: int, source: str) -> bool:
+        """Whether the table holds this batch of this source."""
+        name, (_, compacted) = self._name(source), self._manifest()
+        return batch_id <= compacted.get(name, -1) or any((s, b) == (name, batch_id) for s, b, _ in self._delta_folders())
+
     # -------------------------------------------------------------- writing
     def merge(self, batch: DataFrame, batch_id: int, source: str = "") -> None:
         """Add one batch of change rows; the same (source, batch id) again changes nothing.
 
         A batch that a base already holds is passed over; one that stopped
         before it was compacted overwrites its own folder."""
-        name = "s" + hashlib.sha256(source.encode()).hexdigest()[:16]
+        name = self._name(source)
         _, compacted = self._manifest()
         if batch_id <= compacted.get(name, -1):
             return

@@ -138,15 +138,15 @@ def table_files_stream(spark: SparkSession, folder: str, max_files_per_trigger:
 
 
 def silver_stream(spark: SparkSession, bronze: str, spec: DatasetSpec, settings: Settings, valid: str,
-                  quarantine: str, checkpoint: str) -> None:
+                  quarantine: str, checkpoint: str, waive_late: bool = False) -> None:
     """Bronze parquet folder as a stream -> ``silver_split``."""
     schema = spark.read.parquet(bronze).schema
     silver_split(spark.readStream.schema(schema).parquet(bronze), spec, settings, valid, quarantine,
-                 checkpoint)
+                 checkpoint, waive_late)
 
 
 def silver_split(stream: DataFrame, spec: DatasetSpec, settings: Settings, valid: str, quarantine: str,
-                 checkpoint: str) -> None:
+                 checkpoint: str, waive_late: bool = False) -> None:
     """Stream -> contract + rules, valid rows and quarantine from one pass.
 
     Each micro-batch is classified once (kept in memory for the two writes; if
@@ -158,7 +158,7 @@ def silver_split(stream: DataFrame, spec: DatasetSpec, settings: Settings, valid
     from strata.operators.conform import conform
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        c = quality.classify(conform(batch, spec, settings), spec).persist()
+        c = quality.classify(conform(batch, spec, settings), spec, waive_late).persist()
         try:
             quality.valid_rows(c).write.mode("overwrite").parquet(f"{valid}/batch_id={batch_id}")
             quality.quarantined_rows(c).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
