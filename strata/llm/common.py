@@ -119,14 +119,26 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return s
 
 
-def batches_of(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of row tuples."""
+#: Bytes of texts, binaries and lists in an Arrow batch that a task hands on (one row may be larger).
+BATCH_BYTES = 32 << 20
+
+
+def _width(value) -> int:
+    return 0 if value is None else len(value) if isinstance(value, (bytes, str)) else 8 * len(value)
+
+
+def batches_of(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of row tuples, of ``size`` rows or some ``most`` bytes at the most."""
+    wide = [i for i, f in enumerate(schema) if not pa.types.is_primitive(f.type)]
     held: list[tuple] = []
+    n = 0
     for row in rows:
-        held.append(row)
-        if len(held) >= size:
+        more = sum([_width(row[i]) for i in wide])
+        if held and (len(held) >= size or n + more > most):
             yield _batch(held, schema)
-            held = []
+            held, n = [], 0
+        held.append(row)
+        n += more
     if held:
         yield _batch(held, schema)
 

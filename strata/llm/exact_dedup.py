@@ -13,12 +13,16 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import clean_text, saved, scalar, table
+from strata.llm.common import clean_text, delete, saved, scalar, table
 from strata.session import scratch_path
+from strata.sources.sinks import folder_bytes
 
 #: Rows of an index bucket aimed at, and the least and most buckets.
 BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 4_000_000, 4, 65_536
 
+#: Format of the index's files.
+FORMAT = 1
+
 
 def buckets_for(rows: int) -> int:
     return max(LEAST_BUCKETS, min(MOST_BUCKETS, -(-rows // BUCKET_ROWS)))
@@ -27,16 +31,47 @@ def buckets_for(rows: int) -> int:
 class DigestIndex:
     """``(digest binary, keep_id long)``, bucketed and sorted by digest, at ``path``.
 
-    The files are the state; the table name is declared anew in each session, so
-    a later session opens the same folder with the same number of buckets.
-    Admitting a batch again admits nothing, so a failed load can be repeated.
+    The files are the state; the table name is declared anew in each session.
+    ``<path>_meta`` says how many buckets the files have and in what format: an
+    index is opened by what is written there, whatever ``buckets`` says, and
+    files without it, or in another format, are refused. ``rebucketed`` writes
+    an index with more buckets. Admitting a batch again admits nothing, so a
+    failed load can be repeated.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int):
-        self.spark, self.path, self.buckets = spark, path, buckets
-        self.name = "strata_digests_" + hashlib.md5(path.encode()).hexdigest()[:16]
+        self.spark, self.path = spark, path.rstrip("/")
+        held = self._meta()
+        if held is None:
+            if folder_bytes(spark, self.path):
+                raise ValueError(f"{path} holds files but no {path}_meta: not an index of this format")
+            meta = spark.createDataFrame([(FORMAT, buckets)], "format int, buckets int")
+            meta.coalesce(1).write.mode("overwrite").parquet(f"{self.path}_meta")
+            held = FORMAT, buckets
+        if held[0] != FORMAT:
+            raise ValueError(f"{path} is an index of format {held[0]}, not {FORMAT}")
+        self.buckets = held[1]
+        self.name = "strata_digests_" + hashlib.md5(f"{self.path} {self.buckets}".encode()).hexdigest()[:16]
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
-                  f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")
+                  f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+
+    def _meta(self) -> tuple[int, int] | None:
+        if not folder_bytes(self.spark, f"{self.path}_meta"):
+            return None
+        return tuple(self.spark.read.parquet(f"{self.path}_meta").first())
+
+    def rebucketed(self, path: str, buckets: int) -> DigestIndex:
+        """The same digests at a new path, in ``buckets`` buckets."""
+        other = DigestIndex(self.spark, path, buckets)
+        self.rows().repartition(other.buckets, "digest").write.insertInto(other.name)
+        return other
+
+    def close(self, files: bool = False) -> None:
+        """Forget the table's name, ``files``: and the index itself."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        if files:
+            delete(self.spark, self.path)
+            delete(self.spark, f"{self.path}_meta")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -86,7 +121,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle = ((low or 0) + (high or 0) + 1) // 2
     newest = F.coalesce(F.col("doc_id") >= middle, F.lit(False))
     index = DigestIndex(spark, scratch_path(spark, "digest-index"), buckets_for(n))
-    return exact_dedup([rows.where(newest), rows.where(~newest)], index)
+    try:
+        return exact_dedup([rows.where(newest), rows.where(~newest)], index)
+    finally:    # the result reads the groups, not the index
+        index.close(files=True)
 
 
 OP3_SQL = """

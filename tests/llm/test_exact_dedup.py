@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.llm.exact_dedup import DigestIndex, digests, exact_dedup
@@ -50,3 +51,27 @@ def test_index_join_moves_only_the_new_side(spark, scratch):
 
 def test_empty_table(spark, scratch):
     assert exact_dedup([digests(frame(spark, []))], DigestIndex(spark, scratch, 4)).count() == 0
+
+
+def test_an_index_is_opened_by_what_it_is(spark, scratch):
+    ids = spark.range(100).select(F.col("id").alias("doc_id"), F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    index = DigestIndex(spark, scratch, 4)
+    assert index.admit(ids).count() == 100
+    index.close()                                         # a later session knows nothing of the table
+    again = DigestIndex(spark, scratch, 8)
+    assert again.buckets == 4 and again.admit(ids).count() == 0 and again.rows().count() == 100
+    more = again.rebucketed(scratch + "_more", 8)
+    assert more.buckets == 8 and more.admit(ids).count() == 0 and more.rows().count() == 100
+    spark.createDataFrame([(9, 4)], "format int, buckets int").write.mode("overwrite").parquet(scratch + "_meta")
+    with pytest.raises(ValueError):
+        DigestIndex(spark, scratch, 4)
+    ids.write.parquet(scratch + "_files")
+    with pytest.raises(ValueError):
+        DigestIndex(spark, scratch + "_files", 4)
+
+
+def test_the_query_leaves_no_table_behind(spark):
+    from strata.llm.exact_dedup import op3_exact_dedup
+    before = {t.name for t in spark.catalog.listTables()}
+    assert op3_exact_dedup(spark, "/root/testdata/sf0.001").count() == 200
+    assert {t.name for t in spark.catalog.listTables()} <= before
