@@ -87,7 +87,7 @@ def run_streams(spark: SparkSession, city_location: str, trips_location: str, ou
                              path(f"_checkpoints/silver_{spec.name}"), waive_late)
         out[f"quarantine_{spec.name}"] = refused
         widest = spark.read.option("mergeSchema", "true")
-        return (spark.read.parquet(path(f"bronze_{spec.name}")), widest.parquet(valid).drop("batch_id"),
+        return (widest.parquet(path(f"bronze_{spec.name}")).drop("batch_id"), widest.parquet(valid).drop("batch_id"),
                 widest.parquet(refused).drop("batch_id"))
 
     def merged(spec: DatasetSpec, valid: DataFrame, columns, **how) -> MergeTable:

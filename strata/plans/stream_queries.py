@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 
 from strata.functions.normalize import record_hash
 from strata.operators import scd
-from strata.operators.dedupe import dedupe_content
 from strata.session import scratch_path
 from strata.sources.tables import read_table
 from strata.plans import specs
 from strata.streaming.merge_table import read_merged
-from strata.streaming.runner import _await, merge_stream, profile_stream, table_files_stream
+from strata.streaming.runner import dedupe_stream, merge_stream, profile_stream, table_files_stream
 
 # A drop file for so many rows, and the least of them.
 ROWS_PER_FILE, DROP_FILES = 5_000_000, 4
@@ -43,11 +42,7 @@ def q_stream_dedupe(spark: SparkSession, root: str) -> DataFrame:
     base, drops = _drops(spark, root, "lineitem", None, copies=2)
     files = table_files_stream(spark, drops, max_files_per_trigger=2)
     stream = files.select("l_orderkey", "l_linenumber", record_hash(specs.LINE_CONTENT, files.schema).alias("_record_hash"))
-    out = dedupe_content(stream, "all")
-    q = (out.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True)
-         .start(f"{base}/bronze"))
-    _await(q)
+    dedupe_stream(spark, stream, f"{base}/bronze", f"{base}/_checkpoint", time_col="_record_hash")
     return spark.read.parquet(f"{base}/bronze").select("l_orderkey", "l_linenumber", "_record_hash")
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import scd
@@ -123,11 +123,12 @@ class MergeTable:
         return batch_id <= compacted.get(name, -1) or any((s, b) == (name, batch_id) for s, b, _ in self._delta_folders())
 
     # -------------------------------------------------------------- writing
-    def merge(self, batch: DataFrame, batch_id: int, source: str = "") -> None:
+    def merge(self, batch: DataFrame, batch_id: int, source: str = "", keep: Column | None = None) -> None:
         """Add one batch of change rows; the same (source, batch id) again changes nothing.
 
         A batch that a base already holds is passed over; one that stopped
-        before it was compacted overwrites its own folder."""
+        before it was compacted overwrites its own folder. ``keep``: rows that a
+        compaction may not drop (type 1)."""
         name = self._name(source)
         _, compacted = self._manifest()
         if batch_id <= compacted.get(name, -1):
@@ -135,7 +136,7 @@ class MergeTable:
         self._write(self._latest(batch) if self.kind == "scd1" else batch,
                     f"{self.path}/deltas/{SOURCE}={name}/{BATCH}={batch_id}")
         if self.outgrown():
-            self.compact()
+            self.compact(keep)
 
     def outgrown(self) -> bool:
         """Whether a compaction is due, by what the file system tells of folders."""
@@ -147,7 +148,7 @@ class MergeTable:
         base = folder_bytes(self.spark, f"{self.path}/base/version={version}") if version else 0
         return held > max(LEAST_DELTA_BYTES, DELTA_SHARE * base)
 
-    def compact(self) -> None:
+    def compact(self, keep: Column | None = None) -> None:
         """Deltas into a new base (type 2: and history), then the manifest, then the folders nobody needs."""
         version, compacted = self._manifest()
         live = self._live(compacted)
@@ -156,6 +157,7 @@ class MergeTable:
             if self.kind == "scd2":
                 self._write(self._versions(version, deltas), f"{self.path}/history/version={version + 1}")
             rows = union(self._base(version), deltas.drop(SOURCE, BATCH))
+            rows = rows if keep is None else rows.filter(keep)
             self._write(self._latest(rows) if self.kind == "scd1" else rows, f"{self.path}/base/version={version + 1}")
             last = dict(compacted)
             for source, batch, at in self._delta_folders():
@@ -185,6 +187,12 @@ class MergeTable:
         rows.write.mode("overwrite").parquet(path)
 
     # -------------------------------------------------------------- reading
+    def rows(self) -> DataFrame | None:
+        """All rows as they came, not merged; None before the first batch."""
+        version, compacted = self._manifest()
+        deltas = self._deltas(self._live(compacted))
+        return union(self._base(version), None if deltas is None else deltas.drop(SOURCE, BATCH))
+
     def read(self) -> DataFrame:
         """The merged rows as they are now."""
         version, compacted = self._manifest()

@@ -5,8 +5,8 @@
   ``maxFilesPerTrigger`` paths) and writes them, with ingest metadata, to
   ``landing/batch_id=N`` (overwrite: a retried batch rewrites the same folder).
 * ``landing_to_bronze``: parquet stream of the landing folder ->
-  de-duplication by content hash -> partitioned append sink. The stateful
-  operator lives here, not inside ``foreachBatch``.
+  de-duplication by content hash against a hash table on storage -> one bronze
+  folder per micro-batch, partitioned by ingest day.
 * ``merge_stream``: ``foreachBatch`` that adds each micro-batch to a ``MergeTable``:
   a batch writes its own rows, readers merge them with the base, and deltas that
   outgrow a share of the base are compacted into a new one.
@@ -24,6 +24,7 @@ from strata.operators.dedupe import dedupe_content
 from strata.operators.metadata import add_ingest_metadata
 from strata.session import ensure_checkpoint_dir
 from strata.sources.csv_drops import read_drops
+from strata.streaming.dedupe import BATCH_ID, append_new
 from strata.streaming.merge_table import MergeTable
 from strata.spec import DatasetSpec, Settings
 
@@ -60,18 +61,28 @@ def drops_to_landing(spark: SparkSession, location: str, spec: DatasetSpec, sett
     _await(q)
 
 
+def dedupe_stream(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str, scope: str = "all",
+                  time_col: str = "_ingest_ts", watermark_days: int | None = None, partition_by=()) -> None:
+    """Append what is new of a stream to ``out/batch_id=N``, by a hash table at ``<out>_hashes`` (see ``append_new``)."""
+    source: list[str] = []
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        if not source:
+            source.append(stream_name(spark, checkpoint))
+        append_new(spark, batch, batch_id, source[0], out, f"{out}_hashes", scope, time_col, watermark_days, partition_by)
+
+    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    _await(q)
+
+
 def landing_to_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
                       settings: Settings, scope: str = "all",
                       partition_by=("_ingest_yyyymmdd",)):
     """Hop 2: landing parquet -> content de-duplication -> bronze append."""
-    schema = spark.read.parquet(landing).drop("batch_id").schema
-    stream = spark.readStream.schema(schema).parquet(landing)
-    deduped = dedupe_content(stream, scope, "_ingest_ts", settings.watermark_days)
-    w = (deduped.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    _await(w.start(bronze))
+    schema = spark.read.parquet(landing).drop(BATCH_ID).schema
+    stream = spark.readStream.schema(schema).parquet(landing).select(*schema.names)
+    dedupe_stream(spark, stream, bronze, checkpoint, scope, "_ingest_ts", settings.watermark_days, partition_by)
 
 
 def stream_name(spark: SparkSession, checkpoint: str) -> str:
@@ -140,8 +151,8 @@ def table_files_stream(spark: SparkSession, folder: str, max_files_per_trigger:
 def silver_stream(spark: SparkSession, bronze: str, spec: DatasetSpec, settings: Settings, valid: str,
                   quarantine: str, checkpoint: str, waive_late: bool = False) -> None:
     """Bronze parquet folder as a stream -> ``silver_split``."""
-    schema = spark.read.parquet(bronze).schema
-    silver_split(spark.readStream.schema(schema).parquet(bronze), spec, settings, valid, quarantine,
+    schema = spark.read.option("mergeSchema", "true").parquet(bronze).drop(BATCH_ID).schema
+    silver_split(spark.readStream.schema(schema).parquet(bronze).select(*schema.names), spec, settings, valid, quarantine,
                  checkpoint, waive_late)
 
 

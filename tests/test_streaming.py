@@ -144,3 +144,54 @@ def test_all_scope_keeps_old_rows_on_a_stream(spark, scratch):   # W1
              .option("checkpointLocation", root + "/ck").trigger(availableNow=True).start(root + "/out"))
         q.awaitTermination()
     assert sorted(r[0] for r in spark.read.parquet(root + "/out").select("_record_hash").collect()) == ["new", "old"]
+
+
+HASHED = "_record_hash string, _source_file string, _ingest_ts timestamp"
+
+
+def test_hash_table_dedupes_over_batches_retries_and_streams(spark, scratch, monkeypatch):   # D1, W1
+    import datetime as dt
+
+    from strata.streaming import dedupe
+    from strata.streaming.merge_table import MergeTable
+    root = fx.local(scratch)
+
+    def rows(*hashes):
+        return spark.createDataFrame([(h, "f", dt.datetime(2024, 1, 1)) for h in hashes], HASHED)
+
+    def got():
+        return sorted((r["_record_hash"] or "", r["batch_id"]) for r in spark.read.parquet(root + "/out").collect())
+
+    def append(df, n, source="s"):
+        dedupe.append_new(spark, df, n, source, root + "/out", root + "/hashes")
+
+    append(rows("a", "a", "b", None), 0)
+    with monkeypatch.context() as m:                       # stops after the rows, before their hashes
+        m.setattr(MergeTable, "merge", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            append(rows("b", "c", None), 1)
+    append(rows("b", "c", None), 1)
+    append(rows("b", "c", None), 1)                        # stopped after the hashes: nothing left to do
+    MergeTable(spark, root + "/hashes").compact()
+    append(rows("b", "c", None), 1)                        # and so after a compaction
+    append(rows("a", "c", "d"), 2)
+    assert got() == [("", 0), ("a", 0), ("b", 0), ("c", 1), ("d", 2)]
+    append(rows("a", "e"), 3, "another stream")
+    assert got()[-1] == ("e", 3)
+
+
+def test_watermark_scope_bounds_the_table_and_keeps_late_rows_apart(spark, scratch, monkeypatch):   # W1
+    import datetime as dt
+
+    from strata.streaming import dedupe, merge_table
+    root = fx.local(scratch)
+    monkeypatch.setattr(merge_table, "MOST_DELTAS", 1)
+    days = [[1, 2, 2], [10, 2], [11, 10, 1], [30], [12, 30]]
+    for n, batch in enumerate(days):
+        df = spark.createDataFrame([(f"h{d}", "f", dt.datetime(2024, 1, d)) for d in batch], HASHED)
+        dedupe.append_new(spark, df, n, "s", root + "/out", root + "/hashes", "watermark", watermark_days=3)
+    kept = sorted((r["batch_id"], r["_record_hash"]) for r in spark.read.parquet(root + "/out").collect())
+    assert kept == [(0, "h1"), (0, "h2"), (1, "h10"), (2, "h11"), (3, "h30")]
+    late = sorted((r["batch_id"], r["_record_hash"]) for r in dedupe.late_rows(spark, root + "/out").collect())
+    assert late == [(2, "h1"), (4, "h12")]
+    assert [r[0] for r in merge_table.MergeTable(spark, root + "/hashes").rows().select("_record_hash").collect()] == ["h30"]
