@@ -22,6 +22,7 @@ from strata.operators.dedupe import dedupe_content
 from strata.operators.metadata import add_ingest_metadata
 from strata.sources.csv_drops import list_drop_files, observed_headers, read_drops
 from strata.sources.empty import literal_rows
+from strata.sources.publish import Run
 from strata.sources.sinks import write_table
 from strata.sources.tables import table_exists
 from strata.spec import DatasetSpec, FieldMap, HashPart, Rule, Settings
@@ -163,6 +164,11 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
               promote: dict[str, dict] | None = None) -> dict[str, str]:
     """Ingest new drops into bronze, rebuild every other table; returns table name -> path.
 
+    Bronze and the logs are added to; the other tables are written aside and
+    shown to readers (``sources.publish.read_published``) when the guardrails
+    pass or aren't enforced. The quarantine keeps no row past its retention;
+    ``quarantine_retention_candidates`` lists what went.
+
     ``open_first_version=False`` keeps the original behaviour where a city's
     first version starts at its first ingest, so older trips find no version.
     ``promote``: rescued fields to promote, e.g. ``{"trips": {"tip": "double"}}``.
@@ -174,19 +180,12 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
     backfill_spec = replace(trips_spec, name=BACKFILL.name)
     trips_columns = [f.name for f in contract_fields(trips_spec)]
     settings = settings or Settings()
-    root = out_root.rstrip("/")
-    out: dict[str, str] = {}
-
-    def path(name: str) -> str:
-        return f"{root}/{name}"
-
-    def save(name: str, df: DataFrame, partition_by=None) -> DataFrame:
-        out[name] = write_table(df, path(name), partition_by=partition_by)
-        return spark.read.parquet(out[name])
+    run = Run(spark, out_root)
+    path, save, state = run.state, run.save, {}
 
     def land(spec: DatasetSpec, location) -> DataFrame:
         name = f"bronze_{spec.name}"
-        out[name] = path(name)
+        state[name] = path(name)
         return ingest(spark, location, spec, settings, path(name), dedupe_scope)
 
     # Bronze: append-only
@@ -195,14 +194,15 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
     if settings.backfill_enabled and backfill_location is not None:
         b_backfill = land(backfill_spec, backfill_location)
     elif table_exists(spark, path(f"bronze_{BACKFILL.name}")):
-        out[f"bronze_{BACKFILL.name}"] = path(f"bronze_{BACKFILL.name}")
-        b_backfill = spark.read.parquet(out[f"bronze_{BACKFILL.name}"])
+        state[f"bronze_{BACKFILL.name}"] = path(f"bronze_{BACKFILL.name}")
+        b_backfill = spark.read.parquet(path(f"bronze_{BACKFILL.name}"))
 
     # Silver: one classification per dataset, written once; valid and quarantine read it.
     city_c = save("silver_city_staging", quality.classify(conform(b_city, city_spec, settings), city_spec))
     trips_c = save("silver_trips_staging", quality.classify(conform(b_trips, trips_spec, settings), trips_spec))
-    q_city = save("quarantine_city", quality.quarantined_rows(city_c))
-    q_trips = save("quarantine_trips", quality.quarantined_rows(trips_c))
+    q_city, q_trips = quality.quarantined_rows(city_c), quality.quarantined_rows(trips_c)
+    kept_trips = save("quarantine_trips", ops.enforce_retention(q_trips, settings), ["_ingest_date"])
+    save("quarantine_city", ops.enforce_retention(q_city, settings), ["_ingest_date"])
 
     city_hist = save("silver_city", scd.scd2(
         quality.valid_rows(city_c), list(CITY.keys), "_ingest_ts", CITY.tracked,
@@ -212,14 +212,14 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
     log_path = path("replay_log")
     previous = spark.read.parquet(log_path) if table_exists(spark, log_path) else None
     carried = quality.carry_replayed(q_trips, previous) if previous is not None else None
-    replay = quality.replay_late(q_trips, settings, previous)
+    replay = quality.replay_late(kept_trips.select(*q_trips.columns), settings, previous)
     backfill = None
     if b_backfill is not None:
         b_c = save("silver_trips_backfill_staging", quality.classify(
             conform(b_backfill, backfill_spec, settings), backfill_spec, waive_late=True))
         log = backfilled(spark, b_c, settings, path("backfill_log"))
         if log is not None:
-            out["backfill_log"] = path("backfill_log")
+            state["backfill_log"] = path("backfill_log")
             backfill = quality.logged_backfill(b_c, log)
             save("quarantine_trips_backfill", quality.refused_backfill(b_c, log))
     feed = quality.change_feed(quality.valid_rows(trips_c), carried, replay, backfill)
@@ -228,17 +228,18 @@ def run_batch(spark: SparkSession, city_location, trips_location, out_root: str,
         # logged once the rows are in: a run that stops before this replays them again
         quality.replay_registry(replay).write.mode("append").parquet(log_path)
     if replay is not None or previous is not None:
-        out["replay_log"] = log_path
+        state["replay_log"] = log_path
     landed = [("city", b_city, CITY, city_location), ("trips", b_trips, TRIPS, trips_location)]
     if b_backfill is not None:
         landed.append((BACKFILL.name, b_backfill, BACKFILL, backfill_location))
-    gold_and_ops(spark, save, settings, trips, city_hist, trips_c, city_c, q_trips, q_city, landed, asof_strategy)
-    return out
+    checks = gold_and_ops(spark, save, settings, trips, city_hist, trips_c, city_c, q_trips, q_city, landed, asof_strategy)
+    run.publish(checks, settings)
+    return {**run.tables, **state}
 
 
 def gold_and_ops(spark: SparkSession, save, settings: Settings, trips: DataFrame, city_hist: DataFrame, trips_c: DataFrame,
-                 city_c: DataFrame, q_trips: DataFrame, q_city: DataFrame, landed, asof_strategy: str = "sweep") -> None:
-    """Facts, roll-up, drift and ops tables from the silver tables, each handed to ``save(name, rows)``.
+                 city_c: DataFrame, q_trips: DataFrame, q_city: DataFrame, landed, asof_strategy: str = "sweep") -> DataFrame:
+    """Facts, roll-up, drift and ops tables from the silver tables, each handed to ``save(name, rows)``; returns the checks.
 
     ``trips_c`` and ``city_c`` are classified rows, valid and quarantined;
     ``landed``: (dataset, bronze rows, spec, drop location or None)."""
@@ -319,4 +320,4 @@ def gold_and_ops(spark: SparkSession, save, settings: Settings, trips: DataFrame
         ("max_rescued_rate", iq.select(F.col("rescued").alias("observed")), settings.max_rescued_rate),
         ("freshness_lag_hours", fr.agg(F.max("lag_hours").alias("observed")), settings.freshness_sla_hours),
     ]
-    save("pipeline_guardrails", ops.guardrails(checks))
+    return save("pipeline_guardrails", ops.guardrails(checks))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from strata.operators import quality
 from strata.operators.conform import contract_fields
 from strata.plans import layers
+from strata.sources.publish import Run
 from strata.sources.sinks import subfolders, write_table
 from strata.sources.tables import table_exists
 from strata.spec import DatasetSpec, Settings
@@ -65,16 +66,11 @@ def run_streams(spark: SparkSession, city_location: str, trips_location: str, ou
     """New drops through every table; returns table name -> path.
 
     ``silver_city`` and ``silver_trips`` are merge tables (``read_merged``), the
-    others plain parquet."""
+    others plain parquet; gold and ops tables are published like those of the
+    batch (``sources.publish``)."""
     settings, promote, root = settings or Settings(), promote or {}, out_root.rstrip("/")
-    out: dict[str, str] = {}
-
-    def path(name: str) -> str:
-        return f"{root}/{name}"
-
-    def save(name: str, df: DataFrame) -> DataFrame:
-        out[name] = write_table(df, path(name))
-        return spark.read.parquet(out[name])
+    run = Run(spark, root)
+    path, save, out = run.state, run.save, {}
 
     def split(spec: DatasetSpec, location: str, waive_late: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(bronze, valid, quarantine) of a dataset after its new drops."""
@@ -135,6 +131,7 @@ def run_streams(spark: SparkSession, city_location: str, trips_location: str, ou
     def classified(valid: DataFrame, quarantine: DataFrame) -> DataFrame:
         return valid.withColumn(quality.REASON_COL, F.lit(None).cast("string")).unionByName(quarantine, allowMissingColumns=True)
 
-    layers.gold_and_ops(spark, save, settings, read_merged(spark, out["silver_trips"]), read_merged(spark, out["silver_city"]),
+    checks = layers.gold_and_ops(spark, save, settings, read_merged(spark, out["silver_trips"]), read_merged(spark, out["silver_city"]),
                         classified(v_trips, q_trips), classified(v_city, q_city), q_trips, q_city, landed, asof_strategy)
-    return out
+    run.publish(checks, settings)
+    return {**out, **run.tables}
