@@ -115,19 +115,19 @@ FROM (SELECT user_id, ts, event_id, event_type,
       FROM events)
 WHERE rn = 1 OR prev IS DISTINCT FROM event_type"""
 
-CALENDAR_FIXED = f"""
+CALENDAR_FACTS = """
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS date,
        CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
        CAST(day(d) AS INTEGER) AS day
-FROM (SELECT unnest(generate_series(DATE '{specs.CALENDAR_START}', DATE '{specs.CALENDAR_END}',
-                                    INTERVAL 1 DAY)) AS d)"""
+FROM (SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)),
+                                    INTERVAL 1 DAY)) AS d FROM orders)"""
 
 WITH_BASE = f"""
 WITH o AS ({ORDERS_STAGED}),
 ov AS (SELECT * FROM o WHERE ({ORDERS_REASON}) IS NULL),
 cc AS ({CUSTOMER_CLASSIFIED}),
 cv AS (SELECT * FROM cc WHERE _reject_reason IS NULL),
-cal AS ({CALENDAR_FIXED}),
+cal AS ({CALENDAR_FACTS}),
 fact AS (SELECT ov.order_id, ov.customer_id, cal.date_key, cal.year, cal.month,
                 CAST(1 AS INTEGER) AS order_count, ov.total_price, ov.order_priority, ov.order_status
          FROM ov JOIN cv USING (customer_id) JOIN cal ON ov.business_date = cal.date)"""

@@ -81,9 +81,12 @@ def _versions(spark, root) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _calendar(spark) -> tuple[DataFrame, int]:
-    return (cal.calendar(spark, specs.CALENDAR_START, specs.CALENDAR_END),
-            cal.calendar_rows(specs.CALENDAR_START, specs.CALENDAR_END))
+def _calendar(spark, root) -> tuple[DataFrame, int]:
+    """The calendar over all order dates, so no fact falls off its ends, and its number of days."""
+    day = F.to_date("o_orderdate")
+    first, last = read_table(spark, root, "orders", ["o_orderdate"]).agg(F.min(day), F.max(day)).first()
+    start, end = str(first or specs.CALENDAR_START), str(last or specs.CALENDAR_START)
+    return cal.calendar(spark, start, end), cal.calendar_rows(start, end)
 
 
 # ---------------------------------------------------------------- projections
@@ -274,7 +277,7 @@ def q_calendar(spark, root):
 def fact_current(spark, root) -> DataFrame:
     facts = orders_valid(spark, root)
     dim = customer_dim(spark, root).select("customer_id")
-    c, n = _calendar(spark)
+    c, n = _calendar(spark, root)
     j = joins.join_calendar(joins.join_current(facts, dim, ["customer_id"]), c, "business_date", n)
     return j.select("order_id", "customer_id", "date_key", "year", "month",
                     F.lit(1).cast("int").alias("order_count"), "total_price", "order_priority",
@@ -371,7 +374,7 @@ def _join_drop_current(spark, root):
     """One pass over the facts: left joins to the (key-unique) dimension keys
     and calendar dates flag the facts the inner joins would keep."""
     facts = orders_valid(spark, root)
-    c, n = _calendar(spark)
+    c, n = _calendar(spark, root)
     dim = customer_dim(spark, root).select("customer_id").dropDuplicates(["customer_id"]) \
         .withColumn("_in_dim", F.lit(True))
     dates = c.select(F.col("date").alias("_date"), F.lit(True).alias("_in_cal"))

@@ -128,8 +128,7 @@ LINE_CONTENT = (
 )
 
 # Fixed run parameters of the benchmark queries.
-CALENDAR_START = "1995-01-01"
-CALENDAR_END = "2001-12-31"
+CALENDAR_START = "1995-01-01"      # of a table without any date
 REPLAY = Settings(replay_enabled=True, replay_id="replay-r1")
 LATER_REPLAY = Settings(replay_enabled=True, replay_id="replay-r2")
 BACKFILL = Settings(backfill_enabled=True, backfill_start="1996-01-01", backfill_end="1996-12-31",
