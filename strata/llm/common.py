@@ -105,6 +105,57 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+#: Bytes that end a word, a factor per byte, and the base of the sums over a text (fixed values, any odd base does).
+_SPACE = np.isin(np.arange(256), (0x20, 9, 10, 11, 12, 13))
+_BYTE = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BASE = MIX[0]
+#: Bytes of a text hashed at a time, and of a word that is hashed with its neighbours at most.
+PIECE = 1 << 16
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+_UP, _DOWN = _powers(_BASE, 2 * PIECE), _powers(pow(_BASE, -1, 1 << 64), 2 * PIECE)
+
+
+def text_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of ``words_of(text)``, from running sums over its bytes instead of a lookup per word.
+
+    A word's sum is the difference of two running sums, moved to the word's own
+    start by the inverse power. A text is cut at spaces into pieces of some
+    ``PIECE`` bytes; words longer than that are hashed alone."""
+    raw = (text or "").encode("utf-8", "replace").lower()
+    data = np.frombuffer(raw, dtype=np.uint8)
+    if len(data) <= PIECE:
+        return _piece_hashes(raw, data)
+    spaces = np.flatnonzero(_SPACE[data])
+    at = np.searchsorted(spaces, np.arange(PIECE, len(data), PIECE))
+    cuts = [0, *np.unique(spaces[at[at < len(spaces)]]).tolist(), len(data)]
+    return np.concatenate([_piece_hashes(raw[a:b], data[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
+
+
+def _piece_hashes(raw: bytes, data: np.ndarray) -> np.ndarray:
+    inside = np.zeros(len(data) + 2, dtype=bool)
+    np.logical_not(_SPACE[data], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    some = data[:2 * PIECE]
+    sums = np.zeros(len(some) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[some] * _UP[:len(some)], out=sums[1:])
+    h = sums[np.minimum(ends, len(some))] - sums[np.minimum(starts, len(some))]
+    h *= _DOWN[np.minimum(starts, len(some) - 1)] if len(some) else np.uint64(1)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(MIX[1])
+    h ^= h >> np.uint64(29)
+    for i in np.flatnonzero(ends - starts > PIECE).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(raw[starts[i]:ends[i]])
+    return h
+
+
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all ``k``-word shingles in order; fewer words give one hash of the whole."""
     if not len(h):
