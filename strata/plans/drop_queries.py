@@ -110,8 +110,18 @@ def q_schema_drift(spark: SparkSession, root: str) -> DataFrame:
 def q_csv_malformed(spark: SparkSession, root: str) -> DataFrame:
     """Quoted line breaks read as one row, short rows kept whole in
     ``_corrupt_record``, and every row knows its file."""
+    return _raw_rows(spark, root)
+
+
+def q_csv_split(spark: SparkSession, root: str) -> DataFrame:
+    """The same drops by byte ranges, as large files are read: records are cut where
+    the state of the quotes before each range says."""
+    return _raw_rows(spark, root, split_above=0)
+
+
+def _raw_rows(spark: SparkSession, root: str, **how) -> DataFrame:
     declared = ["c_custkey", "c_name", "c_mktsegment"]
-    rows = read_drops(spark, raw_customer_drops(spark, root), declared=declared, glob="*.txt")
+    rows = read_drops(spark, raw_customer_drops(spark, root), declared=declared, glob="*.txt", **how)
     bucket = F.regexp_extract("_source_file", "bucket=(\\d+)", 1)
     own = F.pmod(F.xxhash64(F.col("c_custkey").cast("bigint")), F.lit(RAW_BUCKETS)).cast("string")
     return rows.select(*declared, F.col("_corrupt_record").isNotNull().alias("is_corrupt"),
@@ -138,6 +148,7 @@ def q_bronze_append(spark: SparkSession, root: str) -> DataFrame:
 DROP_QUERIES = {
     "schema_drift": q_schema_drift,
     "csv_malformed": q_csv_malformed,
+    "csv_split": q_csv_split,
     "bronze_append": q_bronze_append,
     "csv_ingest": q_csv_ingest,
     "schema_drift_files": q_schema_drift_files,

@@ -9,6 +9,8 @@ Plain CSV reading over files with different headers aligns values by
    the header itself (sanitised) as an all-string schema. Declared columns are
    kept, every other column goes into ``_rescued_data`` (JSON), a row with too
    few or too many fields lands in ``_corrupt_record``.
+   Files above ``SPLIT_ABOVE`` bytes are cut into records by many tasks
+   (``csv_split``) and parsed with ``from_csv``.
 4. ``unionByName`` of the per-header reads.
 
 The (path, header) table is collected on the driver: it has one row per file,
@@ -30,6 +32,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 import strata.functions.names as _names
 from strata.functions.names import sanitize_name, sanitize_names
+from strata.sources.csv_split import read_records
 
 # Header-scan helpers (this module and the sanitiser) travel with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -47,6 +50,8 @@ CSV_OPTIONS = {
     "columnNameOfCorruptRecord": "_corrupt_record",
     "enforceSchema": "true",
 }
+#: Larger files are split: Spark's reader gives a multi-line file to one task, however large.
+SPLIT_ABOVE = 256 << 20
 RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"
 
@@ -69,8 +74,8 @@ def _local_path(path: str) -> str | None:
     return None
 
 
-def first_record(path: str, chunk: int = 65536) -> list[str]:
-    """The first CSV record of a file (quotes may span lines)."""
+def first_record(path: str, chunk: int = 65536) -> tuple[list[str], bool]:
+    """The first CSV record of a file (quotes may span lines), and whether its line ends with a carriage return too."""
     local = _local_path(path)
     if local is not None:
         stream = open(local, "rb")
@@ -93,34 +98,45 @@ def first_record(path: str, chunk: int = 65536) -> list[str]:
                     done = True
                     break
                 buf.append(b)
-    text = buf.decode("utf-8-sig", errors="replace").rstrip("\r")
+    text = buf.decode("utf-8-sig", errors="replace")
+    crlf, text = text.endswith("\r"), text.rstrip("\r")
     rows = list(csv.reader(io.StringIO(text), quotechar='"', doublequote=True))
-    return rows[0] if rows else []
+    return (rows[0] if rows else []), crlf
 
 
 def _read_headers(batches):
     import pandas as pd
     for pdf in batches:
-        headers = [first_record(p) for p in pdf["path"]]
-        yield pd.DataFrame({"path": pdf["path"], "header": headers,
+        headers, ends = zip(*[first_record(p) for p in pdf["path"]]) if len(pdf) else ((), ())
+        yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "crlf": ends, "header": headers,
                             "cols": [[sanitize_name(c) for c in h] for h in headers]})
 
 
 def scan_headers(files: DataFrame) -> DataFrame:
-    """(path, header, sanitised columns) for every file, read on the executors.
+    """(path, length, kind of line ends, header, sanitised columns) for every file, read on the executors.
 
     The few helpers the executors run are shipped with the task itself
     (pickled by value), so workers need no copy of this package.
     """
-    return files.select("path").mapInPandas(
-        _read_headers, "path string, header array<string>, cols array<string>")
+    return files.select("path", "length").mapInPandas(
+        _read_headers, "path string, length long, crlf boolean, header array<string>, cols array<string>")
 
 
 def _read_group(spark: SparkSession, paths: list[str], header: list[str], declared: list[str] | None,
-                options: dict) -> DataFrame:
+                options: dict, split: bool = False, crlf: bool = False) -> DataFrame:
     names = sanitize_names(header)
     schema = StructType([StructField(n, StringType()) for n in names] + [StructField(CORRUPT, StringType())])
-    df = spark.read.options(**options).schema(schema).csv(paths)
+    if split:
+        parsed = dict(options, header="false")
+        ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
+        # as Spark's reader has it: where lines end with both characters, line breaks in values are line feeds
+        values = [F.replace(F.col(f"_row.{n}"), F.lit("\r\n"), F.lit("\n")).alias(n) if crlf else F.col(f"_row.{n}") for n in names]
+        df = (read_records(spark, paths, options.get("sep", ","), crlf)
+              .withColumn("_row", F.from_csv("record", ddl, parsed)).select(*values, f"_row.{CORRUPT}", *[
+                  F.col(c).alias(f"_meta_{c}") for c in ("file_path", "file_modification_time", "file_size")]))
+        meta = "_meta_"
+    else:
+        df, meta = spark.read.options(**options).schema(schema).csv(paths), "_metadata."
     keep = names if declared is None else [n for n in names if n in declared]
     extras = [] if declared is None else [n for n in names if n not in declared]
     cols = [F.col(n) for n in keep]
@@ -131,41 +147,41 @@ def _read_group(spark: SparkSession, paths: list[str], header: list[str], declar
     else:
         cols.append(F.lit(None).cast("string").alias(RESCUED))
     cols += [F.col(CORRUPT),
-             F.col("_metadata.file_path").alias("_source_file"),
-             F.col("_metadata.file_modification_time").cast("timestamp").alias("_source_file_mod_ts"),
-             F.col("_metadata.file_size").cast("bigint").alias("_source_file_size")]
+             F.col(f"{meta}file_path").alias("_source_file"),
+             F.col(f"{meta}file_modification_time").cast("timestamp").alias("_source_file_mod_ts"),
+             F.col(f"{meta}file_size").cast("bigint").alias("_source_file_size")]
     return df.select(*cols)
 
 
 def read_drops(spark: SparkSession, location: str | list[str], declared=None, headers: str = "scan",
-               glob: str = "*.csv", options: dict | None = None) -> DataFrame:
+               glob: str = "*.csv", options: dict | None = None, split_above: int | None = SPLIT_ABOVE) -> DataFrame:
     """Bronze rows of every CSV drop under ``location`` (or of the given file list).
 
     ``declared``: the columns kept as columns (sanitised names); others are
     rescued. None keeps every column. ``headers="uniform"`` expects one header
-    for all files and raises on a second one; only that header reaches the driver.
+    for all files and raises on a second one.
+    Files of more than ``split_above`` bytes are read by many tasks (None: never);
+    their rows are the same. Files of other quotes, escapes or encodings stay whole.
     """
     opts = dict(CSV_OPTIONS, **(options or {}))
-    if isinstance(location, str):
-        paths_df = list_drop_files(spark, location, glob)
-    else:
-        paths_df = spark.createDataFrame([(p,) for p in location], "path string")
+    if opts["quote"] != '"' or opts["escape"] != '"' or {"encoding", "charset", "lineSep", "comment"} & set(opts):
+        split_above = None
+    paths_df = list_drop_files(spark, location, glob if isinstance(location, str) else "*")
     declared = list(declared) if declared is not None else None
+    groups: dict[tuple, list[str]] = {}
+    big = F.lit(False) if split_above is None else F.col("length") > split_above
+    scanned = scan_headers(paths_df).withColumn("split", big)
     if headers == "uniform":
-        paths = [r["path"] for r in paths_df.select("path").collect()]
-        if not paths:
+        kinds = scanned.select("header").distinct().limit(2).collect()
+        if not kinds:
             raise ValueError(f"no drop files under {location}")
-        kinds = scan_headers(paths_df).select("header").distinct().limit(2).collect()
         if len(kinds) > 1:
             raise ValueError(f"headers differ under {location}: {kinds[0]['header']} and {kinds[1]['header']}")
-        groups = {tuple(kinds[0]["header"]): paths}
-    else:
-        groups: dict[tuple, list[str]] = {}
-        for r in scan_headers(paths_df).collect():
-            groups.setdefault(tuple(r["header"]), []).append(r["path"])
-        if not groups:
-            raise ValueError(f"no drop files under {location}")
-    parts = [_read_group(spark, sorted(p), list(h), declared, opts) for h, p in sorted(groups.items())]
+    for r in scanned.drop("cols").collect():
+        groups.setdefault((tuple(r["header"]), r["split"], r["split"] and r["crlf"]), []).append(r["path"])
+    if not groups:
+        raise ValueError(f"no drop files under {location}")
+    parts = [_read_group(spark, sorted(p), list(h), declared, opts, split, crlf) for (h, split, crlf), p in sorted(groups.items())]
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if declared is not None:
         missing = [c for c in declared if c not in out.columns]
