@@ -47,6 +47,7 @@ def test_equals_the_whole_file_reader(spark, scratch, small_ranges, size):
         fx.write(f"{root}/a{i}.csv", text_of(rng, 60))
     fx.write(f"{root}/empty_body.csv", HEADER + "\n")
     fx.write(f"{root}/wide.csv", "Other,Key,New Column\nx,1,y\n\"p\nq\",2,\"z\nz\"\n")
+    fx.write(f"{root}/lone.csv", HEADER + '\n1,"x "y" z",w\n2,"x "y\nz",w\n3,"x" y,"p\nq"\n4,"k ""l"" m\n","e"\n5,"a"b",c\n6,p,q\n')
     declared = ["key", "some_text", "other"]
     want = rows_of(read_drops(spark, root, declared=declared, split_above=None))
     small_ranges(size)
@@ -89,7 +90,7 @@ def test_one_file_is_many_tasks_and_lines_are_not_shuffled(spark, scratch, small
 
 
 @pytest.mark.parametrize("line, outside, inside", [
-    (b"a,b", False, True), (b'a,"b', True, False), (b'"a""b"', False, True), (b'a,5" x', False, False), (b'"a" ,"b', True, False),
-    (b'"a"b,c', False, False), (b'x""y', False, True), (b'x",y', False, False), (b'x","y', True, False), (b"", False, True)])
+    (b"a,b", False, True), (b'a,"b', True, False), (b'"a""b"', False, False), (b'a,5" x', False, False), (b'"a" ,"b', True, True),
+    (b'"a"b,c', False, False), (b'x""y', False, True), (b'x",y', False, False), (b'x","y', True, True), (b"", False, True)])
 def test_state_after_a_line(line, outside, inside):
     assert (inside_after(line, False), inside_after(line, True)) == (outside, inside)
