@@ -2,16 +2,21 @@
 
 Documents are sampled into seeds (closed syncmers of word k-mers: a k-mer is a
 seed or not wherever it stands, and any run of ``2 * SEED - SUB - 1`` equal
-words has one). A seed found in several documents
-matches each of its places with its place in the smallest and in the largest
-document, so a seed's matches grow with its places and never with their pairs.
-The matches of two documents are chained in order with gap costs through a
+words has one). All places of a seed match each other, as long as they are few.
+Where they are many, so that pairs would grow with their square, the places are
+told apart by what follows and precedes them: by seeds some words on (a place
+matches all few places with the same two seeds) and by all seeds of some 25
+words. Groups that are still large share these words, and each of their places
+matches the one in the smallest and the one in the largest document, as does each
+place of a frequent seed. So a run of 25 words that two documents share is found
+whatever else holds its seeds, and matches grow with places. The matches of two documents are chained in order with gap costs through a
 Fenwick tree, and each chain is aligned on the words themselves, a short one on
 the few words around it first.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -19,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import batches_of, runs, saved, scratch, shingle_hashes, table, text_hashes
+from strata.llm.common import MIX, batches_of, runs, saved, scratch, shingle_hashes, table, text_hashes
 
 #: Words of a seed, and of the parts whose least one is its first or last.
 SEED, SUB = 5, 2
@@ -37,6 +42,12 @@ SHORT, NEAR = 16, 16
 CHUNK, REACH, DROP = 128, 64, 12
 #: Equal words at either end of a part of a chain.
 ANCHOR = 4
+#: Places of a seed, or of a seed in its context, that are all matched with each other.
+FEW = 16
+#: How many words on a frequent seed's partner begins at least (each gives a context), and at most.
+FOLLOWING, WITHIN = (5, 10, 16), 24
+#: Words of the context made of all seeds: any two places with the same have ``ALIGNED`` equal words.
+CONTEXT = ALIGNED + SEED - SUB - 1
 
 
 def syncmers(h: np.ndarray, k: int = SEED, sub: int = SUB) -> tuple[np.ndarray, np.ndarray]:
@@ -97,6 +108,119 @@ def _seeds(k: int, sub: int):
     return task
 
 
+def _match_task(few: int):
+    """Sorted ``seed, doc, pos`` -> ``seed, a, b, pa, pb``: matches of all places of a seed that has ``few`` at most,
+    the smaller document first, and each place of other seeds (b null). Holds a batch and ``few`` rows."""
+    schema = pa.schema([("seed", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("pa", pa.int32()), ("pb", pa.int32())])
+
+    def batch_of(seed, a, b, x, y):
+        return pa.RecordBatch.from_arrays([pa.array(v) if v is not None else pa.nulls(len(a), f.type)
+                                           for v, f in zip((seed, a, b, x, y), schema)], schema=schema)
+
+    def found(seed, doc, pos, hot):
+        first = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
+        size = np.diff(first, append=len(seed))
+        size = np.repeat(np.where(seed[first] == hot, few + 1, size) if hot is not None else size, size)
+        many = size > few
+        if many.any():
+            yield batch_of(seed[many], doc[many], None, pos[many], None)
+        s, d, p = (v[~many & (size > 1)] for v in (seed, doc, pos))
+        for t in range(1, few):
+            same = s[t:] == s[:-t]
+            if not same.any():
+                break
+            at = np.flatnonzero(same & (d[t:] != d[:-t]))
+            if len(at):
+                yield batch_of(None, d[at], d[at + t], p[at], p[at + t])
+
+    def task(batches):
+        held, hot = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [c.to_numpy() for c in batch.columns]
+            if held is not None:
+                cols = [np.concatenate(c) for c in zip(held, cols)]
+            new = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in cols])])
+            cols = [c[new] for c in cols]       # repeated rows of a document
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            if cols[0][-1] == hot or len(cols[0]) - cut > few:
+                if cut:
+                    yield from found(*(c[:cut] for c in cols), hot)
+                hot = cols[0][-1]
+                yield from found(*(c[cut:] for c in cols), hot)
+                held = None
+                continue
+            if cut:
+                yield from found(*(c[:cut] for c in cols), hot)
+            held = [c[cut:] for c in cols]
+        if held is not None:
+            yield from found(*held, hot)
+
+    return task
+
+
+def contexts(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places ordered by document and position -> ``(numbers of places, hash of the context)``.
+
+    A context is the place's seed and the first one ``FOLLOWING`` words on, or all seeds of ``CONTEXT`` words from
+    the place on or up to it; these it has if the last begins where it must in a run of equal words."""
+    s, n = seed.view(np.uint64), len(seed)
+    line = np.cumsum(np.concatenate([[0], doc[1:] != doc[:-1]])) * (1 << 33) + pos
+
+    def mixed(h, v, j):
+        h = (h ^ v) * np.uint64(MIX[j % 3])
+        return h ^ (h >> np.uint64(29))
+
+    for j, words in enumerate(FOLLOWING):
+        at = np.searchsorted(line, line + words)
+        own = np.flatnonzero(line[np.minimum(at, n - 1)] - line <= WITHIN)
+        own = own[at[own] < n]
+        yield own, mixed(mixed(np.full(len(own), j + 1, dtype=np.uint64), s[own], 0), s[at[own]], 1)
+    last = CONTEXT - SEED       # how far on the last seed may begin
+    for side in (1, -1):
+        h, reached = np.full(n, 8 + side, dtype=np.uint64), np.zeros(n, dtype=np.int64)
+        for t in range(min(last + 1, n)):
+            one, other = (slice(0, n - t), slice(t, n))[::side]
+            far = line[t:] - line[:n - t]
+            near = far <= last
+            if not near.any():
+                break
+            h[one] = np.where(near, mixed(mixed(h[one], s[other], 0), far.astype(np.uint64), 1), h[one])
+            reached[one] = np.where(near, far, reached[one])
+        own = np.flatnonzero(reached >= ALIGNED - SEED)
+        yield own, h[own]
+
+
+def _context_task(batches):
+    """Sorted ``doc, pos, seed`` -> ``seed, doc, pos`` with the place's contexts for seeds; holds a batch and some words."""
+    schema = pa.schema([("seed", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32())])
+    reach = max(WITHIN, CONTEXT)
+
+    def found(doc, pos, seed, start, stop):
+        for own, h in contexts(seed, doc, pos):
+            own, h = (v[(own >= start) & (own < stop)] for v in (own, h))
+            if len(own):
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc[own]), pa.array(pos[own])], schema=schema)
+
+    held, done = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [c.to_numpy() for c in batch.columns]
+        if held is not None:
+            cols = [np.concatenate(c) for c in zip(held, cols)]
+        new = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in cols])])
+        doc, pos, seed = cols = [c[new] for c in cols]
+        mine = int(np.searchsorted(doc, doc[-1]))
+        stop = mine + int(np.searchsorted(pos[mine:], pos[-1] - reach))      # contexts beyond may go on in the next batch
+        yield from found(*cols, done, stop)
+        keep = mine + int(np.searchsorted(pos[mine:], pos[-1] - 2 * reach))
+        held, done = [c[keep:] for c in cols], max(stop, done) - keep
+    if held is not None:
+        yield from found(*held, done, len(held[0]))
+
+
 def _chunks(size: int):
     schema = pa.schema([("doc", pa.int64()), ("chunk", pa.int32()), ("payload", pa.binary())])
 
@@ -400,7 +524,7 @@ def _align_task(aligned: int, identity: float):
 
 
 def repeated_passages(docs: DataFrame, passage: int = PASSAGE, aligned: int = ALIGNED, identity: float = IDENTITY,
-                      k: int = SEED, sub: int = SUB) -> DataFrame:
+                      k: int = SEED, sub: int = SUB, few: int = FEW) -> DataFrame:
     """``doc_id, text`` -> passages of ``passage`` words or more that other documents hold too.
 
     Columns: doc_id, start_word, end_word (exclusive, words from 0), n_words,
@@ -414,20 +538,33 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, aligned: int = AL
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where(
         "doc IS NOT NULL")
     with scratch(docs.sparkSession) as keep:
-        with scratch(docs.sparkSession) as pass_on:    # the seeds go before the texts are moved
-            seeds = saved(docs.mapInArrow(_seeds(k, sub), "seed long, doc long, pos int"), "chain-seeds")
-            shared = saved(seeds.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-                           .where("low < high").select("seed"), "chain-shared")
-            places = pass_on(saved(seeds.join(shared, "seed"), "chain-places"))
-        ends = saved(places.groupBy("seed").agg(F.min(F.struct("doc", "pos")).alias("low"),
-                                                F.max(F.struct("doc", "pos")).alias("high")), "chain-ends")
-        matches = (places.join(ends, "seed").select("doc", "pos", F.explode(F.array("low", "high")).alias("with"))
-                   .where("doc != with.doc"))
-        first = F.col("doc") < F.col("with.doc")
-        matches = matches.select(F.least("doc", "with.doc").alias("a"), F.greatest("doc", "with.doc").alias("b"),
-                                 F.when(first, F.col("pos")).otherwise(F.col("with.pos")).alias("pa"),
-                                 F.when(first, F.col("with.pos")).otherwise(F.col("pos")).alias("pb"))
-        pairs = matches.distinct().repartition("a", "b").sortWithinPartitions("a", "b")
+        def matched(places: DataFrame, name: str) -> DataFrame:
+            """One shuffle: a seed's places meet, and only matches and the places of frequent seeds are stored."""
+            rows = places.repartition("seed").sortWithinPartitions("seed", "doc", "pos")
+            return saved(rows.mapInArrow(_match_task(few), "seed long, a long, b long, pa int, pb int"), name)
+
+        def frequent(found: DataFrame) -> DataFrame:
+            return found.where("b IS NULL").select("seed", F.col("a").alias("doc"), F.col("pa").alias("pos"))
+
+        def with_ends(places: DataFrame) -> DataFrame:
+            """Matches of each place with the one in the smallest and the one in the largest document."""
+            ends = places.groupBy("seed").agg(F.min(F.struct("doc", "pos")).alias("low"),
+                                              F.max(F.struct("doc", "pos")).alias("high")).where("low.doc < high.doc")
+            ends = places.join(ends, "seed").select("doc", "pos", F.explode(F.array("low", "high")).alias("with"))
+            first = F.col("doc") < F.col("with.doc")
+            return ends.where("doc != with.doc").select(
+                F.least("doc", "with.doc").alias("a"), F.greatest("doc", "with.doc").alias("b"),
+                F.when(first, F.col("pos")).otherwise(F.col("with.pos")).alias("pa"),
+                F.when(first, F.col("with.pos")).otherwise(F.col("pos")).alias("pb"))
+
+        plain = matched(docs.mapInArrow(_seeds(k, sub), "seed long, doc long, pos int"), "chain-matches")
+        ordered = frequent(plain).select("doc", "pos", "seed").repartition("doc").sortWithinPartitions("doc", "pos", "seed")
+        inside = matched(ordered.mapInArrow(_context_task, "seed long, doc long, pos int"), "chain-contexts")
+        matches = with_ends(frequent(plain)).union(with_ends(frequent(inside)))
+        for found in (plain, inside):
+            matches = matches.union(found.where("b IS NOT NULL").select("a", "b", "pa", "pb"))
+        # a match may come twice: on its diagonal it counts once
+        pairs = matches.repartition("a", "b").sortWithinPartitions("a", "b")
         joined = saved(pairs.mapInArrow(_chain_task(k, SPARSE, GAP),
                                         "a long, b long, c int, a0 int, a1 int, b0 int, b1 int, payload binary"), "chain-chains")
         # the texts are hashed once more when the seeds are gone, for their windows and chunks: less disk at a time

@@ -177,3 +177,56 @@ def test_words_that_repeat_over_and_over(spark):
     for r in repeated_passages(frame(spark, rows)).collect():
         held.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
     assert all(held[i].issuperset(range(a + 2, b - 6)) for i, (a, b) in runs.items())
+
+
+def scattered(rng, passage: list[str], n: int, size: int = 8) -> list[str]:
+    """Texts that hold all words of a passage in order, a few at a time."""
+    pieces = [" ".join(passage[i:i + size]) for i in range(0, len(passage), size // 2)]
+    return [" ".join(f"{p} {prose(rng, 30)}" for p in rng.sample(pieces, len(pieces))) for _ in range(n)]
+
+
+def test_passages_whose_seeds_occur_elsewhere_are_found(spark):
+    """A smallest and a largest document, or many others, hold every seed of a passage, but not the passage."""
+    for others in (2, 60):
+        rng = random.Random(others)
+        passage, edited = prose(rng, 100).split(), prose(rng, 100).split()
+        changed = [f"changed{i}" if i % 10 == 9 else w for i, w in enumerate(edited)]
+        pieces = list(zip(scattered(rng, passage, others), scattered(rng, edited, others)))
+        rows = [row(i if i % 2 else 1000 + i, f"{a} {b}") for i, (a, b) in enumerate(pieces)]
+        for doc, words in ((500, passage), (510, passage), (520, edited), (530, changed)):
+            rows.append(row(doc, " ".join([prose(rng, 40), *words, prose(rng, 40)])))
+        got = {r["doc_id"]: r for r in repeated_passages(frame(spark, rows)).collect()}
+        assert set(got) == {500, 510, 520, 530}
+        for doc, partner in ((500, 510), (510, 500), (520, 530), (530, 520)):
+            r = got[doc]
+            assert r["partner_id"] == partner and abs(r["start_word"] - 40) <= 3 and abs(r["end_word"] - 140) <= 3
+
+
+def test_matches_equal_brute_force_and_grow_with_places():
+    """All pairs of a seed's few places, each place of others once, whatever the batches; contexts too."""
+    import pyarrow as pa
+    from strata.llm.substrings import FEW, _context_task, _match_task
+    rng = random.Random(4)
+    rows = sorted({(rng.choice((1, 1, 2, 3, rng.randrange(4, 400))), rng.randrange(30), rng.randrange(50)) for _ in range(2500)})
+    rows += rows[-3:]
+
+    def batches(rows, names, size):
+        rows = sorted(rows)
+        types = [pa.int32() if c == "pos" else pa.int64() for c in names]
+        for i in range(0, len(rows), size):
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows[i:i + size]), types)], names=names)
+
+    def out(batches):
+        return sorted((tuple(r.values()) for b in batches for r in b.to_pylist()), key=str)
+
+    groups = {}
+    for seed, doc, pos in set(rows):
+        groups.setdefault(seed, []).append((doc, pos))
+    want = [(s, d, None, p, None) for s, g in groups.items() if len(g) > FEW for d, p in g]
+    want += [(None, a, b, x, y) for g in groups.values() if len(g) <= FEW for a, x in g for b, y in g if a < b]
+    turned = [(d, p, s) for s, d, p in rows]
+    whole = out(_context_task(batches(turned, ["doc", "pos", "seed"], 10_000)))
+    assert whole
+    for size in (1, 7, 100, 10_000):
+        assert out(_match_task(FEW)(batches(rows, ["seed", "doc", "pos"], size))) == sorted(want, key=str)
+        assert out(_context_task(batches(turned, ["doc", "pos", "seed"], size))) == whole
