@@ -45,7 +45,7 @@ ANCHOR = 4
 #: Places of a seed, or of a seed in its context, that are all matched with each other.
 FEW = 16
 #: How many words on a frequent seed's partner begins at least (each gives a context), and at most.
-FOLLOWING, WITHIN = (5, 10, 16), 24
+FOLLOWING, WITHIN = (8, 16), 24
 #: Words of the context made of all seeds: any two places with the same have ``ALIGNED`` equal words.
 CONTEXT = ALIGNED + SEED - SUB - 1
 
@@ -109,7 +109,7 @@ def _seeds(k: int, sub: int):
 
 
 def _match_task(few: int):
-    """Sorted ``seed, doc, pos`` -> ``seed, a, b, pa, pb``: matches of all places of a seed that has ``few`` at most,
+    """``seed, doc, pos`` by seed -> ``seed, a, b, pa, pb``: matches of all places of a seed that has ``few`` at most,
     the smaller document first, and each place of other seeds (b null). Holds a batch and ``few`` rows."""
     schema = pa.schema([("seed", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("pa", pa.int32()), ("pb", pa.int32())])
 
@@ -120,18 +120,21 @@ def _match_task(few: int):
     def found(seed, doc, pos, hot):
         first = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
         size = np.diff(first, append=len(seed))
-        size = np.repeat(np.where(seed[first] == hot, few + 1, size) if hot is not None else size, size)
-        many = size > few
+        many = (size > few) | (seed[first] == hot) if hot is not None else size > few
         if many.any():
-            yield batch_of(seed[many], doc[many], None, pos[many], None)
-        s, d, p = (v[~many & (size > 1)] for v in (seed, doc, pos))
+            own = np.repeat(many, size)
+            yield batch_of(seed[own], doc[own], None, pos[own], None)
+        own = np.repeat(~many & (size > 1), size)
+        s, d, p = seed[own], doc[own], pos[own]
         for t in range(1, few):
             same = s[t:] == s[:-t]
             if not same.any():
                 break
             at = np.flatnonzero(same & (d[t:] != d[:-t]))
             if len(at):
-                yield batch_of(None, d[at], d[at + t], p[at], p[at + t])
+                low = np.where(d[at] < d[at + t], at, at + t)
+                high = 2 * at + t - low
+                yield batch_of(None, d[low], d[high], p[low], p[high])
 
     def task(batches):
         held, hot = None, None
@@ -141,19 +144,15 @@ def _match_task(few: int):
             cols = [c.to_numpy() for c in batch.columns]
             if held is not None:
                 cols = [np.concatenate(c) for c in zip(held, cols)]
-            new = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in cols])])
-            cols = [c[new] for c in cols]       # repeated rows of a document
-            cut = int(np.searchsorted(cols[0], cols[0][-1]))
-            if cols[0][-1] == hot or len(cols[0]) - cut > few:
-                if cut:
-                    yield from found(*(c[:cut] for c in cols), hot)
-                hot = cols[0][-1]
-                yield from found(*(c[cut:] for c in cols), hot)
-                held = None
-                continue
+            last = cols[0][-1]
+            cut = int(np.searchsorted(cols[0], last))
             if cut:
                 yield from found(*(c[:cut] for c in cols), hot)
             held = [c[cut:] for c in cols]
+            if last == hot or len(held[0]) > few:
+                hot = last
+                yield from found(*held, hot)
+                held = None
         if held is not None:
             yield from found(*held, hot)
 
@@ -540,7 +539,7 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, aligned: int = AL
     with scratch(docs.sparkSession) as keep:
         def matched(places: DataFrame, name: str) -> DataFrame:
             """One shuffle: a seed's places meet, and only matches and the places of frequent seeds are stored."""
-            rows = places.repartition("seed").sortWithinPartitions("seed", "doc", "pos")
+            rows = places.repartition("seed").sortWithinPartitions("seed")      # a radix sort: one number
             return saved(rows.mapInArrow(_match_task(few), "seed long, a long, b long, pa int, pb int"), name)
 
         def frequent(found: DataFrame) -> DataFrame:
