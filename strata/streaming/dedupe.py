@@ -3,12 +3,15 @@
 The hashes of everything appended so far lie in a merge table of their own, not
 in streaming state: an executor holds a micro-batch and nothing else, and a new
 checkpoint or another stream can use the same table. A micro-batch is compared
-with the table by a semi-join that gives back only the hashes it repeats, so
-what is joined with the batch's rows is never larger than the batch.
+with the table by an anti-join on the hashes it was de-duplicated by, so its
+rows are shuffled once and the table's hashes once.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,17 @@ def hash_keys(scope: str) -> list[str]:
     return [HASH_COL, "_source_file"] if scope == "file" else [HASH_COL]
 
 
+def unknown(rows: DataFrame, held: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys ``held`` lacks, NULL matching NULL.
+
+    Rows with all keys are joined by plain equality, for which the shuffle that
+    de-duplicated them serves; a null-safe join would shuffle them again."""
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    held = held.select(*keys)
+    new = rows.filter(whole).join(held.filter(whole), keys, "left_anti").select(*rows.columns)
+    return new.union(by_keys(rows.filter(~whole), held.filter(~whole), keys, "left_anti"))
+
+
 def append_new(spark: SparkSession, batch: DataFrame, batch_id: int, source: str, out: str, hashes: str, scope: str = "all",
                time_col: str = "_ingest_ts", watermark_days: int | None = None, partition_by=()) -> None:
     """Append the rows of a micro-batch that nothing before it had to ``out/batch_id=N``.
@@ -51,8 +65,7 @@ def append_new(spark: SparkSession, batch: DataFrame, batch_id: int, source: str
             rows = rows.filter(F.col(time_col).isNull() | (F.col(time_col) >= oldest))
             held = held.filter(F.col(time_col) >= oldest)
     if held is not None:
-        repeated = by_keys(held.select(*keys), rows.select(*keys), keys, "left_semi").distinct()
-        rows = by_keys(rows, repeated, keys, "left_anti")
+        rows = unknown(rows, held, keys)
     writer = rows.write.mode("overwrite")
     folder = f"{out}/{BATCH_ID}={batch_id}"
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)

@@ -133,8 +133,8 @@ class MergeTable:
         _, compacted = self._manifest()
         if batch_id <= compacted.get(name, -1):
             return
-        self._write(self._latest(batch) if self.kind == "scd1" else batch,
-                    f"{self.path}/deltas/{SOURCE}={name}/{BATCH}={batch_id}")
+        # as they came: readers and compactions merge them, so a shuffle here would be one too many
+        self._write(batch, f"{self.path}/deltas/{SOURCE}={name}/{BATCH}={batch_id}")
         if self.outgrown():
             self.compact(keep)
 
