@@ -139,6 +139,11 @@ def text_hashes(text: str | None) -> np.ndarray:
 
 
 def _piece_hashes(raw: bytes, data: np.ndarray) -> np.ndarray:
+    return _placed_hashes(raw, data)[0]
+
+
+def _placed_hashes(raw: bytes, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a piece's words, and where they begin."""
     inside = np.zeros(len(data) + 2, dtype=bool)
     np.logical_not(_SPACE[data], out=inside[1:-1])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
@@ -153,7 +158,33 @@ def _piece_hashes(raw: bytes, data: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(29)
     for i in np.flatnonzero(ends - starts > PIECE).tolist():
         h[i] = xxhash.xxh3_64_intdigest(raw[starts[i]:ends[i]])
-    return h
+    return h, starts
+
+
+def many_hashes(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``text_hashes`` of texts in order: the hashes of some texts at a time, and how many words each of them has.
+
+    Texts of some ``PIECE`` bytes in all are hashed at once, longer ones alone."""
+    held, size = [], 0
+    for text in texts:
+        raw = (text or "").encode("utf-8", "replace").lower()
+        if held and size + len(raw) > PIECE:
+            yield _joined_hashes(held)
+            held, size = [], 0
+        if len(raw) > PIECE:
+            h = text_hashes(text)
+            yield h, np.array([len(h)])
+        else:
+            held.append(raw)
+            size += len(raw) + 1
+    if held:
+        yield _joined_hashes(held)
+
+
+def _joined_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    raw = b" ".join(raws)
+    h, starts = _placed_hashes(raw, np.frombuffer(raw, dtype=np.uint8))
+    return h, np.diff(np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raws])), prepend=0)
 
 
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:

@@ -16,6 +16,7 @@ the few words around it first.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import MIX, batches_of, runs, saved, scratch, shingle_hashes, table, text_hashes
+from strata.llm.common import MIX, batches_of, many_hashes, saved, scratch, shingle_hashes, table
 
 #: Words of a seed, and of the parts whose least one is its first or last.
 SEED, SUB = 5, 2
@@ -44,19 +45,24 @@ CHUNK, REACH, DROP = 128, 64, 12
 ANCHOR = 4
 #: Places of a seed, or of a seed in its context, that are all matched with each other.
 FEW = 16
+#: Places of one seed that a task holds in memory; more wait in a file of its own until the seed's last.
+HELD = 1 << 18
+#: Stands between two texts whose words are looked at together; no k-mer across it counts.
+BETWEEN = np.uint64(MIX[2])
 #: How many words on a frequent seed's partner begins at least (each gives a context), and at most.
 FOLLOWING, WITHIN = (8, 16), 24
 #: Words of the context made of all seeds: any two places with the same have ``ALIGNED`` equal words.
 CONTEXT = ALIGNED + SEED - SUB - 1
 
 
-def syncmers(h: np.ndarray, k: int = SEED, sub: int = SUB) -> tuple[np.ndarray, np.ndarray]:
+def syncmers(h: np.ndarray, k: int = SEED, sub: int = SUB, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the k-mers whose least ``sub``-mer is their first or their last.
 
     A k-mer equal to the one before it is passed over, so a repeated word isn't a seed at every place. Where a
     k-mer overlaps an equal one otherwise (two to four words over and over), it is a seed in ``PERIOD`` out of
     every ``STRIDE`` words: each of its phases is among them, and an alignment reaches further than to the next.
-    The last ``PERIOD`` of such a run are seeds too, so that the ends of two runs meet whatever their strides."""
+    The last ``PERIOD`` of such a run are seeds too, so that the ends of two runs meet whatever their strides.
+    ``place`` counts each text's words where ``h`` holds several texts."""
     if len(h) < k:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
     kmers, parts = shingle_hashes(h, k), shingle_hashes(h, sub)
@@ -72,7 +78,7 @@ def syncmers(h: np.ndarray, k: int = SEED, sub: int = SUB) -> tuple[np.ndarray,
     if again.any():
         last = again.copy()
         last[:-PERIOD] &= ~again[PERIOD:]
-        chosen &= ~again | last | (np.arange(n) % STRIDE < PERIOD)
+        chosen &= ~again | last | ((np.arange(n) if place is None else place[:n]) % STRIDE < PERIOD)
     at = np.flatnonzero(chosen)
     return at, kmers[at]
 
@@ -82,8 +88,11 @@ def _words(batches):
 
     def rows():
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                yield doc, (text_hashes(text.as_py()) >> np.uint64(32)).astype("<u4").tobytes()
+            docs = iter(batch.column(0).to_pylist())
+            for h, n in many_hashes(text.as_py() for text in batch.column(1)):
+                words, ends = (h >> np.uint64(32)).astype("<u4").tobytes(), np.cumsum(4 * n)
+                for start, end, doc in zip((ends - 4 * n).tolist(), ends.tolist(), docs):
+                    yield doc, words[start:end]
 
     yield from batches_of(rows(), schema)
 
@@ -93,12 +102,19 @@ def _seeds(k: int, sub: int):
 
     def task(batches):
         for batch in batches:
-            at, seeds, docs = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                pos, found = syncmers(text_hashes(text.as_py()), k, sub)
-                at.append(pos)
-                seeds.append(found)
-                docs.append(np.full(len(pos), doc, dtype=np.int64))
+            at, seeds, docs, done = [], [], [], 0
+            for h, n in many_hashes(text.as_py() for text in batch.column(1)):
+                text = np.repeat(np.arange(len(n)), n + 1)      # each text's words and ``BETWEEN``
+                place = np.arange(len(text)) - (np.cumsum(n + 1) - n - 1)[text]
+                line = np.full(len(text), BETWEEN)
+                line[place < n[text]] = h
+                own, found = syncmers(line, k, sub, place)
+                inside = place[own] + k <= n[text[own]]
+                own = own[inside]
+                at.append(place[own])
+                seeds.append(found[inside])
+                docs.append(batch.column(0).slice(done, len(n)).to_numpy()[text[own]])
+                done += len(n)
             if at:
                 yield pa.RecordBatch.from_arrays(
                     # 48 bits: what collides is compared word by word
@@ -108,22 +124,46 @@ def _seeds(k: int, sub: int):
     return task
 
 
-def _match_task(few: int):
+def _match_task(few: int, places: bool = True, ends: bool = False, most: int = HELD):
     """``seed, doc, pos`` by seed -> ``seed, a, b, pa, pb``: matches of all places of a seed that has ``few`` at most,
-    the smaller document first, and each place of other seeds (b null). Holds a batch and ``few`` rows."""
+    the smaller document first. Of other seeds each place (b null) if ``places``, and if ``ends`` its matches with the
+    places in the smallest and the largest document. Holds a batch and ``most`` rows."""
     schema = pa.schema([("seed", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("pa", pa.int32()), ("pb", pa.int32())])
+    place = np.dtype([("doc", "<i8"), ("pos", "<i4")])
 
     def batch_of(seed, a, b, x, y):
         return pa.RecordBatch.from_arrays([pa.array(v) if v is not None else pa.nulls(len(a), f.type)
                                            for v, f in zip((seed, a, b, x, y), schema)], schema=schema)
 
-    def found(seed, doc, pos, hot):
+    def lowest(doc, pos, first, size):
+        """Smallest document of each group and its first place."""
+        low = np.minimum.reduceat(doc, first)
+        return low, np.minimum.reduceat(np.where(doc == np.repeat(low, size), pos, np.iinfo(np.int32).max), first)
+
+    def highest(doc, pos, first, size):
+        high = np.maximum.reduceat(doc, first)
+        return high, np.maximum.reduceat(np.where(doc == np.repeat(high, size), pos, -1), first)
+
+    def to_ends(doc, pos, low, low_at, high, high_at):
+        own = doc != low
+        if own.any():
+            yield batch_of(None, low[own], doc[own], low_at[own], pos[own])
+        own = doc != high
+        if own.any():
+            yield batch_of(None, doc[own], high[own], pos[own], high_at[own])
+
+    def found(seed, doc, pos):
         first = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
         size = np.diff(first, append=len(seed))
-        many = (size > few) | (seed[first] == hot) if hot is not None else size > few
+        many = size > few
         if many.any():
-            own = np.repeat(many, size)
-            yield batch_of(seed[own], doc[own], None, pos[own], None)
+            own, n = np.repeat(many, size), size[many]
+            s, d, p = seed[own], doc[own], pos[own]
+            if places:
+                yield batch_of(s, d, None, p, None)
+            if ends:
+                begins = np.cumsum(n) - n
+                yield from to_ends(d, p, *(np.repeat(v, n) for f in (lowest, highest) for v in f(d, p, begins, n)))
         own = np.repeat(~many & (size > 1), size)
         s, d, p = seed[own], doc[own], pos[own]
         for t in range(1, few):
@@ -136,25 +176,61 @@ def _match_task(few: int):
                 high = 2 * at + t - low
                 yield batch_of(None, d[low], d[high], p[low], p[high])
 
+    def filed(held, file):
+        """Places of a seed that has too many to hold: to the file, in ``places``."""
+        for seed, doc, pos in held:
+            rows = np.empty(len(doc), dtype=place)
+            rows["doc"], rows["pos"] = doc, pos
+            file.write(rows.tobytes())
+            if places:
+                yield batch_of(seed, doc, None, pos, None)
+
+    def pieces(file):
+        file.seek(0)
+        while raw := file.read(place.itemsize * HELD):
+            rows = np.frombuffer(raw, dtype=place)
+            yield rows["doc"].copy(), rows["pos"].copy()
+
+    def filed_ends(file):
+        if not ends:
+            return
+        whole = np.zeros(1, dtype=np.int64)
+        sides = [[f(d, p, whole, [len(d)]) for d, p in pieces(file)] for f in (lowest, highest)]
+        low, high = (pick((int(d[0]), int(p[0])) for d, p in side) for pick, side in zip((min, max), sides))
+        for doc, pos in pieces(file):
+            yield from to_ends(doc, pos, *(np.full(len(doc), v, dtype=t) for end in (low, high) for v, t in zip(end, ("i8", "i4"))))
+
     def task(batches):
-        held, hot = None, None
+        held, file = [], None       # of the last seed
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = [c.to_numpy() for c in batch.columns]
-            if held is not None:
-                cols = [np.concatenate(c) for c in zip(held, cols)]
+            if held or file:
+                more = int(np.searchsorted(cols[0], last, side="right"))
+                if more == len(cols[0]) or file:
+                    held.append([c[:more] for c in cols])
+                    if file or sum(len(h[0]) for h in held) > max(most, few):
+                        file = file or tempfile.TemporaryFile()
+                        yield from filed(held, file)
+                        held = []
+                    if more == len(cols[0]):
+                        continue
+                    yield from filed_ends(file)
+                    file = file.close()
+                    cols = [c[more:] for c in cols]
+                else:
+                    cols = [np.concatenate(c) for c in zip(*held, cols)]
             last = cols[0][-1]
             cut = int(np.searchsorted(cols[0], last))
             if cut:
-                yield from found(*(c[:cut] for c in cols), hot)
-            held = [c[cut:] for c in cols]
-            if last == hot or len(held[0]) > few:
-                hot = last
-                yield from found(*held, hot)
-                held = None
-        if held is not None:
-            yield from found(*held, hot)
+                yield from found(*(c[:cut] for c in cols))
+            held = [[c[cut:] for c in cols]]
+        if file:
+            yield from filed_ends(file)
+            file.close()
+        elif held:
+            yield from found(*(np.concatenate(c) for c in zip(*held)))
 
     return task
 
@@ -254,15 +330,15 @@ def _surroundings(size: int, before: int, after: int):
     return task
 
 
-def segments(pa_: np.ndarray, pb: np.ndarray, k: int = SEED, reach: int = SPARSE) -> list[tuple[int, int, int]]:
-    """Matches merged along their diagonals: ``(start in a, start in b, words)``, in order."""
-    order = np.lexsort((pb, pb - pa_))
-    a, b = pa_[order], pb[order]
+def segments(pair: np.ndarray, pa_: np.ndarray, pb: np.ndarray, k: int = SEED, reach: int = SPARSE) -> tuple[np.ndarray, ...]:
+    """Matches of numbered pairs merged along their diagonals: ``pair, start in a, start in b, words``, by pair."""
+    order = np.lexsort((pb, pb - pa_, pair))
+    g, a, b = pair[order], pa_[order], pb[order]
     new = np.ones(len(a), dtype=bool)
-    new[1:] = (np.diff(b - a) != 0) | (np.diff(b) > reach)
+    new[1:] = (g[1:] != g[:-1]) | (np.diff(b - a) != 0) | (np.diff(b) > reach)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(a)) - 1
-    return sorted(zip(a[first].tolist(), b[first].tolist(), (b[last] - b[first] + k).tolist()))
+    return g[first], a[first], b[first], b[last] - b[first] + k
 
 
 class Fenwick:
@@ -323,48 +399,62 @@ def chains(segs: list[tuple[int, int, int]], gap: float = GAP) -> list[list[tupl
 
 
 def _pairs(batches):
-    """Columns of a sorted partition, cut only where the pair of documents changes, and where its pairs begin."""
+    """``a, b, pa, pb`` of a partition sorted by the number of a pair, its first column, cut only where that changes,
+    ordered by pair."""
+    def ordered(pieces):
+        number, *cols = (np.concatenate(c) for c in zip(*pieces))
+        a, b = cols[:2]
+        if ((number[1:] == number[:-1]) & ((a[1:] != a[:-1]) | (b[1:] != b[:-1]))).any():     # two pairs with one number
+            order = np.lexsort((b, a))
+            cols = [c[order] for c in cols]
+        return cols
+
     held = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = [c.to_numpy().astype(np.int64) for c in batch.columns]
-        new = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0)) + 1
-        last = int(new[-1]) if len(new) else 0
-        if last or held and (held[-1][0][-1], held[-1][1][-1]) != (cols[0][0], cols[1][0]):
-            yield [np.concatenate(c) for c in zip(*held, [c[:last] for c in cols])]
+        cols = [c.to_numpy() for c in batch.columns]
+        last = int(np.searchsorted(cols[0], cols[0][-1]))
+        if last or held and held[-1][0][-1] != cols[0][0]:
+            yield ordered([*held, [c[:last] for c in cols]])
             held = []
         held.append([c[last:] for c in cols])
     if held:
-        yield [np.concatenate(c) for c in zip(*held)]
+        yield ordered(held)
+
+
+def _payloads(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Chains of one segment each."""
+    raw = np.stack([x, y, n], axis=1).astype("<i4").tobytes()
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(12), len(x), [None, pa.py_buffer(raw)]).cast(pa.binary())
 
 
 def _chain_task(k: int, reach: int, gap: float):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int32()), ("a0", pa.int32()), ("a1", pa.int32()),
                         ("b0", pa.int32()), ("b1", pa.int32()), ("payload", pa.binary())])
 
-    def singles(a, b, x, y):   # pairs of one match, all at once
-        chain = np.stack([x, y, np.full(len(x), k)], axis=1).astype("<i4")
-        payload = pa.FixedSizeBinaryArray.from_buffers(pa.binary(12), len(x), [None, pa.py_buffer(chain.tobytes())])
-        ends = [pa.array(v.astype(np.int32)) for v in (np.zeros(len(x)), x, x + k, y, y + k)]
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *ends, payload.cast(pa.binary())], schema=schema)
+    def singles(a, b, x, y, n):   # pairs of one segment, all at once
+        ends = [pa.array(v.astype(np.int32)) for v in (np.zeros(len(x)), x, x + n, y, y + n)]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *ends, _payloads(x, y, n)], schema=schema)
 
     def task(batches):
         for a, b, x, y in _pairs(batches):
-            if not len(a):
-                continue
-            first = np.flatnonzero(np.concatenate([[True], (np.diff(a) != 0) | (np.diff(b) != 0)]))
-            size = np.diff(first, append=len(a))
-            alone = first[size == 1]
-            if len(alone):
-                yield singles(a[alone], b[alone], x[alone], y[alone])
+            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            a, b = a[new], b[new]
+            pair, x, y, n = segments(np.cumsum(new) - 1, x.astype(np.int64), y.astype(np.int64), k, reach)
+            first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+            size = np.diff(first, append=len(pair))
+            alone = size == 1
+            if alone.any():
+                at = first[alone]
+                yield singles(a[alone], b[alone], x[at], y[at], n[at])
 
             def rows():
-                for i, n in zip(first[size > 1].tolist(), size[size > 1].tolist()):
-                    segs = segments(x[i:i + n], y[i:i + n], k, reach)
+                for i, at, m in zip(np.flatnonzero(~alone).tolist(), first[~alone].tolist(), size[~alone].tolist()):
+                    segs = sorted(zip(*(v[at:at + m].tolist() for v in (x, y, n))))
                     for c, chain in enumerate(chains(segs, gap)):
-                        (a0, b0, _), (a1, b1, m) = chain[0], chain[-1]
-                        yield int(a[i]), int(b[i]), c, a0, a1 + m, b0, b1 + m, np.array(chain, dtype="<i4").tobytes()
+                        (a0, b0, _), (a1, b1, w) = chain[0], chain[-1]
+                        yield int(a[i]), int(b[i]), c, a0, a1 + w, b0, b1 + w, np.array(chain, dtype="<i4").tobytes()
 
             yield from batches_of(rows(), schema)
 
@@ -382,20 +472,25 @@ def _ends(same: np.ndarray, drop: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _near_task(aligned: int, short: int, near: int, drop: int):
-    """Single segments with the words around them -> those whose alignment isn't surely under ``aligned`` words."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int32())])
+    """Single segments with the words around them -> the chains of those whose alignment isn't surely under ``aligned``
+    words."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("a0", pa.int32()), ("a1", pa.int32()), ("b0", pa.int32()),
+                        ("b1", pa.int32()), ("payload", pa.binary())])
 
     def task(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, 2 * near + short)
-                    for i in (4, 5))
-            same, n = (x == y) & (x != 0), batch.column(3).to_numpy().astype(np.int64)
+                    for i in (5, 6))
+            a, b, a0, b0, n = (batch.column(i).to_numpy() for i in range(5))
+            same = (x == y) & (x != 0)
             left, more = _ends(same[:, :near][:, ::-1], drop)
             right, most = _ends(np.take_along_axis(same, near + n[:, None] + np.arange(near), axis=1), drop)
-            keep = pa.array(more | most | (left + n + right >= aligned))
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(3)], schema=schema)
+            keep = more | most | (left + n + right >= aligned)
+            a, b, a0, b0, n = (v[keep] for v in (a, b, a0, b0, n))
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a, b, a0, a0 + n, b0, b0 + n)] + [_payloads(a0, b0, n)],
+                                             schema=schema)
 
     return task
 
@@ -406,6 +501,8 @@ def _extend(x: np.ndarray, y: np.ndarray, drop: int) -> tuple[int, int]:
     if not n:
         return 0, 0
     same = x[:n] == y[:n]
+    if same.all():
+        return n, n
     score = np.cumsum(np.where(same, 1, -2))
     fallen = np.maximum.accumulate(np.maximum(score, 0)) - score > drop
     stop = int(fallen.argmax()) if fallen.any() else n
@@ -417,7 +514,10 @@ def _extend(x: np.ndarray, y: np.ndarray, drop: int) -> tuple[int, int]:
 
 def _equal(a: np.ndarray, b: np.ndarray, x: int, y: int, n: int) -> list[tuple[int, int, int]]:
     """Runs of equal words on a diagonal of ``n`` words."""
-    same = np.concatenate([[False], a[x:x + n] == b[y:y + n], [False]])
+    same = a[x:x + n] == b[y:y + n]
+    if same.all():
+        return [(x, y, n)] if n else []
+    same = np.concatenate([[False], same, [False]])
     edges = np.flatnonzero(same[1:] != same[:-1]).tolist()
     return [(x + i, y + i, j - i) for i, j in zip(edges[::2], edges[1::2])]
 
@@ -498,24 +598,30 @@ def _align_task(aligned: int, identity: float):
         first, last = max(0, start - REACH) // CHUNK, (end + REACH) // CHUNK
         return first * CHUNK, np.concatenate([words[i] for i in range(first, last + 1) if i in words])
 
+    def aligned_rows(pair, held, sides):
+        a, b = pair
+        for chain in held:
+            (p, q, _), (u, v, n) = chain[0], chain[-1]
+            (at, x), (to, y) = around(sides[0], p, u + n), around(sides[1], q, v + n)
+            own = [(p - at, q - to, n) for p, q, n in chain]
+            for a0, a1, b0, b1, matched in stretches(x, y, equal_runs(x, y, own), aligned, identity):
+                share = matched / max(a1 - a0, b1 - b0)
+                yield a, b, a0 + at, a1 + at, share
+                yield b, a, b0 + to, b1 + to, share
+
     def task(batches):
         def rows():
-            for group in runs(batches, ["a", "b"]):
-                a, b = group["a"][0].as_py(), group["b"][0].as_py()
-                held, sides = [], ({}, {})
-                for side, chunk, payload, some in zip(*(group[c].to_pylist() for c in ("side", "chunk", "payload", "chains"))):
+            pair, held, sides = None, [], ({}, {})
+            for batch in batches:
+                for a, b, side, chunk, payload, some in zip(*(c.to_pylist() for c in batch.columns)):
+                    if (a, b) != pair:
+                        yield from aligned_rows(pair or (a, b), held, sides)
+                        pair, held, sides = (a, b), [], ({}, {})
                     if side < 0:
-                        held = [np.frombuffer(c, dtype="<i4").reshape(-1, 3).astype(np.int64).tolist() for c in some]
+                        held = [np.frombuffer(c, dtype="<i4").reshape(-1, 3).tolist() for c in some]
                     else:   # repeated rows of a document bring a chunk twice
                         sides[side].setdefault(chunk, np.frombuffer(payload, dtype="<u4"))
-                for chain in held:
-                    (p, q, _), (u, v, n) = chain[0], chain[-1]
-                    (at, x), (to, y) = around(sides[0], p, u + n), around(sides[1], q, v + n)
-                    own = [(p - at, q - to, n) for p, q, n in chain]
-                    for a0, a1, b0, b1, matched in stretches(x, y, equal_runs(x, y, own), aligned, identity):
-                        share = matched / max(a1 - a0, b1 - b0)
-                        yield a, b, a0 + at, a1 + at, share
-                        yield b, a, b0 + to, b1 + to, share
+            yield from aligned_rows(pair, held, sides) if pair else ()
 
         yield from batches_of(rows(), schema)
 
@@ -537,33 +643,18 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, aligned: int = AL
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where(
         "doc IS NOT NULL")
     with scratch(docs.sparkSession) as keep:
-        def matched(places: DataFrame, name: str) -> DataFrame:
-            """One shuffle: a seed's places meet, and only matches and the places of frequent seeds are stored."""
+        def matched(places: DataFrame, own: bool) -> DataFrame:
+            """One shuffle: a seed's places meet, and only matches go on, and the places of frequent seeds if ``own``."""
             rows = places.repartition("seed").sortWithinPartitions("seed")      # a radix sort: one number
-            return saved(rows.mapInArrow(_match_task(few), "seed long, a long, b long, pa int, pb int"), name)
-
-        def frequent(found: DataFrame) -> DataFrame:
-            return found.where("b IS NULL").select("seed", F.col("a").alias("doc"), F.col("pa").alias("pos"))
-
-        def with_ends(places: DataFrame) -> DataFrame:
-            """Matches of each place with the one in the smallest and the one in the largest document."""
-            ends = places.groupBy("seed").agg(F.min(F.struct("doc", "pos")).alias("low"),
-                                              F.max(F.struct("doc", "pos")).alias("high")).where("low.doc < high.doc")
-            ends = places.join(ends, "seed").select("doc", "pos", F.explode(F.array("low", "high")).alias("with"))
-            first = F.col("doc") < F.col("with.doc")
-            return ends.where("doc != with.doc").select(
-                F.least("doc", "with.doc").alias("a"), F.greatest("doc", "with.doc").alias("b"),
-                F.when(first, F.col("pos")).otherwise(F.col("with.pos")).alias("pa"),
-                F.when(first, F.col("with.pos")).otherwise(F.col("pos")).alias("pb"))
-
-        plain = matched(docs.mapInArrow(_seeds(k, sub), "seed long, doc long, pos int"), "chain-matches")
-        ordered = frequent(plain).select("doc", "pos", "seed").repartition("doc").sortWithinPartitions("doc", "pos", "seed")
-        inside = matched(ordered.mapInArrow(_context_task, "seed long, doc long, pos int"), "chain-contexts")
-        matches = with_ends(frequent(plain)).union(with_ends(frequent(inside)))
-        for found in (plain, inside):
-            matches = matches.union(found.where("b IS NOT NULL").select("a", "b", "pa", "pb"))
+            return rows.mapInArrow(_match_task(few, own, True), "seed long, a long, b long, pa int, pb int")
+
+        plain = saved(matched(docs.mapInArrow(_seeds(k, sub), "seed long, doc long, pos int"), True), "chain-matches")
+        ordered = (plain.where("b IS NULL").select(F.col("a").alias("doc"), F.col("pa").alias("pos"), "seed")
+                   .repartition("doc").sortWithinPartitions("doc", "pos", "seed"))
+        inside = matched(ordered.mapInArrow(_context_task, "seed long, doc long, pos int"), False)
         # a match may come twice: on its diagonal it counts once
-        pairs = matches.repartition("a", "b").sortWithinPartitions("a", "b")
+        matches = plain.where("b IS NOT NULL").union(inside).select(F.xxhash64("a", "b").alias("pair"), "a", "b", "pa", "pb")
+        pairs = matches.repartition("pair").sortWithinPartitions("pair")        # one number again
         joined = saved(pairs.mapInArrow(_chain_task(k, SPARSE, GAP),
                                         "a long, b long, c int, a0 int, a1 int, b0 int, b1 int, payload binary"), "chain-chains")
         # the texts are hashed once more when the seeds are gone, for their windows and chunks: less disk at a time
@@ -571,16 +662,17 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, aligned: int = AL
         near = hashed.mapInArrow(_surroundings(CHUNK, NEAR, NEAR + SHORT), "doc long, chunk int, n int, payload binary")
         # most chains are a seed that two documents share by chance: a few words around it refute them
         lone = F.expr(f"length(payload) = 12 AND a1 - a0 < {SHORT}")
-        around = joined.where(lone).select("a", "b", "c", (F.col("a1") - F.col("a0")).alias("m"), "a0", "b0")
+        around = joined.where(lone).select("a", "b", "a0", "b0", (F.col("a1") - F.col("a0")).alias("m"))
         for doc, start, words in (("a", "a0", "x"), ("b", "b0", "y")):
             at = F.col("n") > F.col(start) % CHUNK
             own = near.withColumnsRenamed({"doc": doc, "chunk": "_chunk"})
             window = F.substring(F.col("payload"), F.col(start) % CHUNK + 1, F.lit(2 * NEAR + SHORT))
             around = (around.withColumn("_chunk", F.floor(F.col(start) / CHUNK).cast("int")).join(own, [doc, "_chunk"])
-                      .where(at).withColumn(words, window).drop("_chunk", "n", "payload", start))
-        open_ = (around.select("a", "b", "c", "m", "x", "y")
-                 .mapInArrow(_near_task(aligned, SHORT, NEAR, DROP), "a long, b long, c int").distinct())
-        found = joined.where(~lone).unionByName(joined.where(lone).join(saved(open_, "chain-open"), ["a", "b", "c"], "leftsemi"))
+                      .where(at).withColumn(words, window).drop("_chunk", "n", "payload"))
+        whole = "a long, b long, a0 int, a1 int, b0 int, b1 int, payload binary"
+        open_ = around.select("a", "b", "a0", "b0", "m", "x", "y").mapInArrow(_near_task(aligned, SHORT, NEAR, DROP), whole)
+        # repeated rows of a document bring a chain twice
+        found = joined.where(~lone).drop("c").unionByName(open_.distinct())
 
         def reach(start: str, end: str):
             """Chunks of a chain's side and of the words around it."""

@@ -230,3 +230,70 @@ def test_matches_equal_brute_force_and_grow_with_places():
     for size in (1, 7, 100, 10_000):
         assert out(_match_task(FEW)(batches(rows, ["seed", "doc", "pos"], size))) == sorted(want, key=str)
         assert out(_context_task(batches(turned, ["doc", "pos", "seed"], size))) == whole
+
+
+def test_places_of_frequent_seeds_match_the_ends_of_their_groups():
+    """Against brute force, whatever the batches and however few places a task holds; without the places on demand."""
+    import pyarrow as pa
+    from strata.llm.substrings import FEW, _match_task
+    rng = random.Random(6)
+    rows = sorted(((rng.choice((1, 1, 2, 3, 4, rng.randrange(5, 300))), rng.randrange(20), rng.randrange(90)) for _ in range(1500)),
+                  key=lambda r: r[0])
+    rows += [(999, 7, i) for i in range(40)]        # all in one document
+    names, types = ["seed", "doc", "pos"], [pa.int64(), pa.int64(), pa.int32()]
+    groups, places, ends = {}, [], set()
+    for seed, doc, pos in rows:
+        groups.setdefault(seed, []).append((doc, pos))
+    for seed, g in groups.items():
+        if len(g) > FEW:
+            places += [(seed, d, None, p, None) for d, p in g]
+            for place in g:
+                for end in (min(g), max(g)):
+                    if place[0] != end[0]:
+                        (a, x), (b, y) = sorted((place, end))
+                        ends.add((None, a, b, x, y))
+    few = {(None, *min(((a, b, x, y), (b, a, y, x)))) for g in groups.values() if len(g) <= FEW
+           for a, x in g for b, y in g if a != b}
+    assert ends and few
+    for size in (1, 7, 100, 5000):
+        for most in (1, 60, 10_000):
+            batches = [pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows[i:i + size]), types)], names=names)
+                       for i in range(0, len(rows), size)]
+            got = [tuple(r.values()) for b in _match_task(FEW, True, True, most)(iter(batches)) for r in b.to_pylist()]
+            assert sorted((r for r in got if r[0] is not None), key=str) == sorted(places, key=str)
+            assert {r for r in got if r[0] is None} == ends | few
+            bare = [tuple(r.values()) for b in _match_task(FEW, False, True, most)(iter(batches)) for r in b.to_pylist()]
+            assert set(bare) == ends | few
+
+
+def test_seeds_of_texts_taken_together_are_those_of_each():
+    """Short, empty and null texts, repetitions at their ends, and texts longer than are hashed at once."""
+    import pyarrow as pa
+    from strata.llm.common import PIECE, many_hashes, text_hashes
+    from strata.llm.substrings import SEED, SUB, _seeds, _words
+    rng = random.Random(5)
+    texts = [None, "", " ", "a b c d", "x y " * 40, "y x " * 40, "x y " * 40, "z " * 30, "z " * 30, "\u00e9t\u00e9\u00a0A b\tC\x0b " * 9,
+             prose(rng, 30_000), "w" * (PIECE + 9) + " " + prose(rng, 20), *[prose(rng, rng.randrange(60)) for _ in range(800)]]
+    rng.shuffle(texts)
+    each = [text_hashes(t) for t in texts]
+    pieces = list(many_hashes(texts))
+    assert len(pieces) < len(texts) and np.concatenate([n for _, n in pieces]).tolist() == [len(h) for h in each]
+    assert (np.concatenate([h for h, _ in pieces]) == np.concatenate(each)).all()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), type=pa.int64()), pa.array(texts)], names=["doc", "text"])
+    want = [(int(s) >> 16, doc, int(at)) for doc, h in enumerate(each) for at, s in zip(*syncmers(h))]
+    assert [tuple(r.values()) for b in _seeds(SEED, SUB)(iter([batch])) for r in b.to_pylist()] == want
+    words = [tuple(r.values()) for b in _words(iter([batch])) for r in b.to_pylist()]
+    assert words == [(doc, (h >> np.uint64(32)).astype("<u4").tobytes()) for doc, h in enumerate(each)]
+
+
+def test_pairs_with_the_same_number_are_told_apart():
+    import pyarrow as pa
+    from strata.llm.substrings import SPARSE, SEED, _chain_task
+    rows = [(5, 1, 2, 10, 20), (5, 3, 4, 10, 20), (5, 1, 2, 14, 24), (6, 1, 9, 0, 0), (7, 1, 3, 0, 0), (7, 1, 3, 50, 60)]
+    types = [pa.int64()] * 3 + [pa.int32()] * 2
+    for size in (1, 2, 6):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows[i:i + size]), types)], names=["pair", "a", "b", "pa", "pb"])
+                   for i in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in _chain_task(SEED, SPARSE, GAP)(iter(batches)) for r in b.to_pylist()]
+        assert sorted((a, b, a0, a1, b0, b1) for a, b, _, a0, a1, b0, b1, _ in got) == [
+            (1, 2, 10, 19, 20, 29), (1, 3, 0, 5, 0, 5), (1, 3, 50, 55, 60, 65), (1, 9, 0, 5, 0, 5), (3, 4, 10, 15, 20, 25)]
