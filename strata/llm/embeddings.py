@@ -24,7 +24,8 @@ VECTORS_PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS, SAMPLE = 24, 32, 2048, 8192
 NEAREST, SHARED = 12, 2
 #: Pivots closer than this cosine count as one reference point.
 SEPARATION = 0.7
-BLOCK = 512
+#: Members of a list that one task compares with so many others at most; of them at a time, and pairs at a time.
+BLOCK, TILE, SOME = 4096, 1024, 1 << 14
 _LIST = ["pivot", "bi", "bj"]
 
 
@@ -45,15 +46,22 @@ def _units(batches):
 
     def rows():
         for batch in batches:
-            for vec_id, v in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = np.array(v.as_py(), dtype=np.float64)
-                u = x / np.abs(x).max()
-                u /= np.sqrt(u @ u)
-                yield vec_id, hashlib.md5((x + 0.0).tobytes()).digest(), len(x), u.tobytes()
+            lengths = batch.column(1).value_lengths().to_numpy()
+            for dim in np.unique(lengths).tolist():
+                some = batch.filter(pa.array(lengths == dim))
+                for vec_id, x, u in zip(some.column(0).to_pylist(), *_scaled(some.column(1), dim)):
+                    yield vec_id, hashlib.md5(x).digest(), dim, u.tobytes()
 
     yield from batches_of(rows(), schema, 1024)
 
 
+def _scaled(vectors: pa.ListArray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of one length as rows of a matrix (-0 as 0), and the same at length 1."""
+    x = vectors.flatten().to_numpy().reshape(-1, dim) + 0.0
+    u = x / np.abs(x).max(axis=1, keepdims=True)
+    return x, u / np.sqrt(np.einsum("ij,ij->i", u, u))[:, None]
+
+
 def fit_pivots(units: DataFrame, n: int, seed: int = 3) -> dict[int, np.ndarray]:
     """Pivots by dimension, from ``SAMPLE`` vectors of each at most.
 
@@ -78,6 +86,21 @@ def fit_pivots(units: DataFrame, n: int, seed: int = 3) -> dict[int, np.ndarray]
     return pivots
 
 
+def _matrix(units: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(units.to_pylist())).reshape(-1, dim)
+
+
+def _nearest(near: np.ndarray, nearest: int) -> np.ndarray:
+    """Columns of the largest values of each row in order, of equal ones the first."""
+    k = min(nearest, near.shape[1])
+    top = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    value = np.take_along_axis(near, top, axis=1)
+    order = np.take_along_axis(top, np.lexsort((top, -value), axis=1), axis=1)
+    for i in np.flatnonzero((near >= value.min(axis=1, keepdims=True)).sum(axis=1) > k).tolist():
+        order[i] = np.lexsort((np.arange(near.shape[1]), -near[i]))[:k]    # equal values on both sides of the cut
+    return order
+
+
 def _permutations(pivots: dict[int, np.ndarray], nearest: int):
     """Numbers of the nearest pivots in order; pivots of all dimensions are numbered through."""
     first, at = {}, 0
@@ -90,16 +113,88 @@ def _permutations(pivots: dict[int, np.ndarray], nearest: int):
     def task(batches):
         def rows():
             for batch in batches:
-                for node, digest, copies, dim, unit in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                    near = pivots[dim] @ np.frombuffer(unit)
-                    order = np.lexsort((np.arange(len(near)), -near))[:nearest]
-                    yield node, digest, copies, dim, unit, (order + first[dim]).tolist()
+                for at in range(0, batch.num_rows, TILE):
+                    part = batch.slice(at, TILE)
+                    dims = part.column(3).to_numpy()
+                    for dim in np.unique(dims).tolist():
+                        some = part.filter(pa.array(dims == dim))
+                        order = _nearest(_matrix(some.column(4), dim) @ pivots[dim].T, nearest) + first[dim]
+                        yield from zip(*(some.column(c).to_pylist() for c in range(5)), order.tolist())
 
         yield from batches_of(rows(), schema, 1024)
 
     return task
 
 
+def _tiles(a: np.ndarray, b: np.ndarray | None):
+    """Parts of ``a`` and of ``b`` (None: of ``a`` itself, each pair of parts once), ``TILE`` members each."""
+    for i in range(0, len(a), TILE):
+        for j in range(i if b is None else 0, len(a if b is None else b), TILE):
+            yield a[i:i + TILE], (a if b is None else b)[j:j + TILE], b is None and i == j
+
+
+def _linked(unit: np.ndarray, perm: np.ndarray, pivot: int, sides: tuple, cosine: float, shared: int):
+    """Members of one side and of the other that have links, and which of them are linked, a tile at a time.
+
+    A product in single precision, whose error is under ``slack``, settles
+    nearly all pairs; the others are judged in double."""
+    rough = unit.astype(np.float32)
+    slack = (unit.shape[1] + 8) * 2.0 ** -22
+    for x, y, same in _tiles(*sides):
+        product = rough[x] @ rough[y].T
+        linked = product >= np.float32(cosine - slack)
+        if same:
+            linked = np.triu(linked, 1)
+        if not linked.any():
+            continue
+        rows, cols = (np.flatnonzero(linked.any(axis=k)) for k in (1, 0))
+        x, y, linked, product = x[rows], y[cols], linked[np.ix_(rows, cols)], product[np.ix_(rows, cols)]
+        for i, j in _some(linked & (product < np.float32(cosine + slack))):
+            linked[i, j] = np.einsum("ij,ij->i", unit[x[i]], unit[y[j]]) >= cosine
+        _belonging(perm[x], perm[y], pivot, shared, linked)
+        if linked.any():
+            yield x, y, linked
+
+
+def _some(pairs: np.ndarray):
+    """Places of a matrix that are true, ``SOME`` at a time."""
+    at = np.flatnonzero(pairs)
+    for k in range(0, len(at), SOME):
+        yield np.divmod(at[k:k + SOME], pairs.shape[1])
+
+
+def _belonging(a: np.ndarray, b: np.ndarray, pivot: int, shared: int, linked: np.ndarray) -> None:
+    """Leaves in ``linked`` the pairs that share enough pivots, ``pivot`` the first of them: an earlier list has the others."""
+    enough = min(shared, a.shape[1])
+    pivots = np.intersect1d(a, b)
+    if linked.sum() * 1024 > linked.size * len(pivots):     # many pairs, few pivots: counted by products of incidence matrices
+        def incidence(perm):
+            at = np.minimum(np.searchsorted(pivots, perm), len(pivots) - 1)
+            held = np.zeros((len(perm), len(pivots) + 1), dtype=np.float32)
+            np.put_along_axis(held, np.where(pivots[at] == perm, at, len(pivots)), 1, axis=1)
+            return held[:, :-1]
+        p, q, first = incidence(a), incidence(b), np.searchsorted(pivots, pivot)
+        linked &= (p @ q.T >= enough) & (p[:, :first] @ q[:, :first].T == 0)
+        return
+    for i, j in _some(linked):
+        same = a[i][:, :, None] == b[j][:, None, :]
+        first = np.where(same.any(axis=2), a[i], np.iinfo(np.int32).max).min(axis=1)
+        linked[i, j] = (same.sum(axis=(1, 2)) >= enough) & (first == pivot)
+
+
+def _join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``root`` (the smallest member each one reaches) with the links ``i, j`` too."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return root
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def _links(cosine: float, shared: int):
     """Compares the members of an inverted list, or of two blocks of it.
 
@@ -113,36 +208,21 @@ def _links(cosine: float, shared: int):
                 if group.num_rows < 2:
                     continue
                 pivot, bi, bj = (group[c][0].as_py() for c in _LIST)
-                perm = np.array(group["permutation"].to_pylist(), dtype=np.int32)
-                block = group["block"].to_numpy()
-                unit = np.frombuffer(b"".join(group["unit"].to_pylist())).reshape(len(perm), -1)
-                # shared pivots, and whether an earlier list has compared the pair
-                common = np.zeros((len(perm), len(perm)), dtype=np.int8)
-                first = np.full(common.shape, np.iinfo(np.int32).max, dtype=np.int32)
-                for a in range(perm.shape[1]):
-                    for b in range(perm.shape[1]):
-                        same = perm[:, a][:, None] == perm[:, b][None, :]
-                        if same.any():
-                            common += same
-                            np.minimum(first, np.where(same, perm[:, a][:, None], first), out=first)
-                linked = (common >= min(shared, perm.shape[1])) & (first == pivot)
-                linked &= unit @ unit.T >= cosine
-                np.fill_diagonal(linked, False)
-                if bi != bj:
-                    linked &= block[:, None] != block[None, :]
-                if not linked.any():
-                    continue
-                node, copies = group["node"].to_numpy(), group["copies"].to_numpy()
-                digest = group["digest"].to_pylist()
-                counts = linked @ copies
-                peer = node.copy()
-                while True:
-                    least = np.minimum(peer, np.where(linked, peer[None, :], np.iinfo(np.int64).max).min(axis=1))
-                    if (least == peer).all():
-                        break
-                    peer = least
-                for i in np.flatnonzero(counts).tolist():
-                    yield int(node[i]), digest[i], int(counts[i]), int(peer[i])
+                group = group.take(np.argsort(group["node"].to_numpy(), kind="stable"))
+                perm = group["permutation"].combine_chunks().flatten().to_numpy().reshape(group.num_rows, -1)
+                unit = _matrix(group["unit"], len(group["unit"][0].as_py()) // 8)
+                block, copies = group["block"].to_numpy(), group["copies"].to_numpy()
+                sides = (np.arange(len(perm)), None) if bi == bj else (np.flatnonzero(block == bi), np.flatnonzero(block == bj))
+                counts, root = np.zeros(len(perm), dtype=np.int64), np.arange(len(perm))
+                for x, y, linked in _linked(unit, perm, pivot, sides, cosine, shared):
+                    counts[x] += linked @ copies[y]
+                    counts[y] += copies[x] @ linked
+                    i, j = np.nonzero(linked)
+                    root = _join(root, x[i], y[j])
+                found = np.flatnonzero(counts)
+                if len(found):
+                    node, digest = group["node"].to_numpy(), group["digest"].take(found).to_pylist()
+                    yield from zip(node[found].tolist(), digest, counts[found].tolist(), node[root[found]].tolist())
 
         yield from batches_of(rows(), schema)
 
