@@ -20,9 +20,9 @@ from strata.plans import specs
 from strata.streaming.merge_table import read_merged
 from strata.streaming.runner import dedupe_stream, merge_stream, profile_stream, table_files_stream
 
-# A drop file for so many rows, the least of them, and the most micro-batches that many files come in: what a
-# batch does to the table before it is done that often, whatever the table's size.
-ROWS_PER_FILE, DROP_FILES, MOST_BATCHES = 5_000_000, 4, 8
+# A drop file for so many rows (a task aggregates them in memory), the least of them, and the most micro-batches that
+# many files come in: what a batch does to the table before it is done that often, whatever the table's size.
+ROWS_PER_FILE, DROP_FILES, MOST_BATCHES = 2_000_000, 4, 8
 
 
 def _parts(df: DataFrame, least: int) -> int:
@@ -38,9 +38,11 @@ def _drops(spark: SparkSession, root: str, table: str, cols, copies: int = 1, tr
     files = _parts(df, DROP_FILES)
     whole = files > DROP_FILES and df.rdd.getNumPartitions() >= DROP_FILES
     dealt = df.coalesce(files) if whole else df.repartition(files)
+    how = {"compression": "zstd", **({"maxRecordsPerFile": ROWS_PER_FILE} if whole else {})}
     for c in range(copies):
-        dealt.write.mode("overwrite").parquet(f"{base}/drops/delivery_{c}")
-    return base, f"{base}/drops", max(trigger, -(-copies * files // MOST_BATCHES))
+        dealt.write.mode("overwrite").options(**how).parquet(f"{base}/drops/delivery_{c}")
+    written = len(spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/drops").inputFiles())
+    return base, f"{base}/drops", max(trigger, -(-written // MOST_BATCHES))
 
 
 def q_stream_dedupe(spark: SparkSession, root: str) -> DataFrame:

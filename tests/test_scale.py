@@ -1,10 +1,15 @@
 """What streams and replays move: as many micro-batches for any size, no shuffle that another already did."""
 
+from functools import reduce
+
+import pytest
 from pyspark.sql import functions as F
 
+from strata.functions.normalize import packed, unpacked
 from strata.operators import quality
 from strata.operators.dedupe import dedupe_content
 from strata.plans import specs, stream_queries
+from strata.streaming import dedupe
 from strata.streaming.dedupe import unknown
 from strata.streaming.merge_table import MergeTable
 
@@ -59,3 +64,79 @@ def test_a_later_replay_is_one_pass(spark):
     got = quality.replay_again(q, specs.LATER_REPLAY, log)
     assert set(got.columns) == set(both.columns)
     assert sorted(map(str, got.select(*both.columns).collect())) == sorted(map(str, both.collect()))
+
+
+def test_packed_text_is_one_to_one(spark):
+    digest = "0123456789abcdef" * 4
+    texts = [None, "", "a", "\0", digest, digest.upper(), digest + "\n", digest[:63], "0" * 32, "x" * 64, "é" * 16]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed(F.col("t")).alias("p"))
+    got = df.select("t", "p", unpacked(F.col("p")).alias("u")).collect()
+    assert [r["u"] for r in got] == texts and len({bytes(r["p"]) for r in got}) == len(texts)
+    assert not df.schema["p"].nullable and {len(r["p"]) for r in got if r["t"] == digest} == {32}
+
+
+def hashed(spark, *ranges):
+    text = F.when(F.col("id") % 50 != 0, F.sha2(F.col("id").cast("string"), 256)).when(F.col("id") % 100 == 0, F.concat(F.lit("h"), "id"))
+    rows = [spark.range(a, b).select(text.alias("_record_hash"), F.col("id").alias("v")) for a, b in ranges]
+    return reduce(lambda x, y: x.union(y), rows)
+
+
+@pytest.mark.parametrize("name", ["plain", "quo'te"])
+def test_the_hash_table_is_not_shuffled(spark, scratch, monkeypatch, name):
+    plans, root = [], f"{scratch}/{name}"
+    monkeypatch.setattr(dedupe, "unknown", lambda r, h, k: (new := unknown(r, h, k), plans.append(plan(new)))[0])
+    for n, ranges in enumerate([[(0, 600), (300, 700)], [(500, 1200)], [(0, 1500)], [(0, 1500)]]):
+        dedupe.append_new(spark, hashed(spark, *ranges), n, "s", f"{root}/out", f"{root}/hashes", time_col="_record_hash")
+    got = spark.read.parquet(f"{root}/out")
+    want = {r[0] for r in hashed(spark, (0, 1500)).select("_record_hash").collect()}
+    assert sorted(map(str, (r["_record_hash"] for r in got.collect()))) == sorted(map(str, want)) and None in want
+    assert len(plans) == 3 and all(p.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in p for p in plans)
+    held = MergeTable(spark, f"{root}/hashes")
+    assert {r[0] for r in held.rows().collect()} == want and held.rows().count() == len(want)
+    files = spark.read.parquet(f"{root}/hashes/deltas").inputFiles()
+    assert len(files) <= 3 * held.buckets      # stored as they lay, a file a bucket
+    held.compact()
+    assert {r[0] for r in held.rows().collect()} == want
+    dedupe.append_new(spark, hashed(spark, (0, 1502)), 4, "s", f"{root}/out", f"{root}/hashes", time_col="_record_hash")
+    assert [r["v"] for r in spark.read.parquet(f"{root}/out").where("batch_id = 4").orderBy("v").collect()] == [1500, 1501]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("strata_merge_")]
+
+
+def test_scope_file_and_other_partition_counts(spark, scratch):
+    rows = [("a" * 64, "f1", 1), ("a" * 64, "f1", 2), ("a" * 64, "f2", 3), ("a" * 64, None, 4), (None, "f1", 5), ("b", "f1", 6)]
+    df = spark.createDataFrame(rows, "_record_hash string, _source_file string, v long").withColumn("_ingest_ts", F.timestamp_seconds("v"))
+    now, want = spark.conf.get("spark.sql.shuffle.partitions"), {r[:2] for r in rows}
+    for n, parts in enumerate((now, "3", "13")):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            dedupe.append_new(spark, df, n, "s", f"{scratch}/out", f"{scratch}/hashes", "file", partition_by=["_ingest_ts"] if n else ())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", now)
+    got = [tuple(r) for r in spark.read.parquet(f"{scratch}/out/batch_id=0").select("_record_hash", "_source_file").collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert MergeTable(spark, f"{scratch}/hashes").rows().count() == len(want)
+
+
+def test_a_hash_table_without_rows(spark, scratch):
+    def append(n, rows):
+        dedupe.append_new(spark, rows, n, "s", f"{scratch}/out", f"{scratch}/hashes", time_col="v")
+    held = lambda: MergeTable(spark, f"{scratch}/hashes")
+    for n in range(2):
+        append(n, hashed(spark, (5, 5)))
+    assert held().rows() is None
+    held().compact()
+    assert held().rows() is None and held().holds(1, "s")
+    append(2, hashed(spark, (5, 9)))
+    append(3, hashed(spark, (5, 9)))
+    held().compact()
+    append(4, hashed(spark, (5, 10)))
+    assert held().rows().count() == 5 == held().read().count() == spark.read.parquet(f"{scratch}/out").count()
+
+
+def test_a_table_made_without_buckets_is_used_as_it_is(spark, scratch):
+    old = MergeTable(spark, f"{scratch}/hashes", "scd1", ["_record_hash"], "v")
+    old.merge(hashed(spark, (0, 100)), 0, "s")
+    dedupe.append_new(spark, hashed(spark, (50, 201)), 1, "s", f"{scratch}/out", f"{scratch}/hashes", time_col="v")
+    want = {r[0] for r in hashed(spark, (100, 201)).collect()} - {r[0] for r in hashed(spark, (0, 100)).collect()}
+    assert {r["_record_hash"] for r in spark.read.parquet(f"{scratch}/out").collect()} == want
+    assert not MergeTable(spark, f"{scratch}/hashes").buckets
